@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstrand.llm import ann, byte_bpe, decontaminate, quality, token_counts, token_files, toxicity
+from cellstrand.llm import ann, byte_bpe, decontaminate, lm_scoring, quality, token_counts, token_files, toxicity
 from cellstrand.llm.common import table
 
 TOXIC_FROM = 0.7
@@ -27,6 +27,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(table(spark, sf_dir, "documents")).withColumn("log_score", F.round("log_score", 4))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -54,6 +58,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_token_counts": op2_token_counts,
+        "op4_lm_scoring": op4_lm_scoring,
         "op6_decontaminate": op6_decontaminate,
         "op7_ann": op7_ann,
         "op8_byte_bpe": op8_byte_bpe,
@@ -63,4 +68,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_lm_scoring": lm_scoring.ORACLE}
