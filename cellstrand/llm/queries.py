@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstrand.llm import ann, byte_bpe, decontaminate, lm_scoring, quality, token_counts, token_files, toxicity
+from cellstrand.llm import ann, byte_bpe, decontaminate, lm_scoring, quality, suffix_dedup, token_counts, token_files, toxicity
 from cellstrand.llm.common import table
 
 TOXIC_FROM = 0.7
@@ -31,6 +31,10 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents")).withColumn("log_score", F.round("log_score", 4))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_toxicity": op1_toxicity,
         "op2_token_counts": op2_token_counts,
         "op4_lm_scoring": op4_lm_scoring,
+        "op5_suffix_dedup": op5_suffix_dedup,
         "op6_decontaminate": op6_decontaminate,
         "op7_ann": op7_ann,
         "op8_byte_bpe": op8_byte_bpe,
