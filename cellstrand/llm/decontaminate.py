@@ -213,3 +213,21 @@ def near_matches(docs: DataFrame, queries: list[str], width: int) -> DataFrame:
                 yield pa.record_batch([pa.array([ids[d] for d in document], pa.int64()), pa.array([k] * len(place), pa.int32()), pa.array(place - shard.begin[document], pa.int64())], names=["doc_id", "query", "word"])
 
     return id_and_text(docs).mapInArrow(run, "doc_id long, query int, word long")
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS k, unnest(CASE WHEN len(ws) > 10 THEN list_transform(range(1, len(ws) - 8), lambda i: array_to_string(ws[i:i + 9], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS win FROM b),
+ks AS (SELECT DISTINCT k FROM bw),
+dp AS (SELECT doc_id, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM d CROSS JOIN ks WHERE len(ws) >= k),
+o AS (SELECT dp.doc_id, dp.i, dp.k, bw.item_id FROM (SELECT doc_id, k, i, array_to_string(ws[i:i + k - 1], ' ') AS win FROM dp) dp JOIN bw ON bw.k = dp.k AND bw.win = dp.win),
+h AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM o) GROUP BY 1),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items FROM (SELECT DISTINCT doc_id, item_id FROM o) GROUP BY 1)
+SELECT d.doc_id, coalesce(len(d.ws), 0)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit, coalesce(t.n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(t.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""

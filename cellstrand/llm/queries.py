@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstrand.llm import ann, byte_bpe, decontaminate, lm_scoring, quality, suffix_dedup, token_counts, token_files, toxicity
+from cellstrand.llm import ann, byte_bpe, decontaminate, jaccard_join, lm_scoring, quality, suffix_dedup, token_counts, token_files, toxicity
 from cellstrand.llm.common import table
 
 TOXIC_FROM = 0.7
@@ -27,6 +27,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents")).withColumn("log_score", F.round("log_score", 4))
 
@@ -62,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
         "op2_token_counts": op2_token_counts,
+        "op3_jaccard_join": op3_jaccard_join,
         "op4_lm_scoring": op4_lm_scoring,
         "op5_suffix_dedup": op5_suffix_dedup,
         "op6_decontaminate": op6_decontaminate,
@@ -73,4 +78,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_lm_scoring": lm_scoring.ORACLE}
+    return {"op3_jaccard_join": jaccard_join.ORACLE, "op4_lm_scoring": lm_scoring.ORACLE, "op6_decontaminate": decontaminate.ORACLE}
