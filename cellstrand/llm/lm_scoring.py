@@ -22,81 +22,28 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
-import pyarrow.parquet as pq
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellstrand.llm.common import bytes_of, id_and_text, mixed, shared_dir
+from cellstrand.llm import chunkstore
+from cellstrand.llm.chunkstore import packed, unpacked
+from cellstrand.llm.common import bytes_of, id_and_text, mixed
 from cellstrand.llm.wordhash import combined, word_hashes
 
 ALPHA = 0.4
 #: Text of a chunk, about, and n-grams that a partition of the count table is laid out for.
-CHUNK_BYTES = 24 << 20
-PART_GRAMS = 3_000_000
+CHUNK_BYTES = 10 << 20
+PART_GRAMS = 1_500_000
 
 
-def packed(values: np.ndarray) -> bytes:
-    """Integers as compressed byte planes of their differences; ascending ones pack best."""
-    step = np.diff(values, prepend=values.dtype.type(0))
-    planes = np.ascontiguousarray(step.view(np.uint8).reshape(-1, step.itemsize).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def unpacked(data: bytes, dtype: type) -> np.ndarray:
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data, max_output_size=1 << 31), dtype=np.uint8)
-    step = np.ascontiguousarray(raw.reshape(np.dtype(dtype).itemsize, -1).T).reshape(-1).view(dtype)
-    return np.cumsum(step, dtype=dtype)
-
-
-def store_chunks(docs: DataFrame, url: str, most: int) -> DataFrame:
-    """Write (doc_id, text) in chunks below url; (chunk, n_words) of each."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        task = TaskContext.get()
-        fs, path = pafs.FileSystem.from_uri(url if ":" in url else f"file://{url}")
-        fs.create_dir(path, recursive=True)
-        held: list[pa.RecordBatch] = []
-        size = count = words = 0
-
-        def put() -> pa.RecordBatch:
-            chunk = f"{task.partitionId():06d}-{count:04d}"
-            name = f"{path}/.{chunk}.{task.taskAttemptId()}"
-            with fs.open_output_stream(name) as out:
-                pq.write_table(pa.Table.from_batches(held), out, compression="zstd", use_dictionary=False)
-            fs.move(name, f"{path}/{chunk}.parquet")
-            return pa.record_batch([pa.array([chunk]), pa.array([words], pa.int64())], names=["chunk", "n_words"])
-
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                piece = batch.slice(start, 256)
-                texts = bytes_of(piece.column(1))
-                held.append(piece)
-                size += sum(map(len, texts))
-                words += sum(len(t.split()) for t in texts)
-                if size >= most:
-                    yield put()
-                    held, size, words, count = [], 0, 0, count + 1
-        if held:
-            yield put()
-
-    return id_and_text(docs).mapInArrow(run, "chunk string, n_words long")
-
-
-def read_chunk(url: str, chunk: str) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Document ids, word hashes of all documents in a row, and the number of words of each."""
-    fs, path = pafs.FileSystem.from_uri(url if ":" in url else f"file://{url}")
-    with fs.open_input_file(f"{path}/{chunk}.parquet") as source:
-        table = pq.read_table(source)
-    words, size = [], []
-    for batch in table.to_batches(max_chunksize=512):
+def words_in(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of all documents of a chunk in a row, and the number of words of each."""
+    words, size = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)]
+    for batch in table.to_batches(max_chunksize=256):
         w, s = word_hashes(bytes_of(batch.column(1)))
         words.append(w)
         size.append(s)
-    return table.column(0).combine_chunks(), np.concatenate(words), np.concatenate(size)
+    return np.concatenate(words), np.concatenate(size)
 
 
 def grams(words: np.ndarray, document: np.ndarray, order: int) -> list[np.ndarray]:
@@ -130,17 +77,20 @@ def asked(gram: list[np.ndarray], parts: int) -> list[tuple[np.ndarray, np.ndarr
 def score(docs: DataFrame, order: int = 2, alpha: float = ALPHA, chunk_bytes: int = CHUNK_BYTES, part_grams: int = PART_GRAMS) -> DataFrame:
     """doc_id, n_words and log_score (natural logarithm of the product of scores) of every text."""
     spark = docs.sparkSession
-    url = shared_dir(spark, "chunks")
-    chunks = store_chunks(docs, url, chunk_bytes).collect()
-    total = sum(c.n_words for c in chunks)
+
+    def measure(rows: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
+        none = np.empty(0, dtype=np.int64)
+        return sum(len(t.split()) for batch in rows.to_batches() for t in bytes_of(batch.column(1))), none, none
+
+    url, chunks = chunkstore.store(id_and_text(docs), measure, most=chunk_bytes)
+    total = chunks.agg(F.sum("size")).first()[0] or 0
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = max(slots, -(-total * order // part_grams))
-    listed = spark.createDataFrame([(c.chunk,) for c in chunks], "chunk string").repartition(max(1, min(len(chunks), 10_000)), "chunk")
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in batch.column(0).to_pylist():
-                _, words, size = read_chunk(url, chunk)
+                words, size = words_in(chunkstore.read(url, chunk))
                 for n, (gram, count, at) in enumerate(asked(grams(words, np.repeat(np.arange(len(size)), size), order), parts)):
                     for first in range(0, parts, 64):
                         told = [(p, chunk, n, packed(gram[at[p] : at[p + 1]]), packed(count[at[p] : at[p + 1]].astype(np.int64))) for p in range(first, min(first + 64, parts)) if at[p] < at[p + 1]]
@@ -163,7 +113,8 @@ def score(docs: DataFrame, order: int = 2, alpha: float = ALPHA, chunk_bytes: in
 
     def sum_up(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk")[0].as_py()
-        ids, words, size = read_chunk(url, chunk)
+        rows = chunkstore.read(url, chunk)
+        words, size = words_in(rows)
         document = np.repeat(np.arange(len(size)), size)
         gram = grams(words, document, order)
         counts = {(p, n): c for p, n, c in zip(table.column("part").to_pylist(), table.column("n").to_pylist(), table.column("count").to_pylist(), strict=True)}
@@ -182,22 +133,19 @@ def score(docs: DataFrame, order: int = 2, alpha: float = ALPHA, chunk_bytes: in
             seen = with_history & (others[n] > 0)
             value = np.where(seen, others[n] / np.maximum(history, 1), np.where(with_history, alpha * value, value))
         logs = np.bincount(document, weights=np.log(value), minlength=len(size)) if len(words) else np.zeros(len(size))
-        return pa.table({"doc_id": ids.cast(pa.int64()), "n_words": pa.array(size), "log_score": pa.array(logs + 0.0)})
+        return pa.table({"doc_id": rows.column(0), "n_words": pa.array(size), "log_score": pa.array(logs + 0.0)})
 
-    told = listed.mapInArrow(ask, "part int, chunk string, n int, gram binary, count binary")
+    told = chunkstore.dealt(chunks).mapInArrow(ask, "part int, chunk string, n int, gram binary, count binary")
     answers = told.groupBy("part").applyInArrow(add_up, "chunk string, part int, n int, count binary")
     scored = answers.groupBy("chunk").applyInArrow(sum_up, "doc_id long, n_words long, log_score double")
-    silent = [c.chunk for c in chunks if not c.n_words]
 
     def no_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in batch.column(0).to_pylist():
-                ids, _, size = read_chunk(url, chunk)
-                yield pa.record_batch([ids.cast(pa.int64()), pa.array(size), pa.array(np.zeros(len(size)))], names=["doc_id", "n_words", "log_score"])
+                ids = chunkstore.read(url, chunk).column(0).combine_chunks()
+                yield pa.record_batch([ids, pa.array(np.zeros(len(ids), dtype=np.int64)), pa.array(np.zeros(len(ids)))], names=["doc_id", "n_words", "log_score"])
 
-    if silent:
-        scored = scored.unionByName(spark.createDataFrame([(c,) for c in silent], "chunk string").mapInArrow(no_words, "doc_id long, n_words long, log_score double"))
-    return scored
+    return scored.unionByName(chunkstore.dealt(chunks.where("size = 0")).mapInArrow(no_words, "doc_id long, n_words long, log_score double"))
 
 
 def left_out(gram: np.ndarray, document: np.ndarray, distinct: np.ndarray, corpus: np.ndarray) -> np.ndarray:
