@@ -64,16 +64,15 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
-def by_slice(docs: DataFrame, kernel: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """One output batch for each slice of (doc_id, text), in place: no shuffle."""
+def kept_rows(docs: DataFrame, keep: Callable[[list[str]], np.ndarray], text: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns, whose texts `keep` says to keep; in place, no shuffle."""
+    at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            out = kernel(batch)
-            if out is not None:
-                yield out
+        for batch in slices(batches, at):
+            yield batch.filter(pa.array(keep(texts_of(batch.column(at)))))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

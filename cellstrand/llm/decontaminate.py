@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellstrand.llm.common import bytes_of, id_and_text, slices, stored
+from cellstrand.llm.common import bytes_of, id_and_text, kept_rows, slices, stored
 
 #: Words of a window.
 WINDOW = 10
@@ -182,6 +182,22 @@ def marked(batch: pa.RecordBatch, windows: Windows) -> pa.RecordBatch:
     return pa.record_batch([batch.column(0), batch.column(1), pa.array(bits, pa.binary()), pa.array(items, pa.list_(pa.int64()))], names=["doc_id", "text", "hit", "items"])
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: int = BLOCK_BYTES) -> DataFrame:
+    """docs, all columns, without the rows whose text holds a window of the benchmark."""
+    for block in blocks_of(benchmark, most):
+        sent = docs.sparkSession.sparkContext.broadcast(Windows(block, size))
+
+        def keep(texts: list[str], sent=sent) -> np.ndarray:
+            windows = sent.value
+            shard = Shard([t.encode() for t in texts], windows.terms, windows.size)
+            out = np.ones(len(texts), dtype=bool)
+            out[shard.document(shard.phrases(windows)[1])] = False
+            return out
+
+        docs = kept_rows(docs, keep)
+    return docs
+
+
 def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
 

@@ -210,13 +210,13 @@ def batch_of(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> p
 
 
 def classes_of(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[str, DataFrame]:
-    """The chunk folder, and a stored (chunk, row, doc_id, n, key) of every document."""
+    """The chunk folder, and a stored (chunk, row, doc_id, n, key) of every document; docs: doc_id, text and any more columns."""
 
     def nothing(rows: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
         none = np.empty(0, dtype=np.int64)
         return rows.num_rows, none, none
 
-    url, table = chunkstore.store(id_and_text(docs), nothing, most=chunk_bytes)
+    url, table = chunkstore.store(docs, nothing, most=chunk_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,7 +224,7 @@ def classes_of(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[str, Da
                 rows = chunkstore.read(url, chunk)
                 value, at = chunk_sets(rows)
                 key = set_digests(value, at).view(np.int64)
-                yield pa.record_batch([pa.array([chunk] * rows.num_rows), pa.array(np.arange(rows.num_rows)), rows.column(0).combine_chunks(), pa.array(np.diff(at)), pa.array(key)], names=["chunk", "row", "doc_id", "n", "key"])
+                yield pa.record_batch([pa.array([chunk] * rows.num_rows), pa.array(np.arange(rows.num_rows)), rows.column("doc_id").combine_chunks().cast(pa.int64()), pa.array(np.diff(at)), pa.array(key)], names=["chunk", "row", "doc_id", "n", "key"])
 
     return url, stored(chunkstore.dealt(table).mapInArrow(run, "chunk string, row long, doc_id long, n long, key long"), "classes")
 
@@ -422,12 +422,11 @@ def links_in_blocks(members: DataFrame, sets: DataFrame, slots: int, limit: int
     return out
 
 
-def join(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_shingles: int = PART_SHINGLES, block_weight: int = BLOCK_WEIGHT, levels: int = LEVELS) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
-    slots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    url, rows = classes_of(docs, chunk_bytes)
-    some = rows.where("n > 0")
-    classes = stored(some.groupBy("key").agg(F.min(F.struct("chunk", "row")).alias("at"), F.max("n").alias("n"), F.min("doc_id").alias("least")).select("key", "at.chunk", "at.row", "n", "least"), "owners")
+def components_of(url: str, rows: DataFrame, part_shingles: int = PART_SHINGLES, block_weight: int = BLOCK_WEIGHT, levels: int = LEVELS) -> DataFrame:
+    """(key, component, first) of every class: its component, and the component's first row, as (no id, doc_id, chunk, row)."""
+    slots = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "chunk", "row"))
+    classes = stored(rows.where("n > 0").groupBy("key").agg(F.min(F.struct("chunk", "row")).alias("at"), F.max("n").alias("n"), first.alias("first")).select("key", "at.chunk", "at.row", "n", "first"), "owners")
     total = classes.agg(F.sum("n")).first()[0] or 0
     items = candidates(url, classes.select("chunk", "row", "key", "n"), max(slots, -(-total // part_shingles)))
     sets = items.where(F.col("kind") == SET).select("key", "n", "weight", F.col("a").alias("blob"))
@@ -435,13 +434,30 @@ def join(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, part_shingles: int = P
     blocks = near.select(F.col("component").alias("block"), F.col("node").alias("key")).unionByName(near.select(F.col("component").alias("block"), F.col("component").alias("key")).distinct())
     members = blocks.join(sets.select("key", "weight"), "key").select("block", "key", "weight")
     linked = components(links_in_blocks(members, sets.select("key", "n", "blob"), slots, block_weight, levels))
-    named = classes.select("key", "least").join(linked, F.col("key") == F.col("node"), "left").select("key", "least", F.coalesce("component", "key").alias("component"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_class = named.join(least, "component").select("key", "component_id")
-    with_words = some.join(of_class, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    named = classes.select("key", "first").join(linked, F.col("key") == F.col("node"), "left").select("key", "first", F.coalesce("component", "key").alias("component"))
+    return named.select("key", "component").join(named.groupBy("component").agg(F.min("first").alias("first")), "component").select("key", "component", "first")
+
+
+def join(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, **options) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    url, rows = classes_of(id_and_text(docs), chunk_bytes)
+    of_class = components_of(url, rows, **options).select("key", F.col("first.doc_id").alias("component_id"))
+    with_words = rows.where("n > 0").join(of_class, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return with_words.unionByName(rows.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
+def representatives(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, **options) -> DataFrame:
+    """docs, all columns, with one row of each group: that of least id (of rows without ids only if all have none). Texts without words all stay."""
+    url, rows = classes_of(docs, chunk_bytes)
+    schema = docs.schema
+    firsts = components_of(url, rows, **options).select("first").distinct().select("first.chunk", "first.row")
+
+    def keep(table: pa.Table) -> pa.Table:
+        return chunkstore.read(url, table.column("chunk")[0].as_py()).take(table.column("row").sort())
+
+    return firsts.unionByName(rows.where("n = 0").select("chunk", "row")).groupBy("chunk").applyInArrow(keep, schema)
+
+
 ORACLE = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),

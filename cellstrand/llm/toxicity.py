@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellstrand.llm.common import fold_of, id_and_text, slices, texts_of
+from cellstrand.llm.common import fold_of, id_and_text, kept_rows, slices, texts_of
 
 BUCKETS = 1 << 17
 DIM = 4
@@ -186,6 +186,19 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return id_and_text(docs).mapInArrow(run, "doc_id long, score double")
 
 
+def below(docs: DataFrame, model: Model, most: float) -> DataFrame:
+    """docs, all columns, without the rows whose text scores `most` or more."""
+    sent = docs.sparkSession.sparkContext.broadcast((model.weight.astype(np.float32), model.bias))
+    own: list[Model] = []
+
+    def keep(texts: list[str]) -> np.ndarray:
+        if not own:
+            own.append(Model(sent.value[0].astype(float), sent.value[1]))
+        return own[0].scores(texts) < most
+
+    return kept_rows(docs, keep)
+
+
 def held_out(folds: int, fold: int) -> Column:
     """Whether a row is kept from training; a null id is never learnt from."""
     return F.coalesce(fold_of(F.col("doc_id"), folds) == fold, F.lit(False))
