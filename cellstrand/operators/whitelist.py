@@ -13,10 +13,10 @@ BROADCAST_BYTES = 64 << 20
 
 def variants(whitelist: DataFrame, sequence: str) -> DataFrame:
     """(variant, original): every entry with any one base replaced, each variant of an entry once."""
-    entries = whitelist.where(F.col(sequence).isNotNull()).select(F.monotonically_increasing_id().alias("entry"), F.col(sequence).alias("original"))
+    entries = whitelist.where(F.col(sequence).isNotNull()).select(F.col(sequence).alias("original"))
     place = F.explode(F.sequence(F.lit(1), F.length("original")))
-    at = entries.where(F.length("original") > 0).select("entry", "original", place.alias("k"))
-    spread = at.select("entry", "original", "k", F.explode(F.array(*map(F.lit, BASES))).alias("base"))
+    at = entries.where(F.length("original") > 0).select("original", place.alias("k"))
+    spread = at.select("original", "k", F.explode(F.array(*map(F.lit, BASES))).alias("base"))
     # the entry itself arises at each position; it is kept for the first only, so no distinct is needed
     kept = spread.where((F.col("base") != F.substr("original", F.col("k"), F.lit(1))) | (F.col("k") == 1))
     changed = F.concat(F.substr("original", F.lit(1), F.col("k") - 1), F.col("base"), F.substr("original", F.col("k") + 1, F.length("original")))

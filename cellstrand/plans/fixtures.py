@@ -82,7 +82,7 @@ def gtf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_reads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Records of 32 aligned bases with MD, a line item each, and a SNP list of all mismatches at the seventh base."""
-    li = table(spark, sf_dir, "lineitem").where("l_orderkey < 3000")
+    li = table(spark, sf_dir, "lineitem").where("l_orderkey < 3000").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").distinct()
     flag = F.get(F.array(*map(F.lit, (83, 99, 147, 163, 65, 81))), F.col("l_linenumber") - 1)
     li = li.select(F.xxhash64(key()).alias("idx"), key().alias("qname"), F.coalesce(flag, F.lit(97)).alias("flag"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 3 + 1).cast("string")).alias("rname"), ((F.col("l_partkey") * 37) % 400000).cast("int").alias("pos"), dna(key()).alias("h"), "l_partkey", "l_orderkey")
 
@@ -153,10 +153,11 @@ reads AS (SELECT l_orderkey AS idx, name,
   substr(h, 3, q % 25) || CASE WHEN q % 2 = 0 THEN reverse(translate({sql_code("rt", "l_partkey % 24", 10)}, 'ACGTN', 'TGCAN')) ELSE '' END || h AS bio
   FROM li)"""
 
-PAIRS = f"""pairs AS (SELECT {sql_code("cell", "l_suppkey % 12", 20)} || ',' || {sql_code("umi", "l_orderkey % 50", 8)} || ',' || {KEY} AS qname, 'chr' || (l_suppkey % 3 + 1) AS chrom,
+PAIRS = f"""all_pairs AS (SELECT {sql_code("cell", "l_suppkey % 12", 20)} || ',' || {sql_code("umi", "l_orderkey % 50", 8)} || ',' || {KEY} AS qname, 'chr' || (l_suppkey % 3 + 1) AS chrom,
   CASE l_returnflag WHEN 'A' THEN '+' WHEN 'R' THEN '-' ELSE '.' END AS strand,
   ((l_partkey * 37 + l_orderkey * 11) % 400000)::int AS s1, ((l_partkey * 37 + l_orderkey * 11) % 400000)::int + 60 AS e1,
-  ((l_partkey * 37 + l_orderkey * 11) % 400000)::int + 20 + l_linenumber * 30 AS s2, ((l_partkey * 37 + l_orderkey * 11) % 400000)::int + 80 + l_linenumber * 30 AS e2 FROM lineitem)"""
+  ((l_partkey * 37 + l_orderkey * 11) % 400000)::int + 20 + l_linenumber * 30 AS s2, ((l_partkey * 37 + l_orderkey * 11) % 400000)::int + 80 + l_linenumber * 30 AS e2 FROM lineitem),
+pairs AS (SELECT * FROM all_pairs QUALIFY count(*) OVER (PARTITION BY qname) = 1)"""
 
 GENES = """genes AS (SELECT 'G' || p_partkey AS gene_id, 'chr' || (p_partkey % 3 + 1) AS chrom, CASE WHEN p_partkey % 2 = 0 THEN '+' ELSE '-' END AS strand,
   ((p_partkey * 197) % 400000)::int AS g, ((p_partkey * 197) % 400000)::int + 400 + p_size * 40 AS e,
@@ -173,7 +174,7 @@ CALL = "CASE WHEN u IS NULL THEN '_no_feature_overlap' WHEN u = 1 THEN one WHEN
 NEAREST = """far AS (SELECT b.qname, b.space, b.gene_id, CASE WHEN g.strand = '+' THEN g.e - greatest(p.e1, p.e2) ELSE least(p.s1, p.s2) - g.g END AS d FROM per_gene b JOIN genes g USING (gene_id) JOIN pairs p USING (qname) WHERE b.mates = 2),
 near AS (SELECT qname, space, gene_id AS nearest FROM far WHERE d > -50 QUALIFY row_number() OVER (PARTITION BY qname, space ORDER BY d, gene_id) = 1)"""
 
-BASES = f"""li AS (SELECT {KEY} AS qname, CASE l_linenumber WHEN 1 THEN 83 WHEN 2 THEN 99 WHEN 3 THEN 147 WHEN 4 THEN 163 WHEN 5 THEN 65 WHEN 6 THEN 81 ELSE 97 END AS flag,
+BASES = f"""li AS (SELECT DISTINCT {KEY} AS qname, CASE l_linenumber WHEN 1 THEN 83 WHEN 2 THEN 99 WHEN 3 THEN 147 WHEN 4 THEN 163 WHEN 5 THEN 65 WHEN 6 THEN 81 ELSE 97 END AS flag,
   'chr' || (l_suppkey % 3 + 1) AS rname, ((l_partkey * 37) % 400000)::int AS pos, {sql_dna(KEY)} AS h, l_partkey, l_orderkey FROM lineitem WHERE l_orderkey < 3000),
 b AS (SELECT *, substr(h, o, 1) AS ref, 40 + (l_orderkey + o) % 10 AS qual, (l_partkey + o) % 3 AS m FROM (SELECT *, unnest(range(1, 33)) AS o FROM li)),
 bases AS (SELECT qname, flag, rname, pos, o, ref, qual, CASE WHEN m = 0 AND flag IN (99, 163) AND ref = 'T' THEN 'C' WHEN m = 0 AND flag IN (83, 147) AND ref = 'A' THEN 'G' WHEN m = 1 THEN 'N' ELSE ref END AS qry FROM b),

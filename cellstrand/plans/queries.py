@@ -190,7 +190,7 @@ def demux_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.class_summary(demultiplexed(spark, sf_dir), reads.RNA_CLASSES)
 
 
-@query(f"WITH {fx.PAIRS} SELECT qname, split_part(qname, ',', 1) AS cb, split_part(qname, ',', 2) AS ur, 'S1.' || split_part(qname, ',', 1) AS barcode, 2::bigint AS records FROM pairs")
+@query(f"WITH {fx.PAIRS} SELECT qname, split_part(qname, ',', 1) AS cb, split_part(qname, ',', 2) AS ur, 'S1.' || split_part(qname, ',', 1) AS barcode, (2 * count(*))::bigint AS records FROM all_pairs GROUP BY 1")
 def readname_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tagged(fx.alignments(spark, sf_dir).withColumn("tags", F.lit(None).cast("map<string,string>")))
     return rows.select("qname", F.col("tags")["CB"].alias("cb"), F.col("tags")["UR"].alias("ur")).groupBy("qname", "cb", "ur").agg(F.count(F.lit(1)).alias("records")).withColumn("barcode", F.concat(F.lit("S1."), "cb"))
