@@ -56,26 +56,45 @@ def aligned_pairs(pos: Column, cigar: Column, md: Column, sequence: Column) -> C
     return pairs(pos, cigar, md, sequence)
 
 
+COUNTED = "struct<targets:int,hits:array<int>>"
+
+
+def conversions(flag: int, pos: int, cigar: str, md: str, sequence: str, qual: str, quality_above: int) -> tuple[int, list[int]]:
+    """Aligned target bases (T, or A on the minus strand) above a quality, and the reference positions of those that were converted."""
+    target, changed = ("T", "C") if flag in aln.FLAGS_PLUS else ("A", "G")
+    targets = [(q, r) for q, r, base in aligned(pos, cigar, md, sequence) if base == target and ord(qual[q]) - 33 > quality_above]
+    return len(targets), [r for q, r in targets if sequence[q].upper() == changed]
+
+
+def counted(flag: Column, pos: Column, cigar: Column, md: Column, sequence: Column, qual: Column, quality_above: int) -> Column:
+    """struct<targets, hits> of each record; null where the flag is null."""
+
+    @F.pandas_udf(COUNTED)
+    def count(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = [(0, []) if row[0] != row[0] or row[0] is None else conversions(int(row[0]), int(row[1]), *row[2:], quality_above) for row in zip(*part, strict=True)]
+            yield pd.DataFrame({"targets": [n for n, _ in rows], "hits": [h for _, h in rows]})
+
+    # not to be run again by a filter that the optimizer moves below it
+    return count.asNondeterministic()(flag, pos, cigar, md, sequence, qual)
+
+
 def scored(alignments: DataFrame, snps: DataFrame, quality_above: int = 45) -> DataFrame:
     """alignments (idx identifies a record) with read_class so far, t_count and tc_count.
 
-    Targets are counted within each row; only conversions, a few a read, are exploded to be held
+    Targets are counted record by record; only conversions, a few a read, are exploded to be held
     against the SNP list (chrom, pos from 1, ref, alt), which is joined by its keys.
     """
     plus, minus = F.col("flag").isin(*aln.FLAGS_PLUS), F.col("flag").isin(*aln.FLAGS_MINUS)
     md, usable = F.col("tags")["MD"], F.col("qual").isNotNull() & (F.col("qual") != "*")
     fit = F.when(~(plus | minus), CLASSES[0]).when(md.isNull(), CLASSES[1]).when(~usable, CLASSES[2])
     rows = alignments.withColumn("read_class", fit)
-    ok = F.col("read_class").isNull()
-    rows = rows.withColumn("columns", aligned_pairs(F.when(ok, F.col("pos")), F.when(ok, F.col("cigar")), F.when(ok, md), F.when(ok, F.col("seq"))))
-    target, changed = F.when(plus, "T").otherwise("A"), F.when(plus, "C").otherwise("G")
-    good = F.filter("columns", lambda c: (c["ref_base"] == target) & (F.ascii(F.substr("qual", c["query_pos"] + 1, F.lit(1))) - 33 > quality_above))
-    rows = rows.withColumn("columns", good).withColumn("t_count", F.coalesce(F.size("columns"), F.lit(0)))
-    rows = rows.withColumn("hits", F.filter("columns", lambda c: F.upper(F.substr("seq", c["query_pos"] + 1, F.lit(1))) == changed))
+    rows = rows.withColumn("found", counted(F.when(F.col("read_class").isNull(), F.col("flag")), F.col("pos"), F.col("cigar"), md, F.col("seq"), F.col("qual"), quality_above))
+    rows = rows.withColumn("t_count", F.col("found.targets")).withColumn("hits", F.col("found.hits")).drop("found")
     listed = snps.select(F.col("chrom").alias("rname"), (F.col("pos") - 1).cast("int").alias("ref_pos"), F.col("ref").alias("snp_ref"), F.col("alt").alias("snp_alt")).distinct()
-    each = rows.where(F.size("hits") > 0).select("idx", "rname", target.alias("snp_ref"), changed.alias("snp_alt"), F.explode("hits.ref_pos").alias("ref_pos"))
+    each = rows.where(F.size("hits") > 0).select("idx", "rname", F.when(plus, "T").otherwise("A").alias("snp_ref"), F.when(plus, "C").otherwise("G").alias("snp_alt"), F.explode("hits").alias("ref_pos"))
     counts = each.join(listed, ["rname", "ref_pos", "snp_ref", "snp_alt"], "left_anti").groupBy("idx").agg(F.count(F.lit(1)).alias("tc"))
-    return rows.drop("columns", "hits").join(counts, "idx", "left").withColumn("tc_count", F.coalesce("tc", F.lit(0))).drop("tc")
+    return rows.drop("hits").join(counts, "idx", "left").withColumn("tc_count", F.coalesce("tc", F.lit(0))).drop("tc")
 
 
 def verdict(t_count: Column, tc_count: Column, least_ratio: float = 0.3, least_count: int = 1) -> Column:

@@ -82,22 +82,25 @@ def gtf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled_reads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Records of 32 aligned bases with MD, a line item each, and a SNP list of all mismatches at the seventh base."""
-    li = table(spark, sf_dir, "lineitem").where("l_orderkey < 3000").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").distinct()
     flag = F.get(F.array(*map(F.lit, (83, 99, 147, 163, 65, 81))), F.col("l_linenumber") - 1)
+    li = table(spark, sf_dir, "lineitem").where("l_orderkey < 3000")
     li = li.select(F.xxhash64(key()).alias("idx"), key().alias("qname"), F.coalesce(flag, F.lit(97)).alias("flag"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 3 + 1).cast("string")).alias("rname"), ((F.col("l_partkey") * 37) % 400000).cast("int").alias("pos"), dna(key()).alias("h"), "l_partkey", "l_orderkey")
+    li = li.distinct()
 
     def base(o: Column) -> Column:
         ref, m = F.substr("h", o, F.lit(1)), (F.col("l_partkey") + o) % 3
         hit = F.when(F.col("flag").isin(99, 163) & (ref == "T"), "C").when(F.col("flag").isin(83, 147) & (ref == "A"), "G")
-        return F.when(m == 0, F.coalesce(hit, ref)).when(m == 1, "N").otherwise(ref)
+        return F.struct(F.when(m == 0, F.coalesce(hit, ref)).when(m == 1, "N").otherwise(ref).alias("q"), ref.alias("r"))
 
     places = F.sequence(F.lit(1), F.lit(32))
-    rows = li.withColumn("q", F.transform(places, base)).withColumn("qual", F.array_join(F.transform(places, lambda o: F.char(F.lit(73) + (F.col("l_orderkey") + o) % 10)), ""))
+    qual = F.array_join(F.transform(places, lambda o: F.char(F.lit(73) + (F.col("l_orderkey") + o) % 10)), "")
+    rows = li.select("idx", "qname", "flag", "rname", "pos", F.transform(places, base).alias("bases"), qual.alias("qual"))
     start = F.struct(F.lit(0).alias("n"), F.lit("").alias("out"))
-    walk = F.aggregate(places, start, lambda s, o: F.when(F.get("q", o - 1) == F.substr("h", o, F.lit(1)), F.struct((s["n"] + 1).alias("n"), s["out"].alias("out"))).otherwise(F.struct(F.lit(0).alias("n"), F.concat(s["out"], s["n"].cast("string"), F.substr("h", o, F.lit(1))).alias("out"))))
-    rows = rows.withColumn("w", walk).withColumn("tags", F.create_map(F.lit("MD"), F.concat("w.out", F.col("w.n").cast("string"))))
-    snps = rows.select(F.col("rname").alias("chrom"), (F.col("pos") + 7).alias("pos"), F.substring("h", 7, 1).alias("ref"), F.get("q", F.lit(6)).alias("alt"))
-    return rows.select("idx", "qname", "flag", "rname", "pos", F.lit("32M").alias("cigar"), F.array_join("q", "").alias("seq"), "qual", "tags"), snps.where("ref <> alt").distinct()
+    walk = F.aggregate("bases", start, lambda s, b: F.when(b["q"] == b["r"], F.struct((s["n"] + 1).alias("n"), s["out"].alias("out"))).otherwise(F.struct(F.lit(0).alias("n"), F.concat(s["out"], s["n"].cast("string"), b["r"]).alias("out"))), lambda s: F.concat(s["out"], s["n"].cast("string")))
+    snps = li.select(F.col("rname").alias("chrom"), (F.col("pos") + 7).alias("pos"), base(F.lit(7)).alias("b")).select("chrom", "pos", F.col("b.r").alias("ref"), F.col("b.q").alias("alt"))
+    # a distinct between the made columns and their readers: they are made once, not in every expression that reads them
+    made = rows.select("idx", "qname", "flag", "rname", "pos", F.array_join("bases.q", "").alias("seq"), "qual", walk.alias("md")).distinct()
+    return made.select("idx", "qname", "flag", "rname", "pos", F.lit("32M").alias("cigar"), "seq", "qual", F.create_map(F.lit("MD"), "md").alias("tags")), snps.where("ref <> alt").distinct()
 
 
 def counts(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
