@@ -16,13 +16,10 @@ import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import pyarrow.parquet as pq
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, GroupedData
 
 from cellstrand.llm.common import shared_dir, stored
 
-#: Text of a chunk, about.
-CHUNK_BYTES = 24 << 20
-
 Measure = Callable[[pa.Table], tuple[int, np.ndarray, np.ndarray]]
 
 
@@ -30,7 +27,7 @@ def _store(url: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(url if ":" in url else f"file://{url}")
 
 
-def store(docs: DataFrame, measure: Measure, text: str = "text", most: int = CHUNK_BYTES) -> tuple[str, DataFrame]:
+def store(docs: DataFrame, measure: Measure, text: str = "text", most: int = 12 << 20) -> tuple[str, DataFrame]:
     """Write docs in chunks; the folder, and a stored table (chunk, size, keys, counts) with what `measure` says of each chunk."""
     url = shared_dir(docs.sparkSession, "chunks")
 
@@ -68,6 +65,8 @@ def store(docs: DataFrame, measure: Measure, text: str = "text", most: int = CHU
 
 
 def read(url: str, chunk: str) -> pa.Table:
+    # what the chunk before left in the allocator goes back first
+    pa.default_memory_pool().release_unused()
     fs, path = _store(url)
     with fs.open_input_file(f"{path}/{chunk}.parquet") as source:
         return pq.read_table(source)
@@ -79,6 +78,11 @@ def dealt(table: DataFrame) -> DataFrame:
     return table.select("chunk").repartition(max(slots, table.count()), "chunk")
 
 
+def by(rows: DataFrame, key: str) -> GroupedData:
+    """rows grouped by a key whose groups are much work however small their rows are, so that adaptive execution does not put many in one task."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key).groupBy(key)
+
+
 def packed(values: np.ndarray) -> bytes:
     """Integers as compressed byte planes of their differences; ascending ones pack best."""
     step = np.diff(values, prepend=values.dtype.type(0))

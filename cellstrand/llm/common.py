@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: Rows that a kernel handles at once; bounds a worker's memory whatever Arrow batch size the session uses.
 SLICE_ROWS = 512
 #: Bytes of text after which a slice ends early, so that runs of very long texts stay bounded too.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,19 +26,22 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(folds)
 
 
+def cuts(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, end) of runs of at most SLICE_ROWS rows and about SLICE_BYTES of text."""
+    lengths = np.nan_to_num(np.asarray(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.float64)).astype(np.int64)
+    group = np.cumsum(lengths) // SLICE_BYTES
+    start = 0
+    while start < len(lengths):
+        end = min(start + SLICE_ROWS, int(np.searchsorted(group, group[start], side="right")))
+        yield start, end
+        start = end
+
+
 def slices(batches: Iterable[pa.RecordBatch], text: int = 1) -> Iterator[pa.RecordBatch]:
-    """Cut batches into slices of at most SLICE_ROWS rows and about SLICE_BYTES of text."""
+    """Batches cut by the length of their texts."""
     for batch in batches:
-        size = batch.num_rows
-        if not size:
-            continue
-        lengths = np.nan_to_num(np.asarray(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False), dtype=np.float64)).astype(np.int64)
-        group = np.cumsum(lengths) // SLICE_BYTES
-        start = 0
-        while start < size:
-            end = min(start + SLICE_ROWS, int(np.searchsorted(group, group[start], side="right")))
+        for start, end in cuts(batch.column(text)):
             yield batch.slice(start, end - start)
-            start = end
 
 
 def texts_of(column: pa.Array) -> list[str]:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from cellstrand.llm import chunkstore
 from cellstrand.llm.chunkstore import packed, plain, unpacked, unplain
-from cellstrand.llm.common import bytes_of, id_and_text, mixed, stored
+from cellstrand.llm.common import bytes_of, cuts, id_and_text, mixed, stored
 from cellstrand.llm.components import components
 from cellstrand.llm.wordhash import combined, word_hashes
 
@@ -44,10 +44,10 @@ SHINGLE = 5
 THRESHOLD_PERCENT = 75
 RADIUS = 1 - THRESHOLD_PERCENT / 100
 NEAR = 1e-9
-CHUNK_BYTES = 10 << 20
+CHUNK_BYTES = 5 << 20
 #: Shingles that a partition of the count table is laid out for, and that a task joins at once.
-PART_SHINGLES = 1_500_000
-BLOCK_WEIGHT = 2_000_000
+PART_SHINGLES = 750_000
+BLOCK_WEIGHT = 1_000_000
 PIVOTS, LEAF, LEVELS = 6, 16, 6
 U = np.uint64
 
@@ -87,8 +87,8 @@ def chunk_sets(table: pa.Table, rows: np.ndarray | None = None) -> tuple[np.ndar
     column = table.column("text") if rows is None else table.column("text").take(pa.array(rows))
     values, sizes = [np.empty(0, dtype=U)], [np.empty(0, dtype=np.int64)]
     for part in column.chunks:
-        for a in range(0, len(part), 256):
-            value, at = shingle_sets(bytes_of(part.slice(a, 256)))
+        for a, b in cuts(part):
+            value, at = shingle_sets(bytes_of(part.slice(a, b - a)))
             values.append(value)
             sizes.append(np.diff(at))
     return np.concatenate(values), np.r_[0, np.cumsum(np.concatenate(sizes))]
@@ -298,10 +298,10 @@ def candidates(url: str, owned: DataFrame, parts: int) -> DataFrame:
             out.append((PREFIX, None, None, None, p, chunk, packed(np.ascontiguousarray(own[:, 0])), plain(key[own[:, 1].astype(np.int64)])))
         return batch_of(out, ["kind", "key", "n", "weight", "part", "chunk", "a", "b"], ITEM_TYPES)
 
-    asks = owned.select("chunk", "row", "key").groupBy("chunk").applyInArrow(ask, "part int, chunk string, a binary, b binary")
-    answers = asks.groupBy("part").applyInArrow(add_up, "chunk string, row long, key long, part int, answer binary")
+    asks = chunkstore.by(owned.select("chunk", "row", "key"), "chunk").applyInArrow(ask, "part int, chunk string, a binary, b binary")
+    answers = chunkstore.by(asks, "part").applyInArrow(add_up, "chunk string, row long, key long, part int, answer binary")
     mine = owned.select("chunk", "row", "key", F.lit(None).cast("int").alias("part"), F.lit(None).cast("binary").alias("answer"))
-    return stored(mine.unionByName(answers).groupBy("chunk").applyInArrow(pick, ITEMS), "items")
+    return stored(chunkstore.by(mine.unionByName(answers), "chunk").applyInArrow(pick, ITEMS), "items")
 
 
 def prefix_edges(items: DataFrame) -> DataFrame:
@@ -319,7 +319,7 @@ def prefix_edges(items: DataFrame) -> DataFrame:
             forest.link(x, y)
         return batch_of([(int(keys[x]), int(keys[y])) for x, y in forest.edges], ["a", "b"], [pa.int64(), pa.int64()])
 
-    return items.where(F.col("kind") == PREFIX).select("part", "chunk", "a", "b").groupBy("part").applyInArrow(run, "a long, b long")
+    return chunkstore.by(items.where(F.col("kind") == PREFIX).select("part", "chunk", "a", "b"), "part").applyInArrow(run, "a long, b long")
 
 
 def joined_in_tasks(rows: DataFrame, parts: int) -> DataFrame:
@@ -339,7 +339,7 @@ def joined_in_tasks(rows: DataFrame, parts: int) -> DataFrame:
             out += [(int(key[a + x]), int(key[a + y])) for x, y in forest.edges]
         return batch_of(out, ["a", "b"], [pa.int64(), pa.int64()])
 
-    return rows.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts))).groupBy("part").applyInArrow(run, "a long, b long")
+    return chunkstore.by(rows.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts))), "part").applyInArrow(run, "a long, b long")
 
 
 def split_once(large: DataFrame, sets: DataFrame, level: int, limit: int) -> tuple[DataFrame, DataFrame]:
@@ -455,7 +455,7 @@ def representatives(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, **options)
     def keep(table: pa.Table) -> pa.Table:
         return chunkstore.read(url, table.column("chunk")[0].as_py()).take(table.column("row").sort())
 
-    return firsts.unionByName(rows.where("n = 0").select("chunk", "row")).groupBy("chunk").applyInArrow(keep, schema)
+    return chunkstore.by(firsts.unionByName(rows.where("n = 0").select("chunk", "row")), "chunk").applyInArrow(keep, schema)
 
 
 ORACLE = r"""

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from cellstrand.llm import chunkstore
 from cellstrand.llm.chunkstore import packed, unpacked
-from cellstrand.llm.common import bytes_of, id_and_text, mixed
+from cellstrand.llm.common import bytes_of, id_and_text, mixed, slices
 from cellstrand.llm.wordhash import combined, word_hashes
 
 ALPHA = 0.4
@@ -39,7 +39,7 @@ PART_GRAMS = 1_500_000
 def words_in(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes of all documents of a chunk in a row, and the number of words of each."""
     words, size = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)]
-    for batch in table.to_batches(max_chunksize=256):
+    for batch in slices(table.to_batches()):
         w, s = word_hashes(bytes_of(batch.column(1)))
         words.append(w)
         size.append(s)
@@ -136,8 +136,8 @@ def score(docs: DataFrame, order: int = 2, alpha: float = ALPHA, chunk_bytes: in
         return pa.table({"doc_id": rows.column(0), "n_words": pa.array(size), "log_score": pa.array(logs + 0.0)})
 
     told = chunkstore.dealt(chunks).mapInArrow(ask, "part int, chunk string, n int, gram binary, count binary")
-    answers = told.groupBy("part").applyInArrow(add_up, "chunk string, part int, n int, count binary")
-    scored = answers.groupBy("chunk").applyInArrow(sum_up, "doc_id long, n_words long, log_score double")
+    answers = chunkstore.by(told, "part").applyInArrow(add_up, "chunk string, part int, n int, count binary")
+    scored = chunkstore.by(answers, "chunk").applyInArrow(sum_up, "doc_id long, n_words long, log_score double")
 
     def no_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -44,6 +44,8 @@ from cellstrand.llm.common import bytes_of, id_and_text, joined_bytes, mixed, st
 
 LENGTH = 200
 GRAM = 32
+#: Text of a chunk, about.
+CHUNK_BYTES = 8 << 20
 #: Bytes that are hashed at once, and starts of a text that are taken at once.
 SLICE_BYTES = 1 << 20
 #: Distinct zones of one anchor in a chunk that make it a candidate for being counted string by string, and in all chunks.
@@ -51,7 +53,7 @@ LOCAL_MANY, MANY = 24, 1024
 #: Anchors that are counted string by string, at most; others with many zones are merged, only slower.
 MOST_HOT = 100_000
 #: Zones that a partition is laid out for.
-PART_ZONES = 400_000
+PART_ZONES = 200_000
 #: Rows of the pair table that are looked at at once.
 PAIR_BLOCK = 256
 
@@ -411,7 +413,7 @@ RUN_TYPES = [pa.int32(), pa.string(), *[pa.binary()] * 5]
 ZONE, STRING, REPEAT = range(3)
 
 
-def removed(docs: DataFrame, finish: Callable[[pa.Table, list[tuple[bytes, np.ndarray]]], pa.Table], schema: StructType | str, text: str = "text", length: int = LENGTH, gram: int = GRAM, chunk_bytes: int = chunkstore.CHUNK_BYTES, many: int = MANY, local_many: int = LOCAL_MANY) -> DataFrame:
+def removed(docs: DataFrame, finish: Callable[[pa.Table, list[tuple[bytes, np.ndarray]]], pa.Table], schema: StructType | str, text: str = "text", length: int = LENGTH, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, many: int = MANY, local_many: int = LOCAL_MANY) -> DataFrame:
     """Apply `finish` to each part of rows with (bytes, whether each byte is removed) of every row's text."""
     spark = docs.sparkSession
 
@@ -496,18 +498,12 @@ def removed(docs: DataFrame, finish: Callable[[pa.Table, list[tuple[bytes, np.nd
     def cut(table: pa.Table) -> pa.Table:
         plan, chunk = sent.value, table.column("chunk")[0].as_py()
         rows, zones, is_hot = plan.chunk(chunk)
-        row, start = [], []
-
-        def starts(z: Zones, which: np.ndarray) -> None:
-            size = (z.last - z.first + 1)[which]
-            within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            row.append(np.repeat(z.row[which], size))
-            start.append(np.repeat(z.first[which], size) + within)
-
+        none = np.empty(0, dtype=np.int64)
         cold = zones.only(~is_hot)
         distinct, _, at, number = plan.asked(cold)
         answer = zone_answers(plan, table, at, ZONE)
-        starts(cold, np.flatnonzero(np.isin(answer[number], (ALL, ALL_AND_SHOW))))
+        whole = np.isin(answer[number], (ALL, ALL_AND_SHOW)) if len(number) else np.empty(0, dtype=bool)
+        row, first, last = [none, cold.row[whole]], [none, cold.first[whole]], [none, cold.last[whole]]
         place, _, _ = plan.compared(rows, distinct, answer)
         if len(place):
             part, told = plan.part(distinct.gram[place]), answers_of(table, REPEAT)
@@ -519,35 +515,40 @@ def removed(docs: DataFrame, finish: Callable[[pa.Table, list[tuple[bytes, np.nd
             only = answer[place] == COMPARE
             k, before = np.nonzero(bits[only])
             # a zone to be compared occurs once, so the distinct one is the zone itself
+            start = distinct.anchor[place[only]][k] - before
             row.append(distinct.row[place[only]][k])
-            start.append(distinct.anchor[place[only]][k] - before)
+            first.append(start)
+            last.append(start)
         hot_zones = zones.only(is_hot)
         if len(hot_zones.row):
             _, _, at, number = plan.asked_strings(plan.strings(rows, hot_zones))
             often = zone_answers(plan, table, at, STRING)[number] == ALL
             size = hot_zones.last - hot_zones.first + 1
             within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            start = (np.repeat(hot_zones.first, size) + within)[often]
             row.append(np.repeat(hot_zones.row, size)[often])
-            start.append((np.repeat(hot_zones.first, size) + within)[often])
-        return finish_chunk(rows, np.concatenate(row), np.concatenate(start), plan, finish)
+            first.append(start)
+            last.append(start)
+        return finish_chunk(rows, np.concatenate(row), np.concatenate(first), np.concatenate(last), plan, finish)
 
-    answers = stored(chunkstore.dealt(table).mapInArrow(ask, ASK).groupBy("part").applyInArrow(answer, ANSWER), "zone-answers")
-    runs = answers.groupBy("chunk").applyInArrow(show, RUN)
-    found = answers.unionByName(runs.groupBy("part").applyInArrow(merge, ANSWER))
-    done = found.groupBy("chunk").applyInArrow(cut, schema)
+    answers = stored(chunkstore.by(chunkstore.dealt(table).mapInArrow(ask, ASK), "part").applyInArrow(answer, ANSWER), "zone-answers")
+    runs = chunkstore.by(answers, "chunk").applyInArrow(show, RUN)
+    found = answers.unionByName(chunkstore.by(runs, "part").applyInArrow(merge, ANSWER))
+    done = chunkstore.by(found, "chunk").applyInArrow(cut, schema)
 
     def uncut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan, none = sent.value, np.empty(0, dtype=np.int64)
         for batch in batches:
             for chunk in batch.column(0).to_pylist():
-                yield from finish_chunk(chunkstore.read(plan.url, chunk), none, none, plan, finish).to_batches()
+                yield from finish_chunk(chunkstore.read(plan.url, chunk), none, none, none, plan, finish).to_batches()
 
     return done.unionByName(chunkstore.dealt(table.where("size = 0")).mapInArrow(uncut, schema))
 
 
-def finish_chunk(rows: pa.Table, row: np.ndarray, start: np.ndarray, plan: Plan, finish: Callable[[pa.Table, list[tuple[bytes, np.ndarray]]], pa.Table]) -> pa.Table:
+def finish_chunk(rows: pa.Table, row: np.ndarray, first: np.ndarray, last: np.ndarray, plan: Plan, finish: Callable[[pa.Table, list[tuple[bytes, np.ndarray]]], pa.Table]) -> pa.Table:
+    """The rows with their repeated bytes; strings repeat at all starts from first to last of a row."""
     order = np.argsort(row, kind="stable")
-    row, start = row[order], start[order]
+    row, first, last = row[order], first[order], last[order]
     out = []
     for a in range(0, rows.num_rows, 256):
         piece = rows.slice(a, 256)
@@ -556,9 +557,9 @@ def finish_chunk(rows: pa.Table, row: np.ndarray, start: np.ndarray, plan: Plan,
         marked = []
         for k, content in enumerate(contents):
             change = np.zeros(len(content) + 1, dtype=np.int32)
-            own = start[at[k] : at[k + 1]]
-            np.add.at(change, own, 1)
-            np.add.at(change, own + plan.length, -1)
+            own = slice(at[k], at[k + 1])
+            np.add.at(change, first[own], 1)
+            np.add.at(change, last[own] + plan.length, -1)
             marked.append((content, np.cumsum(change[:-1]) > 0))
         out.append(finish(piece, marked))
     return pa.concat_tables(out)

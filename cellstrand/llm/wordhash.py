@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Distinct words whose hashes a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 _known: dict[bytes, int] = {}
 
