@@ -11,7 +11,8 @@ n-gram bucket; a worker keeps each distinct word's number, and scoring is a tabl
 
 Defined results: texts without words (null, empty, symbols only) get the score of the bias alone;
 texts of any length are read whole; equal texts get equal scores; ids and other columns are no
-input. Without any labelled row of one class every score is 0.5 (no model can be trained).
+input. Without any labelled row of one class, or any word in LEAST_TEXTS
+of them, every score is 0.5 (no model can be trained).
 """
 
 from __future__ import annotations
@@ -30,15 +31,15 @@ from cellstrand.llm.common import fold_of, id_and_text, kept_rows, slices, texts
 BUCKETS = 1 << 17
 DIM = 4
 #: Words of a span.
-SPAN = 8
+SPAN = 5
 #: Averages are multiplied by SCALE before the softmax; RATE, DECAY and STEPS are the descent's.
-SCALE, RATE, DECAY, STEPS = 100.0, 0.03, 3e-5, 80
+SCALE, RATE, DECAY, STEPS = 100.0, 0.03, 1e-4, 80
 #: Words in fewer training texts are not trained on.
 LEAST_TEXTS = 3
 #: Labelled texts that a model is fitted on, at most, of each class.
 SAMPLE_EACH = 1500
 #: Distinct words that a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 WORD = regex.compile(r"[\p{L}\p{N}]+")
 
@@ -100,8 +101,10 @@ def train(texts: list[str], toxic: list[int], steps: int = STEPS, seed: int = 7)
     index: dict[str, int] = {}
     bags = [np.array([index.setdefault(w, len(index)) for w in words_of(t)], dtype=np.int64) for t in texts]
     label = np.array(toxic, dtype=float)
-    spread = np.bincount(np.concatenate(bags), minlength=len(index))
+    spread = np.bincount(np.concatenate([*bags, np.empty(0, dtype=np.int64)]), minlength=len(index))
     kept = np.flatnonzero(spread >= LEAST_TEXTS)
+    if not len(kept):
+        return Model(np.zeros(BUCKETS), 0.0)
     place = np.full(len(index), -1)
     place[kept] = np.arange(len(kept))
     names = list(index)
@@ -123,35 +126,37 @@ def train(texts: list[str], toxic: list[int], steps: int = STEPS, seed: int = 7)
     embedding, softmax, bias = rng.normal(0, 0.1, (len(used), DIM)), rng.normal(0, 0.5, (2, DIM)), np.zeros(2)
     moving = [(np.zeros_like(x), np.zeros_like(x)) for x in (embedding, softmax, bias)]
     truth = np.stack([1 - label, label], 1)
+    # both classes weigh the same, however many texts they have
+    weight = np.where(label == 1, 0.5 / label.sum(), 0.5 / (len(label) - label.sum()))
     for step in range(1, steps + 1):
         vector = np.add.reduceat(embedding[gram], gram_at) / gram_size[:, None]
         hidden = np.zeros((len(bags), DIM))
         hidden[some] = np.add.reduceat(vector[word] * share[:, None], some_at) * SCALE
         logit = hidden @ softmax.T + bias
         odds = np.exp(logit - logit.max(1, keepdims=True))
-        slope = (odds / odds.sum(1, keepdims=True) - truth) / len(bags)
+        slope = (odds / odds.sum(1, keepdims=True) - truth) * weight[:, None]
         to_word = np.add.reduceat((slope @ softmax * SCALE)[text_by_word] * share_by_word, word_at) / gram_size[:, None]
         to_bucket = np.add.reduceat(to_word[word_of], used_at)
         for value, (first, second), grad in zip((embedding, softmax, bias), moving, (to_bucket + DECAY * embedding, slope.T @ hidden, slope.sum(0)), strict=True):
             first += 0.1 * (grad - first)
             second += 0.01 * (grad * grad - second)
             value -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-    weight = np.zeros(BUCKETS)
-    weight[used] = SCALE * (embedding @ (softmax[1] - softmax[0]))
-    own = Model(weight, 0.0)
+    number = np.zeros(BUCKETS)
+    number[used] = SCALE * (embedding @ (softmax[1] - softmax[0]))
+    own = Model(number, 0.0)
     top = np.array([span_means(own.word_numbers(words_of(t))).max() if len(b) else 0.0 for t, b in zip(texts, bags, strict=True)])
-    slope, bias = logistic(top, label)
-    return Model(weight * slope, bias)
+    slope, bias = logistic(top, label, weight)
+    return Model(number * slope, bias)
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and intercept of a slightly damped logistic regression on one feature, by Newton's method."""
     scale = max(float(x.std()), 1e-9)
-    rows, beta = np.stack([x / scale, np.ones(len(x))], 1), np.zeros(2)
+    rows, beta, damp = np.stack([x / scale, np.ones(len(x))], 1), np.zeros(2), np.array([1e-4, 1e-8])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(rows @ beta, -30, 30)))
-        bent = (rows * (p * (1 - p))[:, None]).T @ rows + np.diag([1e-2, 1e-6]) * len(x) / 100
-        beta -= np.linalg.solve(bent, rows.T @ (p - y) + np.array([1e-2, 0.0]) * beta * len(x) / 100)
+        bent = (rows * (weight * p * (1 - p))[:, None]).T @ rows + np.diag(damp + 1e-9)
+        beta -= np.linalg.solve(bent, rows.T @ (weight * (p - y)) + damp * beta)
     return float(beta[0] / scale), float(beta[1])
 
 
