@@ -5,11 +5,11 @@ product into the nearest direction. Each tree cuts space by random directions at
 bounded sample. All trees are searched together through one priority queue of nodes: the cost of a
 node is how unlikely a neighbour of the query lies there (the sum over its path of minus the log
 probability of the side taken), and leaves are taken, cheapest first over all trees, until they hold
-SHARE of the sample. Every row is indexed: it is a candidate of a query if its leaf in any tree was
+a certain share of the sample. That share is fitted: on some rows of the sample, whose nearest
+others in the sample are known, it is the least that finds RECALL of them. Every row is indexed: it is a candidate of a query if its leaf in any tree was
 taken, and candidates are ranked by their exact inner product in double precision.
 
-Vectors that spread evenly in all directions need a large share for the same recall, clustered ones
-a small one; SHARE is set for the former. Rows are never shuffled: queries, with the leaves they
+Vectors that spread evenly in all directions need a large share, clustered ones a small one. Rows are never shuffled: queries, with the leaves they
 take, go to the rows in blocks of at most QUERY_BLOCK, and each task keeps the best of its rows.
 
 Defined results: vectors that are null or zero, hold null or non-finite components or have not the
@@ -34,8 +34,8 @@ TREES = 4
 #: Rows that the trees are cut on, at most, and rows of it in a leaf, about.
 SAMPLE = 8192
 LEAF = 16
-#: Part of the rows that a query looks at.
-SHARE = 0.45
+#: Part of the nearest rows that the share of rows looked at is fitted to find, and queries it is fitted on.
+RECALL, TRIALS = 0.95, 128
 #: Weight of a query's distance from a cut, in standard deviations of the rows there.
 STEER = 0.5
 QUERY_BLOCK = 32_768
@@ -44,7 +44,7 @@ QUERIES_AT_ONCE, ROWS_AT_ONCE = 256, 8192
 
 
 class Forest:
-    def __init__(self, sample: np.ndarray, longest: float, trees: int = TREES, leaf: int = LEAF, share: float = SHARE, seed: int = 5):
+    def __init__(self, sample: np.ndarray, longest: float, trees: int = TREES, leaf: int = LEAF, share: float = 1.0, seed: int = 5):
         self.longest, self.share, self.dim = longest, share, sample.shape[1]
         self.depth = max(0, int(math.log2(max(1, len(sample) / leaf))))
         rng = np.random.default_rng(seed)
@@ -82,35 +82,52 @@ class Forest:
                 out[t] = 2 * out[t] + 1 + (self._heights(t, out[t], points) > self.cut[t, out[t]])
         return out - ((1 << self.depth) - 1)
 
-    def taken(self, query: np.ndarray) -> np.ndarray:
-        """trees x leaves: whether the search of one query takes the leaf."""
-        took = np.zeros((len(self.cut), 1 << self.depth), dtype=bool)
-        if not self.depth:
-            took[:] = True
-            return took
+    def walk(self, query: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(tree, leaf) of all leaves, in the order that the search of one query takes them."""
         point = np.append(query / max(np.linalg.norm(query), 1e-300) * self.longest, 0.0)
-        away = STEER * (self.direction @ point - self.cut) / self.spread
-        right = np.array([[-math.log(max(0.5 * math.erfc(-z / math.sqrt(2)), 1e-300)) for z in row] for row in away])
-        left = np.array([[-math.log(max(0.5 * math.erfc(z / math.sqrt(2)), 1e-300)) for z in row] for row in away])
+        away = STEER * (self.direction @ point - self.cut) / self.spread / math.sqrt(2)
+        right = [[-math.log(max(0.5 * math.erfc(-z), 1e-300)) for z in row] for row in away.tolist()]
+        left = [[-math.log(max(0.5 * math.erfc(z), 1e-300)) for z in row] for row in away.tolist()]
         inner = away.shape[1]
         queue = [(0.0, t, 0) for t in range(len(self.cut))]
-        covered, wanted = np.zeros(self.size, dtype=bool), self.share * self.size
-        while queue and covered.sum() < wanted:
+        while queue:
             cost, t, node = heapq.heappop(queue)
-            while node < inner:  # the likelier child is no dearer than what is queued of this tree, the other waits
-                near, far = (2 * node + 2, 2 * node + 1) if right[t, node] <= left[t, node] else (2 * node + 1, 2 * node + 2)
-                price = max(right[t, node], left[t, node])
-                heapq.heappush(queue, (cost + price, t, far))
-                cost += min(right[t, node], left[t, node])
-                node = near
-                if queue and queue[0][0] < cost:
-                    heapq.heappush(queue, (cost, t, node))
-                    break
+            if node >= inner:
+                yield t, node - inner
             else:
-                took[t, node - inner] = True
-                covered[self.members[t][node - inner]] = True
+                heapq.heappush(queue, (cost + left[t][node], t, 2 * node + 1))
+                heapq.heappush(queue, (cost + right[t][node], t, 2 * node + 2))
+
+    def taken(self, query: np.ndarray) -> np.ndarray:
+        """trees x leaves: whether the search of one query takes the leaf."""
+        took = np.zeros((len(self.cut), 1 << self.depth), dtype=bool)
+        covered = np.zeros(self.size, dtype=bool)
+        for t, leaf in self.walk(query):
+            took[t, leaf] = True
+            covered[self.members[t][leaf]] = True
+            if covered.sum() >= self.share * self.size:
+                break
         return took
 
+    def fit_share(self, sample: np.ndarray, nearest: int, recall: float = RECALL, trials: int = TRIALS) -> None:
+        """Set the share to the least that finds `recall` of the nearest others of some sample rows."""
+        before: list[float] = []
+        for one in np.unique(np.linspace(0, len(sample) - 1, trials).astype(np.int64)).tolist():
+            score = sample @ sample[one]
+            score[one] = -np.inf
+            wanted = np.zeros(len(sample), dtype=bool)
+            wanted[np.argsort(-score, kind="stable")[: min(nearest, len(sample) - 1)]] = True
+            covered = np.zeros(len(sample), dtype=bool)
+            for t, leaf in self.walk(sample[one]):
+                own = self.members[t][leaf]
+                found = own[wanted[own]]
+                before += [covered.mean()] * len(found)
+                wanted[found] = False
+                if not wanted.any():
+                    break
+                covered[own] = True
+        self.share = float(np.quantile(before, recall, method="higher")) + 1e-9 if before else 1.0
+
 
 def valid(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id long, embedding array<double>) of the rows that take part."""
@@ -127,15 +144,23 @@ def matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
     return kept, values.reshape(len(kept), dim)
 
 
-def fit(rows: DataFrame, trees: int = TREES, share: float = SHARE, sample: int = SAMPLE) -> Forest | None:
-    """A forest from the `sample` valid rows of least hash of the id; None without any."""
+def fit(rows: DataFrame, k: int, trees: int = TREES, share: float | None = None, sample: int = SAMPLE) -> Forest | None:
+    """A forest from the `sample` valid rows of least hash of the id; None without any.
+
+    Of n rows a query's k nearest are, in the sample of s rows, its k * s / n nearest, and at least one.
+    """
     picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
     if not picked:
         return None
     dim = len(picked[0].embedding)
-    of_dim = rows.where(F.size("embedding") == dim)
-    longest = of_dim.agg(F.max(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)))).first()[0]
-    return Forest(np.array([r.embedding for r in picked if len(r.embedding) == dim]), float(longest), trees, share=share)
+    told = rows.where(F.size("embedding") == dim).agg(F.max(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))).alias("longest"), F.count(F.lit(1)).alias("n")).first()
+    own = np.array([r.embedding for r in picked if len(r.embedding) == dim])
+    forest = Forest(own, float(told.longest), trees)
+    if share is None:
+        forest.fit_share(own, max(1, round(k * len(own) / told.n)))
+    else:
+        forest.share = share
+    return forest
 
 
 NEAR = "query_id long, vec_id long, score double"
@@ -151,11 +176,11 @@ def best_of(score: np.ndarray, candidate: np.ndarray, ids: np.ndarray, k: int) -
     return place[own >= least - 1e-9 * max(1.0, abs(least))]
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 20, trees: int = TREES, share: float = SHARE, block: int = QUERY_BLOCK) -> DataFrame:
+def search(vectors: DataFrame, is_query: Column, k: int = 20, trees: int = TREES, share: float | None = None, block: int = QUERY_BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query row among all other rows."""
     rows = valid(vectors)
     spark = vectors.sparkSession
-    forest = fit(rows, trees, share)
+    forest = fit(rows, k, trees, share)
     if forest is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sent = spark.sparkContext.broadcast(forest)
