@@ -169,8 +169,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
     order = F.xxhash64("doc_id")
     picked = known.where("y = 1").orderBy(order, "doc_id").limit(each).unionByName(known.where("y = 0").orderBy(order, "doc_id").limit(each))
-    rows = id_and_text(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y").collect()
-    return [(r.text or "", r.y) for r in sorted(rows, key=lambda r: (r.doc_id, r.text or ""))]
+    # of rows that share an id one is taken, so that the sample stays bounded
+    rows = id_and_text(docs).join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")).collect()
+    return [(r.text or "", r.y) for r in sorted(rows, key=lambda r: r.doc_id)]
 
 
 def fit(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, each: int = SAMPLE_EACH) -> Model:
