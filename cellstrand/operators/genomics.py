@@ -43,13 +43,13 @@ def bins(start: Column, end: Column, width: int = BIN) -> Column:
 
 
 def overlaps(blocks: DataFrame, features: DataFrame, stranded: bool = True, width: int = BIN, broadcast: bool | None = None) -> DataFrame:
-    """blocks with the gene_id of every feature that they overlap by a base; a pair of both may come more than once.
+    """blocks with the feature_type and gene_id of every feature that they overlap by a base; a pair of both may come more than once.
 
-    blocks and features: chrom, start, end, strand. Both are laid on bins; the join is an equi-join on
+    blocks and features: chrom, start, end, strand; features also feature_type. Both are laid on bins; the join is an equi-join on
     chromosome, strand and bin with the overlap as residual. Features are broadcast within
     BROADCAST_BYTES, otherwise both sides are dealt by the keys.
     """
-    known = features.where("end > start").select(F.col("chrom").alias("f_chrom"), F.col("strand").alias("f_strand"), F.col("start").alias("f_start"), F.col("end").alias("f_end"), "gene_id")
+    known = features.where("end > start").select(F.col("chrom").alias("f_chrom"), F.col("strand").alias("f_strand"), F.col("start").alias("f_start"), F.col("end").alias("f_end"), "feature_type", "gene_id")
     if broadcast is None:
         broadcast = estimated_bytes(known) <= BROADCAST_BYTES
     known = known.withColumn("f_bin", F.explode(bins(F.col("f_start"), F.col("f_end"), width)))
@@ -60,12 +60,16 @@ def overlaps(blocks: DataFrame, features: DataFrame, stranded: bool = True, widt
     return on.join(F.broadcast(known) if broadcast else known, meets).drop("bin", "f_chrom", "f_strand", "f_start", "f_end", "f_bin")
 
 
-def genes_of_mates(pairs: DataFrame, features: DataFrame, stranded: bool = True) -> DataFrame:
-    """qname, genes1, genes2 of the pairs (qname, strand, m1, m2) with any overlap."""
+def genes_of_mates(pairs: DataFrame, features: DataFrame, stranded: bool = True, spaces: tuple[str, ...] = ("exon",)) -> DataFrame:
+    """qname and, for each search space, genes1_<space> and genes2_<space>, of the pairs (qname, strand, m1, m2) with any overlap.
+
+    All spaces are searched in one join and gathered in one aggregation.
+    """
     sides = F.explode(F.array(*[F.struct(F.lit(k).alias("mate"), F.col(f"m{k}.rname").alias("chrom"), F.col(f"m{k}.blocks").alias("blocks")) for k in (1, 2)]))
     mates = pairs.select("qname", "strand", sides.alias("side")).select("qname", "strand", "side.mate", "side.chrom", F.explode("side.blocks").alias("block"))
-    hits = overlaps(mates.select("qname", "strand", "mate", "chrom", "block.start", "block.end"), features, stranded)
-    return hits.groupBy("qname").agg(*[F.array_sort(F.collect_set(F.when(F.col("mate") == k, F.col("gene_id")))).alias(f"genes{k}") for k in (1, 2)])
+    hits = overlaps(mates.select("qname", "strand", "mate", "chrom", "block.start", "block.end"), features.where(F.col("feature_type").isin(*spaces)), stranded)
+    gathered = [F.array_sort(F.collect_set(F.when((F.col("mate") == k) & (F.col("feature_type") == s), F.col("gene_id")))).alias(f"genes{k}_{s}") for s in spaces for k in (1, 2)]
+    return hits.groupBy("qname").agg(*gathered)
 
 
 def gene_call(genes1: Column, genes2: Column) -> tuple[Column, Column]:
@@ -86,18 +90,6 @@ def nearest_ends(candidates: DataFrame, tes: DataFrame, cutoff: int = END_CUTOFF
     return at.withColumn("d", far).where(F.col("d") > cutoff).groupBy("qname").agg(F.min(F.struct("d", "gene_id"))["gene_id"].alias("nearest"))
 
 
-def called(pairs: DataFrame, features: DataFrame, tes: DataFrame, space: str, policy: str, stranded: bool) -> DataFrame:
-    """pairs with gene_id called in one search space."""
-    genes = genes_of_mates(pairs, features.where(F.col("feature_type") == space), stranded)
-    none = F.array().cast("array<string>")
-    call, both = gene_call(F.coalesce("genes1", none), F.coalesce("genes2", none))
-    found = pairs.join(genes, "qname", "left").select("qname", "strand", "m1", "m2", call.alias("call"), both.alias("genes"))
-    if policy == "discard":
-        return found.select("qname", "strand", "m1", "m2", F.coalesce("call", F.lit(MULTIPLE)).alias("gene_id"))
-    near = nearest_ends(found.where("call is null"), tes)
-    return found.join(near, "qname", "left").select("qname", "strand", "m1", "m2", F.coalesce("call", "nearest", F.lit(AMBIGUOUS)).alias("gene_id"))
-
-
 def check_policy(policy: str) -> None:
     if policy in ("EM", "prop_unique", "uniform"):
         raise NotImplementedError(f"multi-gene policy {policy!r} is not available; use one of {POLICIES}")
@@ -108,19 +100,23 @@ def check_policy(policy: str) -> None:
 def assigned(alignments: DataFrame, features: DataFrame, tes: DataFrame, library: str = "reverse", policy: str = "discard", introns: bool = False) -> DataFrame:
     """qname, gene_id, mapped_feature and mapping of every complete pair.
 
-    Exons are searched first; with `introns`, pairs without any exon are then searched in whole transcripts.
+    Exons come first; with `introns`, pairs without any exon are called by whole transcripts.
     """
     check_policy(policy)
     pairs = read_pairs(alignments)
     pairs = pairs.select("qname", aln.fragment_strand(F.col("m1.reverse"), F.col("m2.reverse"), library).alias("strand"), "m1", "m2")
-    stranded = library != "none"
-    exon = called(pairs, features, tes, "exon", policy, stranded)
-    if introns:
-        settled = exon.where(F.col("gene_id") != NO_OVERLAP).withColumn("mapped_feature", F.lit("exon"))
-        again = called(exon.where(F.col("gene_id") == NO_OVERLAP).drop("gene_id"), features, tes, "transcript", policy, stranded)
-        out = settled.unionByName(again.withColumn("mapped_feature", F.lit("transcript")))
+    spaces = ("exon", "transcript") if introns else ("exon",)
+    genes = genes_of_mates(pairs, features, library != "none", spaces)
+    none = F.array().cast("array<string>")
+    calls = {s: gene_call(F.coalesce(f"genes1_{s}", none), F.coalesce(f"genes2_{s}", none)) for s in spaces}
+    exon = calls["exon"][0]
+    last = F.coalesce(exon == NO_OVERLAP, F.lit(False)) if introns else F.lit(False)
+    call, both = (F.when(last, calls[spaces[-1]][k]).otherwise(calls["exon"][k]) for k in (0, 1))
+    out = pairs.join(genes, "qname", "left").select("qname", "m1", "m2", F.when(last, "transcript").otherwise("exon").alias("mapped_feature"), call.alias("call"), both.alias("genes"))
+    if policy == "closest_TES":
+        out = out.join(nearest_ends(out.where("call is null"), tes), "qname", "left").withColumn("gene_id", F.coalesce("call", "nearest", F.lit(AMBIGUOUS)))
     else:
-        out = exon.withColumn("mapped_feature", F.lit("exon"))
+        out = out.withColumn("gene_id", F.coalesce("call", F.lit(MULTIPLE)))
     feature = F.when(F.col("gene_id") == NO_OVERLAP, "none").otherwise(F.col("mapped_feature"))
     mapping = aln.mapping_text(F.col("qname"), F.col("m1.rname"), F.col("m1.pos"), F.col("m1.aend"), F.col("m2.rname"), F.col("m2.pos"), F.col("m2.aend"))
     return out.select("qname", "gene_id", feature.alias("mapped_feature"), mapping.alias("mapping"))
