@@ -32,6 +32,8 @@ ROW_BYTES = 64
 #: Trees built at once; bounds the arrays.
 ROWS_AT_ONCE = 8192
 NONE = np.int32(2**31 - 1)
+#: Distinct chunks that a worker remembers; their values here are larger than plain ids.
+REMEMBERED = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -195,14 +197,21 @@ class SegmentTreeBpe:
         return b"".join([self.tokens[i] for i in ids])
 
 
+class Encoded(tuple):
+    """(number of ids, their decimal digits joined by commas, decoded bytes) of a piece of text."""
+
+    def __add__(self, other: Encoded) -> Encoded:
+        return Encoded((self[0] + other[0], f"{self[1]},{other[1]}", self[2] + other[2]))
+
+
 class TextEncoder:
     """Ids of whole texts, as their count, decimal digits and decoded bytes chunk by chunk."""
 
     def __init__(self, bpe: SegmentTreeBpe):
-        self.bpe, self.memory = bpe, ChunkMemory(lambda chunks: [self._value(ids) for ids in bpe.encode_chunks(chunks)])
+        self.bpe, self.memory = bpe, ChunkMemory(lambda chunks: [self._value(ids) for ids in bpe.encode_chunks(chunks)], REMEMBERED)
 
-    def _value(self, ids: list[int]) -> tuple[int, str, bytes]:
-        return len(ids), ",".join(map(str, ids)), self.bpe.decode(ids)
+    def _value(self, ids: list[int]) -> Encoded:
+        return Encoded((len(ids), ",".join(map(str, ids)), self.bpe.decode(ids)))
 
     def digests(self, texts: list[str]) -> tuple[list[int], list[str], list[str]]:
         counts, encoded, decoded = [], [], []

@@ -16,9 +16,12 @@ read; an empty table gives an empty dataset.
 
 from __future__ import annotations
 
+import gc
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,7 @@ from tokenizers import Tokenizer
 
 from cellstrand.llm.chunks import ChunkMemory
 from cellstrand.llm.common import id_and_text, shared_dir, slices, texts_of
+from cellstrand.llm.token_counts import byte_of_letter
 
 NO_ID = np.int64(-(2**63))
 
@@ -45,7 +49,22 @@ def tokenizer(path: str) -> Tokenizer:
 def memory(path: str, dtype: str) -> ChunkMemory:
     """A worker's ids of distinct chunks, as the bytes of the file format."""
     own = tokenizer(path)
-    return ChunkMemory(lambda chunks: [np.array(e.ids, dtype=dtype).tobytes() for e in own.encode_batch_fast(list(chunks), add_special_tokens=False)])
+    letter = {b: c for c, b in byte_of_letter().items()}
+    letters = {b: letter[b] for b in range(256)}
+    model, identity = own.model.tokenize, attrgetter("id")
+    code = "H" if dtype == "<u2" else "I"
+
+    def words(letters_only: Sequence[str]) -> list[bytes]:
+        """A space and letters are one piece, which goes to the library's model at once."""
+        space, out = letters[32], []
+        for w in letters_only:
+            out.append(array(code, map(identity, model(space + (w if w.isascii() else w.encode().decode("latin-1").translate(letters))))).tobytes())
+        return out
+
+    def compute(chunks: Sequence[str]) -> list[bytes]:
+        return [array(code, e.ids).tobytes() for e in own.encode_batch_fast(list(chunks), add_special_tokens=False)]
+
+    return ChunkMemory(compute, words=words)
 
 
 def width(vocabulary: int, end_id: int) -> str:
@@ -96,11 +115,16 @@ def write(docs: DataFrame, url: str, path: str, end_id: int) -> DataFrame:
         ids: list[int] = []
         sizes: list[int] = []
         blocks: list[bytes] = []
-        for batch in slices(batches):
-            ids += [NO_ID if x is None else x for x in batch.column(0).to_pylist()]
-            rows = [b"".join(row) + end for row in own.values(texts_of(batch.column(1)))]
-            sizes += [len(r) // step for r in rows]
-            blocks.append(b"".join(rows))
+        # nothing here is cyclic, and the memory's many objects are dear to look through again and again
+        gc.disable()
+        try:
+            for batch in slices(batches):
+                ids += [NO_ID if x is None else x for x in batch.column(0).to_pylist()]
+                rows = [b"".join(row) + end for row in own.values(texts_of(batch.column(1)))]
+                sizes += [len(r) // step for r in rows]
+                blocks.append(b"".join(rows))
+        finally:
+            gc.enable()
         offsets = np.zeros(len(sizes) + 1, dtype="<i8")
         np.cumsum(sizes, out=offsets[1:])
         if ids:
@@ -124,7 +148,8 @@ def read(shards: DataFrame, url: str) -> DataFrame:
         for batch in batches:
             for shard, base, _, _, dtype in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids, offsets, docs = _get(url, f"{shard:05d}.ids", dtype), _get(url, f"{shard:05d}.off", "<i8"), _get(url, f"{shard:05d}.doc", "<i8")
-                crc = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                wide = ids.astype("<u4")
+                crc = [zlib.crc32(wide[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 yield pa.record_batch([pa.array(docs, pa.int64(), mask=docs == NO_ID), pa.array(offsets[:-1] + base), pa.array(np.diff(offsets)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     count = max(1, int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")))
