@@ -80,10 +80,14 @@ def gtf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("r.feature", "chrom", "r.start", "r.end", "strand", "gene_id", "transcript_id", "gene_name", "line")
 
 
-def labelled_reads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Records of 32 aligned bases with MD, a line item each, and a SNP list of all mismatches at the seventh base."""
+def labelled_reads(spark: SparkSession, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Records of 32 aligned bases with MD, a line item each, and a SNP list of all mismatches at the seventh base.
+
+    Of line items with l_orderkey < 3000 only (FIXTURES.md 3.4), or of the whole table.
+    """
     flag = F.get(F.array(*map(F.lit, (83, 99, 147, 163, 65, 81))), F.col("l_linenumber") - 1)
-    li = table(spark, sf_dir, "lineitem").where("l_orderkey < 3000")
+    li = table(spark, sf_dir, "lineitem")
+    li = li if whole else li.where("l_orderkey < 3000")
     li = li.select(F.xxhash64(key()).alias("idx"), key().alias("qname"), F.coalesce(flag, F.lit(97)).alias("flag"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 3 + 1).cast("string")).alias("rname"), ((F.col("l_partkey") * 37) % 400000).cast("int").alias("pos"), dna(key()).alias("h"), "l_partkey", "l_orderkey")
     li = li.distinct()
 
@@ -188,5 +192,8 @@ c AS (SELECT qname, count(*) AS n FROM bases x WHERE qual > 45 AND ((flag IN (99
 scores AS (SELECT t.qname, t.flag, t.t_count, coalesce(c.n, 0) AS tc_count FROM t LEFT JOIN c USING (qname)),
 classes AS (SELECT *, CASE WHEN flag NOT IN (83, 99, 147, 163) THEN 'skipped_wrong_flag' WHEN t_count = 0 THEN 'no_mismatches' WHEN tc_count >= 1 AND tc_count::double / t_count >= 0.3 THEN 'nascent_reads_classified' ELSE 'tc_ratio_below_threshold' END AS read_class FROM scores)"""
 
+#: BASES over the whole table.
+BASES_WHOLE = BASES.replace(" WHERE l_orderkey < 3000", "")
+
 COUNTS = """counts AS (SELECT 'u' || user_id AS barcode, event_type AS feature, count(*)::bigint AS n FROM events
   WHERE event_id % 2 = 0 AND user_id % 5 <> 0 AND (user_id % 7 <> 0 OR event_type <> 'click') GROUP BY 1, 2)"""

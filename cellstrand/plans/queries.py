@@ -323,8 +323,8 @@ def snp_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.snps(fx.table(spark, sf_dir, "nation").select(line.alias("value")))
 
 
-def nascent_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records, snps = fx.labelled_reads(spark, sf_dir)
+def nascent_classes(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    records, snps = fx.labelled_reads(spark, sf_dir, whole)
     return nascent.classified(records, snps)
 
 
@@ -399,3 +399,29 @@ def aligned_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.labelled_reads(spark, sf_dir)[0].where("flag = 83")
     columns = nascent.aligned_pairs(F.col("pos"), F.col("cigar"), F.col("tags")["MD"], F.col("seq"))
     return rows.select("qname", F.explode(columns).alias("c")).select("qname", "c.*")
+
+
+# The nascent queries over all line items; those above read the ones with l_orderkey < 3000.
+
+
+@query(f"WITH {fx.BASES_WHOLE} SELECT qname, CASE WHEN read_class = 'skipped_wrong_flag' THEN 0 ELSE t_count END::int AS t_count, tc_count::bigint AS tc_count FROM classes")
+def nascent_scores_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nascent_classes(spark, sf_dir, whole=True).select("qname", "t_count", "tc_count")
+
+
+@query(f"WITH {fx.BASES_WHOLE} SELECT qname, flag FROM li WHERE qname IN (SELECT qname FROM classes WHERE read_class = 'nascent_reads_classified')")
+def nascent_pairs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nascent.nascent_records(fx.labelled_reads(spark, sf_dir, whole=True)[0], nascent_classes(spark, sf_dir, whole=True)).select("qname", "flag")
+
+
+@query(f"WITH {fx.BASES_WHOLE},\n{sql_summary(nascent.CLASSES, 'classes')}")
+def nascent_summary_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary.class_summary(nascent_classes(spark, sf_dir, whole=True), nascent.CLASSES)
+
+
+@query(f"WITH {fx.BASES_WHOLE} SELECT qname, (o - 1)::int AS query_pos, (pos + o - 1)::int AS ref_pos, ref AS ref_base FROM bases")
+def aligned_pairs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of records of every flag."""
+    rows = fx.labelled_reads(spark, sf_dir, whole=True)[0]
+    columns = nascent.aligned_pairs(F.col("pos"), F.col("cigar"), F.col("tags")["MD"], F.col("seq"))
+    return rows.select("qname", F.explode(columns).alias("c")).select("qname", "c.*")
