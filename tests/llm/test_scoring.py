@@ -5,6 +5,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from cellstrand.llm import lm_scoring, quality, queries, token_counts, toxicity
@@ -164,3 +165,13 @@ def test_lm_scores_against_brute_force(spark, order):
     for k, (n, s) in enumerate(brute_scores(texts, order, lm_scoring.ALPHA)):
         assert got[k][0] == n and abs(got[k][1] - s) < 1e-6 * max(1, abs(s))
     assert lm_scoring.score(docs.limit(0), order).count() == 0
+
+
+def test_registered_scores_with_trigrams(spark, tmp_path):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randint(0, 30))) for _ in range(40)] + ["a b", "a b c", None]
+    pd.DataFrame({"doc_id": range(len(texts)), "text": texts}).to_parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_words, r.log_score) for r in queries.queries()["op4_lm_scoring_order3"](spark, str(tmp_path)).collect()}
+    assert got == {k: (n, pytest.approx(s, abs=1e-4)) for k, (n, s) in enumerate(brute_scores(texts, 3, lm_scoring.ALPHA))}
+    two = brute_scores(texts, 2, lm_scoring.ALPHA)
+    assert any(abs(got[k][1] - s) > 0.1 for k, (_, s) in enumerate(two))
