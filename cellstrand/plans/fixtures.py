@@ -197,3 +197,6 @@ BASES_WHOLE = BASES.replace(" WHERE l_orderkey < 3000", "")
 
 COUNTS = """counts AS (SELECT 'u' || user_id AS barcode, event_type AS feature, count(*)::bigint AS n FROM events
   WHERE event_id % 2 = 0 AND user_id % 5 <> 0 AND (user_id % 7 <> 0 OR event_type <> 'click') GROUP BY 1, 2)"""
+
+#: COUNTS of all events.
+COUNTS_WHOLE = "counts AS (SELECT 'u' || user_id AS barcode, event_type AS feature, count(*)::bigint AS n FROM events GROUP BY 1, 2)"

@@ -343,9 +343,9 @@ def nascent_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.class_summary(nascent_classes(spark, sf_dir), nascent.CLASSES)
 
 
-def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two samples' count tables put together."""
-    counts = fx.counts(spark, sf_dir)
+def merged(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Two samples' count tables put together, with gaps or of all events."""
+    counts = fx.counts(spark, sf_dir, gaps=not whole)
     return matrix.merged([counts.where("gene_id < 'm'"), counts.where("gene_id >= 'm'")])
 
 
@@ -425,3 +425,44 @@ def aligned_pairs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.labelled_reads(spark, sf_dir, whole=True)[0]
     columns = nascent.aligned_pairs(F.col("pos"), F.col("cigar"), F.col("tags")["MD"], F.col("seq"))
     return rows.select("qname", F.explode(columns).alias("c")).select("qname", "c.*")
+
+
+# The matrix queries over all events; those above read a part of them, so that the matrix has gaps.
+
+
+@query(f"WITH {fx.COUNTS_WHOLE} SELECT * FROM counts")
+def merge_union_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merged(spark, sf_dir, whole=True)
+
+
+@query(f"WITH {fx.COUNTS_WHOLE} SELECT dense_rank() OVER (ORDER BY feature)::bigint AS row, dense_rank() OVER (ORDER BY barcode)::bigint AS col, n AS value FROM counts")
+def mtx_triplets_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matrix.coordinates(merged(spark, sf_dir, whole=True))
+
+
+@query(f"WITH {fx.COUNTS_WHOLE} SELECT barcode, count(*) FILTER (n > 0)::bigint AS genes_detected, sum(n)::bigint AS total_counts FROM counts GROUP BY 1")
+def cell_annotation_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matrix.cell_annotation(merged(spark, sf_dir, whole=True))
+
+
+@query(f"WITH {fx.COUNTS_WHOLE} SELECT feature, count(*) FILTER (n > 0)::bigint AS cells_expressed FROM counts GROUP BY 1")
+def gene_annotation_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matrix.feature_annotation(merged(spark, sf_dir, whole=True))
+
+
+CELLS_WHOLE = f"WITH {fx.COUNTS_WHOLE}, cells AS (SELECT barcode, sum(n)::bigint AS total_counts FROM counts GROUP BY 1)"
+
+
+@query(f"{CELLS_WHOLE} SELECT row_number() OVER (ORDER BY total_counts DESC, barcode)::bigint - 1 AS rank, barcode, total_counts, total_counts > 1000 AS highlight FROM cells")
+def rank_curve_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matrix.rank_curve(matrix.cell_annotation(merged(spark, sf_dir, whole=True)))
+
+
+@query(f"{CELLS_WHOLE} SELECT t::bigint AS threshold, (SELECT count(*) FROM cells WHERE total_counts > t)::bigint AS cells FROM (VALUES (10000), (5000), (1000), (100), (10)) v(t)")
+def threshold_counts_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matrix.threshold_counts(matrix.cell_annotation(merged(spark, sf_dir, whole=True)), (*matrix.THRESHOLDS, 10))
+
+
+@query(f"WITH {fx.COUNTS_WHOLE} SELECT feature, coalesce(sum(n) FILTER (barcode = 'u1'), 0)::bigint AS u1, coalesce(sum(n) FILTER (barcode = 'u2'), 0)::bigint AS u2, coalesce(sum(n) FILTER (barcode = 'u7'), 0)::bigint AS u7 FROM counts GROUP BY 1")
+def pivot_small_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matrix.pivoted(merged(spark, sf_dir, whole=True), ["u1", "u2", "u7"])

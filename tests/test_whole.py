@@ -1,5 +1,7 @@
 """Queries that read the whole table, on tables that the cuts of the others would shorten."""
 
+from collections import Counter
+
 import pandas as pd
 import pytest
 
@@ -25,3 +27,15 @@ def test_every_line_item_is_read(spark, line_items, name, each):
 @pytest.mark.parametrize("name", ["nascent_scores_whole", "nascent_pairs_whole", "nascent_summary_whole", "aligned_pairs_whole"])
 def test_nascent_queries_against_sql(spark, line_items, name):
     assert_same(queries()[name](spark, line_items[0]), oracle_sql()[name], line_items[0])
+
+
+def test_every_event_is_counted(spark, tmp_path):
+    kinds = ("click", "view", "buy")
+    rows = [(k, k % 8, kinds[k % 3]) for k in range(1, 200)]
+    pd.DataFrame(rows, columns=["event_id", "user_id", "event_type"]).to_parquet(f"{tmp_path}/events.parquet")
+    got = {r.barcode: r.total_counts for r in queries()["cell_annotation_whole"](spark, str(tmp_path)).collect()}
+    assert got == Counter(f"u{u}" for _, u, _ in rows)
+    triplets = queries()["mtx_triplets_whole"](spark, str(tmp_path)).collect()
+    assert len(triplets) == len({r[1:] for r in rows}) and sum(r.value for r in triplets) == len(rows)
+    for name in ("merge_union_whole", "gene_annotation_whole", "rank_curve_whole", "threshold_counts_whole", "pivot_small_whole"):
+        assert_same(queries()[name](spark, str(tmp_path)), oracle_sql()[name], str(tmp_path))
