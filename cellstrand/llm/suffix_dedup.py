@@ -48,10 +48,8 @@ GRAM = 32
 CHUNK_BYTES = 8 << 20
 #: Bytes that are hashed at once, and starts of a text that are taken at once.
 SLICE_BYTES = 1 << 20
-#: Distinct zones of one anchor in a chunk that make it a candidate for being counted string by string, and in all chunks.
-LOCAL_MANY, MANY = 24, 1024
-#: Anchors that are counted string by string, at most; others with many zones are merged, only slower.
-MOST_HOT = 100_000
+#: Distinct zones of one anchor in a chunk from which they are added up, and over all chunks, where chunks that have the same zone each count, from which the anchor is counted string by string. Every zone is added up, as few in each of many chunks are many too.
+LOCAL_MANY, MANY = 1, 1024
 #: Zones that a partition is laid out for.
 PART_ZONES = 200_000
 #: Rows of the pair table that are looked at at once.
@@ -427,7 +425,8 @@ def removed(docs: DataFrame, finish: Callable[[pa.Table, list[tuple[bytes, np.nd
     url, table = chunkstore.store(docs, measure, text, chunk_bytes)
     total = table.agg(F.sum("size")).first()[0] or 0
     local = table.select(F.explode(F.arrays_zip("keys", "counts")).alias("k")).select("k.keys", "k.counts")
-    hot = local.groupBy("keys").agg(F.sum("counts").alias("n")).where(F.col("n") >= many).orderBy(F.desc("n"), "keys").limit(MOST_HOT)
+    hot = local.groupBy("keys").agg(F.sum("counts").alias("n")).where(F.col("n") >= many)
+    # one in MANY zones at most
     anchors = np.sort(np.array([r.keys for r in hot.collect()], dtype=np.int64).view(U))
     plan = Plan(url, text, length, gram, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_ZONES)), anchors)
     sent = spark.sparkContext.broadcast(plan)

@@ -133,6 +133,19 @@ def test_repeats_against_brute_force(spark, seed, length, gram, many):
     assert cut[len(texts) - 1] is None and all(cut[k] == np.frombuffer(t, dtype=np.uint8)[~g].tobytes().decode("utf-8", "ignore") for k, (t, g) in enumerate(zip(raw[:-1], brute_repeats(raw, length), strict=False)))
 
 
+def test_anchors_with_few_zones_in_each_of_many_chunks_are_hot(spark, monkeypatch):
+    rng = random.Random(7)
+    passage = "".join(rng.choice("abcdefghij") for _ in range(30))
+    texts = ["".join(rng.choice("klmnopqrst") for _ in range(8)) + passage + "".join(rng.choice("klmnopqrst") for _ in range(8)) for _ in range(30)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(30, "doc_id")
+    made, hot = suffix_dedup.Plan.__init__, []
+    monkeypatch.setattr(suffix_dedup.Plan, "__init__", lambda self, *fields: hot.append(fields[-1]) or made(self, *fields))
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.digests(docs, length=12, gram=4, chunk_bytes=10, many=15).collect()}
+    assert len(hot[0]) > 0
+    raw = [t.encode() for t in texts]
+    assert got == {k: int(gone.sum()) for k, gone in enumerate(brute_repeats(raw, 12))}
+
+
 def test_repeats_in_very_long_and_short_texts(spark):
     rng = random.Random(5)
     long = "".join(rng.choice("abcdefgh ") for _ in range(2_300_000))
