@@ -13,7 +13,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
 
     Large-star hangs a node's larger neighbours on its least one, small-star its smaller ones, in
     turn, until nothing changes; the graph is then a set of stars. Every round is written to shared
-    storage. A hub's neighbours are never gathered: least neighbours are pre-aggregated and joined
+    storage; if `rounds` do not do, it is an error. A hub's neighbours are never gathered: least neighbours are pre-aggregated and joined
     back, which adaptive execution may split.
     """
 
@@ -35,4 +35,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if state == before:
             break
         before = state
+    else:
+        raise RuntimeError(f"components are not settled after {rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component"))

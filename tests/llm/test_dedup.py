@@ -94,6 +94,12 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_that_do_not_settle_are_an_error(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError, match="not settled"):
+        components(chain, rounds=2)
+
+
 def brute_repeats(texts, length):
     seen = {}
     for t in texts:
