@@ -13,8 +13,8 @@ Vectors that spread evenly in all directions need a large share, clustered ones
 take, go to the rows in blocks of at most QUERY_BLOCK, and each task keeps the best of its rows.
 
 Defined results: vectors that are null or zero, hold null or non-finite components or have not the
-dimension of the sample's first vector take no part, nor do rows with a null id; equal scores go to
-the smaller id; rows that share an id are separate candidates, and a query never gets its own id;
+most frequent dimension (the lesser of equally frequent ones) take no part, nor do rows with a null
+id; equal scores go to the smaller id; rows that share an id are separate candidates, and a query never gets its own id;
 without other rows a query has no neighbours; other columns are not read.
 """
 
@@ -145,16 +145,17 @@ def matrix(column: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(rows: DataFrame, k: int, trees: int = TREES, share: float | None = None, sample: int = SAMPLE) -> Forest | None:
-    """A forest from the `sample` valid rows of least hash of the id; None without any.
+    """A forest from the `sample` valid rows of the most frequent dimension of least hash of the id; None without any.
 
     Of n rows a query's k nearest are, in the sample of s rows, its k * s / n nearest, and at least one.
     """
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
-    if not picked:
+    usual = rows.groupBy(F.size("embedding").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dim").first()
+    if usual is None:
         return None
-    dim = len(picked[0].embedding)
-    told = rows.where(F.size("embedding") == dim).agg(F.max(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))).alias("longest"), F.count(F.lit(1)).alias("n")).first()
-    own = np.array([r.embedding for r in picked if len(r.embedding) == dim])
+    fitting = rows.where(F.size("embedding") == usual.dim)
+    picked = fitting.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect()
+    told = fitting.agg(F.max(F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))).alias("longest"), F.count(F.lit(1)).alias("n")).first()
+    own = np.array([r.embedding for r in picked])
     forest = Forest(own, float(told.longest), trees)
     if share is None:
         forest.fit_share(own, max(1, round(k * len(own) / told.n)))

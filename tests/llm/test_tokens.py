@@ -111,6 +111,19 @@ def test_neighbours_edges(spark):
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in blocks] == got
 
 
+def test_a_truncated_vector_does_not_set_the_dimension(spark):
+    rng = np.random.default_rng(1)
+    ids = spark.range(200).select(F.col("id").alias("vec_id"))
+    first = ids.orderBy(F.xxhash64("vec_id"), "vec_id").first().vec_id
+    vectors = {k: rng.normal(size=4).tolist() for k in range(200)} | {first: [1.0, 2.0]}
+    table = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.search(table, F.col("vec_id") % 20 == 0, k=3, share=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    whole = [k for k in vectors if k != first]
+    assert got == {q: sorted((k for k in whole if k != q), key=lambda k: -np.dot(vectors[q], vectors[k]))[:3] for q in whole if q % 20 == 0}
+
+
 def test_many_equal_vectors(spark):
     rng = np.random.default_rng(0)
     vectors = [[1.0, 2.0, 3.0]] * 300 + rng.normal(size=(300, 3)).tolist()
