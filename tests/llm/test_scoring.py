@@ -49,6 +49,13 @@ def test_toxicity_edges():
     assert model.scores(["idiott"])[0] > model.scores(["sunny"])[0]
 
 
+def test_spans_begin_at_every_word():
+    numbers = np.array([0.0, 9, 9, 9, 9, 9, 0, 0, 1, 0])
+    wanted = [numbers[k : k + toxicity.SPAN].mean() for k in range(len(numbers) - toxicity.SPAN + 1)]
+    assert toxicity.span_means(numbers) == pytest.approx(wanted) and max(wanted) == 9
+    assert list(toxicity.span_means(numbers[:3])) == [6.0]
+
+
 def test_quality_held_out_accuracy(larger):
     rows = labelled(larger, "quality")
     held = [zlib.crc32(str(r[0]).encode()) % 5 == 0 for r in rows]
