@@ -18,58 +18,67 @@ import pyarrow.parquet as pq
 import zstandard
 from pyspark.sql import DataFrame, GroupedData
 
-from cellstrand.llm.common import shared_dir, stored
+from cellstrand.llm.common import file_system, shared_dir, slices, stored
 
-Measure = Callable[[pa.Table], tuple[int, np.ndarray, np.ndarray]]
+Measure = Callable[[pa.Table], tuple[int, dict[str, pa.Table]]]
 
 
-def _store(url: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(url if ":" in url else f"file://{url}")
+def number_of(partition: int, count: int) -> int:
+    return partition << 24 | count
+
+
+def _put(fs: pafs.FileSystem, folder: str, chunk: int, attempt: int, table: pa.Table) -> None:
+    name = f"{folder}/.{chunk}.{attempt}"
+    with fs.open_output_stream(name) as out:
+        pq.write_table(table, out, compression="zstd", use_dictionary=False)
+    fs.move(name, f"{folder}/{chunk}.parquet")
 
 
 def store(docs: DataFrame, measure: Measure, text: str = "text", most: int = 12 << 20) -> tuple[str, DataFrame]:
-    """Write docs in chunks; the folder, and a stored table (chunk, size, keys, counts) with what `measure` says of each chunk."""
+    """Write docs in chunks; the folder, and a stored table (chunk, size) with the number that `measure` gives each chunk.
+
+    Tables that `measure` returns by name are kept beside the chunk. A text longer than `most` is a chunk of its own or ends one.
+    """
     url = shared_dir(docs.sparkSession, "chunks")
+    at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        fs, path = _store(url)
+        fs, path = file_system(url)
         fs.create_dir(path, recursive=True)
         held: list[pa.RecordBatch] = []
         size = count = 0
 
         def put() -> pa.RecordBatch:
-            chunk = f"{task.partitionId():06d}-{count:05d}"
-            name = f"{path}/.{chunk}.{task.taskAttemptId()}"
-            table = pa.Table.from_batches(held)
-            with fs.open_output_stream(name) as out:
-                pq.write_table(table, out, compression="zstd", use_dictionary=False)
-            fs.move(name, f"{path}/{chunk}.parquet")
-            n, keys, counts = measure(table)
-            return pa.record_batch([pa.array([chunk]), pa.array([n], pa.int64()), pa.array([keys.tolist()], pa.list_(pa.int64())), pa.array([counts.tolist()], pa.list_(pa.int64()))], names=["chunk", "size", "keys", "counts"])
-
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                piece = batch.slice(start, 256)
-                held.append(piece)
-                size += pc.sum(pc.binary_length(piece.column(piece.schema.get_field_index(text)))).as_py() or 0
-                if size >= most:
-                    yield put()
-                    held, size, count = [], 0, count + 1
+            chunk, table = number_of(task.partitionId(), count), pa.Table.from_batches(held)
+            _put(fs, path, chunk, task.taskAttemptId(), table)
+            n, beside = measure(table)
+            for name, more in beside.items():
+                fs.create_dir(f"{path}/{name}", recursive=True)
+                _put(fs, f"{path}/{name}", chunk, task.taskAttemptId(), more)
+            return pa.record_batch([pa.array([chunk], pa.int64()), pa.array([n], pa.int64())], names=["chunk", "size"])
+
+        for piece in slices(batches, at):
+            held.append(piece)
+            size += pc.sum(pc.binary_length(piece.column(at))).as_py() or 0
+            if size >= most:
+                yield put()
+                held, size, count = [], 0, count + 1
         if held:
             yield put()
 
-    return url, stored(docs.mapInArrow(run, "chunk string, size long, keys array<long>, counts array<long>"), "chunk-table")
+    return url, stored(docs.mapInArrow(run, "chunk long, size long"), "chunk-table")
 
 
-def read(url: str, chunk: str) -> pa.Table:
+def read(url: str, chunk: int, columns: list[str] | None = None) -> pa.Table:
+    """A chunk's rows; of `url/name` the table of that name beside it."""
     # what the chunk before left in the allocator goes back first
     pa.default_memory_pool().release_unused()
-    fs, path = _store(url)
+    fs, path = file_system(url)
     with fs.open_input_file(f"{path}/{chunk}.parquet") as source:
-        return pq.read_table(source)
+        return pq.read_table(source, columns=columns)
 
 
 def dealt(table: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,13 +91,34 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def shared_dir(spark: SparkSession, what: str) -> str:
-    """A fresh folder below the cluster's shared checkpoint folder.
+def _shared_root(spark: SparkSession) -> str:
+    """The application's folder below the cluster's shared checkpoint folder, with the scheme that Spark's file systems give it.
 
     Only where the session has none (tests) is a folder below the warehouse used instead.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
-    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/cellstrand-{spark.sparkContext.applicationId}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def shared_dir(spark: SparkSession, what: str) -> str:
+    """A fresh folder on shared storage; executors and Spark's readers find it by the same URL."""
+    return f"{_shared_root(spark)}/{what}-{uuid.uuid4().hex}"
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete all that the operators kept for this application; to be called when their results are written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_shared_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def file_system(url: str) -> tuple[pafs.FileSystem, str]:
+    """pyarrow's file system of a URL that Spark gave, and the path in it; without a scheme a local path, as given by a caller."""
+    if url.startswith("file:"):
+        url = url.removeprefix("file:").removeprefix("//")
+    if "://" not in url:
+        return pafs.LocalFileSystem(), url
+    return pafs.FileSystem.from_uri(url.replace("s3a://", "s3://", 1))
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:

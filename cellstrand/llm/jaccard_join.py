@@ -199,8 +199,8 @@ def sets_of_rows(blobs: list[bytes], sizes: list[int]) -> Sets:
     return Sets(np.concatenate(parts), np.r_[0, np.cumsum([len(p) for p in parts])].astype(np.int64), np.array(sizes, dtype=np.int64))
 
 
-ITEMS = "kind int, key long, n long, weight long, part int, chunk string, a binary, b binary"
-ITEM_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary()]
+ITEMS = "kind int, key long, n long, weight long, part int, chunk long, a binary, b binary"
+ITEM_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
 EDGE, SET, PREFIX = range(3)
 
 
@@ -212,11 +212,7 @@ def batch_of(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> p
 def classes_of(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[str, DataFrame]:
     """The chunk folder, and a stored (chunk, row, doc_id, n, key) of every document; docs: doc_id, text and any more columns."""
 
-    def nothing(rows: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
-        none = np.empty(0, dtype=np.int64)
-        return rows.num_rows, none, none
-
-    url, table = chunkstore.store(docs, nothing, most=chunk_bytes)
+    url, table = chunkstore.store(docs, lambda rows: (rows.num_rows, {}), most=chunk_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,9 +220,9 @@ def classes_of(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[str, Da
                 rows = chunkstore.read(url, chunk)
                 value, at = chunk_sets(rows)
                 key = set_digests(value, at).view(np.int64)
-                yield pa.record_batch([pa.array([chunk] * rows.num_rows), pa.array(np.arange(rows.num_rows)), rows.column("doc_id").combine_chunks().cast(pa.int64()), pa.array(np.diff(at)), pa.array(key)], names=["chunk", "row", "doc_id", "n", "key"])
+                yield pa.record_batch([pa.array([chunk] * rows.num_rows, pa.int64()), pa.array(np.arange(rows.num_rows)), rows.column("doc_id").combine_chunks().cast(pa.int64()), pa.array(np.diff(at)), pa.array(key)], names=["chunk", "row", "doc_id", "n", "key"])
 
-    return url, stored(chunkstore.dealt(table).mapInArrow(run, "chunk string, row long, doc_id long, n long, key long"), "classes")
+    return url, stored(chunkstore.dealt(table).mapInArrow(run, "chunk long, row long, doc_id long, n long, key long"), "classes")
 
 
 def candidates(url: str, owned: DataFrame, parts: int) -> DataFrame:
@@ -247,7 +243,7 @@ def candidates(url: str, owned: DataFrame, parts: int) -> DataFrame:
     def ask(rows: pa.Table) -> pa.Table:
         chunk, _, _, _, _, distinct, count, order, begin = asked(rows)
         told = [(p, chunk, packed(distinct[order[begin[p] : begin[p + 1]]]), plain(np.minimum(count[order[begin[p] : begin[p + 1]]], 65535).astype(np.uint16))) for p in range(parts) if begin[p] < begin[p + 1]]
-        return batch_of(told, ["part", "chunk", "a", "b"], [pa.int32(), pa.string(), pa.binary(), pa.binary()])
+        return batch_of(told, ["part", "chunk", "a", "b"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
 
     def add_up(table: pa.Table) -> pa.Table:
         shingle = [unpacked(x, U) for x in table.column("a").to_pylist()]
@@ -298,8 +294,8 @@ def candidates(url: str, owned: DataFrame, parts: int) -> DataFrame:
             out.append((PREFIX, None, None, None, p, chunk, packed(np.ascontiguousarray(own[:, 0])), plain(key[own[:, 1].astype(np.int64)])))
         return batch_of(out, ["kind", "key", "n", "weight", "part", "chunk", "a", "b"], ITEM_TYPES)
 
-    asks = chunkstore.by(owned.select("chunk", "row", "key"), "chunk").applyInArrow(ask, "part int, chunk string, a binary, b binary")
-    answers = chunkstore.by(asks, "part").applyInArrow(add_up, "chunk string, row long, key long, part int, answer binary")
+    asks = chunkstore.by(owned.select("chunk", "row", "key"), "chunk").applyInArrow(ask, "part int, chunk long, a binary, b binary")
+    answers = chunkstore.by(asks, "part").applyInArrow(add_up, "chunk long, row long, key long, part int, answer binary")
     mine = owned.select("chunk", "row", "key", F.lit(None).cast("int").alias("part"), F.lit(None).cast("binary").alias("answer"))
     return stored(chunkstore.by(mine.unionByName(answers), "chunk").applyInArrow(pick, ITEMS), "items")
 

@@ -78,9 +78,8 @@ def score(docs: DataFrame, order: int = 2, alpha: float = ALPHA, chunk_bytes: in
     """doc_id, n_words and log_score (natural logarithm of the product of scores) of every text."""
     spark = docs.sparkSession
 
-    def measure(rows: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
-        none = np.empty(0, dtype=np.int64)
-        return sum(len(t.split()) for batch in rows.to_batches() for t in bytes_of(batch.column(1))), none, none
+    def measure(rows: pa.Table) -> tuple[int, dict[str, pa.Table]]:
+        return sum(len(t.split()) for batch in rows.to_batches() for t in bytes_of(batch.column(1))), {}
 
     url, chunks = chunkstore.store(id_and_text(docs), measure, most=chunk_bytes)
     total = chunks.agg(F.sum("size")).first()[0] or 0
@@ -96,7 +95,7 @@ def score(docs: DataFrame, order: int = 2, alpha: float = ALPHA, chunk_bytes: in
                         told = [(p, chunk, n, packed(gram[at[p] : at[p + 1]]), packed(count[at[p] : at[p + 1]].astype(np.int64))) for p in range(first, min(first + 64, parts)) if at[p] < at[p + 1]]
                         if told:
                             columns = list(zip(*told, strict=True))
-                            yield pa.record_batch([pa.array(columns[0], pa.int32()), pa.array(columns[1]), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.binary()), pa.array(columns[4], pa.binary())], names=["part", "chunk", "n", "gram", "count"])
+                            yield pa.record_batch([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32()), pa.array(columns[3], pa.binary()), pa.array(columns[4], pa.binary())], names=["part", "chunk", "n", "gram", "count"])
 
     def add_up(table: pa.Table) -> pa.Table:
         n, gram, count = table.column("n").to_pylist(), table.column("gram").to_pylist(), table.column("count").to_pylist()
@@ -135,8 +134,8 @@ def score(docs: DataFrame, order: int = 2, alpha: float = ALPHA, chunk_bytes: in
         logs = np.bincount(document, weights=np.log(value), minlength=len(size)) if len(words) else np.zeros(len(size))
         return pa.table({"doc_id": rows.column(0), "n_words": pa.array(size), "log_score": pa.array(logs + 0.0)})
 
-    told = chunkstore.dealt(chunks).mapInArrow(ask, "part int, chunk string, n int, gram binary, count binary")
-    answers = chunkstore.by(told, "part").applyInArrow(add_up, "chunk string, part int, n int, count binary")
+    told = chunkstore.dealt(chunks).mapInArrow(ask, "part int, chunk long, n int, gram binary, count binary")
+    answers = chunkstore.by(told, "part").applyInArrow(add_up, "chunk long, part int, n int, count binary")
     scored = chunkstore.by(answers, "chunk").applyInArrow(sum_up, "doc_id long, n_words long, log_score double")
 
     def no_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

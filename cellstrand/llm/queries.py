@@ -84,4 +84,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_jaccard_join": jaccard_join.ORACLE, "op4_lm_scoring": lm_scoring.ORACLE, "op6_decontaminate": decontaminate.ORACLE}
+    return {"op3_jaccard_join": jaccard_join.ORACLE, "op4_lm_scoring": lm_scoring.ORACLE, "op5_suffix_dedup": suffix_dedup.ORACLE, "op6_decontaminate": decontaminate.ORACLE}

@@ -5,21 +5,24 @@ strings cover are removed. The suffix array is sparse. Each LENGTH-byte string h
 GRAM-byte string in it of least hash, so equal strings have equal anchors at equal offsets; the
 starts that share one anchor position form a zone of at most LENGTH - GRAM + 1 starts.
 
-1. Each chunk of documents sends its distinct zones, as hashes, to the partition that the anchor
-   names. An anchor that occurs once settles its zone (nothing repeats), a zone that occurs again as
-   a whole is settled too (all repeats). Only distinct zones of one anchor that differ are left:
-   the ends of repeats.
-2. For those, suffixes from the anchor to the zone's end are sorted in each chunk into front-coded
-   runs (length of the prefix shared with the suffix before, and the rest), with the text before
-   the anchor beside them. A partition merges its runs with a loser tree that carries common prefix
-   lengths, so no prefix is compared twice, and gets the suffix array of its part with its common
-   prefix lengths. Suffixes that share GRAM bytes are of one anchor; two zones repeat each other at
-   all starts d before the anchor with LENGTH - right <= d <= left, where right is the least common
-   prefix length between them and left the common length of their texts before the anchor.
-3. Answers, one bit a start, go back to the chunk, which removes the bytes.
-
-Anchors with very many distinct zones (a passage that a large part of all documents quotes) do not
-go to one partition: their strings are counted one by one by hash, each distinct one once a chunk.
+1. Each chunk of documents keeps its zones beside its texts: where they are, the anchor's hash and a
+   128-bit cryptographic digest (BLAKE2b) of the zone's bytes. Equal zones of all chunks are made
+   one through Spark's shuffle, by that digest; the anchor's hash only groups, and what it groups is
+   compared byte by byte. An anchor with one zone that occurs once settles it (nothing repeats), a
+   zone that occurs again repeats whole. Distinct zones of one anchor are left: the ends of repeats.
+2. For those, one of each, suffixes from the anchor to the zone's end are sorted in each chunk into
+   front-coded runs (length of the prefix shared with the suffix before, and the rest), with the text
+   before the anchor beside them. A partition merges its runs with a loser tree that carries common
+   prefix lengths, so no prefix is compared twice, and gets the suffix array of its part with its
+   common prefix lengths. Suffixes that share GRAM bytes are of one anchor; the start d before the
+   anchor repeats in zones that share LENGTH - d bytes from the anchor on and d bytes before it, which
+   two sorted orders with their common prefix lengths tell for all zones of an anchor at once.
+3. Answers go back to the chunk, which removes the bytes.
+
+An anchor with MANY distinct zones or more (a passage that a large part of all documents quotes) does
+not go to one partition: the strings of its distinct zones are counted one by one, by digests as
+above, each distinct one once a chunk. Rows that are shuffled are as many as zones, whatever the
+number of chunks and partitions; no group of rows of one key is longer than there are chunks.
 
 Defined results: null is the empty text; texts shorter than LENGTH are never cut; matches never
 cross documents; repeated rows are documents of their own, so copies of at least LENGTH bytes lose
@@ -34,13 +37,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cellstrand.llm import chunkstore
-from cellstrand.llm.chunkstore import packed, plain, unpacked, unplain
-from cellstrand.llm.common import bytes_of, id_and_text, joined_bytes, mixed, stored
+from cellstrand.llm.chunkstore import plain, unplain
+from cellstrand.llm.common import bytes_of, cuts, id_and_text, mixed, stored
 
 LENGTH = 200
 GRAM = 32
@@ -48,12 +51,16 @@ GRAM = 32
 CHUNK_BYTES = 8 << 20
 #: Bytes that are hashed at once, and starts of a text that are taken at once.
 SLICE_BYTES = 1 << 20
-#: Distinct zones of one anchor in a chunk from which they are added up, and over all chunks, where chunks that have the same zone each count, from which the anchor is counted string by string. Every zone is added up, as few in each of many chunks are many too.
-LOCAL_MANY, MANY = 1, 1024
+#: Low bits of a hash that give way to the place in a slice; the same in every slice, so that all choose alike.
+PLACE_BITS = np.uint64(22)
+#: Distinct zones from which an anchor is counted string by string.
+MANY = 32_768
 #: Zones that a partition is laid out for.
 PART_ZONES = 200_000
-#: Rows of the pair table that are looked at at once.
-PAIR_BLOCK = 256
+#: Starts by zones that are looked at at once.
+BLOCK = 2_000_000
+#: Parts that the zones of one anchor are dealt to when they learn how many they are.
+SALTS = 16
 
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -69,52 +76,72 @@ def powers(base: int, n: int) -> np.ndarray:
 
 @dataclass
 class Zones:
-    """Zones of a chunk: document row, first and last start, anchor (all within the document), hashes."""
+    """Zones of a chunk: document row, first and last start, anchor (all within the document), the anchor's hash, and the digest in two halves."""
 
     row: np.ndarray
     first: np.ndarray
     last: np.ndarray
     anchor: np.ndarray
     gram: np.ndarray
-    whole: np.ndarray
+    high: np.ndarray
+    low: np.ndarray
+
+    FIELDS = ("row", "first", "last", "anchor", "gram", "high", "low")
 
     def only(self, which: np.ndarray) -> Zones:
-        return Zones(*(getattr(self, f)[which] for f in ("row", "first", "last", "anchor", "gram", "whole")))
+        return Zones(*(getattr(self, f)[which] for f in self.FIELDS))
+
+    def table(self) -> pa.Table:
+        return pa.table({f: getattr(self, f) for f in self.FIELDS})
+
+    @classmethod
+    def read(cls, url: str, chunk: int) -> Zones:
+        table = chunkstore.read(f"{url}/zones", chunk)
+        return cls(*(table.column(f).to_numpy() for f in cls.FIELDS))
+
+    def numbers(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of zones in order of anchor and digest: places of the first of each distinct zone, and for each zone which it is."""
+        if not len(self.row):
+            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+        new = np.r_[True, (np.diff(self.gram) != 0) | (np.diff(self.high) != 0) | (np.diff(self.low) != 0)]
+        return np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def digests_of(data: bytes, begin: list[int], end: list[int]) -> np.ndarray:
+    """Rows of two signed halves of the digests of pieces of data."""
+    view, digest = memoryview(data), hashlib.blake2b
+    return np.frombuffer(b"".join([digest(view[a:b], digest_size=16).digest() for a, b in zip(begin, end, strict=True)]), dtype="<i8").reshape(-1, 2)
 
 
 def zones_of(data: np.ndarray, begin: np.ndarray, end: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(segment, first, last, anchor, gram hash, zone hash) of the zones of segments of data; places in data."""
+    """(segment, first, last, anchor, anchor's hash) of the zones of segments of data; places in data."""
     none = np.empty(0, dtype=np.int64)
     n = len(data)
     if n < length:
-        return none, none, none, none, none.astype(U), none.astype(U)
+        return none, none, none, none, none
     with np.errstate(over="ignore"):
         power, inverse = powers(BASE, n + 1), powers(INVERSE, n + 1)
         total = np.zeros(n + 1, dtype=U)
         np.cumsum((data.astype(U) + U(1)) * power[:n], out=total[1:])
         hashed = mixed((total[gram:] - total[:-gram]) * inverse[: n - gram + 1])
-        bits = U(max(1, int(n).bit_length()))
-        least = (hashed >> bits << bits) | np.arange(len(hashed), dtype=U)
-        width, size = length - gram + 1, 1
-        while size * 2 <= width:
-            least, size = np.minimum(least[:-size], least[size:]), size * 2
-        if rest := width - size:
-            least = np.minimum(least[: len(least) - rest], least[rest:])
-        anchor = (least & ((U(1) << bits) - U(1))).astype(np.int64)
-        inside = np.zeros(n + 1, dtype=np.int32)
-        long = end - begin >= length
-        np.add.at(inside, begin[long], 1)
-        np.add.at(inside, end[long] - length + 1, -1)
-        start = np.flatnonzero(np.cumsum(inside[: len(anchor)]) > 0)
-        if not len(start):
-            return none, none, none, none, none.astype(U), none.astype(U)
-        of, segment = anchor[start], np.searchsorted(begin, start, side="right") - 1
-        new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (segment[1:] != segment[:-1])])
-        first, last = start[new], start[np.r_[new[1:] - 1, len(start) - 1]]
-        of, segment = of[new], segment[new]
-        shape = (((of - first) << 20) | (last - first)).astype(U)
-        whole = mixed((total[last + length] - total[first]) * inverse[first] + shape * U(0xC2B2AE3D27D4EB4F))
-    return segment, first, last, of, hashed[of], whole
+    least = (hashed >> PLACE_BITS << PLACE_BITS) | np.arange(len(hashed), dtype=U)
+    width, size = length - gram + 1, 1
+    while size * 2 <= width:
+        least, size = np.minimum(least[:-size], least[size:]), size * 2
+    if rest := width - size:
+        least = np.minimum(least[: len(least) - rest], least[rest:])
+    anchor = (least & ((U(1) << PLACE_BITS) - U(1))).astype(np.int64)
+    inside = np.zeros(n + 1, dtype=np.int32)
+    long = end - begin >= length
+    np.add.at(inside, begin[long], 1)
+    np.add.at(inside, end[long] - length + 1, -1)
+    start = np.flatnonzero(np.cumsum(inside[: len(anchor)]) > 0)
+    if not len(start):
+        return none, none, none, none, none
+    of, segment = anchor[start], np.searchsorted(begin, start, side="right") - 1
+    new = np.flatnonzero(np.r_[True, (of[1:] != of[:-1]) | (segment[1:] != segment[:-1])])
+    first, last = start[new], start[np.r_[new[1:] - 1, len(start) - 1]]
+    return segment[new], first, last, of[new], hashed[of[new]].view(np.int64)
 
 
 def segments(table: pa.Table, text: str, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -146,25 +173,17 @@ def segments(table: pa.Table, text: str, length: int) -> Iterator[tuple[np.ndarr
 
 
 def chunk_zones(table: pa.Table, text: str, length: int, gram: int) -> Zones:
-    parts = []
+    """Zones of a chunk, in order of anchor and digest."""
+    none = np.empty(0, dtype=np.int64)
+    parts = [(none,) * len(Zones.FIELDS)]
     for data, begin, end, row, offset in segments(table, text, length):
-        segment, first, last, anchor, grams, whole = zones_of(data, begin, end, length, gram)
-        shift = offset[segment] - begin[segment] if len(segment) else segment
-        parts.append((row[segment] if len(segment) else segment, first + shift, last + shift, anchor + shift, grams, whole))
-    if not parts:
-        none = np.empty(0, dtype=np.int64)
-        return Zones(none, none, none, none, none.astype(U), none.astype(U))
-    return Zones(*(np.concatenate(p) for p in zip(*parts, strict=True)))
-
-
-def distinct_zones(zones: Zones) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places of one of each distinct zone, ordered by anchor and zone hash; how often it occurs; and for each zone which it is."""
-    order = np.lexsort((zones.whole, zones.gram))
-    gram, whole = zones.gram[order], zones.whole[order]
-    new = np.r_[True, (gram[1:] != gram[:-1]) | (whole[1:] != whole[:-1])][: len(order)]
-    number = np.empty(len(order), dtype=np.int64)
-    number[order] = np.cumsum(new) - 1
-    return order[new], np.bincount(number, minlength=int(new.sum())), number
+        segment, first, last, anchor, grams = zones_of(data, begin, end, length, gram)
+        if len(segment):
+            digest = digests_of(data, first.tolist(), (last + length).tolist())
+            shift = offset[segment] - begin[segment]
+            parts.append((row[segment], first + shift, last + shift, anchor + shift, grams, digest[:, 0], digest[:, 1]))
+    zones = Zones(*(np.concatenate(p) for p in zip(*parts, strict=True)))
+    return zones.only(np.lexsort((zones.low, zones.high, zones.gram)))
 
 
 def common(a: bytes, b: bytes, known: int) -> int:
@@ -245,21 +264,12 @@ def decoded(fields: list[bytes]) -> tuple[list[tuple[bytes, int]], list[bytes]]:
     return out, before
 
 
-def pair_lengths(shared: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """For some rows of sorted strings the prefix length shared with every other: the least in between."""
-    m = len(shared)
-    out = np.empty((len(rows), m), dtype=np.int16)
-    for k, i in enumerate(rows):
-        out[k, i] = -1
-        out[k, i + 1 :] = np.minimum.accumulate(shared[i + 1 :])
-        out[k, :i] = np.minimum.accumulate(shared[i:0:-1])[::-1]
-    return out
-
-
-def repeats(right: list[int], before: list[bytes], length: int) -> np.ndarray:
+def repeats(right: list[int], before: list[bytes], length: int, gram: int) -> np.ndarray:
     """For zones of one anchor in suffix order, whether the start d before the anchor repeats in another zone.
 
     right: prefix length shared with the suffix before; before: reversed texts before the anchors.
+    For each d, zones that share length - d bytes from the anchor on are neighbours in the one order,
+    those that share d bytes before it in the other; zones alike in both repeat each other.
     """
     m = len(before)
     out = np.zeros((m, length), dtype=bool)
@@ -268,19 +278,23 @@ def repeats(right: list[int], before: list[bytes], length: int) -> np.ndarray:
         out[:, low : high + 1] = True
         return out
     by_left = sorted(range(m), key=before.__getitem__)
-    ordered = np.array([0, *(common(before[a], before[b], 0) for a, b in zip(by_left, by_left[1:], strict=False))], dtype=np.int16)
+    ordered = np.array([-1, *(common(before[a], before[b], 0) for a, b in zip(by_left, by_left[1:], strict=False))], dtype=np.int32)
     place = np.empty(m, dtype=np.int64)
     place[by_left] = np.arange(m)
-    shared = np.array(right, dtype=np.int16)
-    for start in range(0, m, PAIR_BLOCK):
-        rows = np.arange(start, min(m, start + PAIR_BLOCK))
-        low = length - pair_lengths(shared, rows).astype(np.int64)
-        high = pair_lengths(ordered, place[rows])[:, place].astype(np.int64)
-        i, j = np.nonzero(low <= high)
-        change = np.zeros((len(rows), length + 2), dtype=np.int32)
-        np.add.at(change, (i, low[i, j]), 1)
-        np.add.at(change, (i, high[i, j] + 1), -1)
-        out[rows] = (np.cumsum(change, axis=1) > 0)[:, :length]
+    shared = np.array([-1, *right[1:]], dtype=np.int32)
+    starts = length - gram + 1
+    step = max(1, BLOCK // m)
+    for first in range(0, starts, step):
+        d = np.arange(first, min(starts, first + step), dtype=np.int32)[:, None]
+        key = np.cumsum(shared < length - d, axis=1) * (m + 1) + np.cumsum(ordered < d, axis=1)[:, place]
+        order = np.argsort(key, axis=1, kind="stable")
+        ranked = np.take_along_axis(key, order, 1)
+        same = ranked[:, 1:] == ranked[:, :-1]
+        found = np.zeros(key.shape, dtype=bool)
+        found[:, 1:] |= same
+        found[:, :-1] |= same
+        np.put_along_axis(key, order, found, 1)
+        out[:, d[:, 0]] = key.T.astype(bool)
     return out
 
 
@@ -294,7 +308,7 @@ def merged_repeats(runs: list[list[bytes]], length: int, gram: int) -> list[np.n
 
     def settle() -> None:
         if len(group) > 1:
-            found = repeats(right, [before[r][k] for r, k in group], length)
+            found = repeats(right, [before[r][k] for r, k in group], length, gram)
             for (r, k), bits in zip(group, found, strict=True):
                 out[r][k] = bits
 
@@ -310,257 +324,156 @@ def merged_repeats(runs: list[list[bytes]], length: int, gram: int) -> list[np.n
     return out
 
 
-#: Answers to a zone: its anchor is nowhere else; all of it repeats; compare it; all of it repeats and others may compare with it.
-ONCE, ALL, COMPARE, ALL_AND_SHOW = range(4)
+#: What becomes of a distinct zone of a chunk: all of it repeats (SHOWN: and others may repeat parts of it); it is compared; its strings are counted (SPELT: all of it repeats, and others may repeat its strings). The rest: a chunk is there; a string of a chunk repeats.
+ALL, SHOWN, COMPARED, SPELT, COUNTED, THERE, STRING = range(7)
 
+ANSWER = "chunk long, k int, code int, places binary, bits binary"
+RUN = "part int, chunk long, places binary, f0 binary, f1 binary, f2 binary, f3 binary, f4 binary"
+RUN_TYPES = [pa.int32(), pa.int64(), *[pa.binary()] * 6]
+RUN_NAMES = ["part", "chunk", "places", "f0", "f1", "f2", "f3", "f4"]
 
-def settle_zones(gram: np.ndarray, whole: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """An answer for each (anchor, zone, count in its chunk) of all chunks."""
-    order = np.lexsort((whole, gram))
-    g, w, c = gram[order], whole[order], count[order]
-    new_gram = np.r_[True, g[1:] != g[:-1]]
-    new_zone = new_gram | np.r_[True, w[1:] != w[:-1]]
-    zone, anchor = np.cumsum(new_zone) - 1, np.cumsum(new_gram) - 1
-    often = np.bincount(zone, weights=c)[zone] > 1
-    several = np.bincount(anchor[new_zone])[anchor] > 1
-    answer = np.where(often, np.where(several & new_zone, ALL_AND_SHOW, ALL), np.where(several, COMPARE, ONCE)).astype(np.uint8)
-    out = np.empty(len(order), dtype=np.uint8)
-    out[order] = answer
-    return out
 
+def answered(zones: DataFrame, many: int) -> DataFrame:
+    """Stored (chunk, k, gram, code) of the chunks' distinct zones that are not settled as single; zones: (chunk, k, gram, high, low, n)."""
+    same = Window.partitionBy("gram", "high", "low")
+    counted = zones.withColumn("n", F.sum("n").over(same)).withColumn("nth", F.row_number().over(same.orderBy("chunk", "k")))
+    several = counted.where("nth = 1").groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    # the zones of a frequent anchor are dealt by their digests too, and meet a copy of its count there
+    several = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    known = counted.withColumn("salt", F.pmod("low", F.lit(SALTS)).cast("int")).join(several, ["gram", "salt"], "left").where("n > 1 or kinds is not null")
+    one, hot = F.col("nth") == 1, F.col("kinds") >= many
+    code = F.when(F.col("kinds").isNull() | ~one, ALL).when(F.col("n") > 1, F.when(hot, SPELT).otherwise(SHOWN)).when(hot, COUNTED).otherwise(COMPARED)
+    return stored(known.select("chunk", "k", "gram", code.alias("code")), "zone-answers")
 
-@dataclass
-class Plan:
-    """What the stages of one run share; hot: ascending anchors that are counted string by string."""
-
-    url: str
-    text: str
-    length: int
-    gram: int
-    parts: int
-    hot: np.ndarray
-
-    def chunk(self, name: str) -> tuple[pa.Table, Zones, np.ndarray]:
-        """A chunk's rows, its zones and whether each is hot."""
-        table = chunkstore.read(self.url, name)
-        zones = chunk_zones(table, self.text, self.length, self.gram)
-        hot = np.zeros(len(zones.gram), dtype=bool)
-        if len(self.hot) and len(zones.gram):
-            at = np.minimum(np.searchsorted(self.hot, zones.gram), len(self.hot) - 1)
-            hot = self.hot[at] == zones.gram
-        return table, zones, hot
-
-    def part(self, hashed: np.ndarray) -> np.ndarray:
-        return (mixed(hashed ^ U(0x5851F42D4C957F2D)) % U(self.parts)).astype(np.int64)
-
-    def asked(self, zones: Zones) -> tuple[Zones, np.ndarray, np.ndarray, np.ndarray]:
-        """The distinct zones by part, then anchor; their counts; where parts begin; and for each zone which it is."""
-        at, count, number = distinct_zones(zones)
-        distinct = zones.only(at)
-        part = self.part(distinct.gram)
-        order = np.argsort(part, kind="stable")
-        back = np.empty(len(order), dtype=np.int64)
-        back[order] = np.arange(len(order))
-        return distinct.only(order), count[order], np.searchsorted(part[order], np.arange(self.parts + 1)), back[number]
-
-    def strings(self, table: pa.Table, zones: Zones) -> np.ndarray:
-        """Hashes of the strings at all starts of some zones, zone by zone."""
-        if not len(zones.row):
-            return np.empty(0, dtype=U)
-        rows = {int(r): c for r, c in zip(np.unique(zones.row), bytes_of(table.column(self.text).take(pa.array(np.unique(zones.row))).combine_chunks()), strict=True)}
-        out = []
-        for r, first, last in zip(zones.row.tolist(), zones.first.tolist(), zones.last.tolist(), strict=True):
-            data = np.frombuffer(rows[r], dtype=np.uint8, count=last - first + self.length, offset=first)
-            with np.errstate(over="ignore"):
-                power, inverse = powers(BASE, len(data) + 1), powers(INVERSE, len(data) + 1)
-                total = np.zeros(len(data) + 1, dtype=U)
-                np.cumsum((data.astype(U) + U(1)) * power[:-1], out=total[1:])
-                out.append(mixed((total[self.length :] - total[: -self.length]) * inverse[: last - first + 1]))
-        return np.concatenate(out)
-
-    def asked_strings(self, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        distinct, number, count = np.unique(hashed, return_inverse=True, return_counts=True)
-        part = self.part(distinct)
-        order = np.argsort(part, kind="stable")
-        back = np.empty(len(order), dtype=np.int64)
-        back[order] = np.arange(len(order))
-        return distinct[order], count[order], np.searchsorted(part[order], np.arange(self.parts + 1)), back[number]
-
-    def compared(self, table: pa.Table, distinct: Zones, answer: np.ndarray) -> tuple[np.ndarray, list[bytes], list[bytes]]:
-        """Of the distinct zones those to be compared, in suffix order: places, suffixes from the anchor, reversed texts before it."""
-        at = np.flatnonzero((answer == COMPARE) | (answer == ALL_AND_SHOW))
-        if not len(at):
-            return at, [], []
-        wanted = np.unique(distinct.row[at])
-        rows = dict(zip(wanted.tolist(), bytes_of(table.column(self.text).take(pa.array(wanted)).combine_chunks()), strict=True))
-        content = [(rows[r], a, f, e + self.length) for r, a, f, e in zip(distinct.row[at].tolist(), distinct.anchor[at].tolist(), distinct.first[at].tolist(), distinct.last[at].tolist(), strict=True)]
-        suffix, before = [c[a:e] for c, a, _, e in content], [c[f:a][::-1] for c, a, f, _ in content]
-        order = sorted(range(len(at)), key=lambda k: (suffix[k], before[k]))
-        return at[order], [suffix[k] for k in order], [before[k] for k in order]
-
-
-def rows_of(kind: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*kind, strict=True), types, strict=True)], names=names)
-
-
-ASK = "part int, chunk string, kind int, a binary, b binary, c binary"
-ASK_TYPES = [pa.int32(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-ANSWER = "chunk string, part int, kind int, answer binary"
-RUN = "part int, chunk string, f0 binary, f1 binary, f2 binary, f3 binary, f4 binary"
-RUN_TYPES = [pa.int32(), pa.string(), *[pa.binary()] * 5]
-ZONE, STRING, REPEAT = range(3)
-
-
-def removed(docs: DataFrame, finish: Callable[[pa.Table, list[tuple[bytes, np.ndarray]]], pa.Table], schema: StructType | str, text: str = "text", length: int = LENGTH, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, many: int = MANY, local_many: int = LOCAL_MANY) -> DataFrame:
+
+def removed(docs: DataFrame, finish: Callable[[pa.Table, list[tuple[bytes, np.ndarray]]], pa.Table], schema: StructType | str, text: str = "text", length: int = LENGTH, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, many: int = MANY) -> DataFrame:
     """Apply `finish` to each part of rows with (bytes, whether each byte is removed) of every row's text."""
-    spark = docs.sparkSession
+    slots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    def measure(table: pa.Table) -> tuple[int, np.ndarray, np.ndarray]:
+    def measure(table: pa.Table) -> tuple[int, dict[str, pa.Table]]:
         zones = chunk_zones(table, text, length, gram)
-        at, _, _ = distinct_zones(zones)
-        anchors, count = np.unique(zones.gram[at], return_counts=True)
-        often = count >= local_many
-        return len(zones.gram), anchors[often].view(np.int64), count[often]
+        return len(zones.row), {"zones": zones.table()}
 
     url, table = chunkstore.store(docs, measure, text, chunk_bytes)
-    total = table.agg(F.sum("size")).first()[0] or 0
-    local = table.select(F.explode(F.arrays_zip("keys", "counts")).alias("k")).select("k.keys", "k.counts")
-    hot = local.groupBy("keys").agg(F.sum("counts").alias("n")).where(F.col("n") >= many)
-    # one in MANY zones at most
-    anchors = np.sort(np.array([r.keys for r in hot.collect()], dtype=np.int64).view(U))
-    plan = Plan(url, text, length, gram, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_ZONES)), anchors)
-    sent = spark.sparkContext.broadcast(plan)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan = sent.value
         for batch in batches:
             for chunk in batch.column(0).to_pylist():
-                rows, zones, is_hot = plan.chunk(chunk)
-                distinct, count, at, _ = plan.asked(zones.only(~is_hot))
-                strings, often, place, _ = plan.asked_strings(plan.strings(rows, zones.only(is_hot)))
-                told: list[tuple] = []
-                for p in range(plan.parts):
-                    if (a := at[p]) < (b := at[p + 1]):
-                        told.append((p, chunk, ZONE, packed(distinct.gram[a:b]), plain(distinct.whole[a:b]), plain(np.minimum(count[a:b], 2).astype(np.uint8))))
-                    if (a := place[p]) < (b := place[p + 1]):
-                        told.append((p, chunk, STRING, packed(strings[a:b]), None, plain(np.minimum(often[a:b], 2).astype(np.uint8))))
-                if told:
-                    yield rows_of(told, ["part", "chunk", "kind", "a", "b", "c"], ASK_TYPES)
-
-    def answer(table: pa.Table) -> pa.Table:
-        kind, a, b, c = (table.column(n).to_pylist() for n in ("kind", "a", "b", "c"))
-        out: list[bytes] = [b""] * len(kind)
-        for what in (ZONE, STRING):
-            rows = [k for k in range(len(kind)) if kind[k] == what]
-            if not rows:
-                continue
-            first, count = [unpacked(a[k], U) for k in rows], np.concatenate([unplain(c[k], np.uint8) for k in rows])
-            if what == ZONE:
-                found = settle_zones(np.concatenate(first), np.concatenate([unplain(b[k], U) for k in rows]), count)
-            else:
-                _, where = np.unique(np.concatenate(first), return_inverse=True)
-                found = np.where(np.bincount(where, weights=count)[where] > 1, ALL, ONCE).astype(np.uint8)
-            ends = np.cumsum([len(f) for f in first])
-            for k, x, y in zip(rows, [0, *ends[:-1]], ends, strict=True):
-                out[k] = plain(found[x:y])
-        return pa.table({"chunk": table.column("chunk"), "part": table.column("part"), "kind": table.column("kind"), "answer": pa.array(out, pa.binary())})
-
-    def answers_of(table: pa.Table, kind: int) -> dict[int, bytes]:
-        return {p: a for p, k, a in zip(table.column("part").to_pylist(), table.column("kind").to_pylist(), table.column("answer").to_pylist(), strict=True) if k == kind}
-
-    def zone_answers(plan: Plan, table: pa.Table, at: np.ndarray, kind: int) -> np.ndarray:
-        told = answers_of(table, kind)
-        found = [unplain(told[p], np.uint8) for p in range(plan.parts) if at[p] < at[p + 1]]
-        return np.concatenate(found) if found else np.empty(0, dtype=np.uint8)
+                zones = Zones.read(url, chunk)
+                at, number = zones.numbers()
+                one = zones.only(at)
+                count = np.minimum(np.bincount(number, minlength=len(at)), 2)
+                yield pa.record_batch([pa.array(np.full(len(at), chunk)), pa.array(np.arange(len(at)), pa.int32()), pa.array(one.gram), pa.array(one.high), pa.array(one.low), pa.array(count, pa.int64())], names=["chunk", "k", "gram", "high", "low", "n"])
+
+    zones = chunkstore.dealt(table.where("size > 0")).mapInArrow(ask, "chunk long, k int, gram long, high long, low long, n long")
+    known = answered(zones, many)
+    compared = known.where(F.col("code").isin(SHOWN, COMPARED))
+    parts = max(slots, -(-compared.count() // PART_ZONES))
+
+    def contents(chunk: int, k: np.ndarray) -> tuple[Zones, list[bytes]]:
+        """Some distinct zones of a chunk, and the bytes from the first start to the end of the last string."""
+        zones = Zones.read(url, chunk)
+        own = zones.only(zones.numbers()[0][k])
+        wanted, where = np.unique(own.row, return_inverse=True)
+        texts = bytes_of(chunkstore.read(url, chunk, [text]).column(0).take(pa.array(wanted)).combine_chunks())
+        return own, [texts[w][a : b + length] for w, a, b in zip(where.tolist(), own.first.tolist(), own.last.tolist(), strict=True)]
 
     def show(table: pa.Table) -> pa.Table:
-        plan, chunk = sent.value, table.column("chunk")[0].as_py()
-        rows, zones, is_hot = plan.chunk(chunk)
-        distinct, _, at, _ = plan.asked(zones.only(~is_hot))
-        place, suffix, before = plan.compared(rows, distinct, zone_answers(plan, table, at, ZONE))
-        part = plan.part(distinct.gram[place])
-        told: list[tuple] = []
-        for p in np.unique(part).tolist():
-            own = np.flatnonzero(part == p).tolist()
-            told.append((p, chunk, *front_coded([suffix[k] for k in own], [before[k] for k in own])))
-        columns = list(zip(*told, strict=True)) or [()] * len(RUN_TYPES)
-        return pa.table([pa.array(c, t) for c, t in zip(columns, RUN_TYPES, strict=True)], names=["part", "chunk", "f0", "f1", "f2", "f3", "f4"])
+        chunk, k = table.column("chunk")[0].as_py(), np.sort(table.column("k").to_numpy())
+        own, content = contents(chunk, k)
+        left = (own.anchor - own.first).tolist()
+        suffix, before = [c[n:] for c, n in zip(content, left, strict=True)], [c[:n][::-1] for c, n in zip(content, left, strict=True)]
+        part = (mixed(own.gram.view(U) ^ U(0x5851F42D4C957F2D)) % U(parts)).astype(np.int64).tolist()
+        order = sorted(range(len(k)), key=lambda j: (part[j], suffix[j], before[j]))
+        ends = [j for j in range(1, len(order)) if part[order[j]] != part[order[j - 1]]]
+        told = []
+        for a, b in zip([0, *ends], [*ends, len(order)], strict=True):
+            run = order[a:b]
+            told.append((part[run[0]], chunk, plain(k[run].astype(np.int32)), *front_coded([suffix[j] for j in run], [before[j] for j in run])))
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*told, strict=True), RUN_TYPES, strict=True)], names=RUN_NAMES)
 
     def merge(table: pa.Table) -> pa.Table:
-        plan = sent.value
         # the same order of runs whatever order they come in
         table = table.sort_by("chunk")
         runs = [list(r) for r in zip(*(table.column(f"f{k}").to_pylist() for k in range(5)), strict=True)]
-        found = [plain(np.packbits(bits, axis=1)) for bits in merged_repeats(runs, plan.length, plan.gram)]
-        return pa.table({"chunk": table.column("chunk"), "part": table.column("part"), "kind": pa.array([REPEAT] * len(runs), pa.int32()), "answer": pa.array(found, pa.binary())})
+        found = [plain(np.packbits(bits, axis=1)) for bits in merged_repeats(runs, length, gram)]
+        return pa.table({"chunk": table.column("chunk"), "k": pa.nulls(len(runs), pa.int32()), "code": pa.array([COMPARED] * len(runs), pa.int32()), "places": table.column("places"), "bits": pa.array(found, pa.binary())})
+
+    def strings(chunk: int, k: np.ndarray) -> tuple[Zones, np.ndarray, np.ndarray, np.ndarray]:
+        """Some distinct zones' distinct strings: the zones, a digest of each string, and for all starts, zone by zone, which string it is and the start."""
+        own, content = contents(chunk, k)
+        size = own.last - own.first + 1
+        digest = np.concatenate([digests_of(c, range(n), range(length, length + n)) for c, n in zip(content, size.tolist(), strict=True)])
+        distinct, number = np.unique(digest, axis=0, return_inverse=True)
+        return own, distinct, number.reshape(-1), np.repeat(own.first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+
+    def spell(table: pa.Table) -> pa.Table:
+        chunk, k = table.column("chunk")[0].as_py(), np.sort(table.column("k").to_numpy())
+        _, distinct, number, _ = strings(chunk, k)
+        n = np.minimum(np.bincount(number, minlength=len(distinct)), 2)
+        return pa.table({"chunk": np.full(len(distinct), chunk), "k": np.arange(len(distinct), dtype=np.int32), "high": np.ascontiguousarray(distinct[:, 0]), "low": np.ascontiguousarray(distinct[:, 1]), "n": n.astype(np.int64)})
 
     def cut(table: pa.Table) -> pa.Table:
-        plan, chunk = sent.value, table.column("chunk")[0].as_py()
-        rows, zones, is_hot = plan.chunk(chunk)
-        none = np.empty(0, dtype=np.int64)
-        cold = zones.only(~is_hot)
-        distinct, _, at, number = plan.asked(cold)
-        answer = zone_answers(plan, table, at, ZONE)
-        whole = np.isin(answer[number], (ALL, ALL_AND_SHOW)) if len(number) else np.empty(0, dtype=bool)
-        row, first, last = [none, cold.row[whole]], [none, cold.first[whole]], [none, cold.last[whole]]
-        place, _, _ = plan.compared(rows, distinct, answer)
-        if len(place):
-            part, told = plan.part(distinct.gram[place]), answers_of(table, REPEAT)
-            bits = np.zeros((len(place), plan.length), dtype=bool)
-            for p in np.unique(part).tolist():
-                own = part == p
-                packed_bits = unplain(told[p], np.uint8).reshape(int(own.sum()), -1)
-                bits[own] = np.unpackbits(packed_bits, axis=1)[:, : plan.length].astype(bool)
-            only = answer[place] == COMPARE
-            k, before = np.nonzero(bits[only])
-            # a zone to be compared occurs once, so the distinct one is the zone itself
-            start = distinct.anchor[place[only]][k] - before
-            row.append(distinct.row[place[only]][k])
-            first.append(start)
-            last.append(start)
-        hot_zones = zones.only(is_hot)
-        if len(hot_zones.row):
-            _, _, at, number = plan.asked_strings(plan.strings(rows, hot_zones))
-            often = zone_answers(plan, table, at, STRING)[number] == ALL
-            size = hot_zones.last - hot_zones.first + 1
-            within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            start = (np.repeat(hot_zones.first, size) + within)[often]
-            row.append(np.repeat(hot_zones.row, size)[often])
-            first.append(start)
-            last.append(start)
-        return finish_chunk(rows, np.concatenate(row), np.concatenate(first), np.concatenate(last), plan, finish)
-
-    answers = stored(chunkstore.by(chunkstore.dealt(table).mapInArrow(ask, ASK), "part").applyInArrow(answer, ANSWER), "zone-answers")
-    runs = chunkstore.by(answers, "chunk").applyInArrow(show, RUN)
-    found = answers.unionByName(chunkstore.by(runs, "part").applyInArrow(merge, ANSWER))
-    done = chunkstore.by(found, "chunk").applyInArrow(cut, schema)
-
-    def uncut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan, none = sent.value, np.empty(0, dtype=np.int64)
-        for batch in batches:
-            for chunk in batch.column(0).to_pylist():
-                yield from finish_chunk(chunkstore.read(plan.url, chunk), none, none, none, plan, finish).to_batches()
-
-    return done.unionByName(chunkstore.dealt(table.where("size = 0")).mapInArrow(uncut, schema))
-
-
-def finish_chunk(rows: pa.Table, row: np.ndarray, first: np.ndarray, last: np.ndarray, plan: Plan, finish: Callable[[pa.Table, list[tuple[bytes, np.ndarray]]], pa.Table]) -> pa.Table:
+        chunk = table.column("chunk")[0].as_py()
+        rows, zones = chunkstore.read(url, chunk), Zones.read(url, chunk)
+        at, number = zones.numbers()
+        k, code = table.column("k").to_numpy(zero_copy_only=False), table.column("code").to_numpy()
+        whole = np.zeros(len(at), dtype=bool)
+        whole[k[np.isin(code, (ALL, SHOWN, SPELT)) & ~np.isnan(k.astype(float))].astype(np.int64)] = True
+        every = whole[number]
+        row, first, last = [zones.row[every]], [zones.first[every]], [zones.last[every]]
+        for places, bits in zip(table.column("places").to_pylist(), table.column("bits").to_pylist(), strict=True):
+            if bits is not None:
+                place = unplain(places, np.int32).astype(np.int64)
+                found = np.unpackbits(unplain(bits, np.uint8).reshape(len(place), -1), axis=1)[:, :length].astype(bool)
+                # a compared zone that does not repeat whole occurs once: the distinct one is the zone itself
+                found[whole[place]] = False
+                j, before = np.nonzero(found)
+                own = at[place[j]]
+                row.append(zones.row[own])
+                first.append(zones.anchor[own] - before)
+                last.append(zones.anchor[own] - before)
+        if (again := k[code == STRING].astype(np.int64)).size:
+            spelt = np.sort(k[np.isin(code, (SPELT, COUNTED))].astype(np.int64))
+            own, distinct, which, start = strings(chunk, spelt)
+            often = np.zeros(len(distinct), dtype=bool)
+            often[again] = True
+            row.append(np.repeat(own.row, own.last - own.first + 1)[often[which]])
+            first.append(start[often[which]])
+            last.append(start[often[which]])
+        return finish_chunk(rows, np.concatenate(row), np.concatenate(first), np.concatenate(last), text, length, finish)
+
+    def answer(rows: DataFrame, code) -> DataFrame:
+        return rows.select("chunk", "k", code.alias("code"), F.lit(None).cast("binary").alias("places"), F.lit(None).cast("binary").alias("bits"))
+
+    runs = chunkstore.by(compared, "chunk").applyInArrow(show, RUN)
+    merged = chunkstore.by(runs, "part").applyInArrow(merge, ANSWER)
+    spelt = chunkstore.by(known.where(F.col("code").isin(SPELT, COUNTED)), "chunk").applyInArrow(spell, "chunk long, k int, high long, low long, n long")
+    again = spelt.withColumn("n", F.sum("n").over(Window.partitionBy("high", "low"))).where("n > 1")
+    there = answer(table.withColumn("k", F.lit(None).cast("int")), F.lit(THERE))
+    found = answer(known, F.col("code")).unionByName(merged).unionByName(answer(again, F.lit(STRING))).unionByName(there)
+    return chunkstore.by(found, "chunk").applyInArrow(cut, schema)
+
+
+def finish_chunk(rows: pa.Table, row: np.ndarray, first: np.ndarray, last: np.ndarray, text: str, length: int, finish: Callable[[pa.Table, list[tuple[bytes, np.ndarray]]], pa.Table]) -> pa.Table:
     """The rows with their repeated bytes; strings repeat at all starts from first to last of a row."""
     order = np.argsort(row, kind="stable")
     row, first, last = row[order], first[order], last[order]
-    out = []
-    for a in range(0, rows.num_rows, 256):
-        piece = rows.slice(a, 256)
-        contents = bytes_of(piece.column(plan.text).combine_chunks())
-        at = np.searchsorted(row, np.arange(a, a + len(contents) + 1))
-        marked = []
-        for k, content in enumerate(contents):
-            change = np.zeros(len(content) + 1, dtype=np.int32)
-            own = slice(at[k], at[k + 1])
-            np.add.at(change, first[own], 1)
-            np.add.at(change, last[own] + plan.length, -1)
-            marked.append((content, np.cumsum(change[:-1]) > 0))
-        out.append(finish(piece, marked))
+    out, done = [], 0
+    for batch in rows.to_batches():
+        for a, b in cuts(batch.column(text)):
+            piece = pa.Table.from_batches([batch.slice(a, b - a)])
+            contents = bytes_of(piece.column(text).combine_chunks())
+            at = np.searchsorted(row, np.arange(done, done + len(contents) + 1))
+            marked = []
+            for k, content in enumerate(contents):
+                change = np.zeros(len(content) + 1, dtype=np.int32)
+                own = slice(at[k], at[k + 1])
+                np.add.at(change, first[own], 1)
+                np.add.at(change, last[own] + length, -1)
+                marked.append((content, np.cumsum(change[:-1]) > 0))
+            out.append(finish(piece, marked))
+            done += len(contents)
     return pa.concat_tables(out)
 
 
@@ -588,3 +501,18 @@ def without_repeats(docs: DataFrame, text: str = "text", **options) -> DataFrame
         return piece.set_column(at, piece.schema.field(at), pa.array(kept, pa.binary()).cast(piece.schema.field(at).type))
 
     return removed(docs, finish, docs.schema, text, **options)
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT r, k, substr(h, 8000 * k + 1, 8400) AS piece FROM (SELECT r, h, unnest(range(0, (len(h) + 7999) // 8000)) AS k FROM d)),
+s AS (SELECT r, 4000 * k + j AS i, md5(substr(piece, 2 * j + 1, 400)) AS str FROM (SELECT r, k, piece, unnest(range(0, least(4000, len(piece) // 2 - 199))) AS j FROM p)),
+o AS (SELECT str FROM s GROUP BY 1 HAVING count(*) > 1),
+g AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new FROM s SEMI JOIN o USING (str)),
+n AS (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS span FROM g),
+x AS (SELECT r, span, min(i) AS a, max(i) + 200 AS b FROM n GROUP BY 1, 2),
+e AS (SELECT r, a, b, lag(b, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM x),
+k AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head FROM e JOIN d USING (r) GROUP BY 1)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""

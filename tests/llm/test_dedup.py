@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
@@ -129,7 +130,7 @@ def test_repeats_against_brute_force(spark, seed, length, gram, many):
         texts.append("".join(text))
     texts += [*texts[:5], "", None]
     docs = spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)], "doc_id long, text string, n_bytes int").repartition(3)
-    options = {"length": length, "gram": gram, "chunk_bytes": rng.choice([100, 500]), "many": many, "local_many": 1}
+    options = {"length": length, "gram": gram, "chunk_bytes": rng.choice([100, 500]), "many": many}
     got = {r.doc_id: r for r in suffix_dedup.digests(docs, **options).collect()}
     raw = [(t or "").encode() for t in texts]
     for k, (t, gone) in enumerate(zip(raw, brute_repeats(raw, length), strict=True)):
@@ -139,19 +140,75 @@ def test_repeats_against_brute_force(spark, seed, length, gram, many):
     assert cut[len(texts) - 1] is None and all(cut[k] == np.frombuffer(t, dtype=np.uint8)[~g].tobytes().decode("utf-8", "ignore") for k, (t, g) in enumerate(zip(raw[:-1], brute_repeats(raw, length), strict=False)))
 
 
-def test_anchors_with_few_zones_in_each_of_many_chunks_are_hot(spark, monkeypatch):
+def test_anchors_with_few_zones_in_each_of_many_chunks_are_counted_by_strings(spark, monkeypatch):
     rng = random.Random(7)
     passage = "".join(rng.choice("abcdefghij") for _ in range(30))
     texts = ["".join(rng.choice("klmnopqrst") for _ in range(8)) + passage + "".join(rng.choice("klmnopqrst") for _ in range(8)) for _ in range(30)]
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(30, "doc_id")
-    made, hot = suffix_dedup.Plan.__init__, []
-    monkeypatch.setattr(suffix_dedup.Plan, "__init__", lambda self, *fields: hot.append(fields[-1]) or made(self, *fields))
+    made, codes = suffix_dedup.answered, []
+    monkeypatch.setattr(suffix_dedup, "answered", lambda *given: codes.append(made(*given)) or codes[0])
     got = {r.doc_id: r.n_removed for r in suffix_dedup.digests(docs, length=12, gram=4, chunk_bytes=10, many=15).collect()}
-    assert len(hot[0]) > 0
+    assert codes[0].where(f"code = {suffix_dedup.COUNTED}").count() > 0
     raw = [t.encode() for t in texts]
     assert got == {k: int(gone.sum()) for k, gone in enumerate(brute_repeats(raw, 12))}
 
 
+def colliding_pair():
+    """Printable texts whose polynomial hashes modulo 2^64 agree for any odd base, with the same 200 bytes behind."""
+    differences = np.array([1])
+    for power, times in ((32, 1), (16, 7), (8, 2), (4, 1), (2, 1), (1, 1)):
+        factor = np.zeros(power + 1, dtype=int)
+        factor[0], factor[-1] = -1, 1
+        for _ in range(times):
+            differences = np.convolve(differences, factor)
+    middle = 80 + np.zeros(len(differences), dtype=int)
+    high, low = middle + (differences + 1) // 2, middle - differences // 2
+    assert (high - low == differences).all() and len(differences) == 168 and min(high.min(), low.min()) > 32 and max(high.max(), low.max()) < 127
+    return bytes(high.tolist()), bytes(low.tolist())
+
+
+def test_texts_with_equal_polynomial_hashes_are_told_apart(spark):
+    one, other = colliding_pair()
+    base = suffix_dedup.BASE
+    assert sum((x - y) * pow(base, k, 1 << 64) for k, (x, y) in enumerate(zip(one, other, strict=True))) % (1 << 64) == 0
+    rng = random.Random(3)
+    for _ in range(300):
+        tail = bytes(rng.randrange(33, 127) for _ in range(200))
+        data = np.frombuffer(one + tail, dtype=np.uint8)
+        if (suffix_dedup.zones_of(data, np.array([0]), np.array([len(data)]))[3] == len(one)).any():
+            break
+    docs = spark.createDataFrame([(1, (one + tail).decode()), (2, (other + tail).decode())], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in suffix_dedup.digests(docs).collect()} == {1: 200, 2: 200}
+    assert {r.doc_id: r.n_removed for r in suffix_dedup.digests(docs, many=1).collect()} == {1: 200, 2: 200}
+
+
+def test_anchors_are_chosen_alike_wherever_a_string_stands():
+    rng = np.random.default_rng(4)
+    text = rng.integers(97, 101, 400).astype(np.uint8)
+    short = suffix_dedup.zones_of(text, np.array([0]), np.array([400]))
+    padded = np.concatenate([rng.integers(97, 101, 70_000).astype(np.uint8), text])
+    long = suffix_dedup.zones_of(padded, np.array([0, 70_000]), np.array([70_000, 70_400]))
+    own = long[0] == 1
+    assert [(a - 70_000).tolist() for a in (long[1][own], long[2][own], long[3][own])] == [a.tolist() for a in short[1:4]]
+
+
+def test_repeats_of_many_zones_of_one_anchor_take_little_more_than_linear_time():
+    rng = random.Random(6)
+
+    def zones(m):
+        before = ["".join(rng.choice("ab") for _ in range(168)).encode() for _ in range(m)]
+        suffix = sorted("".join(rng.choice("ab") for _ in range(168)).encode() for _ in range(m))
+        return [0, *(32 + suffix_dedup.common(a, b, 0) for a, b in zip(suffix, suffix[1:], strict=False))], before
+
+    def seconds(m):
+        own, began = zones(m), time.perf_counter()
+        suffix_dedup.repeats(*own, 200, 32)
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert seconds(16_000) < 12 * seconds(4_000)
+
+
 def test_repeats_in_very_long_and_short_texts(spark):
     rng = random.Random(5)
     long = "".join(rng.choice("abcdefgh ") for _ in range(2_300_000))
@@ -161,6 +218,10 @@ def test_repeats_in_very_long_and_short_texts(spark):
     assert suffix_dedup.digests(docs.limit(0)).count() == 0
 
 
+def test_repeats_query_against_sql(spark, sf_dir):
+    assert_same(queries.op5_suffix_dedup(spark, sf_dir), suffix_dedup.ORACLE, sf_dir)
+
+
 def test_loser_tree_merges_and_shares():
     rng = random.Random(2)
     runs = [sorted("".join(rng.choice("ab") for _ in range(rng.randint(0, 9))).encode() for _ in range(rng.randint(0, 20))) for _ in range(7)]
