@@ -60,7 +60,7 @@ PART_ZONES = 200_000
 #: Starts by zones that are looked at at once.
 BLOCK = 2_000_000
 #: Parts that the zones of one anchor are dealt to when they learn how many they are.
-SALTS = 16
+SALTS = 4
 
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -338,9 +338,9 @@ def answered(zones: DataFrame, many: int) -> DataFrame:
     same = Window.partitionBy("gram", "high", "low")
     counted = zones.withColumn("n", F.sum("n").over(same)).withColumn("nth", F.row_number().over(same.orderBy("chunk", "k")))
     several = counted.where("nth = 1").groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-    # the zones of a frequent anchor are dealt by their digests too, and meet a copy of its count there
+    # the zones of a frequent anchor are dealt by their digests too, and meet a copy of its count there; counts grow with the corpus, so they are not broadcast
     several = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    known = counted.withColumn("salt", F.pmod("low", F.lit(SALTS)).cast("int")).join(several, ["gram", "salt"], "left").where("n > 1 or kinds is not null")
+    known = counted.withColumn("salt", F.pmod("low", F.lit(SALTS)).cast("int")).join(several.hint("merge"), ["gram", "salt"], "left").where("n > 1 or kinds is not null")
     one, hot = F.col("nth") == 1, F.col("kinds") >= many
     code = F.when(F.col("kinds").isNull() | ~one, ALL).when(F.col("n") > 1, F.when(hot, SPELT).otherwise(SHOWN)).when(hot, COUNTED).otherwise(COMPARED)
     return stored(known.select("chunk", "k", "gram", code.alias("code")), "zone-answers")
