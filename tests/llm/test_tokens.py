@@ -5,6 +5,8 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import pytest
 import tiktoken
@@ -132,6 +134,60 @@ def test_many_equal_vectors(spark):
     assert len(got) == 5 and all(v < 300 for v in got)
 
 
+def test_rows_that_share_an_id_have_lists_of_their_own(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [2.0, 0.0]), (2, [0.0, 3.0]), (1, [2.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in ann.search(table, F.col("vec_id") % 20 == 0, k=3, share=1.0).collect())
+    assert got == sorted([(20, 1, 1, 2.0), (20, 2, 1, 2.0), (20, 3, 2, 0.0), (20, 1, 2, 3.0), (20, 2, 1, 0.0), (20, 3, 1, 0.0)])
+
+
+def test_only_leaves_that_a_query_takes_are_multiplied():
+    rng = np.random.default_rng(3)
+    middle = rng.normal(size=(60, 24))
+    middle /= np.linalg.norm(middle, axis=1, keepdims=True)
+    points = np.repeat(middle, 100, axis=0) + rng.normal(size=(6000, 24)) * 0.01
+    sample = points[rng.choice(6000, 2000, replace=False)]
+    forest = ann.Forest(sample, float(np.linalg.norm(points, axis=1).max()))
+    forest.fit_share(sample, 7)
+    place = forest.leaves(points)
+    parts = ann.Parts(np.stack([np.bincount(p, minlength=1 << forest.depth) for p in place]), 500)
+    batch = pa.record_batch([pa.array(np.arange(6000)), pa.array(np.arange(6000)), pa.array([p.tobytes() for p in points])], names=["row", "vec_id", "vector"])
+    queries = pa.Table.from_batches([ann.dealt_queries(forest, parts, batch.take(pa.array(np.arange(0, 6000, 20))))])
+    rows = pa.Table.from_batches([ann.dealt_rows(forest, parts, batch)])
+    products, found = 0, {}
+    for part in range(parts.count):
+        near, more = ann.nearest_in_part(rows.filter(pc.equal(rows["part"], part)), queries.filter(pc.equal(queries["part"], part)), 24, 10)
+        products += more
+        for q, v in zip(near["query_id"].to_pylist(), near["vec_id"].to_pylist(), strict=True):
+            found.setdefault(q, set()).add(v)
+    assert products < 0.2 * 300 * 6000
+    recall = []
+    for q in range(0, 6000, 20):
+        score = points @ points[q]
+        score[q] = -np.inf
+        recall.append(len(set(np.argsort(-score)[:10].tolist()) & found[q]) / 10)
+    assert np.mean(recall) >= 0.9
+
+
+def test_recall_on_rows_that_the_forest_was_not_fitted_on(spark):
+    rng = np.random.default_rng(8)
+    points = rng.normal(size=(4000, 16))
+    table = spark.createDataFrame([(k, v) for k, v in enumerate(points.tolist())], "vec_id long, embedding array<double>")
+    own = table.withColumn("h", F.xxhash64("vec_id"))
+    fitted = {r.vec_id for r in own.orderBy("h", "vec_id").limit(800).collect()}
+    found = {}
+    for r in ann.search(table, F.col("vec_id") % 20 == 0, k=20, sample=800, part_rows=150, block=50).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    outside = [q for q in range(0, 4000, 20) if q not in fitted]
+    recall = []
+    for q in outside:
+        score = points @ points[q]
+        score[q] = -np.inf
+        assert [n for n, _ in sorted(found[q])] == list(range(1, 21))
+        recall.append(len(set(np.argsort(-score)[:20].tolist()) & {v for _, v in found[q]}) / 20)
+    assert len(outside) > 100 and np.mean(recall) >= 0.9
+
+
 def test_pipeline_stages(spark, sf_dir):
     import corpus_pipeline
 
