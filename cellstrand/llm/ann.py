@@ -45,6 +45,8 @@ RECALL, TRIALS = 0.95, 128
 STEER = 0.5
 #: Rows of a part at most, about, and queries that a part works on at once.
 PART_ROWS, QUERY_BLOCK = 50_000, 16_384
+#: Rows below which a part is not divided further to give work to all slots.
+LEAST_ROWS = 4096
 #: Queries whose scores are held at once.
 QUERIES_AT_ONCE = 64
 
@@ -285,7 +287,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, trees: int = TREES
     for t, leaf, n in indexed.select(F.posexplode("place").alias("tree", "leaf")).groupBy("tree", "leaf").agg(F.count(F.lit(1))).collect():
         held[t, leaf] = n
     slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = Parts(held, min(part_rows, max(1, int(held.sum()) // (2 * slots))))
+    parts = Parts(held, min(part_rows, max(LEAST_ROWS, int(held.sum()) // (2 * slots))))
 
     def to_parts(deal: Callable[[Forest, Parts, pa.RecordBatch], pa.RecordBatch]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
