@@ -17,6 +17,11 @@ REMEMBERED = 1_200_000
 MARKS = frozenset(".,!?;:")
 
 
+def letters(word: str) -> bool:
+    """Whether all are letters of scripts up to Cyrillic, which every version of Unicode calls letters."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0530")
+
+
 class _Slots(dict):
     """Numbers of keys, given out as they are first asked for."""
 
@@ -71,9 +76,9 @@ class ChunkMemory:
         new, self.inner.new = self.inner.new, []
         words, marked, whole = [], [], []
         for p in new:
-            if p.isalpha():
+            if letters(p):
                 words.append(p)
-            elif p[-1:] in MARKS and p[:-1].isalpha():
+            elif p[-1:] in MARKS and letters(p[:-1]):
                 marked.append(p)
                 self.inner[p[:-1]], self.other[p[-1]]
             elif p and not p[0].isspace() and not p[-1].isspace():

@@ -9,9 +9,15 @@ Shards are written by executors to the cluster's shared folder, under a temporar
 renamed when whole, so a repeated or speculative task leaves the same bytes. Local folders are
 mapped; other stores, reached through pyarrow's file systems, are read shard by shard.
 
+Shards are as many as the texts' size asks for, at least as many as the session's shuffle partitions;
+ids are written while texts are encoded, so a task holds one slice of texts and a few numbers for each
+document. Rows are dealt by ranges of document id, then of a hash of the text, then of their place, so
+that many rows of one id, or without one, are spread over shards too.
+
 Defined results: a null or empty text is a document of the end id alone; a null document id sorts
-first; rows that share an id stay separate documents, ordered by their bytes; other columns are not
-read; an empty table gives an empty dataset.
+first; rows that share an id stay separate documents, ordered by a hash of their texts; the strings of
+the tokenizer's own special tokens become their ids where they stand in a text, as the library does
+it; other columns are not read; an empty table gives an empty dataset.
 """
 
 from __future__ import annotations
@@ -31,18 +37,45 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cellstrand.llm.chunks import ChunkMemory
-from cellstrand.llm.common import id_and_text, shared_dir, slices, texts_of
+from cellstrand.llm.common import file_system, id_and_text, shared_dir, slices, texts_of
 from cellstrand.llm.token_counts import byte_of_letter
+from cellstrand.operators.whitelist import estimated_bytes
 
 NO_ID = np.int64(-(2**63))
 
 
+#: Bytes of a table, as the optimizer estimates them, that a shard is laid out for.
+SHARD_BYTES = 32 << 20
+#: An estimate beyond this is none.
+UNKNOWN_BYTES = 1 << 50
+
+
 @lru_cache(maxsize=2)
 def tokenizer(path: str) -> Tokenizer:
-    """special tokens' strings in a text are ordinary text"""
-    out = Tokenizer.from_file(path)
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(path)
+
+
+class Encoder:
+    """Ids of texts as the bytes of the file format, as the library encodes them without special tokens of its own adding.
+
+    Distinct chunks are encoded once in a worker. A text that holds an added token's string goes to the library whole.
+    """
+
+    def __init__(self, path: str, dtype: str):
+        self.own, self.memory = tokenizer(path), memory(path, dtype)
+        self.code = CODES[dtype]
+        self.added = [t.content for t in self.own.get_added_tokens_decoder().values()]
+
+    def rows(self, texts: list[str]) -> list[bytes]:
+        special = {k for k, t in enumerate(texts) if any(a in t for a in self.added)}
+        out = [b"".join(row) for row in self.memory.values([t if k not in special else "" for k, t in enumerate(texts)])]
+        for k in special:
+            out[k] = array(self.code, self.own.encode(texts[k], add_special_tokens=False).ids).tobytes()
+        return out
+
+
+#: array's letters for the file's types.
+CODES = {"<u2": "H", "<u4": "I"}
 
 
 @lru_cache(maxsize=2)
@@ -52,7 +85,7 @@ def memory(path: str, dtype: str) -> ChunkMemory:
     letter = {b: c for c, b in byte_of_letter().items()}
     letters = {b: letter[b] for b in range(256)}
     model, identity = own.model.tokenize, attrgetter("id")
-    code = "H" if dtype == "<u2" else "I"
+    code = CODES[dtype]
 
     def words(letters_only: Sequence[str]) -> list[bytes]:
         """A space and letters are one piece, which goes to the library's model at once."""
@@ -72,23 +105,29 @@ def width(vocabulary: int, end_id: int) -> str:
     return "<u2" if max(vocabulary - 1, end_id) < 1 << 16 else "<u4"
 
 
-def _store(url: str) -> tuple[pafs.FileSystem, str]:
-    fs, path = pafs.FileSystem.from_uri(url if "://" in url or url.startswith("file:") else f"file://{url}")
-    return fs, path
+class Shard:
+    """The three files of a shard while they are written, under names of one attempt; they get their own when they are whole."""
+
+    def __init__(self, url: str, shard: int, attempt: str):
+        self.fs, self.folder = file_system(url)
+        self.fs.create_dir(self.folder, recursive=True)
+        self.shard, self.attempt = shard, attempt
+        self.ids = self.fs.open_output_stream(self._hidden("ids"))
 
+    def _hidden(self, kind: str) -> str:
+        return f"{self.folder}/.{self.shard:05d}.{kind}.{self.attempt}"
 
-def _put(url: str, attempt: str, parts: dict[str, Sequence[bytes]]) -> None:
-    fs, path = _store(url)
-    fs.create_dir(path, recursive=True)
-    for name, content in parts.items():
-        with fs.open_output_stream(f"{path}/.{name}.{attempt}") as out:
-            for piece in content:
-                out.write(piece)
-        fs.move(f"{path}/.{name}.{attempt}", f"{path}/{name}")
+    def close(self, offsets: np.ndarray, docs: np.ndarray) -> None:
+        self.ids.close()
+        for kind, content in (("off", offsets.astype("<i8")), ("doc", docs.astype("<i8"))):
+            with self.fs.open_output_stream(self._hidden(kind)) as out:
+                out.write(content.tobytes())
+        for kind in ("ids", "off", "doc"):
+            self.fs.move(self._hidden(kind), f"{self.folder}/{self.shard:05d}.{kind}")
 
 
 def _get(url: str, name: str, dtype: str) -> np.ndarray:
-    fs, path = _store(url)
+    fs, path = file_system(url)
     if isinstance(fs, pafs.LocalFileSystem):
         if not fs.get_file_info(f"{path}/{name}").size:
             return np.empty(0, dtype)
@@ -97,7 +136,14 @@ def _get(url: str, name: str, dtype: str) -> np.ndarray:
         return np.frombuffer(content.read(), dtype=dtype)
 
 
-def write(docs: DataFrame, url: str, path: str, end_id: int) -> DataFrame:
+def shard_count(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> int:
+    size = estimated_bytes(docs)
+    if size > UNKNOWN_BYTES:
+        size = id_and_text(docs).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
+
+
+def write(docs: DataFrame, url: str, path: str, end_id: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode and write all documents; (shard, base, n_docs, n_tokens) of each shard, in order.
 
     One shuffle deals the texts by ranges of document id. Only the shards' counts reach the driver.
@@ -111,29 +157,32 @@ def write(docs: DataFrame, url: str, path: str, end_id: int) -> DataFrame:
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        shard, own = task.partitionId(), memory(path, dtype)
-        ids: list[int] = []
+        number, own = task.partitionId(), Encoder(path, dtype)
+        shard: Shard | None = None
+        ids: list[np.ndarray] = []
         sizes: list[int] = []
-        blocks: list[bytes] = []
         # nothing here is cyclic, and the memory's many objects are dear to look through again and again
         gc.disable()
         try:
             for batch in slices(batches):
-                ids += [NO_ID if x is None else x for x in batch.column(0).to_pylist()]
-                rows = [b"".join(row) + end for row in own.values(texts_of(batch.column(1)))]
+                shard = shard or Shard(url, number, f"{task.stageId()}-{task.taskAttemptId()}")
+                ids.append(batch.column(0).fill_null(int(NO_ID)).to_numpy(zero_copy_only=False))
+                rows = [row + end for row in own.rows(texts_of(batch.column(1)))]
                 sizes += [len(r) // step for r in rows]
-                blocks.append(b"".join(rows))
+                shard.ids.write(b"".join(rows))
         finally:
             gc.enable()
-        offsets = np.zeros(len(sizes) + 1, dtype="<i8")
-        np.cumsum(sizes, out=offsets[1:])
-        if ids:
-            _put(url, f"{task.stageId()}-{task.taskAttemptId()}", {f"{shard:05d}.ids": blocks, f"{shard:05d}.off": [offsets.tobytes()], f"{shard:05d}.doc": [np.array(ids, dtype="<i8").tobytes()]})
-            yield pa.record_batch([pa.array([shard], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([int(offsets[-1])], pa.int64())], names=["shard", "n_docs", "n_tokens"])
-
-    rows = id_and_text(docs)
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    told = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(run, "shard int, n_docs long, n_tokens long").collect()
+        if shard is not None:
+            offsets = np.zeros(len(sizes) + 1, dtype="<i8")
+            np.cumsum(sizes, out=offsets[1:])
+            shard.close(offsets, np.concatenate(ids))
+            yield pa.record_batch([pa.array([number], pa.int32()), pa.array([len(sizes)], pa.int64()), pa.array([int(offsets[-1])], pa.int64())], names=["shard", "n_docs", "n_tokens"])
+
+    # in the order of these, rows that are alike in id and text come in any order: the files are the same
+    order = ["doc_id", F.xxhash64("text"), F.monotonically_increasing_id()]
+    rows = id_and_text(docs).select("*", *[c.alias(f"order{k}") for k, c in enumerate(order[1:])])
+    order = ["doc_id", "order0", "order1"]
+    told = rows.repartitionByRange(shard_count(docs, shard_bytes), *order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(run, "shard int, n_docs long, n_tokens long").collect()
     out, base = [], 0
     for row in sorted(told):
         out.append((row.shard, base, row.n_docs, row.n_tokens, dtype))
@@ -141,6 +190,10 @@ def write(docs: DataFrame, url: str, path: str, end_id: int) -> DataFrame:
     return spark.createDataFrame(out, "shard int, base long, n_docs long, n_tokens long, dtype string")
 
 
+#: Documents whose numbers are put out at once.
+READ_ROWS = 1 << 14
+
+
 def read(shards: DataFrame, url: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files."""
 
@@ -148,11 +201,12 @@ def read(shards: DataFrame, url: str) -> DataFrame:
         for batch in batches:
             for shard, base, _, _, dtype in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids, offsets, docs = _get(url, f"{shard:05d}.ids", dtype), _get(url, f"{shard:05d}.off", "<i8"), _get(url, f"{shard:05d}.doc", "<i8")
-                wide = ids.astype("<u4")
-                crc = [zlib.crc32(wide[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                yield pa.record_batch([pa.array(docs, pa.int64(), mask=docs == NO_ID), pa.array(offsets[:-1] + base), pa.array(np.diff(offsets)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                for first in range(0, len(docs), READ_ROWS):
+                    own, at = docs[first : first + READ_ROWS], offsets[first : first + READ_ROWS + 1]
+                    crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+                    yield pa.record_batch([pa.array(own, pa.int64(), mask=own == NO_ID), pa.array(at[:-1] + base), pa.array(np.diff(at)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    count = max(1, int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    count = max(int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")), shards.count())
     return shards.repartition(count, "shard").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

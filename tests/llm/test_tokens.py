@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from cellstrand.llm import ann, byte_bpe, chunks, queries, token_files
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-EDGES = ["", " ", "  a", "a  b", "a \n b", "don't we'll I'M", "tab\tx", " x y", "x  y", "a" * 3000, "漢字 かな", "<|endoftext|> z", "\x00\x01", "é" * 200, " lead", "trail "]
+EDGES = ["", " ", "  a", "a  b", "a \n b", "don't we'll I'M", "tab\tx", " x y", "x  y", "a" * 3000, "漢字 かな", "<|endoftext|> z", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>y. <|endoftext", "Слово слово, ελληνικά 𐓏𐓘 ", "\x00\x01", "é" * 200, " lead", "trail "]
 
 
 @pytest.fixture(scope="module")
@@ -57,17 +57,22 @@ def test_chunks_put_together_are_the_text():
         assert "".join(c for (c,) in memory.values([text])[0]) == text
 
 
+def hashes(spark, texts):
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", F.xxhash64("t").alias("h")).collect()
+    return {r.k: r.h for r in rows}
+
+
 def test_token_files_against_the_library(spark, tmp_path):
     path = public_tokenizers.path("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
     rows = [(k * 3 % 17, t) for k, t in enumerate(EDGES)] + [(None, "null id"), (50, None), (50, None)]
     docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id long, text string, start int").repartition(5)
     url = f"file://{tmp_path}/tokens"
     shards = token_files.write(docs, url, path, 2)
     got = sorted(((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in token_files.read(shards, url).collect()))
-    start, wanted = 0, []
-    for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode())):
+    start, wanted, hashed = 0, [], hashes(spark, [t for _, t in rows])
+    for k in sorted(range(len(rows)), key=lambda k: (rows[k][0] is not None, rows[k][0] or 0, hashed[k])):
+        d, t = rows[k]
         ids = [*library.encode(t or "", add_special_tokens=False).ids, 2]
         wanted.append((start, d, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
         start += len(ids)
@@ -78,10 +83,29 @@ def test_token_files_against_the_library(spark, tmp_path):
     assert token_files.width(70_000, 2) == "<u4"
 
 
-def test_token_files_query(spark, sf_dir):
-    got = queries.op9_token_files(spark, sf_dir).orderBy("start").collect()
-    ids = [r.doc_id for r in got]
-    assert ids == sorted(ids) and [r.start for r in got] == np.r_[0, np.cumsum([r.n_tokens for r in got])][:-1].tolist()
+def test_special_strings_become_their_ids():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    special = Tokenizer.from_file(path).token_to_id("<|endoftext|>")
+    row = np.frombuffer(token_files.Encoder(path, "<u2").rows(["plain", "a <|endoftext|> b"])[1], dtype="<u2")
+    assert len(row) == 4 and special in row
+
+
+def test_rows_of_one_id_are_spread_over_shards(spark, tmp_path):
+    docs = spark.range(600).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    shards = token_files.write(docs, str(tmp_path / "hot"), public_tokenizers.path("byte_bpe_50k.json"), 2, shard_bytes=1000).collect()
+    assert len(shards) > 8 and max(r.n_docs for r in shards) < 200 and sum(r.n_docs for r in shards) == 600
+    assert [r.base for r in shards] == np.r_[0, np.cumsum([r.n_tokens for r in shards])][:-1].tolist()
+
+
+def test_token_files_query_against_the_library(spark, sf_dir):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in queries.op9_token_files(spark, sf_dir).orderBy("start").collect()]
+    start, wanted = 0, []
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect():
+        ids = [*library.encode(r.text or "", add_special_tokens=False).ids, 2]
+        wanted.append((r.doc_id, start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes())))
+        start += len(ids)
+    assert got == wanted
 
 
 def test_neighbours_recall(spark, sf_dir):
