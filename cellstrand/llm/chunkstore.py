@@ -27,15 +27,15 @@ def number_of(partition: int, count: int) -> int:
     return partition << 24 | count
 
 
-def _put(fs: pafs.FileSystem, folder: str, chunk: int, attempt: int, table: pa.Table) -> None:
+def put_table(fs: pafs.FileSystem, folder: str, chunk: int, attempt: int, table: pa.Table) -> None:
     name = f"{folder}/.{chunk}.{attempt}"
     with fs.open_output_stream(name) as out:
         pq.write_table(table, out, compression="zstd", use_dictionary=False)
     fs.move(name, f"{folder}/{chunk}.parquet")
 
 
-def store(docs: DataFrame, measure: Measure, text: str = "text", most: int = 12 << 20) -> tuple[str, DataFrame]:
-    """Write docs in chunks; the folder, and a stored table (chunk, size) with the number that `measure` gives each chunk.
+def store(docs: DataFrame, measure: Measure, text: str = "text", most: int = 12 << 20, kept: list[str] | None = None) -> tuple[str, DataFrame]:
+    """Write docs, or the columns `kept`, in chunks; the folder, and a stored table (chunk, size) with the number that `measure` gives each chunk.
 
     Tables that `measure` returns by name are kept beside the chunk. A text longer than `most` is a chunk of its own or ends one.
     """
@@ -53,11 +53,11 @@ def store(docs: DataFrame, measure: Measure, text: str = "text", most: int = 12
 
         def put() -> pa.RecordBatch:
             chunk, table = number_of(task.partitionId(), count), pa.Table.from_batches(held)
-            _put(fs, path, chunk, task.taskAttemptId(), table)
+            put_table(fs, path, chunk, task.taskAttemptId(), table if kept is None else table.select(kept))
             n, beside = measure(table)
             for name, more in beside.items():
                 fs.create_dir(f"{path}/{name}", recursive=True)
-                _put(fs, f"{path}/{name}", chunk, task.taskAttemptId(), more)
+                put_table(fs, f"{path}/{name}", chunk, task.taskAttemptId(), more)
             return pa.record_batch([pa.array([chunk], pa.int64()), pa.array([n], pa.int64())], names=["chunk", "size"])
 
         for piece in slices(batches, at):

@@ -1,38 +1,46 @@
 """Benchmark decontamination by a distributed positional inverted index.
 
-The training table is indexed in document-partitioned shards: for each slice of documents the
-postings (term, word position) of all terms that the benchmark uses, sorted by term and position. A
-window of benchmark words is found by taking its terms from the rarest in the shard to the most
+`build` indexes the training table once: its documents are dealt to shards of about SHARD_BYTES of
+text, and each shard keeps, on shared storage, its terms with their counts, the places of all its
+words sorted by term (the postings), and where its documents begin. Nothing in it depends on a
+benchmark; any number of benchmarks are searched in a stored index, which holds no texts.
+
+A window of benchmark words is found in a shard by taking its terms from the rarest there to the most
 frequent: the postings of the first, less the term's offset in the window, are candidate starts, and
-every further list, shifted by its own offset, is intersected with what is left. Documents stand
-apart by more than a window's length in a shard's positions, so no match crosses them. A shard lives
-where its documents are read, so neither postings nor texts are shuffled, and a term or passage that
-is in a third of all documents is spread as the documents are.
+every further list, shifted by its own offset, is intersected with what is left. A match that would
+cross two documents is none. Postings of terms that the benchmark has not are not looked at. Shards
+are of equal size whatever their terms, so a term or passage that is in a third of all documents is
+spread as the documents are; postings are not shuffled.
 
-The benchmark goes to all tasks in blocks of at most BLOCK_BYTES of text; a larger one is searched
-block by block, with what was found so far kept beside the documents in shared storage.
+The benchmark's windows are made on executors, in blocks of about BLOCK_BYTES of its texts (or one
+item), and kept on shared storage; a task holds one block at a time. Neither texts nor windows come to
+the driver.
 
 Defined results: null or empty texts have no words and no hits; items without words, or with a null
 id, have no window; rows of one item id count as one item; rows that share a document id stay
-separate; other columns are not read; texts are taken whole.
+separate; other columns are not read (`clean` keeps them); texts are taken whole.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellstrand.llm.common import bytes_of, id_and_text, kept_rows, slices, stored
+from cellstrand.llm import chunkstore
+from cellstrand.llm.common import bytes_of, cuts, file_system, id_and_text, shared_dir
 
 #: Words of a window.
 WINDOW = 10
-#: Bytes of benchmark text that are searched at once.
-BLOCK_BYTES = 16 << 20
+#: Text of a shard, and bytes of benchmark text whose windows are searched at once, about.
+SHARD_BYTES, BLOCK_BYTES = 12 << 20, 1 << 20
 
 #: ASCII letters and digits, and all bytes of other characters, are of words; A-Z lower-cased.
 FOLD = bytes(b if b >= 0x80 or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
@@ -42,42 +50,107 @@ def words_of(text: bytes) -> list[bytes]:
     return text.translate(FOLD).split()
 
 
-class Windows:
-    """Distinct windows of a block of items, as term numbers, with the items that hold each."""
+class Numbers(dict):
+    """Numbers of words, given out as they are first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
 
-    def __init__(self, items: list[tuple[int, bytes]], size: int = WINDOW):
-        self.size = size
-        self.terms: dict[bytes, int] = {}
-        holders: dict[tuple[int, ...], set[int]] = {}
+@dataclass
+class Windows:
+    """Distinct windows of a block of items: the block's terms, the windows' term numbers (-1 behind the end) and lengths, and the items that hold each."""
+
+    terms: pa.Array
+    term: np.ndarray
+    length: np.ndarray
+    item_at: np.ndarray
+    item: np.ndarray
+
+    @classmethod
+    def of(cls, items: list[tuple[int, bytes]], size: int = WINDOW) -> Windows:
+        numbers = Numbers()
+        rows, held = [], []
         for item, text in items:
-            numbers = [self.terms.setdefault(w, len(self.terms)) for w in words_of(text)]
-            for at in range(max(1, len(numbers) - size + 1)):
-                if window := tuple(numbers[at : at + size]):
-                    holders.setdefault(window, set()).add(item)
-        self.length = np.array([len(w) for w in holders], dtype=np.int64)
-        self.term = np.array([w + (-1,) * (size - len(w)) for w in holders], dtype=np.int64).reshape(-1, size)
-        held = [sorted(h) for h in holders.values()]
-        self.item_at = np.concatenate([[0], np.cumsum([len(h) for h in held])]).astype(np.int64)
-        self.item = np.array([i for h in held for i in h], dtype=np.int64)
+            word = np.array([numbers[w] for w in words_of(text)], dtype=np.int32)
+            if not len(word):
+                continue
+            row = np.lib.stride_tricks.sliding_window_view(word, size) if len(word) >= size else np.pad(word, (0, size - len(word)), constant_values=-1)[None]
+            rows.append(row)
+            held.append(np.full(len(row), item))
+        if not rows:
+            none = np.empty(0, dtype=np.int64)
+            return cls(pa.array([], pa.binary()), np.empty((0, size), dtype=np.int32), none, np.zeros(1, dtype=np.int64), none)
+        term, window = np.unique(np.concatenate(rows), axis=0, return_inverse=True)
+        pairs = np.unique(np.stack([window.reshape(-1), np.concatenate(held)], 1), axis=0)
+        at = np.searchsorted(pairs[:, 0], np.arange(len(term) + 1))
+        return cls(pa.array(list(numbers), pa.binary()), term, (term >= 0).sum(1), at, np.ascontiguousarray(pairs[:, 1]))
+
+    def tables(self) -> dict[str, pa.Table]:
+        width = self.term.shape[1]
+        term = pa.FixedSizeListArray.from_arrays(pa.array(self.term.reshape(-1)), width)
+        item = pa.ListArray.from_arrays(pa.array(self.item_at.astype(np.int32)), pa.array(self.item))
+        return {"terms": pa.table({"term": self.terms}), "windows": pa.table({"term": term, "item": item})}
+
+    @classmethod
+    def read(cls, url: str, block: int) -> Windows:
+        windows = chunkstore.read(f"{url}/windows", block).combine_chunks()
+        item, term = windows.column("item").combine_chunks(), windows.column("term").combine_chunks()
+        values = term.flatten().to_numpy().reshape(len(term), -1)
+        return cls(chunkstore.read(f"{url}/terms", block).column("term").combine_chunks(), values, (values >= 0).sum(1), np.r_[0, np.cumsum(pc.list_value_length(item).to_numpy())].astype(np.int64), item.flatten().to_numpy())
+
+
+@lru_cache(maxsize=1)
+def windows_of(url: str, block: int) -> Windows:
+    return Windows.read(url, block)
+
+
+def prepared(benchmark: DataFrame, size: int = WINDOW, most: int = BLOCK_BYTES) -> tuple[str, list[int]]:
+    """The windows of all items, in blocks on shared storage: the folder and the blocks' numbers."""
+    url = shared_dir(benchmark.sparkSession, "benchmark")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        held = [(i, t) for batch in batches for i, t in zip(batch.column(0).to_pylist(), bytes_of(batch.column(1)), strict=True)]
+        if not held:
+            return
+        fs, path = file_system(url)
+        for name, table in Windows.of(held, size).tables().items():
+            fs.create_dir(f"{path}/{name}", recursive=True)
+            chunkstore.put_table(fs, f"{path}/{name}", task.partitionId(), task.taskAttemptId(), table)
+        yield pa.record_batch([pa.array([task.partitionId()], pa.int32())], names=["block"])
+
+    made = items.repartition(max(1, -(-total // most)), F.xxhash64("item_id", "text")).mapInArrow(run, "block int").collect()
+    return url, sorted(r.block for r in made)
 
 
 class Shard:
-    """Positional inverted index of some documents over given terms."""
-
-    def __init__(self, texts: list[bytes], terms: dict[bytes, int], gap: int = WINDOW):
-        number = terms.get
-        rows = [[number(w, -1) for w in words_of(t)] for t in texts]
-        self.n_words = np.array([len(r) for r in rows], dtype=np.int64)
-        #: where each document's words begin; `gap` places between two documents
-        self.begin = np.concatenate([[0], np.cumsum(self.n_words + gap)])
-        self.end = int(self.begin[-1]) + 1
-        term = np.array([t for r in rows for t in r], dtype=np.int64)
-        place = np.arange(len(term)) + np.repeat(np.arange(len(rows)) * gap, self.n_words)
-        known = term >= 0
-        #: postings: term * end + place, ascending
-        self.postings = np.sort(term[known] * self.end + place[known])
-        self.count = np.bincount(term[known], minlength=len(terms)) if len(terms) else np.zeros(0, dtype=np.int64)
-        self.first = np.concatenate([[0], np.cumsum(self.count)])
+    """Postings of some terms in a shard: their counts, and their places by term, ascending; where documents begin."""
+
+    def __init__(self, count: np.ndarray, place: np.ndarray, n_words: np.ndarray):
+        self.n_words, self.begin = n_words, np.r_[0, np.cumsum(n_words)].astype(np.int64)
+        self.end = int(self.begin[-1])
+        self.count, self.first = count, np.r_[0, np.cumsum(count)].astype(np.int64)
+        #: term * end + place, ascending
+        self.postings = np.repeat(np.arange(len(count)), count) * self.end + place
+
+    @classmethod
+    def read(cls, url: str, shard: int, terms: pa.Array) -> Shard:
+        """A stored shard's postings of the given terms, numbered as given."""
+        own = chunkstore.read(f"{url}/terms", shard)
+        found = pc.fill_null(pc.index_in(terms, value_set=own.column("term").combine_chunks()), -1).to_numpy()
+        size = own.column("count").to_numpy()
+        first = np.cumsum(size) - size
+        count = np.where(found >= 0, size[found] if len(size) else 0, 0).astype(np.int64)
+        begin = np.where(found >= 0, first[found] if len(size) else 0, 0)
+        at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
+        place = chunkstore.read(f"{url}/places", shard).column("place").to_numpy()[at].astype(np.int64)
+        return cls(count, place, chunkstore.read(f"{url}/sizes", shard).column("n_words").to_numpy())
 
     def has(self, term: np.ndarray, place: np.ndarray) -> np.ndarray:
         """Whether the postings of each term hold the place."""
@@ -85,7 +158,7 @@ class Shard:
             return np.zeros(len(term), dtype=bool)
         key = term * self.end + place
         at = np.minimum(np.searchsorted(self.postings, key), len(self.postings) - 1)
-        return (self.postings[at] == key) & (place >= 0)
+        return (self.postings[at] == key) & (place >= 0) & (place < self.end)
 
     def phrases(self, windows: Windows) -> tuple[np.ndarray, np.ndarray]:
         """Every occurrence of every window: the window's number and its first place."""
@@ -96,16 +169,18 @@ class Shard:
         count = np.where(inside, self.count[windows.term], np.iinfo(np.int64).max)
         live = np.flatnonzero(count.min(1) > 0)
         rare = np.argsort(count[live], axis=1, kind="stable")
-        term, length = windows.term[live], windows.length[live]
+        term, length = windows.term[live].astype(np.int64), windows.length[live]
         offset = rare[:, 0]
         lead = term[np.arange(len(live)), offset]
         size = self.count[lead]
         row = np.repeat(np.arange(len(live)), size)
         within = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
         start = self.postings[self.first[lead][row] + within] - lead[row] * self.end - offset[row]
-        kept = start >= 0
+        last = start + length[row] - 1
+        kept = (start >= 0) & (last < self.end)
+        kept[kept] = self.document(start[kept]) == self.document(last[kept])
         row, start = row[kept], start[kept]
-        for k in range(1, windows.size):
+        for k in range(1, windows.term.shape[1]):
             offset = rare[row, k]
             ends = k >= length[row]
             kept = ends | self.has(np.where(ends, 0, term[row, offset]), start + offset)
@@ -129,106 +204,119 @@ class Shard:
         return np.searchsorted(self.begin, place, side="right") - 1
 
 
-def blocks_of(benchmark: DataFrame, most: int = BLOCK_BYTES) -> Iterator[list[tuple[int, bytes]]]:
-    """The items in blocks of at most `most` bytes (or one item), read one block at a time."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = -(-total // most) if total else 0
-    for k in range(parts):
-        part = items if parts == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
-        yield [(r.item_id, r.text.encode()) for r in part.collect()]
-
-
-STATE = "doc_id long, text string, hit binary, items array<long>"
-
-
-def hits(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, text, hit (a bit for each word, null if none) and items of every document."""
-    state = id_and_text(docs).select("doc_id", "text", F.lit(None).cast("binary").alias("hit"), F.lit(None).cast("array<long>").alias("items"))
-    for k, block in enumerate(blocks_of(benchmark, most)):
-        sent = docs.sparkSession.sparkContext.broadcast(Windows(block, size))
-
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            windows = sent.value
-            for batch in slices(batches):
-                yield marked(batch, windows)
-
-        state = (stored(state, "hits") if k else state).mapInArrow(run, STATE)
-    return state
-
-
-def marked(batch: pa.RecordBatch, windows: Windows) -> pa.RecordBatch:
-    """A slice of the state with the hits of a block added."""
-    shard = Shard(bytes_of(batch.column(1)), windows.terms, windows.size)
-    window, start = shard.phrases(windows)
-    change = np.zeros(shard.end + windows.size, dtype=np.int32)
-    np.add.at(change, start, 1)
-    np.add.at(change, start + windows.length[window], -1)
-    covered = np.cumsum(change) > 0
-    document = shard.document(start)
-    size = np.diff(windows.item_at)[window]
-    within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    item = windows.item[np.repeat(windows.item_at[window], size) + within]
-    found: dict[int, set[int]] = {}
-    for d, i in np.unique(np.stack([np.repeat(document, size), item], 1), axis=0).tolist():
-        found.setdefault(d, set()).add(i)
-    bits, items = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-    for d, more in found.items():
-        own = covered[shard.begin[d] : shard.begin[d] + shard.n_words[d]]
-        if bits[d] is not None:
-            own = own | np.unpackbits(np.frombuffer(bits[d], dtype=np.uint8), count=len(own)).astype(bool)
-        bits[d] = np.packbits(own).tobytes()
-        items[d] = sorted(more.union(items[d] or ()))
-    return pa.record_batch([batch.column(0), batch.column(1), pa.array(bits, pa.binary()), pa.array(items, pa.list_(pa.int64()))], names=["doc_id", "text", "hit", "items"])
-
-
-def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: int = BLOCK_BYTES) -> DataFrame:
-    """docs, all columns, without the rows whose text holds a window of the benchmark."""
-    for block in blocks_of(benchmark, most):
-        sent = docs.sparkSession.sparkContext.broadcast(Windows(block, size))
+def shard_tables(table: pa.Table, text: str) -> dict[str, pa.Table]:
+    """What a shard keeps of its documents: terms with counts, places by term, and the documents' sizes."""
+    numbers = Numbers()
+    term, sizes = [np.empty(0, dtype=np.int64)], []
+    for part in table.column(text).chunks:
+        for a, b in cuts(part):
+            rows = [words_of(t) for t in bytes_of(part.slice(a, b - a))]
+            sizes += [len(r) for r in rows]
+            term.append(np.fromiter((numbers[w] for r in rows for w in r), dtype=np.int64, count=sum(map(len, rows))))
+    every = np.concatenate(term)
+    end = max(1, len(every))
+    postings = np.sort(every * end + np.arange(len(every)))
+    place = (postings % end).astype(np.uint32 if end < 1 << 32 else np.int64)
+    return {
+        "terms": pa.table({"term": pa.array(list(numbers), pa.binary()), "count": np.bincount(every, minlength=len(numbers))}),
+        "places": pa.table({"place": place}),
+        "sizes": pa.table({"n_words": np.array(sizes, dtype=np.int64)}),
+    }
+
+
+@dataclass
+class Index:
+    """A stored index: the shards' folder, their table (chunk, size), and the columns kept of each document."""
+
+    url: str
+    shards: DataFrame
+    kept: list[str]
+
+
+def build(docs: DataFrame, text: str = "text", kept: list[str] | None = None, shard_bytes: int = SHARD_BYTES) -> Index:
+    """Index all documents; `kept`: the columns to keep of each (its id only, unless given)."""
+    kept = ["doc_id"] if kept is None else kept
+    url, shards = chunkstore.store(docs, lambda table: (table.num_rows, shard_tables(table, text)), text, shard_bytes, kept)
+    return Index(url, shards, kept)
+
+
+def found_in(index_url: str, shard: int, benchmark_url: str, blocks: list[int]) -> tuple[np.ndarray, np.ndarray, dict[int, set[int]]]:
+    """Of a shard's documents: numbers of words and of words hit, and the items that each holds a window of."""
+    n_words = chunkstore.read(f"{index_url}/sizes", shard).column("n_words").to_numpy()
+    covered = np.zeros(int(n_words.sum()), dtype=bool)
+    items: dict[int, set[int]] = {}
+    for block in blocks:
+        windows = windows_of(benchmark_url, block)
+        own = Shard.read(index_url, shard, windows.terms)
+        window, start = own.phrases(windows)
+        change = np.zeros(own.end + 1, dtype=np.int32)
+        np.add.at(change, start, 1)
+        np.add.at(change, start + windows.length[window], -1)
+        covered |= np.cumsum(change[:-1]) > 0
+        size = np.diff(windows.item_at)[window]
+        within = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        item = windows.item[np.repeat(windows.item_at[window], size) + within]
+        for d, i in np.unique(np.stack([np.repeat(own.document(start), size), item], 1), axis=0).tolist():
+            items.setdefault(d, set()).add(i)
+    total = np.r_[0, np.cumsum(covered)]
+    ends = np.cumsum(n_words)
+    return n_words, total[ends] - total[ends - n_words], items
+
+
+def report(docs: DataFrame | Index, benchmark: DataFrame, size: int = WINDOW, most: int = BLOCK_BYTES, **options) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document, of a table or of its index."""
+    index = docs if isinstance(docs, Index) else build(id_and_text(docs), **options)
+    url, blocks = prepared(benchmark, size, most)
+    index_url = index.url
 
-        def keep(texts: list[str], sent=sent) -> np.ndarray:
-            windows = sent.value
-            shard = Shard([t.encode() for t in texts], windows.terms, windows.size)
-            out = np.ones(len(texts), dtype=bool)
-            out[shard.document(shard.phrases(windows)[1])] = False
-            return out
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
+                n_words, n_hit, found = found_in(index_url, shard, url, blocks)
+                items = [sorted(map(str, found.get(d, ()))) for d in range(len(n_words))]
+                digest = [hashlib.sha256(",".join(i).encode()).hexdigest() for i in items]
+                ids = chunkstore.read(index_url, shard, ["doc_id"]).column(0).combine_chunks().cast(pa.int64())
+                yield pa.record_batch(
+                    [ids, pa.array(n_words), pa.array(n_hit.astype(np.int64)), pa.array([len(i) for i in items], pa.int64()), pa.array(digest, pa.string()), pa.array(n_hit > 0)],
+                    names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
+                )
 
-        docs = kept_rows(docs, keep)
-    return docs
+    return chunkstore.dealt(index.shards).mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
 
 
-def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: int = BLOCK_BYTES, **options) -> DataFrame:
+    """docs, all columns, without the rows whose text holds a window of the benchmark."""
+    index = build(docs, kept=docs.columns, **options)
+    url, blocks = prepared(benchmark, size, most)
+    index_url = index.url
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            n_words = [len(words_of(t)) for t in bytes_of(batch.column(1))]
-            n_hit = [0 if b is None else int(np.unpackbits(np.frombuffer(b, dtype=np.uint8)).sum()) for b in batch.column(2).to_pylist()]
-            items = [sorted(map(str, i or ())) for i in batch.column(3).to_pylist()]
-            digest = [hashlib.sha256(",".join(i).encode()).hexdigest() for i in items]
-            yield pa.record_batch(
-                [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([len(i) for i in items], pa.int64()), pa.array(digest, pa.string()), pa.array([n > 0 for n in n_hit], pa.bool_())],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
-            )
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
+                n_hit = found_in(index_url, shard, url, blocks)[1]
+                yield from chunkstore.read(index_url, shard).filter(pa.array(n_hit == 0)).to_batches()
 
-    return hits(docs, benchmark, size, most).mapInArrow(run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return chunkstore.dealt(index.shards).mapInArrow(run, docs.schema)
 
 
-def near_matches(docs: DataFrame, queries: list[str], width: int) -> DataFrame:
+def near_matches(docs: DataFrame | Index, queries: list[str], width: int, **options) -> DataFrame:
     """doc_id, query (its index), word: where all words of a query stand within `width` words of its rarest."""
+    index = docs if isinstance(docs, Index) else build(id_and_text(docs), **options)
+    url, numbers = index.url, Numbers()
+    split = [[numbers[w] for w in words_of(q.encode())] for q in queries]
+    terms = list(numbers)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split = [words_of(q.encode()) for q in queries]
-        terms = {w: k for k, w in enumerate(dict.fromkeys(w for q in split for w in q))}
-        for batch in slices(batches):
-            shard, ids = Shard(bytes_of(batch.column(1)), terms, width + 1), batch.column(0).to_pylist()
-            for k, words in enumerate(split):
-                place = shard.near([terms[w] for w in words], width) if words else np.empty(0, dtype=np.int64)
-                document = shard.document(place)
-                yield pa.record_batch([pa.array([ids[d] for d in document], pa.int64()), pa.array([k] * len(place), pa.int32()), pa.array(place - shard.begin[document], pa.int64())], names=["doc_id", "query", "word"])
-
-    return id_and_text(docs).mapInArrow(run, "doc_id long, query int, word long")
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
+                own = Shard.read(url, shard, pa.array(terms, pa.binary()))
+                ids = chunkstore.read(url, shard, ["doc_id"]).column(0).combine_chunks().cast(pa.int64())
+                for k, words in enumerate(split):
+                    place = own.near(words, width) if words else np.empty(0, dtype=np.int64)
+                    document = own.document(place)
+                    yield pa.record_batch([ids.take(pa.array(document)), pa.array([k] * len(place), pa.int32()), pa.array(place - own.begin[document], pa.int64())], names=["doc_id", "query", "word"])
+
+    return chunkstore.dealt(index.shards).mapInArrow(run, "doc_id long, query int, word long")
 
 
 ORACLE = r"""

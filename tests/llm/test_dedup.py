@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import shutil
 import time
 
 import numpy as np
@@ -271,6 +272,21 @@ def test_decontamination_against_brute_force(spark, seed, most):
     assert decontaminate.report(docs.limit(0), benchmark).count() == 0 and decontaminate.report(docs, benchmark.limit(0)).where("contaminated").count() == 0
 
 
+def test_a_stored_index_serves_other_benchmarks_without_the_texts(spark, tmp_path):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice("abcd") for _ in range(rng.randint(0, 40))) for _ in range(50)]
+    spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/docs")
+    index = decontaminate.build(spark.read.parquet(f"{tmp_path}/docs"), shard_bytes=200)
+    shutil.rmtree(f"{tmp_path}/docs")
+    for seed in (1, 2):
+        rng = random.Random(seed)
+        items = [(k, " ".join(rng.choice("abcd") for _ in range(rng.randint(0, 12)))) for k in range(30)]
+        got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontaminate.report(index, spark.createDataFrame(items, "item_id long, text string"), most=100).collect()}
+        assert [got[k] for k in range(50)] == brute_hits([t.encode() for t in texts], [(i, t.encode()) for i, t in items])
+    near = {(r.doc_id, r.word) for r in decontaminate.near_matches(index, ["a b c"], 2).collect()}
+    assert near and all({"a", "b", "c"} <= set(texts[d].split()[max(0, w - 2) : w + 3]) for d, w in near)
+
+
 def test_near_matches(spark):
     docs = spark.createDataFrame([(1, "cat x x dog y y y y cat"), (2, "dog"), (3, None)], "doc_id long, text string")
     got = {(r.doc_id, r.query, r.word) for r in decontaminate.near_matches(docs, ["Dog cat", "", "bird"], 3).collect()}
