@@ -1,10 +1,12 @@
 """Toxicity: subword-bag embeddings, averaged, into a linear softmax; trained jointly in numpy.
 
 A word's vector is the mean of the embeddings of its character n-grams and of the word itself, so a
-misspelling that was never seen shares most of its n-grams' vectors. A text is cut into spans of
-words; a span's words are averaged and go to the softmax, and the text's score is that of its most
-toxic span, so one insult in a long text counts as much as in a short one. Training knows labels of
-texts only and averages whole texts; spans are used for scoring.
+misspelling that was never seen shares most of its n-grams' vectors. A text's spans of words are
+averaged and go to the softmax, and the text's score is the softmax of its most toxic span, so one
+insult in a long text counts as much as in a short one. Training knows labels of texts only. It learns
+embeddings and softmax together, first on the averages of whole texts, which tells where to look, and
+then on the average of each text's most toxic span as the model sees it at that step: what is trained
+in the end is what is scored, and nothing is fitted behind the softmax.
 
 Averages and softmax are linear up to the logistic, hence a trained model is one number for each
 n-gram bucket; a worker keeps each distinct word's number, and scoring is a table look-up a word.
@@ -17,7 +19,7 @@ of them, every score is 0.5 (no model can be trained).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,8 @@ DIM = 4
 SPAN = 5
 #: Averages are multiplied by SCALE before the softmax; RATE, DECAY and STEPS are the descent's.
 SCALE, RATE, DECAY, STEPS = 100.0, 0.03, 1e-4, 80
+#: Steps of the descent on most toxic spans, its rate, and after how many steps the spans are looked for again.
+SPAN_STEPS, SPAN_RATE, RENEWED = 80, 0.003, 4
 #: Words in fewer training texts are not trained on.
 LEAST_TEXTS = 3
 #: Labelled texts that a model is fitted on, at most, of each class.
@@ -88,75 +92,113 @@ def span_means(numbers: np.ndarray) -> np.ndarray:
     return (total[SPAN:] - total[:-SPAN]) / SPAN
 
 
-def train(texts: list[str], toxic: list[int], steps: int = STEPS, seed: int = 7) -> Model:
-    """Embeddings and softmax learnt together on the texts' averages, by adaptive moments with decay.
-
-    What stands in few texts is left out, so single texts are not learnt by heart. The last two parameters, a slope and an intercept for the most toxic
-    span's average, are then fitted by logistic regression.
+class Bags:
+    """Words of texts as flat numbers, and subwords of words as flat numbers of the subwords that are trained."""
+
+    def __init__(self, texts: list[str]):
+        index: dict[str, int] = {}
+        rows = [np.array([index.setdefault(w, len(index)) for w in words_of(t)], dtype=np.int64) for t in texts]
+        self.size = np.array([len(r) for r in rows], dtype=np.int64)
+        self.word = np.concatenate([*rows, np.empty(0, dtype=np.int64)])
+        self.text = np.repeat(np.arange(len(rows)), self.size)
+        self.begin = np.cumsum(self.size) - self.size
+        buckets = [subwords(w) for w in index]
+        self.grams = np.array([len(b) for b in buckets], dtype=np.int64)
+        #: buckets of words that stand in LEAST_TEXTS texts are trained, the others stay 0
+        often = np.bincount(self.word, minlength=len(index)) >= LEAST_TEXTS
+        self.often = often[self.word]
+        flat = np.concatenate([*map(np.array, buckets), np.empty(0, dtype=np.int64)]).astype(np.int64)
+        owner = np.repeat(np.arange(len(index)), self.grams)
+        self.used = np.unique(flat[often[owner]])
+        known = np.isin(flat, self.used)
+        self.gram, self.owner = np.searchsorted(self.used, flat[known]), owner[known]
+        self.first = np.searchsorted(self.owner, np.arange(len(index) + 1))
+        #: place of a span's last word but SPAN, behind the running sums; a short text is one span
+        self.long = np.flatnonzero(self.size > 0)
+
+    def members(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For some words their trained subwords in a row, and whose each is."""
+        length = self.first[words + 1] - self.first[words]
+        place = np.repeat(self.first[words] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+        return self.gram[place], np.repeat(np.arange(len(words)), length)
+
+    def numbers(self, value: np.ndarray) -> np.ndarray:
+        """A number for every word, from one for each trained subword."""
+        return np.bincount(self.owner, weights=value[self.gram], minlength=len(self.grams)) / self.grams
+
+    def top_spans(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last place (in the flat words) of each text's span of highest mean; of texts with words."""
+        total = np.concatenate([[0.0], np.cumsum(number[self.word])])
+        last = np.minimum(np.arange(len(self.word)) + SPAN, (self.begin + self.size)[self.text])
+        whole = (last - np.arange(len(self.word)) == SPAN) | (np.arange(len(self.word)) == self.begin[self.text])
+        mean = np.where(whole, (total[last] - total[:-1]) / (last - np.arange(len(self.word))), -np.inf)
+        best = np.maximum.reduceat(mean, self.begin[self.long])
+        hit = np.flatnonzero(mean == np.repeat(best, self.size[self.long]))
+        first = hit[np.unique(self.text[hit], return_index=True)[1]]
+        return first, last[first]
+
+
+def train(texts: list[str], toxic: list[int], steps: int = STEPS, span_steps: int = SPAN_STEPS, seed: int = 7) -> Model:
+    """Embeddings and softmax learnt together by adaptive moments with decay: on whole texts' averages, then on top spans'.
+
+    What stands in few texts is left out, so single texts are not learnt by heart.
     """
+    untrained = Model(np.zeros(BUCKETS), 0.0)
     if len(set(toxic)) < 2:
-        return Model(np.zeros(BUCKETS), 0.0)
+        return untrained
+    bags, label = Bags(texts), np.array(toxic, dtype=float)
+    if not len(bags.used):
+        return untrained
     rng = np.random.default_rng(seed)
-    index: dict[str, int] = {}
-    bags = [np.array([index.setdefault(w, len(index)) for w in words_of(t)], dtype=np.int64) for t in texts]
-    label = np.array(toxic, dtype=float)
-    spread = np.bincount(np.concatenate([*bags, np.empty(0, dtype=np.int64)]), minlength=len(index))
-    kept = np.flatnonzero(spread >= LEAST_TEXTS)
-    if not len(kept):
-        return Model(np.zeros(BUCKETS), 0.0)
-    place = np.full(len(index), -1)
-    place[kept] = np.arange(len(kept))
-    names = list(index)
-    grams = [subwords(names[k]) for k in kept]
-    gram_size = np.array([len(g) for g in grams], dtype=np.int64)
-    gram_at = np.concatenate([[0], np.cumsum(gram_size)])[:-1]
-    used, gram = np.unique(np.concatenate(grams), return_inverse=True)
-    by_gram = np.argsort(gram, kind="stable")
-    word_of = np.repeat(np.arange(len(kept)), gram_size)[by_gram]
-    used_at = np.searchsorted(gram[by_gram], np.arange(len(used)))
-    words = [place[b][place[b] >= 0] for b in bags]
-    text_of = np.repeat(np.arange(len(bags)), [len(w) for w in words])
-    word, share = np.concatenate(words), 1 / np.maximum(1, np.array([len(b) for b in bags]))[text_of]
-    by_word = np.argsort(word, kind="stable")
-    word_at = np.searchsorted(word[by_word], np.arange(len(kept)))
-    text_by_word, share_by_word = text_of[by_word], share[by_word][:, None]
-    some = np.flatnonzero(np.bincount(text_of, minlength=len(bags)))
-    some_at = np.searchsorted(text_of, some)
-    embedding, softmax, bias = rng.normal(0, 0.1, (len(used), DIM)), rng.normal(0, 0.5, (2, DIM)), np.zeros(2)
-    moving = [(np.zeros_like(x), np.zeros_like(x)) for x in (embedding, softmax, bias)]
+    embedding, softmax, bias = rng.normal(0, 0.1, (len(bags.used), DIM)), rng.normal(0, 0.5, (2, DIM)), np.zeros(2)
     truth = np.stack([1 - label, label], 1)
     # both classes weigh the same, however many texts they have
     weight = np.where(label == 1, 0.5 / label.sum(), 0.5 / (len(label) - label.sum()))
-    for step in range(1, steps + 1):
-        vector = np.add.reduceat(embedding[gram], gram_at) / gram_size[:, None]
-        hidden = np.zeros((len(bags), DIM))
-        hidden[some] = np.add.reduceat(vector[word] * share[:, None], some_at) * SCALE
-        logit = hidden @ softmax.T + bias
-        odds = np.exp(logit - logit.max(1, keepdims=True))
-        slope = (odds / odds.sum(1, keepdims=True) - truth) * weight[:, None]
-        to_word = np.add.reduceat((slope @ softmax * SCALE)[text_by_word] * share_by_word, word_at) / gram_size[:, None]
-        to_bucket = np.add.reduceat(to_word[word_of], used_at)
-        for value, (first, second), grad in zip((embedding, softmax, bias), moving, (to_bucket + DECAY * embedding, slope.T @ hidden, slope.sum(0)), strict=True):
-            first += 0.1 * (grad - first)
-            second += 0.01 * (grad * grad - second)
-            value -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+
+    def descend(count: int, rate: float, bag: Callable[[], tuple[np.ndarray, np.ndarray, np.ndarray]], renewed: int) -> None:
+        """bag: words, the texts that they stand for, and their shares of the average; asked again each `renewed` steps."""
+        moving = [(np.zeros_like(x), np.zeros_like(x)) for x in (embedding, softmax, bias)]
+        for step in range(1, count + 1):
+            if step % renewed == 1:
+                word, text, share = bag()
+                distinct, number = np.unique(word, return_inverse=True)
+                gram, owner = bags.members(distinct)
+                size = bags.grams[distinct][:, None]
+            vector = summed(owner, embedding[gram], len(distinct)) / size
+            hidden = SCALE * summed(text, vector[number] * share[:, None], len(texts))
+            logit = hidden @ softmax.T + bias
+            odds = np.exp(logit - logit.max(1, keepdims=True))
+            slope = (odds / odds.sum(1, keepdims=True) - truth) * weight[:, None]
+            to_word = summed(number, (slope @ softmax * SCALE)[text] * share[:, None], len(distinct)) / size
+            to_gram = summed(gram, to_word[owner], len(bags.used))
+            for value, (first, second), grad in zip((embedding, softmax, bias), moving, (to_gram + DECAY * embedding, slope.T @ hidden, slope.sum(0)), strict=True):
+                first += 0.1 * (grad - first)
+                second += 0.01 * (grad * grad - second)
+                value -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
+
+    def whole() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return bags.word[bags.often], bags.text[bags.often], 1 / bags.size[bags.text[bags.often]]
+
+    def top_spans() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        first, last = bags.top_spans(bags.numbers(embedding @ (softmax[1] - softmax[0])))
+        size = last - first
+        place = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return bags.word[place], bags.text[place], np.repeat(1 / size, size)
+
+    descend(steps, RATE, whole, steps + 1)
+    # a span's few words stand out more than a whole text's many: the softmax begins with logits of a spread of about 2
+    word, text, share = top_spans()
+    logit = np.bincount(text, weights=SCALE * bags.numbers(embedding @ (softmax[1] - softmax[0]))[word] * share)
+    softmax /= max(1.0, float(logit[np.unique(text)].std()) / 2)
+    descend(span_steps, SPAN_RATE, top_spans, RENEWED)
     number = np.zeros(BUCKETS)
-    number[used] = SCALE * (embedding @ (softmax[1] - softmax[0]))
-    own = Model(number, 0.0)
-    top = np.array([span_means(own.word_numbers(words_of(t))).max() if len(b) else 0.0 for t, b in zip(texts, bags, strict=True)])
-    slope, bias = logistic(top, label, weight)
-    return Model(number * slope, bias)
-
-
-def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of a slightly damped logistic regression on one feature, by Newton's method."""
-    scale = max(float(x.std()), 1e-9)
-    rows, beta, damp = np.stack([x / scale, np.ones(len(x))], 1), np.zeros(2), np.array([1e-4, 1e-8])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(rows @ beta, -30, 30)))
-        bent = (rows * (weight * p * (1 - p))[:, None]).T @ rows + np.diag(damp + 1e-9)
-        beta -= np.linalg.solve(bent, rows.T @ (weight * (p - y)) + damp * beta)
-    return float(beta[0] / scale), float(beta[1])
+    number[bags.used] = SCALE * (embedding @ (softmax[1] - softmax[0]))
+    return Model(number, float(bias[1] - bias[0]))
+
+
+def summed(owner: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
+    """Rows added up by owner."""
+    return np.stack([np.bincount(owner, weights=column, minlength=count) for column in rows.T], 1)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, each: int = SAMPLE_EACH) -> list[tuple[str, int]]:
