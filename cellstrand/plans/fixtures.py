@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,14 +82,13 @@ def gtf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.select("r.feature", "chrom", "r.start", "r.end", "strand", "gene_id", "transcript_id", "gene_name", "line")
 
 
-def labelled_reads(spark: SparkSession, sf_dir: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Records of 32 aligned bases with MD, a line item each, and a SNP list of all mismatches at the seventh base.
+def labelled_reads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Records of 32 aligned bases with MD, one for each line item, and a SNP list of all mismatches at the seventh base.
 
-    Of line items with l_orderkey < 3000 only (FIXTURES.md 3.4), or of the whole table.
+    Every seventeenth part's records have no MD, every nineteenth part's no qualities.
     """
     flag = F.get(F.array(*map(F.lit, (83, 99, 147, 163, 65, 81))), F.col("l_linenumber") - 1)
     li = table(spark, sf_dir, "lineitem")
-    li = li if whole else li.where("l_orderkey < 3000")
     li = li.select(F.xxhash64(key()).alias("idx"), key().alias("qname"), F.coalesce(flag, F.lit(97)).alias("flag"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 3 + 1).cast("string")).alias("rname"), ((F.col("l_partkey") * 37) % 400000).cast("int").alias("pos"), dna(key()).alias("h"), "l_partkey", "l_orderkey")
     li = li.distinct()
 
@@ -98,21 +99,33 @@ def labelled_reads(spark: SparkSession, sf_dir: str, whole: bool = False) -> tup
 
     places = F.sequence(F.lit(1), F.lit(32))
     qual = F.array_join(F.transform(places, lambda o: F.char(F.lit(73) + (F.col("l_orderkey") + o) % 10)), "")
-    rows = li.select("idx", "qname", "flag", "rname", "pos", F.transform(places, base).alias("bases"), qual.alias("qual"))
+    qual, no_md = F.when(F.col("l_partkey") % 19 == 0, F.lit("*")).otherwise(qual), F.col("l_partkey") % 17 == 0
+    rows = li.select("idx", "qname", "flag", "rname", "pos", F.transform(places, base).alias("bases"), qual.alias("qual"), no_md.alias("no_md"))
     start = F.struct(F.lit(0).alias("n"), F.lit("").alias("out"))
     walk = F.aggregate("bases", start, lambda s, b: F.when(b["q"] == b["r"], F.struct((s["n"] + 1).alias("n"), s["out"].alias("out"))).otherwise(F.struct(F.lit(0).alias("n"), F.concat(s["out"], s["n"].cast("string"), b["r"]).alias("out"))), lambda s: F.concat(s["out"], s["n"].cast("string")))
     snps = li.select(F.col("rname").alias("chrom"), (F.col("pos") + 7).alias("pos"), base(F.lit(7)).alias("b")).select("chrom", "pos", F.col("b.r").alias("ref"), F.col("b.q").alias("alt"))
     # a distinct between the made columns and their readers: they are made once, not in every expression that reads them
-    made = rows.select("idx", "qname", "flag", "rname", "pos", F.array_join("bases.q", "").alias("seq"), "qual", walk.alias("md")).distinct()
-    return made.select("idx", "qname", "flag", "rname", "pos", F.lit("32M").alias("cigar"), "seq", "qual", F.create_map(F.lit("MD"), "md").alias("tags")), snps.where("ref <> alt").distinct()
+    made = rows.select("idx", "qname", "flag", "rname", "pos", F.array_join("bases.q", "").alias("seq"), "qual", walk.alias("md"), "no_md").distinct()
+    tags = F.when(F.col("no_md"), F.create_map(F.lit("NM"), F.lit("0"))).otherwise(F.create_map(F.lit("MD"), "md"))
+    return made.select("idx", "qname", "flag", "rname", "pos", F.lit("32M").alias("cigar"), "seq", "qual", tags.alias("tags")), snps.where("ref <> alt").distinct()
+
+
+def counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(barcode, gene_id, unique_umi_count) of all events; a user's events of one type are counted under one of 40 genes of that type, so not every pair is there."""
+    gene = F.concat("event_type", F.lit("-"), (F.col("user_id") * 7 % 40).cast("string"))
+    return table(spark, sf_dir, "events").groupBy(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("barcode"), gene.alias("gene_id")).agg(F.count(F.lit(1)).alias("unique_umi_count"))
+
 
+def shaped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(name, pos, cigar) of a line item each, with clips, gaps, insertions and deletions."""
+    li, n = table(spark, sf_dir, "lineitem"), F.col("l_quantity").cast("int").cast("string")
+    shapes = [F.concat(*[n if part == "#" else F.lit(part) for part in re.split("(#)", shape) if part]) for shape in CIGARS]
+    cigar = F.coalesce(F.get(F.array(*shapes), F.col("l_linenumber") - 1), F.lit("*"))
+    return li.select(key().alias("name"), ((F.col("l_partkey") * 37) % 400000).cast("int").alias("pos"), cigar.alias("cigar"))
 
-def counts(spark: SparkSession, sf_dir: str, gaps: bool = True) -> DataFrame:
-    """(barcode, gene_id, unique_umi_count) of events; with gaps, not every pair is there."""
-    ev = table(spark, sf_dir, "events")
-    if gaps:
-        ev = ev.where("event_id % 2 = 0 and user_id % 5 <> 0 and (user_id % 7 <> 0 or event_type <> 'click')")
-    return ev.groupBy(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("barcode"), F.col("event_type").alias("gene_id")).agg(F.count(F.lit(1)).alias("unique_umi_count"))
+
+#: CIGARs of line numbers 1 to 6, # for the quantity.
+CIGARS = ("#M", "10S#M", "20M#N40M", "30M2I#M", "5H30M#D30M4S", "25=#X30M")
 
 
 # The same in SQL.
@@ -182,21 +195,15 @@ NEAREST = """far AS (SELECT b.qname, b.space, b.gene_id, CASE WHEN g.strand = '+
 near AS (SELECT qname, space, gene_id AS nearest FROM far WHERE d > -50 QUALIFY row_number() OVER (PARTITION BY qname, space ORDER BY d, gene_id) = 1)"""
 
 BASES = f"""li AS (SELECT DISTINCT {KEY} AS qname, CASE l_linenumber WHEN 1 THEN 83 WHEN 2 THEN 99 WHEN 3 THEN 147 WHEN 4 THEN 163 WHEN 5 THEN 65 WHEN 6 THEN 81 ELSE 97 END AS flag,
-  'chr' || (l_suppkey % 3 + 1) AS rname, ((l_partkey * 37) % 400000)::int AS pos, {sql_dna(KEY)} AS h, l_partkey, l_orderkey FROM lineitem WHERE l_orderkey < 3000),
+  'chr' || (l_suppkey % 3 + 1) AS rname, ((l_partkey * 37) % 400000)::int AS pos, {sql_dna(KEY)} AS h, l_partkey, l_orderkey FROM lineitem),
 b AS (SELECT *, substr(h, o, 1) AS ref, 40 + (l_orderkey + o) % 10 AS qual, (l_partkey + o) % 3 AS m FROM (SELECT *, unnest(range(1, 33)) AS o FROM li)),
 bases AS (SELECT qname, flag, rname, pos, o, ref, qual, CASE WHEN m = 0 AND flag IN (99, 163) AND ref = 'T' THEN 'C' WHEN m = 0 AND flag IN (83, 147) AND ref = 'A' THEN 'G' WHEN m = 1 THEN 'N' ELSE ref END AS qry FROM b),
 snps AS (SELECT DISTINCT rname, pos + o AS at, ref, qry FROM bases WHERE o = 7 AND ref <> qry),
 t AS (SELECT qname, flag, count(*) FILTER (qual > 45 AND flag IN (83, 99, 147, 163) AND ref = CASE WHEN flag IN (99, 163) THEN 'T' ELSE 'A' END) AS t_count FROM bases GROUP BY 1, 2),
 c AS (SELECT qname, count(*) AS n FROM bases x WHERE qual > 45 AND ((flag IN (99, 163) AND ref = 'T' AND qry = 'C') OR (flag IN (83, 147) AND ref = 'A' AND qry = 'G'))
   AND NOT EXISTS (SELECT 1 FROM snps s WHERE s.rname = x.rname AND s.at = x.pos + x.o AND s.ref = x.ref AND s.qry = x.qry) GROUP BY 1),
-scores AS (SELECT t.qname, t.flag, t.t_count, coalesce(c.n, 0) AS tc_count FROM t LEFT JOIN c USING (qname)),
-classes AS (SELECT *, CASE WHEN flag NOT IN (83, 99, 147, 163) THEN 'skipped_wrong_flag' WHEN t_count = 0 THEN 'no_mismatches' WHEN tc_count >= 1 AND tc_count::double / t_count >= 0.3 THEN 'nascent_reads_classified' ELSE 'tc_ratio_below_threshold' END AS read_class FROM scores)"""
-
-#: BASES over the whole table.
-BASES_WHOLE = BASES.replace(" WHERE l_orderkey < 3000", "")
-
-COUNTS = """counts AS (SELECT 'u' || user_id AS barcode, event_type AS feature, count(*)::bigint AS n FROM events
-  WHERE event_id % 2 = 0 AND user_id % 5 <> 0 AND (user_id % 7 <> 0 OR event_type <> 'click') GROUP BY 1, 2)"""
+skipped AS (SELECT qname, CASE WHEN flag NOT IN (83, 99, 147, 163) THEN 'skipped_wrong_flag' WHEN l_partkey % 17 = 0 THEN 'skipped_no_md_tag' WHEN l_partkey % 19 = 0 THEN 'skipped_no_qualities' END AS skip FROM li),
+scores AS (SELECT t.qname, t.flag, skip, CASE WHEN skip IS NULL THEN t.t_count ELSE 0 END AS t_count, CASE WHEN skip IS NULL THEN coalesce(c.n, 0) ELSE 0 END AS tc_count FROM t JOIN skipped USING (qname) LEFT JOIN c USING (qname)),
+classes AS (SELECT *, CASE WHEN skip IS NOT NULL THEN skip WHEN t_count = 0 THEN 'no_mismatches' WHEN tc_count >= 1 AND tc_count::double / t_count >= 0.3 THEN 'nascent_reads_classified' ELSE 'tc_ratio_below_threshold' END AS read_class FROM scores)"""
 
-#: COUNTS of all events.
-COUNTS_WHOLE = "counts AS (SELECT 'u' || user_id AS barcode, event_type AS feature, count(*)::bigint AS n FROM events GROUP BY 1, 2)"
+COUNTS = """counts AS (SELECT 'u' || user_id AS barcode, event_type || '-' || (user_id * 7 % 40) AS feature, count(*)::bigint AS n FROM events GROUP BY 1, 2)"""

@@ -231,6 +231,19 @@ def gene_name_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return genomics.annotation(fx.gtf(spark, sf_dir))[2]
 
 
+SHAPES = """WITH s AS (SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS name, ((l_partkey * 37) % 400000)::int AS p, trunc(l_quantity)::int AS q, l_linenumber AS k FROM lineitem),
+b AS (SELECT name, unnest(CASE k WHEN 1 THEN [[p, p + q]] WHEN 2 THEN [[p, p + q]] WHEN 3 THEN [[p, p + 20], [p + 20 + q, p + 60 + q]] WHEN 4 THEN [[p, p + 30], [p + 30, p + 30 + q]]
+  WHEN 5 THEN [[p, p + 30], [p + 30 + q, p + 60 + q]] WHEN 6 THEN [[p + 25 + q, p + 55 + q]] ELSE [] END) AS b FROM s)
+SELECT name, b[1]::int AS "start", b[2]::int AS "end", count(*)::bigint AS n FROM b GROUP BY ALL"""
+
+
+@query(SHAPES)
+def cigar_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned blocks of CIGARs with clips, gaps, insertions and deletions."""
+    each = fx.shaped(spark, sf_dir).select("name", F.explode(aln.blocks(F.col("pos"), F.col("cigar"))).alias("b"))
+    return each.groupBy("name", F.col("b.start").alias("start"), F.col("b.end").alias("end")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def stranded_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = genomics.read_pairs(fx.alignments(spark, sf_dir))
     return pairs.select("qname", aln.fragment_strand(F.col("m1.reverse"), F.col("m2.reverse")).alias("strand"), "m1", "m2")
@@ -323,12 +336,12 @@ def snp_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.snps(fx.table(spark, sf_dir, "nation").select(line.alias("value")))
 
 
-def nascent_classes(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    records, snps = fx.labelled_reads(spark, sf_dir, whole)
+def nascent_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records, snps = fx.labelled_reads(spark, sf_dir)
     return nascent.classified(records, snps)
 
 
-@query(f"WITH {fx.BASES} SELECT qname, CASE WHEN read_class = 'skipped_wrong_flag' THEN 0 ELSE t_count END::int AS t_count, tc_count::bigint AS tc_count FROM classes")
+@query(f"WITH {fx.BASES} SELECT qname, t_count::int AS t_count, tc_count::bigint AS tc_count FROM classes")
 def nascent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nascent_classes(spark, sf_dir).select("qname", "t_count", "tc_count")
 
@@ -343,9 +356,9 @@ def nascent_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.class_summary(nascent_classes(spark, sf_dir), nascent.CLASSES)
 
 
-def merged(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    """Two samples' count tables put together, with gaps or of all events."""
-    counts = fx.counts(spark, sf_dir, gaps=not whole)
+def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two samples' count tables put together."""
+    counts = fx.counts(spark, sf_dir)
     return matrix.merged([counts.where("gene_id < 'm'"), counts.where("gene_id >= 'm'")])
 
 
@@ -394,75 +407,9 @@ def umi_directional(spark: SparkSession, sf_dir: str) -> DataFrame:
     return umi.directional_clusters(rows, ["cell", "pos"])
 
 
-@query(f"WITH {fx.BASES} SELECT qname, (o - 1)::int AS query_pos, (pos + o - 1)::int AS ref_pos, ref AS ref_base FROM bases WHERE flag = 83")
+@query(f"WITH {fx.BASES} SELECT qname, (o - 1)::int AS query_pos, (bases.pos + o - 1)::int AS ref_pos, ref AS ref_base FROM bases JOIN li USING (qname) WHERE li.l_partkey % 17 <> 0")
 def aligned_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.labelled_reads(spark, sf_dir)[0].where("flag = 83")
+    """Of records of every flag that have MD."""
+    rows = fx.labelled_reads(spark, sf_dir)[0]
     columns = nascent.aligned_pairs(F.col("pos"), F.col("cigar"), F.col("tags")["MD"], F.col("seq"))
     return rows.select("qname", F.explode(columns).alias("c")).select("qname", "c.*")
-
-
-# The nascent queries over all line items; those above read the ones with l_orderkey < 3000.
-
-
-@query(f"WITH {fx.BASES_WHOLE} SELECT qname, CASE WHEN read_class = 'skipped_wrong_flag' THEN 0 ELSE t_count END::int AS t_count, tc_count::bigint AS tc_count FROM classes")
-def nascent_scores_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nascent_classes(spark, sf_dir, whole=True).select("qname", "t_count", "tc_count")
-
-
-@query(f"WITH {fx.BASES_WHOLE} SELECT qname, flag FROM li WHERE qname IN (SELECT qname FROM classes WHERE read_class = 'nascent_reads_classified')")
-def nascent_pairs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nascent.nascent_records(fx.labelled_reads(spark, sf_dir, whole=True)[0], nascent_classes(spark, sf_dir, whole=True)).select("qname", "flag")
-
-
-@query(f"WITH {fx.BASES_WHOLE},\n{sql_summary(nascent.CLASSES, 'classes')}")
-def nascent_summary_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return summary.class_summary(nascent_classes(spark, sf_dir, whole=True), nascent.CLASSES)
-
-
-@query(f"WITH {fx.BASES_WHOLE} SELECT qname, (o - 1)::int AS query_pos, (pos + o - 1)::int AS ref_pos, ref AS ref_base FROM bases")
-def aligned_pairs_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Of records of every flag."""
-    rows = fx.labelled_reads(spark, sf_dir, whole=True)[0]
-    columns = nascent.aligned_pairs(F.col("pos"), F.col("cigar"), F.col("tags")["MD"], F.col("seq"))
-    return rows.select("qname", F.explode(columns).alias("c")).select("qname", "c.*")
-
-
-# The matrix queries over all events; those above read a part of them, so that the matrix has gaps.
-
-
-@query(f"WITH {fx.COUNTS_WHOLE} SELECT * FROM counts")
-def merge_union_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merged(spark, sf_dir, whole=True)
-
-
-@query(f"WITH {fx.COUNTS_WHOLE} SELECT dense_rank() OVER (ORDER BY feature)::bigint AS row, dense_rank() OVER (ORDER BY barcode)::bigint AS col, n AS value FROM counts")
-def mtx_triplets_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matrix.coordinates(merged(spark, sf_dir, whole=True))
-
-
-@query(f"WITH {fx.COUNTS_WHOLE} SELECT barcode, count(*) FILTER (n > 0)::bigint AS genes_detected, sum(n)::bigint AS total_counts FROM counts GROUP BY 1")
-def cell_annotation_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matrix.cell_annotation(merged(spark, sf_dir, whole=True))
-
-
-@query(f"WITH {fx.COUNTS_WHOLE} SELECT feature, count(*) FILTER (n > 0)::bigint AS cells_expressed FROM counts GROUP BY 1")
-def gene_annotation_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matrix.feature_annotation(merged(spark, sf_dir, whole=True))
-
-
-CELLS_WHOLE = f"WITH {fx.COUNTS_WHOLE}, cells AS (SELECT barcode, sum(n)::bigint AS total_counts FROM counts GROUP BY 1)"
-
-
-@query(f"{CELLS_WHOLE} SELECT row_number() OVER (ORDER BY total_counts DESC, barcode)::bigint - 1 AS rank, barcode, total_counts, total_counts > 1000 AS highlight FROM cells")
-def rank_curve_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matrix.rank_curve(matrix.cell_annotation(merged(spark, sf_dir, whole=True)))
-
-
-@query(f"{CELLS_WHOLE} SELECT t::bigint AS threshold, (SELECT count(*) FROM cells WHERE total_counts > t)::bigint AS cells FROM (VALUES (10000), (5000), (1000), (100), (10)) v(t)")
-def threshold_counts_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matrix.threshold_counts(matrix.cell_annotation(merged(spark, sf_dir, whole=True)), (*matrix.THRESHOLDS, 10))
-
-
-@query(f"WITH {fx.COUNTS_WHOLE} SELECT feature, coalesce(sum(n) FILTER (barcode = 'u1'), 0)::bigint AS u1, coalesce(sum(n) FILTER (barcode = 'u2'), 0)::bigint AS u2, coalesce(sum(n) FILTER (barcode = 'u7'), 0)::bigint AS u7 FROM counts GROUP BY 1")
-def pivot_small_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matrix.pivoted(merged(spark, sf_dir, whole=True), ["u1", "u2", "u7"])
