@@ -24,6 +24,7 @@ def parser() -> argparse.ArgumentParser:
     command(
         "barcode", "demultiplex and trim RNA reads", commands.barcode,
         [("--ligation_barcode_read_file", "ligation_reads"), ("--umi_cell_barcode_read_file", "umi_reads"), ("--biological_read_file", "biological_reads"), ("--output_basename", "output_basename"), ("--ligation_barcode_file", "ligation_file"), ("--RT_barcode_file", "rt_file"), ("--randomN_barcode_file", "random_n_file")],
+        check_ids=("check_ids", yes),
     )
     command("tag", "write cell and UMI tags", commands.tag, [("--input_file", "input_file"), ("--output_file", "output_file")], num_processes=("num_processes", number | {"default": 1}))
     command("index", "prepare an annotation", commands.index, [("--input_gtf", "input_gtf"), ("--output_file", "output")])
@@ -33,12 +34,12 @@ def parser() -> argparse.ArgumentParser:
         multigene_reads=("multigene_reads", {"default": "discard", "choices": ["discard", "closest_TES", "uniform", "prop_unique", "EM"]}),
         primer_type=("primer_type", {"default": "shortdT"}),
         library_strandedness=("library_strandedness", {"default": "reverse", "choices": ["reverse", "none"]}),
-        read_subset=("read_subset", number), count_introns=("count_introns", yes), collapse_by_gene_name=("collapse_by_gene_name", yes),
+        read_subset=("read_subset", number), count_introns=("count_introns", yes), collapse_by_gene_name=("collapse_by_gene_name", yes), drop_unassigned=("drop_unassigned", yes),
     )
     command("merge", "merge count tables into a matrix", commands.merge, [("--count_files", "count_files"), ("--output_basename", "output_basename")])
     command(
-        "slam", "keep nascent reads", commands.slam, [("--input_bam", "input_bam"), ("--output_bam", "output_bam"), ("--snp_vcf", "snp_vcf")],
-        min_base_quality=("min_base_quality", number | {"default": 45}), min_tc_ratio=("min_tc_ratio", real | {"default": 0.3}), min_tc_count=("min_tc_count", number | {"default": 1}), num_processes=("num_processes", number | {"default": 1}),
+        "slam", "keep nascent reads", commands.slam, [("--input_bam", "input_bam"), ("--output_bam", "output_bam")],
+        snp_vcf=("snp_vcf", {}), min_base_quality=("min_base_quality", number | {"default": 45}), min_tc_ratio=("min_tc_ratio", real | {"default": 0.3}), min_tc_count=("min_tc_count", number | {"default": 1}), num_processes=("num_processes", number | {"default": 1}),
     )
     reads = [("--r1", "r1"), ("--r2", "r2"), ("--r3", "r3"), ("--ligation_barcode_file", "ligation_file"), ("--RT_barcode_file", "rt_file"), ("--inner_i7_barcode_file", "inner_i7_file")]
     place = [("--output_dir", "output_dir"), ("--sample_name", "sample_name")]

@@ -38,12 +38,6 @@ def before(sequence: Column, other: Column) -> Column:
     return F.when(at > 0, at - 1).otherwise(F.length(sequence))
 
 
-def mismatches(a: Column, b: Column) -> Column:
-    """Positions at which two sequences of one length differ; null if the lengths differ."""
-    differ = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: (x != y).cast("int"))
-    return F.when(F.length(a) == F.length(b), F.when(F.length(a) == 0, 0).otherwise(F.aggregate(differ, F.lit(0), lambda n, d: n + d)))
-
-
 def variants(sequence: str) -> list[str]:
     """A literal sequence with any one base replaced by any of BASES, itself included, in order."""
     return sorted({sequence[:k] + base + sequence[k + 1 :] for k in range(len(sequence)) for base in BASES})

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellstrand.functions import sequence as seq
-from cellstrand.operators.whitelist import looked_up
+from cellstrand.operators.whitelist import looked_up, small
 
 RNA_CLASSES = ("filtered_no_ligation_barcode", "filtered_no_RT_barcode", "filtered_too_short", "passed_all_filters")
 GUIDE_CLASSES = ("filtered_constant_region", "filtered_ligation_barcode", "filtered_inner_i7", "filtered_RT_barcode", "filtered_sgrna", "passed")
@@ -51,7 +51,7 @@ def demultiplexed(triplets: DataFrame, ligation: DataFrame, rt: DataFrame, rando
     reads = looked_up(triplets, seq.piece(F.col("lig.seq"), *layout.ligation), ligation, "ligation")
     reads = looked_up(reads, seq.piece(F.col("umi.seq"), *layout.rt), rt, "rt")
     known = random_n.select(F.col("sequence").alias("random_n")).distinct()
-    reads = reads.join(F.broadcast(known), F.col("rt") == F.col("random_n"), "left")
+    reads = reads.join(small(known), F.col("rt") == F.col("random_n"), "left")
     cut = reads.withColumns({"s1": seq.rest(F.col("umi.seq"), layout.insert_from), "q1": seq.rest(F.col("umi.qual"), layout.insert_from)})
     poly_t = F.when(F.col("random_n").isNull(), seq.poly_t_length(F.col("s1"), layout.least_poly_t)).otherwise(0)
     cut = cut.withColumn("t", poly_t).withColumns({"s1": seq.rest(F.col("s1"), F.col("t")), "q1": seq.rest(F.col("q1"), F.col("t"))})
@@ -98,7 +98,7 @@ def guide_cells(classified: DataFrame, sample: str = "", annotation: DataFrame |
     passed = classified.where(F.col("read_class") == "passed")
     name = F.col("guide")
     if annotation is not None:
-        passed = passed.join(F.broadcast(annotation.select(F.col("gRNA_seq").alias("known_guide"), "names")), F.col("guide") == F.col("known_guide"), "left")
+        passed = passed.join(small(annotation.select(F.col("gRNA_seq").alias("known_guide"), "names")), F.col("guide") == F.col("known_guide"), "left")
         name = F.coalesce("names", "guide")
     return passed.select("idx", F.concat(F.lit(sample), "i7", F.lit("."), "ligation", "rt").alias("barcode"), name.alias("sgrna_name"), "umi")
 

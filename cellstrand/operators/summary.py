@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 TOTAL = "total_reads_processed"
@@ -31,3 +31,10 @@ def observed(reads: DataFrame, classes: Sequence[str], name: str, read_class: st
     """reads that count their classes while they are written, without a second pass."""
     seen = Observation(name)
     return reads.observe(seen, *[F.count_if(F.col(read_class) == c).alias(c) for c in classes]), seen
+
+
+def summary_of(spark: SparkSession, counts: dict[str, int], classes: Sequence[str]) -> DataFrame:
+    """The table of `class_summary` from counters that are known."""
+    total = sum(counts[c] for c in classes)
+    rows = [(c, counts[c]) for c in classes] + [(TOTAL, total)]
+    return spark.createDataFrame([(c, n, n / total * 100.0 if total else None) for c, n in rows], "read_class string, count long, percent double")

@@ -37,21 +37,18 @@ def correction_file(whitelist: DataFrame, sequence: str) -> DataFrame:
     return correction_dictionary(whitelist, sequence, dedup=True).orderBy("variant").select(F.col("variant").alias("barcode_1bp_substitution"), F.col("original").alias("original_barcode"))
 
 
-def last_wins(table: DataFrame, key: str, value: str) -> DataFrame:
-    """One row for each key, the last in the file."""
-    return table.withColumn("line", F.monotonically_increasing_id()).groupBy(key).agg(F.max_by(value, "line").alias(value))
-
-
-def looked_up(reads: DataFrame, sequence: Column, dictionary: DataFrame, found: str, small: bool | None = None) -> DataFrame:
+def looked_up(reads: DataFrame, sequence: Column, dictionary: DataFrame, found: str) -> DataFrame:
     """reads with column `found`: the original that the sequence stands for, or null.
 
-    The dictionary, (variant, original) with each variant once, is broadcast if its size is within
-    BROADCAST_BYTES by the optimizer's estimate, or as `small` says.
+    The dictionary, (variant, original), has each variant once.
     """
     own = dictionary.select(F.col("variant").alias(f"{found}_variant"), F.col("original").alias(found))
-    if small is None:
-        small = estimated_bytes(own) <= BROADCAST_BYTES
-    return reads.join(F.broadcast(own) if small else own, sequence == F.col(f"{found}_variant"), "left").drop(f"{found}_variant")
+    return reads.join(small(own), sequence == F.col(f"{found}_variant"), "left").drop(f"{found}_variant")
+
+
+def small(table: DataFrame) -> DataFrame:
+    """A table that is broadcast if its size is within BROADCAST_BYTES by the optimizer's estimate."""
+    return F.broadcast(table) if estimated_bytes(table) <= BROADCAST_BYTES else table
 
 
 def estimated_bytes(df: DataFrame) -> int:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import logging
 import os
-import shutil
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,23 +16,25 @@ from cellstrand.sources import alignments as aln
 from cellstrand.sources import fastq, tables
 
 
-def barcode(spark: SparkSession, ligation_reads: str, umi_reads: str, biological_reads: str, output_basename: str, ligation_file: str, rt_file: str, random_n_file: str) -> DataFrame:
-    """Demultiplexed R1 and R2 FASTQ and the summary; returns the summary."""
-    triplets = fastq.triplets(spark, ligation_reads, umi_reads, biological_reads, spark.sparkContext.defaultParallelism)
+log = logging.getLogger("cellstrand")
+
+
+def barcode(spark: SparkSession, ligation_reads: str, umi_reads: str, biological_reads: str, output_basename: str, ligation_file: str, rt_file: str, random_n_file: str, check_ids: bool = False) -> DataFrame:
+    """Demultiplexed R1 and R2 FASTQ and the summary; returns the summary. check_ids: triplets of other ids are an error."""
+    triplets = fastq.triplets(spark, ligation_reads, umi_reads, biological_reads, spark.sparkContext.defaultParallelism, check_ids)
     found = reads.demultiplexed(triplets, tables.dictionary(spark, ligation_file), tables.dictionary(spark, rt_file), tables.sequences(spark, random_n_file))
-    # read once: what is written and what is counted come from one table
+    # the input is read once: classes are counted while what passed is written, and both mates come from that
     kept = f"{output_basename}.demultiplexed.parts"
-    found.write.mode("overwrite").parquet(kept)
-    found = spark.read.parquet(kept)
-    passed = found.where(F.col("read_class") == reads.RNA_CLASSES[-1]).orderBy("idx")
+    found, seen = summary.observed(found, reads.RNA_CLASSES, "demultiplexed")
+    found.where(F.col("read_class") == reads.RNA_CLASSES[-1]).select("idx", "r1", "r2").write.mode("overwrite").parquet(kept)
+    passed = spark.read.parquet(kept).orderBy("idx")
     for mate in ("r1", "r2"):
         sinks.fastq(passed, mate, f"{output_basename}.{mate.upper()}.parts")
         sinks.joined(f"{output_basename}.{mate.upper()}.parts", f"{output_basename}.{mate.upper()}.fastq.gz", suffix=".gz")
-    out = summary.class_summary(found, reads.RNA_CLASSES)
+    out = summary.summary_of(spark, seen.get, reads.RNA_CLASSES)
     sinks.tsv(out, f"{output_basename}-summary.tsv")
-    told = spark.createDataFrame(out.collect(), out.schema)
-    shutil.rmtree(kept)
-    return told
+    sinks.remove(kept)
+    return out
 
 
 def tagged(alignments: DataFrame, on_bad_name: str = "error") -> DataFrame:
@@ -67,22 +69,33 @@ def save_alignments(spark: SparkSession, records: DataFrame, like: str, path: st
         sinks.bam(records, text, references, path)
 
 
+def warn_of_processes(wanted: int) -> None:
+    if wanted > 1:
+        log.warning("num_processes %d has no effect: tasks are as many as the session's cores", wanted)
+
+
 def tag(spark: SparkSession, input_file: str, output_file: str, num_processes: int = 1) -> None:
     """num_processes is accepted; parallelism is the session's."""
+    warn_of_processes(num_processes)
     save_alignments(spark, tagged(load_alignments(spark, input_file)), input_file, output_file)
 
 
 def index(spark: SparkSession, input_gtf: str, output: str) -> None:
     """features (partitioned by type), tes and gene_names as Parquet below output."""
-    features, tes, names = genomics.annotation(tables.gtf(spark, input_gtf))
+    rows = tables.gtf(spark, input_gtf)
+    if lost := rows.where(F.col("strand") == ".").count():
+        log.warning("%d rows of %s have no strand and are left out", lost, input_gtf)
+    features, tes, names = genomics.annotation(rows)
     features.write.mode("overwrite").partitionBy("feature_type").parquet(f"{output}/features")
     tes.write.mode("overwrite").parquet(f"{output}/tes")
     names.write.mode("overwrite").parquet(f"{output}/gene_names")
 
 
-def count(spark: SparkSession, input_bam: str, index_file: str, output_dir: str, sample_name: str, multigene_reads: str = "discard", primer_type: str = "shortdT", library_strandedness: str = "reverse", read_subset: int | None = None, count_introns: bool = False, collapse_by_gene_name: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Read assignments and UMI counts; primer_type is accepted and has no effect."""
+def count(spark: SparkSession, input_bam: str, index_file: str, output_dir: str, sample_name: str, multigene_reads: str = "discard", primer_type: str = "shortdT", library_strandedness: str = "reverse", read_subset: int | None = None, count_introns: bool = False, collapse_by_gene_name: bool = False, drop_unassigned: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Read assignments and UMI counts; primer_type is accepted and has no effect. drop_unassigned: reads without a gene are not counted."""
     genomics.check_policy(multigene_reads)
+    if primer_type != "shortdT":
+        log.warning("primer_type %s has no effect", primer_type)
     features, tes, names = (spark.read.parquet(f"{index_file}/{t}") for t in ("features", "tes", "gene_names"))
     records = load_alignments(spark, input_bam)
     if read_subset:
@@ -93,13 +106,13 @@ def count(spark: SparkSession, input_bam: str, index_file: str, output_dir: str,
     barcode_of = F.concat(F.lit(f"{sample_name}."), seq.cell_of_name(F.col("qname")))
     assignment = found.select(barcode_of.alias("barcode"), seq.umi_of_name(F.col("qname")).alias("umi"), "gene_id", "mapped_feature", "mapping")
     feature = "gene_id"
-    counted = assignment
+    counted = assignment.where(~F.startswith(F.col("gene_id"), F.lit("_"))) if drop_unassigned else assignment
     if collapse_by_gene_name:
         feature = "gene_name"
-        counted = assignment.join(names, "gene_id")
+        counted = counted.join(names, "gene_id")
     counts = umi.umi_counts(counted, feature=feature).orderBy("barcode", feature)
     sinks.tsv(assignment, os.path.join(output_dir, f"{sample_name}-read_assignment.tsv"))
-    sinks.tsv(counts, os.path.join(output_dir, f"{sample_name}-UMI_count.tsv"))
+    sinks.tsv(counts, os.path.join(output_dir, f"{sample_name}-unique_umi_count.tsv"))
     return assignment, counts
 
 
@@ -117,22 +130,26 @@ def merge(spark: SparkSession, count_files: str, output_basename: str) -> None:
     sinks.rank_plot(curve, matrix.threshold_counts(cells), f"{output_basename}barcode_rank_plot.png")
 
 
-def slam(spark: SparkSession, input_bam: str, output_bam: str, snp_vcf: str, min_base_quality: int = 45, min_tc_ratio: float = 0.3, min_tc_count: int = 1, num_processes: int = 1) -> DataFrame:
-    """Records of nascent names, and the counters; num_processes is accepted, parallelism is the session's."""
+def slam(spark: SparkSession, input_bam: str, output_bam: str, snp_vcf: str | None = None, min_base_quality: int = 45, min_tc_ratio: float = 0.3, min_tc_count: int = 1, num_processes: int = 1) -> DataFrame:
+    """Records of nascent names, and the counters; without a SNP list no conversion is excluded. num_processes is accepted, parallelism is the session's."""
+    warn_of_processes(num_processes)
+    if min_base_quality >= 41:
+        log.warning("only bases of a quality above %d count; many sequencers give none", min_base_quality)
     records = load_alignments(spark, input_bam)
-    folder = tempfile.mkdtemp(dir=os.path.dirname(os.path.abspath(output_bam)))
+    snps = tables.snp_file(spark, snp_vcf) if snp_vcf else spark.createDataFrame([], "chrom string, pos int, ref string, alt string")
+    folder = f"{output_bam}.{uuid.uuid4().hex}.parts"
     try:
-        nascent.classified(records, tables.snp_file(spark, snp_vcf), min_base_quality, min_tc_ratio, min_tc_count).select("qname", "read_class").write.mode("overwrite").parquet(f"{folder}/classes")
+        nascent.classified(records, snps, min_base_quality, min_tc_ratio, min_tc_count).select("qname", "read_class").write.mode("overwrite").parquet(f"{folder}/classes")
         classes = spark.read.parquet(f"{folder}/classes")
         kept = nascent.nascent_records(records, classes)
         save_alignments(spark, kept, input_bam, output_bam)
         counted = {r.read_class: r["count"] for r in summary.class_summary(classes, nascent.CLASSES).collect()}
         rows = [("total_reads_processed", counted[summary.TOTAL]), *((c, counted[c]) for c in nascent.CLASSES), ("total_reads_written", kept.count())]
     finally:
-        shutil.rmtree(folder)
+        sinks.remove(folder)
     out = spark.createDataFrame(rows, "read_class string, count long")
     stem = output_bam[:-4] if output_bam.endswith((".bam", ".sam")) else output_bam
-    sinks.tsv(out, f"{stem}-summary.tsv")
+    sinks.tsv(out, f"{stem}-slam-summary.tsv")
     return out
 
 
@@ -155,7 +172,11 @@ def guides(spark: SparkSession, r1: str, r2: str, r3: str, ligation_file: str, r
     cells = reads.guide_cells(found, sample_name, tables.guide_names(spark, annotation_file) if annotation_file else None)
     counts = umi.cells_with(umi.umi_counts(cells, feature="sgrna_name"), min_umi_threshold)
     classes = summary.class_summary(found, reads.GUIDE_CLASSES)
-    sinks.tsv(counts.orderBy("barcode", "sgrna_name"), os.path.join(output_dir, f"{sample_name}-sgrna_count.tsv"))
+    # cells, and the guides of each, as they are first seen
+    seen = cells.groupBy("barcode", "sgrna_name").agg(F.min("idx").alias("guide_first"))
+    seen = seen.join(seen.groupBy("barcode").agg(F.min("guide_first").alias("cell_first")), "barcode")
+    in_order = counts.join(seen, ["barcode", "sgrna_name"]).orderBy("cell_first", "guide_first").select(*counts.columns)
+    sinks.tsv(in_order, os.path.join(output_dir, f"{sample_name}-sgrna_count.tsv"))
     sinks.tsv(classes, os.path.join(output_dir, f"{sample_name}-sgrna_summary.tsv"))
     return counts, classes
 

@@ -5,20 +5,19 @@ from __future__ import annotations
 import gzip
 import io
 import json
-import os
 import re
-import shutil
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellstrand.functions.sequence import header
 from cellstrand.sources.alignments import BASE_LETTERS, CIGAR_LETTERS
-from cellstrand.sources.files import make_folder
+from cellstrand.sources.files import file_system, make_folder
 
 
 def fastq(reads: DataFrame, mate: str, folder: str) -> None:
@@ -28,16 +27,27 @@ def fastq(reads: DataFrame, mate: str, folder: str) -> None:
     reads.sortWithinPartitions("idx").select(record.alias("value")).write.mode("overwrite").option("compression", "gzip").text(folder)
 
 
-def joined(folder: str, path: str, head: bytes = b"", suffix: str = "") -> None:
-    """Part files of a folder as one file; gzip members may be put behind each other."""
+def joined(folder: str, path: str, head: bytes = b"", suffix: str = "", tail: bytes = b"") -> None:
+    """Part files of a folder, in any store, as one file; gzip members may be put behind each other."""
     make_folder(path)
-    with open(path, "wb") as out:
+    fs, inner = file_system(folder)
+    to, place = file_system(path)
+    with to.open_output_stream(place, compression=None) as out:
         out.write(head)
-        for name in sorted(os.listdir(folder)):
-            if name.startswith("part-") and name.endswith(suffix):
-                with open(f"{folder}/{name}", "rb") as part:
-                    shutil.copyfileobj(part, out)
-    shutil.rmtree(folder)
+        for part in sorted(fs.get_file_info(pafs.FileSelector(inner)), key=lambda f: f.path):
+            if part.base_name.startswith("part-") and part.base_name.endswith(suffix):
+                with fs.open_input_stream(part.path, compression=None) as content:
+                    while piece := content.read(1 << 20):
+                        out.write(piece)
+        out.write(tail)
+    fs.delete_dir(inner)
+
+
+def remove(folder: str) -> None:
+    """Delete a folder, in any store, if it is there."""
+    fs, inner = file_system(folder)
+    if fs.get_file_info(inner).type != pafs.FileType.NotFound:
+        fs.delete_dir(inner)
 
 
 def tsv(table: DataFrame, path: str) -> None:
@@ -116,36 +126,41 @@ BLOCK = 60_000
 
 
 def bam(alignments: DataFrame, head: str, references: list[tuple[str, int]], path: str) -> None:
-    """Records in order of idx as one BAM file; tasks make whole blocks, which are put behind each other."""
+    """Records in order of idx as one BAM file; each task writes a part of whole blocks, and the parts are put behind each other."""
     number = {name: k for k, (name, _) in enumerate(references)}
+    folder = f"{path}.parts"
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        task, fs_path = TaskContext.get(), file_system(folder)
+        fs, inner = fs_path
+        name = f"part-{task.partitionId():06d}.bgzf"
         held = io.BytesIO()
-        for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                row.pop("idx")
-                row["tags"] = dict(row["tags"] or ())
-                held.write(bam_record(number, **row))
-                if held.tell() >= BLOCK:
-                    data, held = held.getvalue(), io.BytesIO()
-                    out += [packed_block(data[k : k + BLOCK]) for k in range(0, len(data), BLOCK)]
-            yield pa.record_batch([pa.array(out, pa.binary())], names=["block"])
-        if held.tell():
-            yield pa.record_batch([pa.array([packed_block(held.getvalue())], pa.binary())], names=["block"])
+        with fs.open_output_stream(f"{inner}/.{name}.{task.taskAttemptId()}", compression=None) as out:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    row.pop("idx")
+                    row["tags"] = dict(row["tags"] or ())
+                    held.write(bam_record(number, **row))
+                    if held.tell() >= BLOCK:
+                        data, held = held.getvalue(), io.BytesIO()
+                        for k in range(0, len(data), BLOCK):
+                            out.write(packed_block(data[k : k + BLOCK]))
+            if held.tell():
+                out.write(packed_block(held.getvalue()))
+        fs.move(f"{inner}/.{name}.{task.taskAttemptId()}", f"{inner}/{name}")
+        yield pa.record_batch([pa.array([name])], names=["part"])
 
     text = head.encode()
     start = b"BAM\x01" + struct.pack("<i", len(text)) + text + struct.pack("<i", len(references))
     for name, size in references:
         start += struct.pack("<i", len(name) + 1) + name.encode() + b"\0" + struct.pack("<i", size)
-    made = alignments.orderBy("idx").mapInArrow(blocks, "block binary").withColumn("part", F.spark_partition_id()).withColumn("nth", F.monotonically_increasing_id())
-    make_folder(path)
-    with open(path, "wb") as out:
-        for k in range(0, len(start), BLOCK):
-            out.write(packed_block(start[k : k + BLOCK]))
-        for row in made.orderBy("nth").select("block").toLocalIterator():
-            out.write(row.block)
-        out.write(END_BLOCK)
+    remove(folder)
+    fs, inner = file_system(folder)
+    fs.create_dir(inner, recursive=True)
+    alignments.orderBy("idx").mapInArrow(blocks, "part string").write.format("noop").mode("overwrite").save()
+    joined(folder, path, b"".join(packed_block(start[k : k + BLOCK]) for k in range(0, len(start), BLOCK)), ".bgzf", END_BLOCK)
 
 
 def rank_plot(curve: DataFrame, thresholds: DataFrame, path: str, most: int = 100_000) -> bool:

@@ -5,13 +5,15 @@ from __future__ import annotations
 import gzip
 import io
 import struct
+import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
 
-from cellstrand.sources.files import listed, open_input
+from cellstrand.sources.files import listed, open_at, open_input
 
 SCHEMA = "idx bigint, qname string, flag int, rname string, pos int, mapq int, cigar string, rnext string, pnext int, tlen int, seq string, qual string, tags map<string,string>"
 
@@ -80,15 +82,129 @@ def _tags(data: bytes) -> dict[str, str]:
     return out
 
 
-def bam_records(path: str, only: str | None = None) -> Iterator[tuple]:
-    """Records of a BAM file in file order, of one reference if wanted."""
-    with gzip.GzipFile(fileobj=open_input(path)) as packed:
-        data = io.BufferedReader(packed, 1 << 20)
-        references = [name for name, _ in _header(data)[1]]
-        idx = -1
-        while len(size := data.read(4)) == 4:
-            body = data.read(struct.unpack("<i", size)[0])
-            idx += 1
+#: Bytes of a file that a partition is laid out for.
+SPLIT_BYTES = 32 << 20
+#: Bits of a record's place in its block, and of its block's place in the file; the file's number stands before them.
+NTH_BITS, BLOCK_BITS = 11, 40
+#: Records in a row that must look like records where a range begins within a file.
+PROOF = 8
+
+
+def _block_size(head: bytes) -> int | None:
+    """Size of the blocked-gzip block that begins with these 18 bytes, if one does."""
+    if len(head) == 18 and head[:4] == b"\x1f\x8b\x08\x04" and head[10:16] == b"\x06\x00BC\x02\x00":
+        return struct.unpack_from("<H", head, 16)[0] + 1
+    return None
+
+
+class Blocks:
+    """The blocks of a blocked-gzip file from some place on, as one stream of bytes that knows in which block each begins."""
+
+    def __init__(self, file: BinaryIO, size: int, at: int):
+        self.file, self.size, self.at = file, size, at
+        #: begins of blocks in the file, and their begins in `held`
+        self.places: list[tuple[int, int]] = []
+        self.held, self.taken = bytearray(), 0
+
+    @staticmethod
+    def first_from(file: BinaryIO, size: int, at: int) -> int:
+        """Where the first block at or behind `at` begins: a block that another, or the end, follows."""
+        while at < size:
+            file.seek(at)
+            window = file.read(1 << 17)
+            found = window.find(b"\x1f\x8b\x08\x04")
+            while found >= 0:
+                place = at + found
+                if step := _block_size(window[found : found + 18]):
+                    file.seek(place + step)
+                    if place + step == size or _block_size(file.read(18)):
+                        return place
+                found = window.find(b"\x1f\x8b\x08\x04", found + 1)
+            at += len(window) - 17 if at + len(window) < size else len(window)
+        return size
+
+    def fill(self, wanted: int) -> bool:
+        """Hold at least `wanted` bytes that are not taken; False at the end of the file."""
+        while len(self.held) - self.taken < wanted and self.at < self.size:
+            self.file.seek(self.at)
+            head = self.file.read(18)
+            step = _block_size(head)
+            if step is None:
+                raise ValueError("not a blocked gzip file")
+            data = zlib.decompress(self.file.read(step - 18)[:-8], -15)
+            self.places = [p for k, p in enumerate(self.places) if k + 1 == len(self.places) or self.places[k + 1][1] > self.taken]
+            if self.taken > 1 << 20:
+                del self.held[: self.taken]
+                self.places, self.taken = [(f, h - self.taken) for f, h in self.places], 0
+            self.places.append((self.at, len(self.held)))
+            self.held += data
+            self.at += step
+        return len(self.held) - self.taken >= wanted
+
+    def block(self) -> int:
+        """Where in the file the block begins that the next byte to be taken is in."""
+        return max((held, place) for place, held in self.places if held <= self.taken)[1]
+
+    def peek(self, skip: int, n: int) -> bytes:
+        return bytes(self.held[self.taken + skip : self.taken + skip + n])
+
+
+def _like_a_record(blocks: Blocks, skip: int, references: int) -> int | None:
+    """Bytes of the record that seems to begin `skip` bytes on; None if none does, 0 at the end of the file."""
+    if not blocks.fill(skip + 36):
+        return 0 if len(blocks.held) - blocks.taken == skip else None
+    size, ref, pos, name_size, _, _, ops, _, bases, next_ref, next_pos, _ = struct.unpack("<iiiBBHHHiiii", blocks.peek(skip, 36))
+    if not (-1 <= ref < references and -1 <= next_ref < references and pos >= -1 and next_pos >= -1 and name_size > 0 and bases >= 0):
+        return None
+    if size < 32 + name_size + 4 * ops + (bases + 1) // 2 + bases or size > 1 << 28 or not blocks.fill(skip + 36 + name_size):
+        return None
+    name = blocks.peek(skip + 36, name_size)
+    return 4 + size if name[-1] == 0 and all(33 <= c <= 126 for c in name[:-1]) else None
+
+
+def _to_first_record(blocks: Blocks, references: int) -> bool:
+    """Take bytes up to where PROOF records, or all up to the end, follow each other; False if none begins."""
+    while blocks.fill(1):
+        skip, seen = 0, 0
+        while seen < PROOF and (step := _like_a_record(blocks, skip, references)):
+            skip, seen = skip + step, seen + 1
+        if seen == PROOF or (seen and step == 0):
+            return True
+        blocks.taken += 1
+    return False
+
+
+def bam_records(path: str, only: str | None = None, ordinal: int = 0, start: int = 0, end: int | None = None) -> Iterator[tuple]:
+    """Records of a BAM file that begin in its blocks from start to end, in file order, of one reference if wanted.
+
+    idx orders the records of all files: the file's number, the block's place in it, the record's place in the block.
+    """
+    header = bam_header(path)
+    references = [name for name, _ in header[1]]
+    file, size = open_at(path)
+    with file:
+        if start == 0:
+            blocks = Blocks(file, size, 0)
+            # the text's own size, as it may be padded
+            blocks.fill(8)
+            skipped = 12 + struct.unpack("<i", blocks.peek(4, 4))[0] + sum(9 + len(name.encode()) for name in references)
+            blocks.fill(skipped)
+            blocks.taken += skipped
+        else:
+            blocks = Blocks(file, size, Blocks.first_from(file, size, start))
+            if blocks.at >= (size if end is None else end) or not _to_first_record(blocks, len(references)):
+                return
+        last, nth = -1, 0
+        while blocks.fill(4):
+            block = blocks.block()
+            if end is not None and block >= end:
+                return
+            last, nth = block, nth + 1 if block == last else 0
+            length = struct.unpack("<i", blocks.peek(0, 4))[0]
+            if not blocks.fill(4 + length):
+                raise ValueError(f"{path}: the last record is cut off")
+            body = blocks.peek(4, length)
+            blocks.taken += 4 + length
             ref, pos, name_size, mapq, _, ops, flag, bases, next_ref, next_pos, tlen = struct.unpack_from("<iiBBHHHiiii", body)
             rname = references[ref] if ref >= 0 else None
             if only is not None and rname != only:
@@ -103,14 +219,15 @@ def bam_records(path: str, only: str | None = None) -> Iterator[tuple]:
             raw = body[at : at + bases]
             qual = "*" if not raw or raw[0] == 255 else bytes(q + 33 for q in raw).decode()
             rnext = "*" if next_ref < 0 else "=" if next_ref == ref else references[next_ref]
+            idx = (ordinal << BLOCK_BITS | block) << NTH_BITS | nth
             yield idx, qname, flag, rname, pos, mapq, cigar, rnext, next_pos, tlen, seq, qual, _tags(body[at + bases :])
 
 
 class BamReader(DataSourceReader):
-    """One partition a file; a filter on one reference is taken over."""
+    """Ranges of blocks of each file; a filter on one reference is taken over."""
 
-    def __init__(self, paths: list[str]):
-        self.paths, self.only = paths, None
+    def __init__(self, paths: list[str], split: int = SPLIT_BYTES):
+        self.paths, self.split, self.only = paths, split, None
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
@@ -119,14 +236,20 @@ class BamReader(DataSourceReader):
             yield f
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(p) for p in self.paths]
+        out = []
+        for ordinal, path in enumerate(self.paths):
+            file, size = open_at(path)
+            file.close()
+            out += [InputPartition((path, ordinal, start, min(start + self.split, size))) for start in range(0, max(size, 1), self.split)]
+        return out
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        return bam_records(partition.value, self.only)
+        path, ordinal, start, end = partition.value
+        return bam_records(path, self.only, ordinal, start, end)
 
 
 class BamSource(DataSource):
-    """`bam`: option path, files by commas or wild cards."""
+    """`bam`: options path, files by commas or wild cards, and split, the bytes of a file that one task reads."""
 
     @classmethod
     def name(cls) -> str:
@@ -136,9 +259,9 @@ class BamSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> BamReader:
-        return BamReader(listed(self.options["path"]))
+        return BamReader(listed(self.options["path"]), int(self.options.get("split", SPLIT_BYTES)))
 
 
-def bam(spark: SparkSession, path: str) -> DataFrame:
+def bam(spark: SparkSession, path: str, split: int = SPLIT_BYTES) -> DataFrame:
     spark.dataSource.register(BamSource)
-    return spark.read.format("bam").option("path", path).load()
+    return spark.read.format("bam").option("path", path).option("split", split).load()

@@ -12,6 +12,8 @@ from cellstrand.sources.files import listed, open_text
 
 READ = "struct<id:string,desc:string,seq:string,qual:string>"
 SCHEMA = "file string, idx bigint, id string, desc string, seq string, qual string"
+#: Bits of a record's number in its set of files.
+SET_BITS = 40
 TRIPLET_SCHEMA = f"idx bigint, lig {READ}, umi {READ}, bio {READ}"
 
 
@@ -55,16 +57,24 @@ class FastqReader(_Limited):
 
 
 class TripletReader(_Limited):
-    def __init__(self, paths: list[str]):
-        self.paths = paths
+    """One partition for each set of three files; idx goes on from 1 in each set, with the set's number in its high bits."""
+
+    def __init__(self, paths: list[list[str]], check_ids: bool = False):
+        if len({len(p) for p in paths}) > 1:
+            raise ValueError(f"as many first, second and third files are needed: {paths}")
+        self.sets, self.check_ids = list(zip(*paths, strict=True)), check_ids
 
     def partitions(self) -> list[InputPartition]:
-        return [InputPartition(self.paths)]
+        return [InputPartition((k, files)) for k, files in enumerate(self.sets)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        # in step, to the end of the shortest; ids are not compared
-        for idx, three in enumerate(islice(zip(*map(records, partition.value), strict=False), self.most), 1):
-            yield (idx, *three)
+        ordinal, files = partition.value
+        most = None if self.most is None else max(0, self.most - (ordinal << SET_BITS))
+        # in step, to the end of the shortest
+        for idx, three in enumerate(islice(zip(*map(records, files), strict=False), most), 1):
+            if self.check_ids and len({name.split("/")[0] for name, *_ in three}) > 1:
+                raise ValueError(f"records {idx} of {files} have other ids: {[name for name, *_ in three]}")
+            yield (ordinal << SET_BITS | idx, *three)
 
 
 class FastqSource(DataSource):
@@ -82,7 +92,7 @@ class FastqSource(DataSource):
 
 
 class TripletSource(DataSource):
-    """`fastq_triplet`: options first, second, third; idx is the record's number from 1."""
+    """`fastq_triplet`: options first, second, third (files by commas or wild cards, as many of each) and check_ids; idx orders the records, from 1."""
 
     @classmethod
     def name(cls) -> str:
@@ -92,7 +102,7 @@ class TripletSource(DataSource):
         return TRIPLET_SCHEMA
 
     def reader(self, schema) -> TripletReader:
-        return TripletReader([self.options[k] for k in ("first", "second", "third")])
+        return TripletReader([listed(self.options[k]) for k in ("first", "second", "third")], self.options.get("check_ids") == "true")
 
 
 def fastq(spark: SparkSession, path: str) -> DataFrame:
@@ -100,8 +110,8 @@ def fastq(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("fastq").option("path", path).load()
 
 
-def triplets(spark: SparkSession, first: str, second: str, third: str, partitions: int | None = None) -> DataFrame:
-    """Triplets, dealt over `partitions` tasks for what follows, as one task reads the three files."""
+def triplets(spark: SparkSession, first: str, second: str, third: str, partitions: int | None = None, check_ids: bool = False) -> DataFrame:
+    """Triplets, dealt over `partitions` tasks for what follows, as one task reads each three files."""
     spark.dataSource.register(TripletSource)
-    rows = spark.read.format("fastq_triplet").option("first", first).option("second", second).option("third", third).load()
+    rows = spark.read.format("fastq_triplet").option("first", first).option("second", second).option("third", third).option("check_ids", str(check_ids).lower()).load()
     return rows.repartition(partitions) if partitions else rows

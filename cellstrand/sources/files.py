@@ -8,14 +8,29 @@ import io
 import os
 from typing import BinaryIO
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 
 
+def file_system(url: str) -> tuple[pafs.FileSystem, str]:
+    """pyarrow's file system of a URL, and the path in it; a path without a scheme is local."""
+    if url.startswith("file:"):
+        url = url.removeprefix("file:").removeprefix("//")
+    if "://" not in url:
+        return pafs.LocalFileSystem(), os.path.abspath(url)
+    return pafs.FileSystem.from_uri(url.replace("s3a://", "s3://", 1))
+
+
 def open_input(path: str) -> BinaryIO:
-    if "://" in path or path.startswith("file:"):
-        fs, inner = pafs.FileSystem.from_uri(path)
-        return io.BufferedReader(fs.open_input_stream(inner))
-    return open(path, "rb")
+    fs, inner = file_system(path)
+    return io.BufferedReader(fs.open_input_stream(inner, compression=None))
+
+
+def open_at(path: str) -> tuple[pa.NativeFile, int]:
+    """A file that can be read from any place, and its size."""
+    fs, inner = file_system(path)
+    file = fs.open_input_file(inner)
+    return file, file.size()
 
 
 def open_text(path: str) -> io.TextIOWrapper:
@@ -37,4 +52,5 @@ def make_folder(path: str) -> None:
     """Folder of an output file; none for a bare name."""
     folder = os.path.dirname(path)
     if folder:
-        os.makedirs(folder, exist_ok=True)
+        fs, inner = file_system(folder)
+        fs.create_dir(inner, recursive=True)

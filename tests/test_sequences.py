@@ -40,11 +40,6 @@ def test_within_one(spark):
         assert one(spark, seq.within_one(F.col("s").cast("string"), seq.CONSTANT_1), s=s) is want
 
 
-def test_mismatches(spark):
-    assert one(spark, seq.mismatches(F.col("a"), F.col("b")), a="ACGT", b="AGGA") == 2
-    assert one(spark, seq.mismatches(F.col("a"), F.col("b")), a="ACG", b="ACGT") is None
-
-
 def test_header(spark):
     assert one(spark, seq.header(F.col("n"), F.col("d")), n="x", d="r1 1:N:0") == "x r1 1:N:0"
     assert one(spark, seq.header(F.col("n"), F.col("d")), n="x", d="x 1:N:0") == "x 1:N:0"
