@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,15 +111,6 @@ def sweep(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def file_system(url: str) -> tuple[pafs.FileSystem, str]:
-    """pyarrow's file system of a URL that Spark gave, and the path in it; without a scheme a local path, as given by a caller."""
-    if url.startswith("file:"):
-        url = url.removeprefix("file:").removeprefix("//")
-    if "://" not in url:
-        return pafs.LocalFileSystem(), url
-    return pafs.FileSystem.from_uri(url.replace("s3a://", "s3://", 1))
-
-
 def stored(df: DataFrame, what: str) -> DataFrame:
     """df written to shared storage and read back: cuts lineage and survives lost executors."""
     path = shared_dir(df.sparkSession, what)
