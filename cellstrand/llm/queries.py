@@ -35,11 +35,6 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(table(spark, sf_dir, "documents")).withColumn("log_score", F.round("log_score", 4))
 
 
-def op4_lm_scoring_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With trigrams; op4_lm_scoring stays at the bigrams of its SQL."""
-    return lm_scoring.score(table(spark, sf_dir, "documents"), order=3).withColumn("log_score", F.round("log_score", 4))
-
-
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -73,7 +68,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_token_counts": op2_token_counts,
         "op3_jaccard_join": op3_jaccard_join,
         "op4_lm_scoring": op4_lm_scoring,
-        "op4_lm_scoring_order3": op4_lm_scoring_order3,
         "op5_suffix_dedup": op5_suffix_dedup,
         "op6_decontaminate": op6_decontaminate,
         "op7_ann": op7_ann,

@@ -163,7 +163,7 @@ def brute_scores(texts, order, alpha):
     return out
 
 
-@pytest.mark.parametrize("order", [1, 2, 3])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_lm_scores_against_brute_force(spark, order):
     rng = random.Random(order)
     texts = [" ".join(rng.choice("AbCdE") for _ in range(rng.randint(0, 30))) for _ in range(40)] + [None, "", " ", "x", "x", "b " * 3000]
@@ -174,11 +174,25 @@ def test_lm_scores_against_brute_force(spark, order):
     assert lm_scoring.score(docs.limit(0), order).count() == 0
 
 
+def test_n_grams_that_differ_in_low_bits_are_told_apart():
+    gram = np.array([5 << 30, (5 << 30) + 1, 5 << 30, 9, (5 << 30) + 1], dtype=np.uint64)
+    assert lm_scoring.ranked(gram).tolist() == [3, 0, 2, 1, 4]
+    table = lm_scoring.Table.of(gram, gram > 0)
+    assert table.distinct.tolist() == [9, 5 << 30, (5 << 30) + 1] and table.count.tolist() == [1, 2, 2]
+
+
+def test_scores_of_rows_without_ids(spark):
+    docs = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (3, "a b d")], "doc_id long, text string")
+    got = sorted((r.n_words, round(r.log_score, 6), str(r.doc_id)) for r in lm_scoring.score(docs).collect())
+    wanted = brute_scores(["a b c", "a b c", "a b d"], 3, lm_scoring.ALPHA)
+    assert got == sorted((n, round(s, 6), d) for (n, s), d in zip(wanted, ("None", "None", "3"), strict=True))
+
+
 def test_registered_scores_with_trigrams(spark, tmp_path):
     rng = random.Random(5)
     texts = [" ".join(rng.choice("abcd") for _ in range(rng.randint(0, 30))) for _ in range(40)] + ["a b", "a b c", None]
     pd.DataFrame({"doc_id": range(len(texts)), "text": texts}).to_parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: (r.n_words, r.log_score) for r in queries.queries()["op4_lm_scoring_order3"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: (r.n_words, r.log_score) for r in queries.queries()["op4_lm_scoring"](spark, str(tmp_path)).collect()}
     assert got == {k: (n, pytest.approx(s, abs=1e-4)) for k, (n, s) in enumerate(brute_scores(texts, 3, lm_scoring.ALPHA))}
     two = brute_scores(texts, 2, lm_scoring.ALPHA)
     assert any(abs(got[k][1] - s) > 0.1 for k, (_, s) in enumerate(two))
