@@ -3,20 +3,26 @@
 Documents with the same set are one class. Two classes link when their sets' Jaccard similarity is
 at least THRESHOLD_PERCENT, i.e. their distance 1 - J, which is a metric, is at most r.
 
-1. A count table partitioned by shingle hash tells each class how many classes have each of its
-   shingles. A class with more than the allowed part of shingles that nobody else has is alone.
-2. The others are put into blocks: the space falls apart where documents share none of the rarest
-   shingles that a link needs (ordered by count, then hash), for then their distance exceeds r.
+1. A count table partitioned by ranges of shingle hashes tells each class how many classes have each
+   of its shingles. A class with more than the allowed part of shingles that nobody else has is alone.
+2. In a metric space of which most points are at distance 1 from each other, pivots alone part
+   nothing. So lower bounds on the distance part it first: classes that share none of the rarest
+   shingles that a link needs (ordered by count, then hash), and classes of which one has less than
+   THRESHOLD_PERCENT of the other's size, are further apart than r. Blocks are what is left connected.
 3. A block is joined recursively. Documents' distances to a few pivots are computed. Each belongs to
    the region of its nearest pivot, and is a guest in a region j where a neighbour may live: if its
    distance to pivot j is at most 2r more than to its own, and at most r more than the region's
    radius. Documents within r of pivot j are linked to it, hence to each other. Only the outer ones,
    and inner ones within the window (distance to the pivot at least the least outer one's less r),
-   go on to the next level. Small regions compare all their documents.
+   go on to the next level. In small regions, and in those that pivots do not part, a distance is
+   computed only if no lower bound forbids a link: the difference of the distances to any pivot is
+   at most r, sizes allow it, and they share one of the shingles that are rarest in the region.
 
 Blocks up to BLOCK_WEIGHT shingles are joined within a task; larger ones are split by the same rule
-over the cluster, level by level, and what does not shrink is compared slice against slice. Links
-are put out as spanning forests, never as all pairs of a group.
+over the cluster, level by level. What does not shrink is split by the shingles that are rarest in the
+block, and only what one such shingle leaves too large is compared slice against slice. Links are put
+out as spanning forests, never as all pairs of a group. Shingles and sets are told apart by 64 bits;
+counts stop at 65,535, which changes the order of shingles only, for all classes alike.
 
 Defined results: null, empty and blank texts have no shingles and are alone; a text with fewer than
 SHINGLE words has one shingle; the component is the least document id that is linked, null ids
@@ -31,29 +37,29 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellstrand.llm import chunkstore
 from cellstrand.llm.chunkstore import packed, plain, unpacked, unplain
 from cellstrand.llm.common import bytes_of, cuts, id_and_text, mixed, stored
 from cellstrand.llm.components import components
-from cellstrand.llm.wordhash import combined, word_hashes
+from cellstrand.llm.wordhash import Table, combined, ranked, word_hashes
 
 SHINGLE = 5
 THRESHOLD_PERCENT = 75
 RADIUS = 1 - THRESHOLD_PERCENT / 100
 NEAR = 1e-9
 CHUNK_BYTES = 5 << 20
-#: Shingles that a partition of the count table is laid out for, and that a task joins at once.
+#: Shingles that a partition of the count table is laid out for, and beyond which a block is work for several tasks.
 PART_SHINGLES = 750_000
-BLOCK_WEIGHT = 1_000_000
-PIVOTS, LEAF, LEVELS = 6, 16, 6
+BLOCK_WEIGHT = 50_000
+PIVOTS, LEAF, LEVELS = 6, 16, 2
 U = np.uint64
 
 
 def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text, ascending, in a row, and the n+1 offsets."""
+    """Distinct shingle hashes of each text, in a row, and the n+1 offsets."""
     words, count = word_hashes(texts)
     document = np.repeat(np.arange(len(texts)), count)
     begin = np.cumsum(count) - count
@@ -75,10 +81,13 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, n
             h = combined(h, np.array([w], dtype=U))
         few.append(h[0])
     owner, value = np.r_[owner, short], np.r_[value, np.array(few, dtype=U)]
-    order = np.lexsort((value, owner))
+    order = np.argsort(owner, kind="stable")
     owner, value = owner[order], value[order]
-    new = np.r_[True, (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])]
-    owner, value = owner[new], value[new]
+    place = ranked(value)
+    again = (value[place][1:] == value[place][:-1]) & (owner[place][1:] == owner[place][:-1])
+    once = np.ones(len(value), dtype=bool)
+    once[place[1:][again]] = False
+    owner, value = owner[once], value[once]
     return value, np.searchsorted(owner, np.arange(len(texts) + 1))
 
 
@@ -127,13 +136,20 @@ class Sets:
     def __init__(self, value: np.ndarray, at: np.ndarray, size: np.ndarray):
         self.number, self.at, self.size = np.unique(value, return_inverse=True)[1], at, size
         self.mark = np.zeros(int(self.number.max()) + 1 if len(value) else 1, dtype=bool)
+        #: distances computed so far
+        self.distances = 0
+
+    def places(self, members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of some members' shingles, and how many each has."""
+        length = self.at[members + 1] - self.at[members]
+        return np.repeat(self.at[members] - (np.cumsum(length) - length), length) + np.arange(length.sum()), length
 
     def to(self, one: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Distances of others from one, and whether they link."""
         own = self.number[self.at[one] : self.at[one + 1]]
         self.mark[own] = True
-        length = self.at[others + 1] - self.at[others]
-        place = np.repeat(self.at[others] - (np.cumsum(length) - length), length) + np.arange(length.sum())
+        self.distances += len(others)
+        place, length = self.places(others)
         hit = np.r_[0, np.cumsum(self.mark[self.number[place]])]
         ends = np.cumsum(length)
         both = hit[ends] - hit[ends - length]
@@ -165,7 +181,7 @@ def join_block(sets: Sets, members: np.ndarray, forest: Forest) -> None:
         if len(region) < 2 or len({forest.find(x) for x in region.tolist()}) == 1:
             continue
         if len(region) <= LEAF:
-            compare_all(sets, region, forest)
+            compare(sets, region, forest)
             continue
         pivots = [0]
         distance, linked = (x[None] for x in sets.to(region[0], region))
@@ -182,16 +198,43 @@ def join_block(sets: Sets, members: np.ndarray, forest: Forest) -> None:
         for part in regions(distance, linked):
             part = np.setdiff1d(part, pivots)
             if len(part) > 0.8 * len(region):
-                compare_all(sets, region[part], forest)
+                compare(sets, region[part], forest, distance[:, part])
             else:
                 waiting.append(region[part])
 
 
-def compare_all(sets: Sets, region: np.ndarray, forest: Forest) -> None:
-    for k in range(len(region) - 1):
-        rest = region[k + 1 :]
-        for x in rest[sets.to(region[k], rest)[1]].tolist():
-            forest.link(int(region[k]), x)
+def compare(sets: Sets, region: np.ndarray, forest: Forest, distance: np.ndarray | None = None) -> None:
+    """Link all members of a region that are near each other, by the distances that no lower bound makes needless.
+
+    distance: of all members from some pivots.
+    """
+    place, length = sets.places(region)
+    member, number = np.repeat(np.arange(len(region)), length), sets.number[place]
+    shingle, number = np.unique(number, return_inverse=True)
+    count = np.bincount(number)
+    # of the shingles at hand a link needs THRESHOLD_PERCENT of the whole set: it has one of the others and one more
+    spare = length - -(-THRESHOLD_PERCENT * sets.size[region] // 100)
+    order = np.lexsort((number, count[number], member))
+    rank = np.arange(len(member)) - np.repeat(np.cumsum(length) - length, length)
+    kept = order[(rank <= np.repeat(spare, length)) & (count[number[order]] > 1)]
+    by_shingle = kept[np.argsort(number[kept], kind="stable")]
+    begin = np.searchsorted(number[by_shingle], np.arange(len(shingle) + 1))
+    first = np.searchsorted(member[kept], np.arange(len(region) + 1))
+    holders, size = member[by_shingle], sets.size[region]
+    for x in range(len(region)):
+        lists = [holders[begin[s] : begin[s + 1]] for s in number[kept[first[x] : first[x + 1]]].tolist()]
+        if not lists:
+            continue
+        near = np.unique(np.concatenate(lists))
+        near = near[near > x]
+        near = near[100 * np.minimum(size[near], size[x]) >= THRESHOLD_PERCENT * np.maximum(size[near], size[x])]
+        if distance is not None and len(near):
+            near = near[(np.abs(distance[:, near] - distance[:, [x]]) <= RADIUS + NEAR).all(0)]
+        own = forest.find(int(region[x]))
+        near = np.array([y for y in near.tolist() if forest.find(int(region[y])) != own], dtype=np.int64)
+        if len(near):
+            for y in region[near[sets.to(int(region[x]), region[near])[1]]].tolist():
+                forest.link(int(region[x]), y)
 
 
 def sets_of_rows(blobs: list[bytes], sizes: list[int]) -> Sets:
@@ -199,8 +242,8 @@ def sets_of_rows(blobs: list[bytes], sizes: list[int]) -> Sets:
     return Sets(np.concatenate(parts), np.r_[0, np.cumsum([len(p) for p in parts])].astype(np.int64), np.array(sizes, dtype=np.int64))
 
 
-ITEMS = "kind int, key long, n long, weight long, part int, chunk long, a binary, b binary"
-ITEM_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+ITEMS = "kind int, key long, n long, weight long, part int, chunk long, a binary, b binary, c binary"
+ITEM_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
 EDGE, SET, PREFIX = range(3)
 
 
@@ -231,18 +274,17 @@ def candidates(url: str, owned: DataFrame, parts: int) -> DataFrame:
     owned: (chunk, row, key, n), one row for each class.
     """
 
-    def asked(rows: pa.Table) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def asked(rows: pa.Table) -> tuple[int, np.ndarray, np.ndarray, np.ndarray, Table, np.ndarray]:
         chunk = rows.column("chunk")[0].as_py()
         own = rows.filter(pc.is_valid(rows.column("row"))).sort_by("row")
         value, at = chunk_sets(chunkstore.read(url, chunk), own.column("row").to_numpy())
-        distinct, number, count = np.unique(value, return_inverse=True, return_counts=True)
-        part = (mixed(distinct) % U(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        return chunk, own.column("key").to_numpy(), value, at, number, distinct, count, order, np.searchsorted(part[order], np.arange(parts + 1))
+        shingles = Table.of(value, np.ones(len(value), dtype=bool))
+        return chunk, own.column("key").to_numpy(), value, at, shingles, shingles.parts(parts)
 
     def ask(rows: pa.Table) -> pa.Table:
-        chunk, _, _, _, _, distinct, count, order, begin = asked(rows)
-        told = [(p, chunk, packed(distinct[order[begin[p] : begin[p + 1]]]), plain(np.minimum(count[order[begin[p] : begin[p + 1]]], 65535).astype(np.uint16))) for p in range(parts) if begin[p] < begin[p + 1]]
+        chunk, _, _, _, own, begin = asked(rows)
+        count = np.minimum(own.count, 65535).astype(np.uint16)
+        told = [(p, chunk, packed(own.distinct[begin[p] : begin[p + 1]]), plain(count[begin[p] : begin[p + 1]])) for p in np.flatnonzero(np.diff(begin)).tolist()]
         return batch_of(told, ["part", "chunk", "a", "b"], [pa.int32(), pa.int64(), pa.binary(), pa.binary()])
 
     def add_up(table: pa.Table) -> pa.Table:
@@ -256,19 +298,22 @@ def candidates(url: str, owned: DataFrame, parts: int) -> DataFrame:
         return pa.table({"chunk": table.column("chunk"), "row": pa.nulls(size, pa.int64()), "key": pa.nulls(size, pa.int64()), "part": table.column("part"), "answer": pa.array(out, pa.binary())})
 
     def pick(rows: pa.Table) -> pa.Table:
-        chunk, key, value, at, number, distinct, _, order, begin = asked(rows)
+        chunk, key, value, at, own, begin = asked(rows)
         told = dict(zip(rows.column("part").to_pylist(), rows.column("answer").to_pylist(), strict=True))
-        spread = np.empty(len(distinct), dtype=np.int64)
-        if len(distinct):
-            spread[order] = np.concatenate([unplain(told[p], np.uint16) for p in range(parts) if begin[p] < begin[p + 1]])
-        count = spread[number]
+        spread = np.concatenate([np.empty(0, dtype=np.uint16), *(unplain(told[p], np.uint16) for p in np.flatnonzero(np.diff(begin)).tolist())])
+        number = np.empty(len(value), dtype=np.int64)
+        number[own.place] = own.number
+        count = spread[number].astype(np.int64)
+        # the order of all shingles: by count, then by hash
+        rarity = np.empty(len(spread), dtype=np.int64)
+        rarity[np.argsort(spread, kind="stable")] = np.arange(len(spread))
         size = np.diff(at)
         document = np.repeat(np.arange(len(size)), size)
         alone = np.bincount(document[count == 1], minlength=len(size))
         # a link of a set of n needs ceil(0.75 n) common shingles: so many of its others may be alone
         spare = size - -(-THRESHOLD_PERCENT * size // 100)
         live = (alone <= spare) & (size > 0)
-        by_rarity = np.lexsort((value, count, document))
+        by_rarity = np.argsort(document << 32 | rarity[number])
         rank = np.arange(len(value)) - np.repeat(at[:-1], size)
         in_prefix = np.zeros(len(value), dtype=bool)
         in_prefix[by_rarity] = rank <= np.repeat(spare, size)
@@ -276,23 +321,24 @@ def candidates(url: str, owned: DataFrame, parts: int) -> DataFrame:
         out: list[tuple] = []
         shared = count > 1
         for d in np.flatnonzero(live).tolist():
-            own = value[at[d] : at[d + 1]][shared[at[d] : at[d + 1]]]
-            out.append((SET, int(key[d]), int(size[d]), len(own), None, None, packed(own), None))
+            kept = np.sort(value[at[d] : at[d + 1]][shared[at[d] : at[d + 1]]])
+            out.append((SET, int(key[d]), int(size[d]), len(kept), None, None, packed(kept), None, None))
         forest = Forest(len(size))
         places = np.flatnonzero(in_prefix)
-        places = places[np.argsort(value[places], kind="stable")]
-        same = value[places][1:] == value[places][:-1]
-        for x, y in zip(document[places][:-1][same].tolist(), document[places][1:][same].tolist(), strict=True):
+        places = places[np.lexsort((size[document[places]], value[places]))]
+        of, shingle = document[places], value[places]
+        same = (shingle[1:] == shingle[:-1]) & (100 * size[of][:-1] >= THRESHOLD_PERCENT * size[of][1:])
+        for x, y in zip(of[:-1][same].tolist(), of[1:][same].tolist(), strict=True):
             forest.link(x, y)
-        out += [(EDGE, int(key[x]), int(key[y]), 0, None, None, None, None) for x, y in forest.edges]
-        root = np.array([forest.find(d) for d in range(len(size))], dtype=np.int64)
-        # one row for each prefix shingle and group of the chunk
-        sent = np.unique(np.stack([value[places], root[document[places]].astype(U)], 1), axis=0) if len(places) else np.empty((0, 2), dtype=U)
-        part = (mixed(sent[:, 0]) % U(parts)).astype(np.int64)
-        for p in np.unique(part).tolist():
-            own = sent[part == p]
-            out.append((PREFIX, None, None, None, p, chunk, packed(np.ascontiguousarray(own[:, 0])), plain(key[own[:, 1].astype(np.int64)])))
-        return batch_of(out, ["kind", "key", "n", "weight", "part", "chunk", "a", "b"], ITEM_TYPES)
+        out += [(EDGE, int(key[x]), int(key[y]), 0, None, None, None, None, None) for x, y in forest.edges]
+        # one row for each prefix shingle and run of sizes that is linked in the chunk
+        first = np.flatnonzero(np.r_[True, ~same][: len(places)])
+        last = np.r_[first[1:], len(places)] - 1
+        ends = Table(first, first, shingle[first], first).parts(parts)
+        for p in np.flatnonzero(np.diff(ends)).tolist():
+            a, b = first[ends[p] : ends[p + 1]], last[ends[p] : ends[p + 1]]
+            out.append((PREFIX, None, None, None, p, chunk, packed(shingle[a]), plain(key[of[a]]), plain(np.stack([size[of[a]], size[of[b]]]))))
+        return batch_of(out, ["kind", "key", "n", "weight", "part", "chunk", "a", "b", "c"], ITEM_TYPES)
 
     asks = chunkstore.by(owned.select("chunk", "row", "key"), "chunk").applyInArrow(ask, "part int, chunk long, a binary, b binary")
     answers = chunkstore.by(asks, "part").applyInArrow(add_up, "chunk long, row long, key long, part int, answer binary")
@@ -301,21 +347,25 @@ def candidates(url: str, owned: DataFrame, parts: int) -> DataFrame:
 
 
 def prefix_edges(items: DataFrame) -> DataFrame:
-    """Edges (a, b) between groups that share a prefix shingle: a spanning forest from each part."""
+    """Edges (a, b) between groups that share a prefix shingle and whose sizes allow a link: a spanning forest from each part."""
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
         value = np.concatenate([unpacked(x, U) for x in table.column("a").to_pylist()])
         key = np.concatenate([unplain(x, np.int64) for x in table.column("b").to_pylist()])
+        low, high = np.concatenate([unplain(x, np.int64).reshape(2, -1) for x in table.column("c").to_pylist()], axis=1)
         keys, number = np.unique(key, return_inverse=True)
-        order = np.argsort(value, kind="stable")
-        same = value[order][1:] == value[order][:-1]
+        order = np.lexsort((low, value))
+        value, low, high, number = value[order], low[order], high[order], number[order]
+        alike = value[1:] == value[:-1]
+        largest = np.maximum.accumulate(np.cumsum(np.r_[True, ~alike]) << 32 | high) & 0xFFFFFFFF
+        same = alike & (100 * largest[:-1] >= THRESHOLD_PERCENT * low[1:])
         forest = Forest(len(keys))
-        for x, y in zip(number[order][:-1][same].tolist(), number[order][1:][same].tolist(), strict=True):
+        for x, y in zip(number[:-1][same].tolist(), number[1:][same].tolist(), strict=True):
             forest.link(x, y)
         return batch_of([(int(keys[x]), int(keys[y])) for x, y in forest.edges], ["a", "b"], [pa.int64(), pa.int64()])
 
-    return chunkstore.by(items.where(F.col("kind") == PREFIX).select("part", "chunk", "a", "b"), "part").applyInArrow(run, "a long, b long")
+    return chunkstore.by(items.where(F.col("kind") == PREFIX).select("part", "chunk", "a", "b", "c"), "part").applyInArrow(run, "a long, b long")
 
 
 def joined_in_tasks(rows: DataFrame, parts: int) -> DataFrame:
@@ -373,8 +423,30 @@ def split_once(large: DataFrame, sets: DataFrame, level: int, limit: int) -> tup
     return links, after.select(F.xxhash64("block", "j", F.lit(level)).alias("block"), "key", "weight")
 
 
+def split_by_rarity(large: DataFrame, sets: DataFrame, level: int) -> DataFrame:
+    """Members (block, key, weight) of new blocks: those that share one of the shingles that are rarest in their block, as many as a link needs."""
+    rows = large.join(sets, "key").select("block", "key", "weight", "n", "blob")
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, blob in enumerate(batch.column("blob").to_pylist()):
+                shingles = unpacked(blob, U).view(np.int64)
+                take = pa.array(np.full(len(shingles), k))
+                yield pa.record_batch([*(batch.column(c).take(take) for c in ("block", "key", "weight", "n")), pa.array(shingles)], names=["block", "key", "weight", "n", "shingle"])
+
+    each = rows.mapInArrow(spread, "block long, key long, weight long, n long, shingle long")
+    counts = each.groupBy("block", "shingle").agg(F.count(F.lit(1)).alias("count")).where("count > 1")
+    each = each.join(counts, ["block", "shingle"])
+    own = Window.partitionBy("block", "key")
+    # those that nobody else has come first
+    rank = F.col("weight") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("count", "shingle"))
+    spare = F.col("weight") - F.ceil(F.col("n") * THRESHOLD_PERCENT / 100)
+    kept = each.withColumn("rank", rank).where(F.col("rank") <= spare + 1)
+    return kept.select(F.xxhash64("block", "shingle", F.lit(level)).alias("block"), "key", "weight")
+
+
 def compared_in_slices(large: DataFrame, sets: DataFrame, limit: int) -> DataFrame:
-    """Links within blocks that pivots do not part: each slice of a block against each, in bounded tasks."""
+    """Links within blocks that nothing parts: each slice of a block against each, in bounded tasks."""
     spread = large.groupBy("block").agg(F.ceil(2 * F.sum("weight") / limit).cast("int").alias("salts"))
     rows = large.join(spread, "block").withColumn("salt", F.pmod(F.xxhash64("key"), F.col("salts")).cast("int"))
     twice = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select(F.xxhash64("block", F.least("salt", "other"), F.greatest("salt", "other")).alias("slice"), "key")
@@ -395,18 +467,21 @@ def links_in_blocks(members: DataFrame, sets: DataFrame, slots: int, limit: int
     found: list[DataFrame] = []
     small: list[DataFrame] = []
     waiting = members
-    for level in range(levels + 1):
+    # levels of pivots, one by rarity, and what is left
+    for level in range(levels + 2):
         weight = waiting.groupBy("block").agg(F.sum("weight").alias("total"))
         sized = stored(waiting.join(weight, "block"), "members")
         small.append(sized.where(F.col("total") <= limit).select("block", "key", "weight"))
         large = sized.where(F.col("total") > limit).select("block", "key", "weight")
         if large.isEmpty():
             break
-        if level == levels:
+        if level > levels:
             found.append(compared_in_slices(large, sets, limit))
-            break
-        links, waiting = split_once(large, sets, level, limit)
-        found.append(links)
+        elif level == levels:
+            waiting = split_by_rarity(large, sets, level)
+        else:
+            links, waiting = split_once(large, sets, level, limit)
+            found.append(links)
     rows = small[0]
     for more in small[1:]:
         rows = rows.unionByName(more)

@@ -28,7 +28,6 @@ are not read.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,16 +37,13 @@ from pyspark.sql import functions as F
 from cellstrand.llm import chunkstore
 from cellstrand.llm.chunkstore import packed, plain, unpacked, unplain
 from cellstrand.llm.common import bytes_of, id_and_text, slices
-from cellstrand.llm.wordhash import combined, word_hashes
+from cellstrand.llm.wordhash import Table, combined, word_hashes
 
 ALPHA = 0.4
 ORDER = 3
 #: Text of a chunk, about, and n-grams that a partition of the count table is laid out for.
 CHUNK_BYTES = 10 << 20
 PART_GRAMS = 1_500_000
-#: Low bits of an n-gram that give way to its place while it is sorted.
-PLACE_BITS = np.uint64(22)
-U = np.uint64
 
 
 def words_in(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -73,50 +69,15 @@ def grams(words: np.ndarray, document: np.ndarray, order: int) -> list[np.ndarra
     return out
 
 
-def ranked(gram: np.ndarray) -> np.ndarray:
-    """Places in order of n-gram, then of place."""
-    if len(gram) < 1 << int(PLACE_BITS):
-        key = np.sort((gram >> PLACE_BITS << PLACE_BITS) | np.arange(len(gram), dtype=U))
-        place = (key & ((U(1) << PLACE_BITS) - U(1))).astype(np.int64)
-        own = gram[place]
-        # n-grams that differ in their low bits alone would stand mixed
-        if not ((own[1:] != own[:-1]) & (key[1:] >> PLACE_BITS == key[:-1] >> PLACE_BITS)).any():
-            return place
-    return np.argsort(gram, kind="stable")
-
-
-@dataclass
-class Table:
-    """n-grams of a chunk at some places: the places in order of n-gram, which n-gram stands there, the distinct ones, ascending, and their counts."""
-
-    place: np.ndarray
-    number: np.ndarray
-    distinct: np.ndarray
-    count: np.ndarray
-
-    @classmethod
-    def of(cls, gram: np.ndarray, where: np.ndarray) -> Table:
-        at = np.flatnonzero(where)
-        place = at[ranked(gram[at])]
-        own = gram[place]
-        new = np.r_[True, own[1:] != own[:-1]][: len(own)]
+def others(table: Table, corpus: np.ndarray, document: np.ndarray) -> np.ndarray:
+    """At each place of the chunk the count of its n-gram in the corpus less that in its own document; 0 where it was not asked for."""
+    out = np.zeros(len(document), dtype=np.int64)
+    if len(table.place):
+        own = document[table.place]
+        new = np.r_[True, (table.number[1:] != table.number[:-1]) | (own[1:] != own[:-1])]
         begin = np.flatnonzero(new)
-        return cls(place, np.cumsum(new) - 1, own[begin], np.diff(np.r_[begin, len(own)]))
-
-    def others(self, corpus: np.ndarray, document: np.ndarray) -> np.ndarray:
-        """At each place of the chunk the count of its n-gram in the corpus less that in its own document; 0 where it was not asked for."""
-        out = np.zeros(len(document), dtype=np.int64)
-        if len(self.place):
-            own = document[self.place]
-            new = np.r_[True, (self.number[1:] != self.number[:-1]) | (own[1:] != own[:-1])]
-            begin = np.flatnonzero(new)
-            out[self.place] = corpus[self.number] - np.diff(np.r_[begin, len(own)])[np.cumsum(new) - 1]
-        return out
-
-    def parts(self, parts: int) -> np.ndarray:
-        """Where each partition's n-grams begin among the distinct ones."""
-        edge = [U((p << 64) // parts) for p in range(1, parts)]
-        return np.r_[0, np.searchsorted(self.distinct, np.array(edge, dtype=U)), len(self.distinct)]
+        out[table.place] = corpus[table.number] - np.diff(np.r_[begin, len(own)])[np.cumsum(new) - 1]
+    return out
 
 
 ASK = "part int, chunk long, n int, gram binary, count binary"
@@ -174,7 +135,7 @@ class Chunk:
 
     def learn(self, told: pa.Table, orders: int) -> Chunk:
         for n in range(orders):
-            self.others.append(self.table(n).others(answers_of(told, n), self.document))
+            self.others.append(others(self.table(n), answers_of(told, n), self.document))
         return self
 
     def log_scores(self, total: int, alpha: float) -> np.ndarray:

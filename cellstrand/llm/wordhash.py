@@ -1,13 +1,19 @@
-"""Words of texts as 64-bit hashes: white-space words with A-Z lower-cased."""
+"""Words of texts as 64-bit hashes (white-space words with A-Z lower-cased), and sorted tables of hashes."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import xxhash
 
 #: Distinct words whose hashes a worker remembers.
 REMEMBERED = 150_000
 
+#: Low bits of a hash that give way to its place while it is sorted.
+PLACE_BITS = np.uint64(22)
+U = np.uint64
+
 _known: dict[bytes, int] = {}
 
 
@@ -31,3 +37,39 @@ def combined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
         x ^= x >> np.uint64(32)
         x *= np.uint64(0xD6E8FEB86659FD93)
         return x ^ (x >> np.uint64(31))
+
+
+def ranked(gram: np.ndarray) -> np.ndarray:
+    """Places in order of hash, then of place."""
+    if len(gram) < 1 << int(PLACE_BITS):
+        key = np.sort((gram >> PLACE_BITS << PLACE_BITS) | np.arange(len(gram), dtype=U))
+        place = (key & ((U(1) << PLACE_BITS) - U(1))).astype(np.int64)
+        own = gram[place]
+        # hashes that differ in their low bits alone would stand mixed
+        if not ((own[1:] != own[:-1]) & (key[1:] >> PLACE_BITS == key[:-1] >> PLACE_BITS)).any():
+            return place
+    return np.argsort(gram, kind="stable")
+
+
+@dataclass
+class Table:
+    """Hashes at some places: the places in order of hash, which hash stands there, the distinct ones, ascending, and their counts."""
+
+    place: np.ndarray
+    number: np.ndarray
+    distinct: np.ndarray
+    count: np.ndarray
+
+    @classmethod
+    def of(cls, gram: np.ndarray, where: np.ndarray) -> Table:
+        at = np.flatnonzero(where)
+        place = at[ranked(gram[at])]
+        own = gram[place]
+        new = np.r_[True, own[1:] != own[:-1]][: len(own)]
+        begin = np.flatnonzero(new)
+        return cls(place, np.cumsum(new) - 1, own[begin], np.diff(np.r_[begin, len(own)]))
+
+    def parts(self, parts: int) -> np.ndarray:
+        """Where each of `parts` equal ranges of hashes begins among the distinct ones."""
+        edge = [U((p << 64) // parts) for p in range(1, parts)]
+        return np.r_[0, np.searchsorted(self.distinct, np.array(edge, dtype=U)), len(self.distinct)]

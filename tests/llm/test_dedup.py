@@ -54,7 +54,7 @@ def corpus(rng, size=120):
     return [*rows, (5000, None), (5001, " \t"), (5002, "")]
 
 
-@pytest.mark.parametrize(("seed", "options"), [(0, {}), (1, {"block_weight": 300, "levels": 2}), (2, {"block_weight": 200, "levels": 0, "part_shingles": 50})])
+@pytest.mark.parametrize(("seed", "options"), [(0, {}), (1, {"block_weight": 300, "levels": 2}), (2, {"block_weight": 200, "levels": 0, "part_shingles": 50}), (3, {"block_weight": 60, "levels": 1})])
 def test_join_against_brute_force(spark, seed, options):
     rng = random.Random(seed)
     rows = corpus(rng)
@@ -71,10 +71,33 @@ def test_join_in_a_block_against_all_pairs():
         own = jaccard_join.Sets(np.concatenate(sets), np.r_[0, np.cumsum([len(s) for s in sets])], np.array([len(s) for s in sets]))
         forest, wanted = jaccard_join.Forest(80), jaccard_join.Forest(80)
         jaccard_join.join_block(own, np.arange(80), forest)
-        jaccard_join.compare_all(own, np.arange(80), wanted)
+        for x in range(80):
+            for y in range(x):
+                both, union = len(np.intersect1d(sets[x], sets[y])), len(np.union1d(sets[x], sets[y]))
+                if 100 * both >= 75 * union:
+                    wanted.link(x, y)
         assert [forest.find(x) for x in range(80)] == [wanted.find(x) for x in range(80)] and len(forest.edges) < 80
 
 
+def sets_of(rows):
+    return jaccard_join.Sets(np.concatenate(rows), np.r_[0, np.cumsum([len(r) for r in rows])], np.array([len(r) for r in rows]))
+
+
+def test_lower_bounds_spare_most_distances():
+    rng = np.random.default_rng(2)
+    # unrelated sets that share a shingle, sets of many sizes, and clusters of near copies
+    unrelated = [np.unique(np.r_[7, rng.integers(0, 1 << 60, 40)]).astype(np.uint64) for _ in range(1500)]
+    clusters = []
+    for _ in range(30):
+        core = rng.integers(0, 1 << 60, int(rng.integers(20, 200)))
+        clusters += [np.unique(np.r_[7, np.where(rng.random(len(core)) < 0.03, rng.integers(0, 1 << 60, len(core)), core)]).astype(np.uint64) for _ in range(40)]
+    for rows in (unrelated, clusters):
+        sets, forest, n = sets_of(rows), jaccard_join.Forest(len(rows)), len(rows)
+        jaccard_join.join_block(sets, np.arange(n), forest)
+        assert sets.distances < 0.05 * n * (n - 1) / 2
+    assert len({forest.find(x) for x in range(n)}) == 30
+
+
 def test_join_edges(spark):
     text = "a b c d e f g h"
     docs = spark.createDataFrame([(7, text), (7, text), (None, text.upper()), (9, "q r"), (8, "Q  R"), (None, ""), (None, "alone is this text here")], "doc_id long, text string")

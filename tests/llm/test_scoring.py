@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from cellstrand.llm import lm_scoring, quality, queries, token_counts, toxicity
+from cellstrand.llm import lm_scoring, quality, queries, token_counts, toxicity, wordhash
 from tests.oracle import assert_same
 
 
@@ -176,8 +176,8 @@ def test_lm_scores_against_brute_force(spark, order):
 
 def test_n_grams_that_differ_in_low_bits_are_told_apart():
     gram = np.array([5 << 30, (5 << 30) + 1, 5 << 30, 9, (5 << 30) + 1], dtype=np.uint64)
-    assert lm_scoring.ranked(gram).tolist() == [3, 0, 2, 1, 4]
-    table = lm_scoring.Table.of(gram, gram > 0)
+    assert wordhash.ranked(gram).tolist() == [3, 0, 2, 1, 4]
+    table = wordhash.Table.of(gram, gram > 0)
     assert table.distinct.tolist() == [9, 5 << 30, (5 << 30) + 1] and table.count.tolist() == [1, 2, 2]
 
 
