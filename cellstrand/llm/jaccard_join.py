@@ -19,9 +19,9 @@ at least THRESHOLD_PERCENT, i.e. their distance 1 - J, which is a metric, is at
    at most r, sizes allow it, and they share one of the shingles that are rarest in the region.
 
 Blocks up to BLOCK_WEIGHT shingles are joined within a task; larger ones are split by the same rule
-over the cluster, level by level. What does not shrink is split by the shingles that are rarest in the
-block, and only what one such shingle leaves too large is compared slice against slice. Links are put
-out as spanning forests, never as all pairs of a group. Shingles and sets are told apart by 64 bits;
+over the cluster, level by level. What does not shrink is compared slice against slice, up to SLICES of
+them; what is larger is split first by the shingles that are rarest in the block, so that a class is
+sent a bounded number of times. Links are put out as spanning forests, never as all pairs of a group. Shingles and sets are told apart by 64 bits;
 counts stop at 65,535, which changes the order of shingles only, for all classes alike.
 
 Defined results: null, empty and blank texts have no shingles and are alone; a text with fewer than
@@ -53,7 +53,9 @@ NEAR = 1e-9
 CHUNK_BYTES = 5 << 20
 #: Shingles that a partition of the count table is laid out for, and beyond which a block is work for several tasks.
 PART_SHINGLES = 750_000
-BLOCK_WEIGHT = 50_000
+BLOCK_WEIGHT = 500_000
+#: Slices up to which a block that pivots do not part is compared slice against slice; each class is sent so many times. A larger one is split by rarity, which sends each as many times as it has rare shingles.
+SLICES = 64
 PIVOTS, LEAF, LEVELS = 6, 16, 2
 U = np.uint64
 
@@ -462,7 +464,7 @@ def compared_in_slices(large: DataFrame, sets: DataFrame, limit: int) -> DataFra
     return rows.groupBy("slice").applyInArrow(run, "a long, b long")
 
 
-def links_in_blocks(members: DataFrame, sets: DataFrame, slots: int, limit: int = BLOCK_WEIGHT, levels: int = LEVELS) -> DataFrame:
+def links_in_blocks(members: DataFrame, sets: DataFrame, slots: int, limit: int = BLOCK_WEIGHT, levels: int = LEVELS, slices: int = SLICES) -> DataFrame:
     """Links (a, b) of a spanning forest of each block; members (block, key, weight), sets (key, n, blob)."""
     found: list[DataFrame] = []
     small: list[DataFrame] = []
@@ -478,7 +480,8 @@ def links_in_blocks(members: DataFrame, sets: DataFrame, slots: int, limit: int
         if level > levels:
             found.append(compared_in_slices(large, sets, limit))
         elif level == levels:
-            waiting = split_by_rarity(large, sets, level)
+            found.append(compared_in_slices(sized.where((F.col("total") > limit) & (F.col("total") <= limit * (slices // 2))).select("block", "key", "weight"), sets, limit))
+            waiting = split_by_rarity(sized.where((F.col("total") > limit) & (F.col("total") > limit * (slices // 2))).select("block", "key", "weight"), sets, level)
         else:
             links, waiting = split_once(large, sets, level, limit)
             found.append(links)
@@ -493,7 +496,7 @@ def links_in_blocks(members: DataFrame, sets: DataFrame, slots: int, limit: int
     return out
 
 
-def components_of(url: str, rows: DataFrame, part_shingles: int = PART_SHINGLES, block_weight: int = BLOCK_WEIGHT, levels: int = LEVELS) -> DataFrame:
+def components_of(url: str, rows: DataFrame, part_shingles: int = PART_SHINGLES, block_weight: int = BLOCK_WEIGHT, levels: int = LEVELS, slices: int = SLICES) -> DataFrame:
     """(key, component, first) of every class: its component, and the component's first row, as (no id, doc_id, chunk, row)."""
     slots = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "chunk", "row"))
@@ -504,7 +507,7 @@ def components_of(url: str, rows: DataFrame, part_shingles: int = PART_SHINGLES,
     near = components(items.where(F.col("kind") == EDGE).select(F.col("key").alias("a"), F.col("n").alias("b")).unionByName(prefix_edges(items)))
     blocks = near.select(F.col("component").alias("block"), F.col("node").alias("key")).unionByName(near.select(F.col("component").alias("block"), F.col("component").alias("key")).distinct())
     members = blocks.join(sets.select("key", "weight"), "key").select("block", "key", "weight")
-    linked = components(links_in_blocks(members, sets.select("key", "n", "blob"), slots, block_weight, levels))
+    linked = components(links_in_blocks(members, sets.select("key", "n", "blob"), slots, block_weight, levels, slices))
     named = classes.select("key", "first").join(linked, F.col("key") == F.col("node"), "left").select("key", "first", F.coalesce("component", "key").alias("component"))
     return named.select("key", "component").join(named.groupBy("component").agg(F.min("first").alias("first")), "component").select("key", "component", "first")
 

@@ -54,7 +54,7 @@ def corpus(rng, size=120):
     return [*rows, (5000, None), (5001, " \t"), (5002, "")]
 
 
-@pytest.mark.parametrize(("seed", "options"), [(0, {}), (1, {"block_weight": 300, "levels": 2}), (2, {"block_weight": 200, "levels": 0, "part_shingles": 50}), (3, {"block_weight": 60, "levels": 1})])
+@pytest.mark.parametrize(("seed", "options"), [(0, {}), (1, {"block_weight": 300, "levels": 2}), (2, {"block_weight": 200, "levels": 0, "part_shingles": 50}), (3, {"block_weight": 60, "levels": 1, "slices": 2}), (4, {"block_weight": 100, "levels": 0, "slices": 4})])
 def test_join_against_brute_force(spark, seed, options):
     rng = random.Random(seed)
     rows = corpus(rng)
