@@ -18,7 +18,8 @@ import pyarrow.parquet as pq
 import zstandard
 from pyspark.sql import DataFrame, GroupedData
 
-from cellstrand.llm.common import shared_dir, slices, stored
+from cellstrand.llm.common import slices, stored
+from cellstrand.session import shared_dir
 from cellstrand.sources.files import file_system
 
 Measure = Callable[[pa.Table], tuple[int, dict[str, pa.Table]]]

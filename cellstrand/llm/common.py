@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -11,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellstrand.session import shared_dir
+
 #: Rows that a kernel handles at once; bounds a worker's memory whatever Arrow batch size the session uses.
 SLICE_ROWS = 512
 #: Bytes of text after which a slice ends early, so that runs of very long texts stay bounded too.
@@ -90,27 +91,6 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _shared_root(spark: SparkSession) -> str:
-    """The application's folder below the cluster's shared checkpoint folder, with the scheme that Spark's file systems give it.
-
-    Only where the session has none (tests) is a folder below the warehouse used instead.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/cellstrand-{spark.sparkContext.applicationId}")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-
-
-def shared_dir(spark: SparkSession, what: str) -> str:
-    """A fresh folder on shared storage; executors and Spark's readers find it by the same URL."""
-    return f"{_shared_root(spark)}/{what}-{uuid.uuid4().hex}"
-
-
-def sweep(spark: SparkSession) -> None:
-    """Delete all that the operators kept for this application; to be called when their results are written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_shared_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def stored(df: DataFrame, what: str) -> DataFrame:
     """df written to shared storage and read back: cuts lineage and survives lost executors."""
     path = shared_dir(df.sparkSession, what)

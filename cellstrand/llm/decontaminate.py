@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellstrand.llm import chunkstore
-from cellstrand.llm.common import bytes_of, cuts, id_and_text, shared_dir
+from cellstrand.llm.common import bytes_of, cuts, id_and_text
+from cellstrand.session import shared_dir
 from cellstrand.sources.files import file_system
 
 #: Words of a window.

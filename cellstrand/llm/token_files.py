@@ -37,9 +37,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cellstrand.llm.chunks import ChunkMemory
-from cellstrand.llm.common import id_and_text, shared_dir, slices, texts_of
+from cellstrand.llm.common import id_and_text, slices, texts_of
 from cellstrand.llm.token_counts import byte_of_letter
 from cellstrand.operators.whitelist import estimated_bytes
+from cellstrand.session import shared_dir
 from cellstrand.sources.files import file_system
 
 NO_ID = np.int64(-(2**63))

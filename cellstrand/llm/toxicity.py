@@ -40,8 +40,9 @@ SCALE, RATE, DECAY, STEPS = 100.0, 0.03, 1e-4, 80
 SPAN_STEPS, SPAN_RATE, RENEWED = 80, 0.003, 4
 #: Words in fewer training texts are not trained on.
 LEAST_TEXTS = 3
-#: Labelled texts that a model is fitted on, at most, of each class.
+#: Labelled texts that a model is fitted on, at most, of each class, and bytes of such a text, at most.
 SAMPLE_EACH = 1500
+SAMPLE_TEXT_BYTES = 1 << 18
 #: Distinct words that a worker remembers.
 REMEMBERED = 200_000
 
@@ -202,16 +203,16 @@ def summed(owner: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Column, each: int = SAMPLE_EACH) -> list[tuple[str, int]]:
-    """At most `each` labelled texts of either class, those of least hash of the id.
+    """At most `each` labelled texts of either class, those of least hash of the id, without any longer than SAMPLE_TEXT_BYTES.
 
-    The label rows are cut down first, so what reaches the documents is bounded and broadcast.
+    The label rows are cut down first, so what reaches the documents is bounded and broadcast, and what comes back is bounded too.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)").where(allowed)
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
     order = F.xxhash64("doc_id")
     picked = known.where("y = 1").orderBy(order, "doc_id").limit(each).unionByName(known.where("y = 0").orderBy(order, "doc_id").limit(each))
     # of rows that share an id one is taken, so that the sample stays bounded
-    rows = id_and_text(docs).join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")).collect()
+    rows = id_and_text(docs).join(F.broadcast(picked), "doc_id").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= SAMPLE_TEXT_BYTES).groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")).collect()
     return [(r.text or "", r.y) for r in sorted(rows, key=lambda r: r.doc_id)]
 
 

@@ -7,6 +7,7 @@ import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from cellstrand.llm import lm_scoring, quality, queries, token_counts, toxicity, wordhash
 from tests.oracle import assert_same
@@ -86,6 +87,13 @@ def test_scores_over_tables(spark):
     assert kept.columns == docs.columns and kept.count() == 5
 
 
+def test_very_long_texts_are_no_sample(spark):
+    docs = spark.createDataFrame([(1, "an idiot " * 40_000), (2, "a fine day"), (3, "an idiot")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, toxic int")
+    sample = toxicity.labelled_sample(docs, labels, "toxic", F.lit(True))
+    assert sample == [("a fine day", 0), ("an idiot", 1)]
+
+
 def greedy(initial, continuation, word):
     at, found, pieces = 0, 0, initial
     while at < len(word):
@@ -119,8 +127,8 @@ def test_token_counts_over_a_table(spark, sf_dir):
     letters = token_counts.byte_of_letter()
     vocabulary = [bytes(letters[c] for c in t) for t in json.load(open(path, encoding="utf-8"))["model"]["vocab"] if all(c in letters for c in t)]
     initial, continuation = {v[1:] for v in vocabulary if v[:1] == b" " and len(v) > 1}, {v for v in vocabulary if v[:1] != b" "}
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
-    got = {r.doc_id: (r.n_words, r.n_tokens) for r in token_counts.token_counts(docs, path).collect()}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    got = {r.doc_id: (r.n_words, r.n_tokens) for r in queries.op2_token_counts(spark, sf_dir).collect()}
     for r in docs.collect():
         words = (r.text or "").encode().split()
         assert got[r.doc_id] == (len(words), sum(greedy(initial, continuation, w) for w in words))
