@@ -19,6 +19,7 @@ of them, every score is 0.5 (no model can be trained).
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -103,18 +104,21 @@ class Bags:
         self.word = np.concatenate([*rows, np.empty(0, dtype=np.int64)])
         self.text = np.repeat(np.arange(len(rows)), self.size)
         self.begin = np.cumsum(self.size) - self.size
-        buckets = [subwords(w) for w in index]
-        self.grams = np.array([len(b) for b in buckets], dtype=np.int64)
+        every, sizes = array("i"), array("i")
+        for w in index:
+            own = subwords(w)
+            every.extend(own)
+            sizes.append(len(own))
+        flat, self.grams = np.frombuffer(every, dtype=np.int32), np.frombuffer(sizes, dtype=np.int32).astype(np.int64)
         #: buckets of words that stand in LEAST_TEXTS texts are trained, the others stay 0
         often = np.bincount(self.word, minlength=len(index)) >= LEAST_TEXTS
         self.often = often[self.word]
-        flat = np.concatenate([*map(np.array, buckets), np.empty(0, dtype=np.int64)]).astype(np.int64)
-        owner = np.repeat(np.arange(len(index)), self.grams)
+        owner = np.repeat(np.arange(len(index), dtype=np.int32), self.grams)
         self.used = np.unique(flat[often[owner]])
         known = np.isin(flat, self.used)
-        self.gram, self.owner = np.searchsorted(self.used, flat[known]), owner[known]
+        self.gram, self.owner = np.searchsorted(self.used, flat[known]).astype(np.int32), owner[known]
         self.first = np.searchsorted(self.owner, np.arange(len(index) + 1))
-        #: place of a span's last word but SPAN, behind the running sums; a short text is one span
+        #: texts with words
         self.long = np.flatnonzero(self.size > 0)
 
     def members(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
