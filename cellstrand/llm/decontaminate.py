@@ -111,7 +111,7 @@ def windows_of(url: str, block: int) -> Windows:
 def prepared(benchmark: DataFrame, size: int = WINDOW, most: int = BLOCK_BYTES) -> tuple[str, list[int]]:
     """The windows of all items, in blocks on shared storage: the folder and the blocks' numbers."""
     url = shared_dir(benchmark.sparkSession, "benchmark")
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null").distinct()
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
