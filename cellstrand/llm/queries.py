@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellstrand.llm import ann, byte_bpe, decontaminate, jaccard_join, lm_scoring, quality, suffix_dedup, token_counts, token_files, toxicity
+from cellstrand.llm import ann, byte_bpe, decontaminate, filter_audit, jaccard_join, lm_scoring, pivot_topk
+from cellstrand.llm import quality, suffix_dedup, token_alignment, token_counts, token_files, toxicity
 from cellstrand.llm.common import table
 
 TOXIC_FROM = 0.7
@@ -62,6 +63,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= GOOD_FROM).cast("int").alias("predicted"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_toxicity": op1_toxicity,
@@ -74,8 +87,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_token_files": op9_token_files,
         "op10_quality": op10_quality,
+        "op11_token_alignment": op11_token_alignment,
+        "op12_filter_audit": op12_filter_audit,
+        "op13_exact_topk": op13_exact_topk,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_jaccard_join": jaccard_join.ORACLE, "op4_lm_scoring": lm_scoring.ORACLE, "op5_suffix_dedup": suffix_dedup.ORACLE, "op6_decontaminate": decontaminate.ORACLE}
+    return {
+        "op3_jaccard_join": jaccard_join.ORACLE,
+        "op4_lm_scoring": lm_scoring.ORACLE,
+        "op5_suffix_dedup": suffix_dedup.ORACLE,
+        "op6_decontaminate": decontaminate.ORACLE,
+        "op12_filter_audit": filter_audit.ORACLE,
+        "op13_exact_topk": pivot_topk.ORACLE,
+    }
