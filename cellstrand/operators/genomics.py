@@ -13,7 +13,9 @@ BIN = 16_384
 #: A transcript end counts if the fragment reaches at most this far beyond it.
 END_CUTOFF = -50
 NO_OVERLAP, AMBIGUOUS, MULTIPLE = "_no_feature_overlap", "_ambiguous", "_multiple"
-POLICIES = ("discard", "closest_TES")
+POLICIES = ("discard", "closest_TES", "uniform", "prop_unique", "EM")
+#: Policies that keep the list of genes, to be resolved when the cell's counts are known.
+LISTED = POLICIES[2:]
 
 
 def annotation(gtf: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -91,16 +93,15 @@ def nearest_ends(candidates: DataFrame, tes: DataFrame, cutoff: int = END_CUTOFF
 
 
 def check_policy(policy: str) -> None:
-    if policy in ("EM", "prop_unique", "uniform"):
-        raise NotImplementedError(f"multi-gene policy {policy!r} is not available; use one of {POLICIES}")
     if policy not in POLICIES:
-        raise ValueError(f"unknown multi-gene policy {policy!r}")
+        raise ValueError(f"unknown multi-gene policy {policy!r}; use one of {POLICIES}")
 
 
 def assigned(alignments: DataFrame, features: DataFrame, tes: DataFrame, library: str = "reverse", policy: str = "discard", introns: bool = False) -> DataFrame:
     """qname, gene_id, mapped_feature and mapping of every complete pair.
 
-    Exons come first; with `introns`, pairs without any exon are called by whole transcripts.
+    Exons come first; with `introns`, pairs without any exon are called by whole transcripts. Under a policy of LISTED, gene_id
+    has the genes that are left in order, joined by commas, and a column `genes` has them as an array.
     """
     check_policy(policy)
     pairs = read_pairs(alignments)
@@ -115,8 +116,11 @@ def assigned(alignments: DataFrame, features: DataFrame, tes: DataFrame, library
     out = pairs.join(genes, "qname", "left").select("qname", "m1", "m2", F.when(last, "transcript").otherwise("exon").alias("mapped_feature"), call.alias("call"), both.alias("genes"))
     if policy == "closest_TES":
         out = out.join(nearest_ends(out.where("call is null"), tes), "qname", "left").withColumn("gene_id", F.coalesce("call", "nearest", F.lit(AMBIGUOUS)))
+    elif policy in LISTED:
+        listed = F.when(F.col("call").isNotNull(), F.array("call")).otherwise(F.array_sort("genes"))
+        out = out.withColumn("genes", listed).withColumn("gene_id", F.array_join("genes", ","))
     else:
         out = out.withColumn("gene_id", F.coalesce("call", F.lit(MULTIPLE)))
     feature = F.when(F.col("gene_id") == NO_OVERLAP, "none").otherwise(F.col("mapped_feature"))
     mapping = aln.mapping_text(F.col("qname"), F.col("m1.rname"), F.col("m1.pos"), F.col("m1.aend"), F.col("m2.rname"), F.col("m2.pos"), F.col("m2.aend"))
-    return out.select("qname", "gene_id", feature.alias("mapped_feature"), mapping.alias("mapping"))
+    return out.select("qname", "gene_id", feature.alias("mapped_feature"), mapping.alias("mapping"), *["genes"] * (policy in LISTED))

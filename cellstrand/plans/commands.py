@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellstrand.functions import sequence as seq
-from cellstrand.operators import genomics, matrix, nascent, reads, summary, umi, whitelist
+from cellstrand.operators import genomics, matrix, multigene, nascent, reads, summary, umi, whitelist
 from cellstrand.sinks import files as sinks
 from cellstrand.sources import alignments as aln
 from cellstrand.sources import fastq, tables
@@ -104,13 +104,20 @@ def count(spark: SparkSession, input_bam: str, index_file: str, output_dir: str,
         records = records.join(first.select("qname"), "qname", "left_semi")
     found = genomics.assigned(records, features, tes, library_strandedness, multigene_reads, count_introns)
     barcode_of = F.concat(F.lit(f"{sample_name}."), seq.cell_of_name(F.col("qname")))
-    assignment = found.select(barcode_of.alias("barcode"), seq.umi_of_name(F.col("qname")).alias("umi"), "gene_id", "mapped_feature", "mapping")
-    feature = "gene_id"
-    counted = assignment.where(~F.startswith(F.col("gene_id"), F.lit("_"))) if drop_unassigned else assignment
-    if collapse_by_gene_name:
-        feature = "gene_name"
-        counted = counted.join(names, "gene_id")
-    counts = umi.umi_counts(counted, feature=feature).orderBy("barcode", feature)
+    cell_and_umi = [barcode_of.alias("barcode"), seq.umi_of_name(F.col("qname")).alias("umi")]
+    assignment = found.select(*cell_and_umi, "gene_id", "mapped_feature", "mapping")
+    feature = "gene_name" if collapse_by_gene_name else "gene_id"
+    if multigene_reads in genomics.LISTED:
+        # names stand for ids before molecules are dealt out: a list of ids of one name is that name alone
+        listed = found.select("qname", *cell_and_umi, "gene_id", "genes")
+        listed = listed.where(~F.startswith(F.col("gene_id"), F.lit("_"))) if drop_unassigned else listed
+        listed = multigene.by_name(listed, names) if collapse_by_gene_name else listed
+        counts = multigene.RESOLVED[multigene_reads](multigene.classes(listed)).withColumnRenamed("gene_id", feature)
+    else:
+        counted = assignment.where(~F.startswith(F.col("gene_id"), F.lit("_"))) if drop_unassigned else assignment
+        counted = counted.join(names, "gene_id") if collapse_by_gene_name else counted
+        counts = umi.umi_counts(counted, feature=feature)
+    counts = counts.orderBy("barcode", feature)
     sinks.tsv(assignment, os.path.join(output_dir, f"{sample_name}-read_assignment.tsv"))
     sinks.tsv(counts, os.path.join(output_dir, f"{sample_name}-unique_umi_count.tsv"))
     return assignment, counts

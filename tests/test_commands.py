@@ -179,8 +179,8 @@ def test_count(spark, tmp_path, annotated):
     assert calls[1] == ("G2", "exon")
     calls, _ = counted(spark, tmp_path, annotated, pairs, library_strandedness="none")
     assert calls[4] == ("_ambiguous", "exon")
-    with pytest.raises(NotImplementedError):
-        commands.count(spark, "missing.sam", "missing", str(tmp_path), "S", multigene_reads="EM")
+    with pytest.raises(ValueError, match="unknown multi-gene policy"):
+        commands.count(spark, "missing.sam", "missing", str(tmp_path), "S", multigene_reads="em")
 
 
 def test_annotation_names(spark, annotated):
