@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from cellstrand.functions import sequence as seq
 from cellstrand.operators import genomics, matrix, multigene, nascent, reads, summary, umi, whitelist
+from cellstrand.session import qualified
+from cellstrand.sinks import bam as bam_sink
 from cellstrand.sinks import files as sinks
 from cellstrand.sources import alignments as aln
 from cellstrand.sources import fastq, tables
@@ -21,6 +23,7 @@ log = logging.getLogger("cellstrand")
 
 def barcode(spark: SparkSession, ligation_reads: str, umi_reads: str, biological_reads: str, output_basename: str, ligation_file: str, rt_file: str, random_n_file: str, check_ids: bool = False) -> DataFrame:
     """Demultiplexed R1 and R2 FASTQ and the summary; returns the summary. check_ids: triplets of other ids are an error."""
+    output_basename = qualified(spark, output_basename)
     triplets = fastq.triplets(spark, ligation_reads, umi_reads, biological_reads, spark.sparkContext.defaultParallelism, check_ids)
     found = reads.demultiplexed(triplets, tables.dictionary(spark, ligation_file), tables.dictionary(spark, rt_file), tables.sequences(spark, random_n_file))
     # the input is read once: classes are counted while what passed is written, and both mates come from that
@@ -48,15 +51,18 @@ def tagged(alignments: DataFrame, on_bad_name: str = "error") -> DataFrame:
         name = F.when(good, F.col("qname")).otherwise(F.raise_error(F.concat(F.lit("read name without cell, UMI and id: "), F.col("qname"))).cast("string"))
     new = F.create_map(F.lit("CB"), seq.cell_of_name(name), F.lit("UR"), seq.umi_of_name(name))
     old = F.map_filter(F.coalesce("tags", F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))), lambda k, v: ~k.isin("CB", "UR"))
-    return alignments.withColumn("tags", F.map_concat(old, new))
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
+    types = F.coalesce("tag_types", empty) if "tag_types" in alignments.columns else empty
+    types = F.map_concat(F.map_filter(types, lambda k, v: ~k.isin("CB", "UR")), F.create_map(F.lit("CB"), F.lit("Z"), F.lit("UR"), F.lit("Z")))
+    return alignments.withColumns({"tags": F.map_concat(old, new), "tag_types": types})
 
 
 def load_alignments(spark: SparkSession, path: str) -> DataFrame:
     return aln.sam(spark, path) if path.endswith(".sam") else aln.bam(spark, path)
 
 
-def save_alignments(spark: SparkSession, records: DataFrame, like: str, path: str) -> None:
-    """Records with the header of another alignment file, as SAM or BAM by name."""
+def save_alignments(spark: SparkSession, records: DataFrame, like: str, path: str, by_coordinate: bool = False) -> None:
+    """Records with the header of another alignment file, as SAM or BAM by name; BAM by coordinate, with an index, if wanted."""
     if like.endswith(".sam"):
         head = aln.sam_header(spark, like)
         fields = [dict(f.split(":", 1) for f in line.split("\t")[1:]) for line in head if line.startswith("@SQ")]
@@ -66,7 +72,14 @@ def save_alignments(spark: SparkSession, records: DataFrame, like: str, path: st
     if path.endswith(".sam"):
         sinks.sam(records, text.splitlines(), path)
     else:
-        sinks.bam(records, text, references, path)
+        (bam_sink.sorted_bam if by_coordinate else bam_sink.bam)(records, text, references, path)
+
+
+def sort(spark: SparkSession, input_file: str, output_file: str) -> None:
+    """A BAM file in order of coordinates, and its index."""
+    if not output_file.endswith(".bam"):
+        raise ValueError(f"only BAM files are sorted and indexed: {output_file}")
+    save_alignments(spark, load_alignments(spark, input_file), input_file, output_file, by_coordinate=True)
 
 
 def warn_of_processes(wanted: int) -> None:
@@ -144,7 +157,7 @@ def slam(spark: SparkSession, input_bam: str, output_bam: str, snp_vcf: str | No
         log.warning("only bases of a quality above %d count; many sequencers give none", min_base_quality)
     records = load_alignments(spark, input_bam)
     snps = tables.snp_file(spark, snp_vcf) if snp_vcf else spark.createDataFrame([], "chrom string, pos int, ref string, alt string")
-    folder = f"{output_bam}.{uuid.uuid4().hex}.parts"
+    folder = f"{qualified(spark, output_bam)}.{uuid.uuid4().hex}.parts"
     try:
         nascent.classified(records, snps, min_base_quality, min_tc_ratio, min_tc_count).select("qname", "read_class").write.mode("overwrite").parquet(f"{folder}/classes")
         classes = spark.read.parquet(f"{folder}/classes")

@@ -12,7 +12,9 @@ from cellstrand.functions import sequence as seq
 from cellstrand.operators import genomics, matrix, multigene, nascent, reads, summary, umi, whitelist
 from cellstrand.plans import fixtures as fx
 from cellstrand.plans.commands import tagged
-from cellstrand.sources import tables
+from cellstrand.session import shared_dir
+from cellstrand.sinks import bam
+from cellstrand.sources import alignments, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -325,6 +327,34 @@ def gene_name_umi_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return umi.umi_counts(counted(spark, sf_dir).join(names, "gene_id"), feature="gene_name")
 
 
+CHROMOSOMES = [("chr2", 600_000), ("chr3", 600_000), ("chr1", 600_000)]
+
+
+def sorted_file(spark: SparkSession, sf_dir: str) -> str:
+    """All alignments as a BAM file in order of coordinates, with its index, in a folder that all machines share."""
+    folder = shared_dir(spark, "bam")
+    more = {"idx": F.xxhash64("qname", "flag"), "mapq": F.lit(60), "rnext": F.lit("*"), "pnext": F.lit(-1), "tlen": F.lit(0), "seq": F.lit("*"), "qual": F.lit("*"), "tags": F.create_map(F.lit("NM"), F.lit("0"))}
+    head = "".join(f"@SQ\tSN:{name}\tLN:{size}\n" for name, size in CHROMOSOMES)
+    bam.sorted_bam(fx.alignments(spark, sf_dir).withColumns(more), head, CHROMOSOMES, f"{folder}/x.bam")
+    return f"{folder}/x.bam"
+
+
+MATES = f"WITH {fx.PAIRS}, mates AS (SELECT chrom, s1 AS pos FROM all_pairs UNION ALL SELECT chrom, s2 FROM all_pairs)"
+
+
+@query(f"""{MATES} SELECT row_number() OVER (ORDER BY CASE chrom WHEN 'chr2' THEN 1 WHEN 'chr3' THEN 2 ELSE 3 END, pos)::bigint AS nth, chrom AS rname, pos FROM mates""")
+def coordinate_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References and positions of a sorted file's records, in its order."""
+    rows = alignments.bam(spark, sorted_file(spark, sf_dir)).select("idx", "rname", "pos")
+    return matrix.numbered(rows, [F.col("idx")], "nth").select("nth", "rname", "pos")
+
+
+@query(f"""{MATES} SELECT pos, count(*)::bigint AS records FROM mates WHERE chrom = 'chr3' AND pos < 260000 AND pos + 60 > 150000 GROUP BY 1""")
+def region_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of one region, by the file's index."""
+    return alignments.fetched(spark, sorted_file(spark, sf_dir), "chr3", 150_000, 260_000).groupBy("pos").agg(F.count(F.lit(1)).alias("records"))
+
+
 #: Molecules (cell, UMI, gene list) and their classes, of pairs called by exons.
 MOLECULES = f"""WITH {fx.PAIRS}, {fx.GENES}, {fx.HITS},
 lists AS (SELECT qname, list_sort(list(gene_id)) AS genes FROM per_gene WHERE space = 'exon' AND mates = 2 GROUP BY 1),

@@ -23,14 +23,23 @@ def session(app: str = "cellstrand", master: str | None = None, **settings: str)
     return builder.getOrCreate()
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with the scheme that Spark's file systems give it, so that tasks, the driver and Spark's own writers mean the same place."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(own).toString()
+
+
 def _shared_root(spark: SparkSession) -> str:
     """The application's folder below the cluster's shared checkpoint folder, with the scheme that Spark's file systems give it.
 
-    Only where the session has none (tests) is a folder below the warehouse used instead.
+    Only where the session has none and runs on one machine (tests) is a folder below the warehouse used instead.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/cellstrand-{spark.sparkContext.applicationId}")
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all its machines share")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    return qualified(spark, f"{base.rstrip('/')}/cellstrand-{spark.sparkContext.applicationId}")
 
 
 def shared_dir(spark: SparkSession, what: str) -> str:

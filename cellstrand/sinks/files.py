@@ -3,22 +3,20 @@
 from __future__ import annotations
 
 import gzip
-import io
 import json
-import re
-import struct
-import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellstrand.functions.sequence import header
-from cellstrand.sources.alignments import BASE_LETTERS, CIGAR_LETTERS
+from cellstrand.session import qualified
 from cellstrand.sources.files import file_system, make_folder
 
+#: Tags that are text even if they look like numbers, where nothing says what they are; and numbers without anything to spare.
+TEXT_TAGS, NUMBER = ("MD", "CB", "UR", "UB", "RG"), r"^(0|-?[1-9]\d{0,8})$"
+
 
 def fastq(reads: DataFrame, mate: str, folder: str) -> None:
     """Records of struct `mate` (name, desc, seq, qual) as gzip FASTQ parts, in order of idx within each part."""
@@ -52,117 +50,50 @@ def remove(folder: str) -> None:
 
 def tsv(table: DataFrame, path: str) -> None:
     """A table with header as one file at path."""
+    path = qualified(table.sparkSession, path)
     table.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").csv(f"{path}.parts")
     joined(f"{path}.parts", path, suffix=".csv")
 
 
 def json_summary(table: DataFrame, path: str) -> None:
     """(read_class, count) as one JSON object."""
+    path = qualified(table.sparkSession, path)
     make_folder(path)
-    with open(path, "w") as out:
-        json.dump({r.read_class: r["count"] for r in table.collect()}, out, indent=2)
+    fs, inner = file_system(path)
+    with fs.open_output_stream(inner, compression=None) as out:
+        out.write(json.dumps({r.read_class: r["count"] for r in table.collect()}, indent=2).encode())
 
 
 def matrix_market(cells: DataFrame, rows: int, columns: int, path: str) -> None:
     """(row, col, value) from 1 as a coordinate file of integers, in column order."""
+    path = qualified(cells.sparkSession, path)
     lines = cells.orderBy("col", "row").select(F.concat_ws(" ", "row", "col", "value").alias("value"))
     count = cells.count()
     lines.write.mode("overwrite").text(f"{path}.parts")
     joined(f"{path}.parts", path, f"%%MatrixMarket matrix coordinate integer general\n%\n{rows} {columns} {count}\n".encode(), ".txt")
 
 
+def _letter(kind: Column, tag: Column) -> Column:
+    """The type of a tag in text, where all integers are i; what nothing tells the type of is a number or text by its looks."""
+    number = tag["value"].rlike(NUMBER) & ~tag["key"].isin(*TEXT_TAGS)
+    return F.when(kind.isin(*"cCsSiI"), "i").otherwise(F.coalesce(kind, F.when(number, "i").otherwise("Z")))
+
+
 def sam_lines(alignments: DataFrame) -> DataFrame:
     """SAM text (value) of records."""
-    tags = F.transform(F.map_entries("tags"), lambda t: F.concat(t["key"], F.when(t["value"].rlike(r"^-?\d{1,9}$") & ~t["key"].isin(*TEXT_TAGS), ":i:").otherwise(":Z:"), t["value"]))
+    types = F.col("tag_types") if "tag_types" in alignments.columns else F.lit(None).cast("map<string,string>")
+    tags = F.transform(F.map_entries("tags"), lambda t: F.concat(t["key"], F.lit(":"), _letter(types[t["key"]], t), F.lit(":"), t["value"]))
     fields = ["qname", "flag", F.coalesce("rname", F.lit("*")), F.col("pos") + 1, "mapq", "cigar", "rnext", F.col("pnext") + 1, "tlen", "seq", "qual"]
     return alignments.select("idx", F.concat_ws("\t", *fields, F.array_join(tags, "\t")).alias("value")).withColumn("value", F.rtrim("value"))
 
 
-#: Tags that are text even if they look like numbers.
-TEXT_TAGS = ("MD", "CB", "UR", "UB", "RG")
-
-
 def sam(alignments: DataFrame, head: Sequence[str], path: str) -> None:
+    path = qualified(alignments.sparkSession, path)
     lines = sam_lines(alignments).orderBy("idx").select("value")
     lines.write.mode("overwrite").text(f"{path}.parts")
     joined(f"{path}.parts", path, "".join(f"{h}\n" for h in head).encode(), ".txt")
 
 
-def bam_record(references: dict[str, int], qname: str, flag: int, rname: str | None, pos: int, mapq: int, cigar: str, rnext: str, pnext: int, tlen: int, seq: str, qual: str, tags: dict[str, str]) -> bytes:
-    ops = [(int(n) << 4) | CIGAR_LETTERS.index(op) for n, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar)]
-    ref = references.get(rname, -1) if rname else -1
-    next_ref = ref if rnext == "=" else references.get(rnext, -1)
-    bases = "" if seq == "*" else seq
-    codes = [max(BASE_LETTERS.find(b), 0) if b in BASE_LETTERS else 15 for b in bases.upper()]
-    half = bytes((a << 4) | b for a, b in zip(codes[::2], [*codes[1::2], 0], strict=False))
-    quality = b"\xff" * len(bases) if qual == "*" else bytes(ord(q) - 33 for q in qual)
-    more = b""
-    for tag, value in tags.items():
-        more += tag.encode() + (b"i" + struct.pack("<i", int(value)) if tag not in TEXT_TAGS and re.fullmatch(r"-?\d{1,9}", value) else b"Z" + value.encode() + b"\0")
-    name = qname.encode() + b"\0"
-    end = pos + sum(n >> 4 for n in ops if CIGAR_LETTERS[n & 15] in "MDN=X")
-    body = struct.pack("<iiBBHHHiiii", ref, pos, len(name), mapq, index_bin(pos, max(end, pos + 1)), len(ops), flag, len(bases), next_ref, pnext, tlen) + name + struct.pack(f"<{len(ops)}I", *ops) + half + quality + more
-    return struct.pack("<i", len(body)) + body
-
-
-def index_bin(start: int, end: int) -> int:
-    """Smallest bin of the format's five-level scheme that holds [start, end)."""
-    for level in range(5, -1, -1):
-        shift = 14 + 3 * (5 - level)
-        if start >> shift == (end - 1) >> shift:
-            return ((8**level - 1) // 7 + (start >> shift)) & 0xFFFF
-    return 0
-
-
-def packed_block(data: bytes) -> bytes:
-    """One block of blocked gzip."""
-    deflate = zlib.compressobj(6, zlib.DEFLATED, -15)
-    content = deflate.compress(data) + deflate.flush()
-    return struct.pack("<4BI2BH2BHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(content) + 25) + content + struct.pack("<II", zlib.crc32(data), len(data))
-
-
-END_BLOCK = packed_block(b"")
-BLOCK = 60_000
-
-
-def bam(alignments: DataFrame, head: str, references: list[tuple[str, int]], path: str) -> None:
-    """Records in order of idx as one BAM file; each task writes a part of whole blocks, and the parts are put behind each other."""
-    number = {name: k for k, (name, _) in enumerate(references)}
-    folder = f"{path}.parts"
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        task, fs_path = TaskContext.get(), file_system(folder)
-        fs, inner = fs_path
-        name = f"part-{task.partitionId():06d}.bgzf"
-        held = io.BytesIO()
-        with fs.open_output_stream(f"{inner}/.{name}.{task.taskAttemptId()}", compression=None) as out:
-            for batch in batches:
-                for row in batch.to_pylist():
-                    row.pop("idx")
-                    row["tags"] = dict(row["tags"] or ())
-                    held.write(bam_record(number, **row))
-                    if held.tell() >= BLOCK:
-                        data, held = held.getvalue(), io.BytesIO()
-                        for k in range(0, len(data), BLOCK):
-                            out.write(packed_block(data[k : k + BLOCK]))
-            if held.tell():
-                out.write(packed_block(held.getvalue()))
-        fs.move(f"{inner}/.{name}.{task.taskAttemptId()}", f"{inner}/{name}")
-        yield pa.record_batch([pa.array([name])], names=["part"])
-
-    text = head.encode()
-    start = b"BAM\x01" + struct.pack("<i", len(text)) + text + struct.pack("<i", len(references))
-    for name, size in references:
-        start += struct.pack("<i", len(name) + 1) + name.encode() + b"\0" + struct.pack("<i", size)
-    remove(folder)
-    fs, inner = file_system(folder)
-    fs.create_dir(inner, recursive=True)
-    alignments.orderBy("idx").mapInArrow(blocks, "part string").write.format("noop").mode("overwrite").save()
-    joined(folder, path, b"".join(packed_block(start[k : k + BLOCK]) for k in range(0, len(start), BLOCK)), ".bgzf", END_BLOCK)
-
-
 def rank_plot(curve: DataFrame, thresholds: DataFrame, path: str, most: int = 100_000) -> bool:
     """The barcode rank curve as PNG, from at most `most` points of it; False where no plotting library is installed."""
     try:
@@ -182,8 +113,11 @@ def rank_plot(curve: DataFrame, thresholds: DataFrame, path: str, most: int = 10
     axes.set(xscale="log", yscale="log", xlabel="Barcodes", ylabel="UMI Count", title="Barcode Rank Plot")
     axes.text(0.03, 0.05, "\n".join(f"Cells > {r.threshold:,} UMIs: {r.cells:,}" for r in thresholds.collect()), transform=axes.transAxes)
     axes.legend(title="UMIs > 1,000")
+    path = qualified(curve.sparkSession, path)
     make_folder(path)
-    figure.savefig(path, dpi=300)
+    fs, inner = file_system(path)
+    with fs.open_output_stream(inner, compression=None) as out:
+        figure.savefig(out, dpi=300, format="png")
     return True
 
 

@@ -9,13 +9,16 @@ import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
+from cellstrand.functions.alignment import reference_end
+from cellstrand.sources import bam_index
 from cellstrand.sources.files import listed, open_at, open_input
 
-SCHEMA = "idx bigint, qname string, flag int, rname string, pos int, mapq int, cigar string, rnext string, pnext int, tlen int, seq string, qual string, tags map<string,string>"
+SCHEMA = "idx bigint, qname string, flag int, rname string, pos int, mapq int, cigar string, rnext string, pnext int, tlen int, seq string, qual string, tags map<string,string>, tag_types map<string,string>"
 
 # Fixed values of the file format.
 CIGAR_LETTERS = "MIDNSHP=X"
@@ -24,18 +27,26 @@ TAG_NUMBERS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f":
 
 
 def sam(spark: SparkSession, path: str) -> DataFrame:
-    """Records of SAM text; split and parsed by Spark. Positions from 0; `*` of a reference is null."""
+    """Records of SAM text; split and parsed by Spark. Positions from 0; `*` of a reference is null.
+
+    `tags` has the values as text, `tag_types` the letter of each: A, i, f, Z, H or B, and in BAM files also c C s S I for integers.
+    """
     lines = spark.read.text(path).where(~F.startswith(F.col("value"), F.lit("@")) & (F.col("value") != ""))
     f = lines.select(F.monotonically_increasing_id().alias("idx"), F.split("value", "\t").alias("f"))
     rest = F.slice("f", F.lit(12), F.greatest(F.size("f") - 11, F.lit(0)))
-    tags = F.map_from_entries(F.transform(rest, lambda t: F.struct(F.substr(t, F.lit(1), F.lit(2)).alias("key"), F.substr(t, F.lit(6), F.length(t)).alias("value"))))
+    def tag_parts(at: int, size: int) -> Column:
+        pair = F.transform(rest, lambda t: F.struct(F.substr(t, F.lit(1), F.lit(2)).alias("key"), F.substr(t, F.lit(at), F.lit(size)).alias("value")))
+        return F.map_from_entries(pair)
+
+    # as long as any text can be
+    tags, types = tag_parts(6, 2**31 - 1), tag_parts(4, 1)
 
     def field(k: int):
         return F.get("f", F.lit(k))
 
     return f.select(
         "idx", field(0).alias("qname"), field(1).cast("int").alias("flag"), F.nullif(field(2), F.lit("*")).alias("rname"), (field(3).cast("int") - 1).alias("pos"), field(4).cast("int").alias("mapq"), field(5).alias("cigar"),
-        field(6).alias("rnext"), (field(7).cast("int") - 1).alias("pnext"), field(8).cast("int").alias("tlen"), field(9).alias("seq"), field(10).alias("qual"), tags.alias("tags"),
+        field(6).alias("rnext"), (field(7).cast("int") - 1).alias("pnext"), field(8).cast("int").alias("tlen"), field(9).alias("seq"), field(10).alias("qual"), tags.alias("tags"), types.alias("tag_types"),
     )
 
 
@@ -60,11 +71,14 @@ def _header(data: io.BufferedReader) -> tuple[str, list[tuple[str, int]]]:
     return text, references
 
 
-def _tags(data: bytes) -> dict[str, str]:
+def _tags(data: bytes) -> tuple[dict[str, str], dict[str, str]]:
+    """Values of a record's tags as text, and their types. A value of type B begins with the type of its numbers."""
     out: dict[str, str] = {}
+    types: dict[str, str] = {}
     at = 0
     while at + 3 <= len(data):
         tag, kind = data[at : at + 2].decode(), chr(data[at + 2])
+        types[tag] = kind
         at += 3
         if kind in "ZH":
             end = data.index(0, at)
@@ -74,18 +88,25 @@ def _tags(data: bytes) -> dict[str, str]:
         elif kind == "B":
             inner, count = chr(data[at]), struct.unpack_from("<i", data, at + 1)[0]
             values = struct.unpack_from(f"<{count}{TAG_NUMBERS[inner]}", data, at + 5)
-            out[tag] = ",".join([inner, *map(str, values)])
+            out[tag] = ",".join([inner, *(map(_short, values) if inner == "f" else map(str, values))])
             at += 5 + count * struct.calcsize(TAG_NUMBERS[inner])
         else:
-            out[tag] = str(struct.unpack_from(f"<{TAG_NUMBERS[kind]}", data, at)[0])
+            (value,) = struct.unpack_from(f"<{TAG_NUMBERS[kind]}", data, at)
+            out[tag] = _short(value) if kind == "f" else str(value)
             at += struct.calcsize(TAG_NUMBERS[kind])
-    return out
+    return out, types
+
+
+def _short(value: float) -> str:
+    """The shortest text that a four-byte number can be read back from."""
+    return str(np.float32(value))
 
 
 #: Bytes of a file that a partition is laid out for.
 SPLIT_BYTES = 32 << 20
-#: Bits of a record's place in its block, and of its block's place in the file; the file's number stands before them.
-NTH_BITS, BLOCK_BITS = 11, 40
+#: Bits of a record's place in its unpacked block, which are 16 but for the last ones, as no record has less than 36 bytes, and of
+#: its block's place in the file; the file's number stands before them.
+PLACE_BITS, SPARED_BITS, BLOCK_BITS = 11, 5, 40
 #: Records in a row that must look like records where a range begins within a file.
 PROOF = 8
 
@@ -141,9 +162,10 @@ class Blocks:
             self.at += step
         return len(self.held) - self.taken >= wanted
 
-    def block(self) -> int:
-        """Where in the file the block begins that the next byte to be taken is in."""
-        return max((held, place) for place, held in self.places if held <= self.taken)[1]
+    def place(self) -> tuple[int, int]:
+        """Where in the file the block begins that the next byte to be taken is in, and the byte's place in it."""
+        held, block = max((held, place) for place, held in self.places if held <= self.taken)
+        return block, self.taken - held
 
     def peek(self, skip: int, n: int) -> bytes:
         return bytes(self.held[self.taken + skip : self.taken + skip + n])
@@ -174,82 +196,146 @@ def _to_first_record(blocks: Blocks, references: int) -> bool:
     return False
 
 
-def bam_records(path: str, only: str | None = None, ordinal: int = 0, start: int = 0, end: int | None = None) -> Iterator[tuple]:
-    """Records of a BAM file that begin in its blocks from start to end, in file order, of one reference if wanted.
+def _bodies(path: str, references: int, start: int = 0, end: int | None = None, first: int | None = None, stop: int | None = None, skipped: int | None = None) -> Iterator[tuple[int, bytes]]:
+    """(virtual offset, body) of the records that begin in the blocks from start to end; a last offset with an empty body says where they end.
 
-    idx orders the records of all files: the file's number, the block's place in it, the record's place in the block.
+    `first` is the virtual offset of the first record where it is known, `stop` the one to stop at, `skipped` the header's bytes.
     """
-    header = bam_header(path)
-    references = [name for name, _ in header[1]]
     file, size = open_at(path)
     with file:
-        if start == 0:
+        if first is not None:
+            blocks = Blocks(file, size, first >> 16)
+            blocks.fill((first & 0xFFFF) + 1)
+            blocks.taken += first & 0xFFFF
+        elif start == 0:
             blocks = Blocks(file, size, 0)
             # the text's own size, as it may be padded
             blocks.fill(8)
-            skipped = 12 + struct.unpack("<i", blocks.peek(4, 4))[0] + sum(9 + len(name.encode()) for name in references)
-            blocks.fill(skipped)
-            blocks.taken += skipped
+            skip = struct.unpack("<i", blocks.peek(4, 4))[0] + skipped
+            blocks.fill(skip)
+            blocks.taken += skip
         else:
             blocks = Blocks(file, size, Blocks.first_from(file, size, start))
-            if blocks.at >= (size if end is None else end) or not _to_first_record(blocks, len(references)):
+            if blocks.at >= (size if end is None else end) or not _to_first_record(blocks, references):
                 return
-        last, nth = -1, 0
         while blocks.fill(4):
-            block = blocks.block()
-            if end is not None and block >= end:
+            block, place = blocks.place()
+            if end is not None and block >= end or stop is not None and block << 16 | place >= stop:
+                yield block << 16 | place, b""
                 return
-            last, nth = block, nth + 1 if block == last else 0
             length = struct.unpack("<i", blocks.peek(0, 4))[0]
             if not blocks.fill(4 + length):
                 raise ValueError(f"{path}: the last record is cut off")
             body = blocks.peek(4, length)
             blocks.taken += 4 + length
-            ref, pos, name_size, mapq, _, ops, flag, bases, next_ref, next_pos, tlen = struct.unpack_from("<iiBBHHHiiii", body)
-            rname = references[ref] if ref >= 0 else None
-            if only is not None and rname != only:
-                continue
-            at = 32 + name_size
-            qname = body[32 : at - 1].decode()
-            cigar = "".join(f"{c >> 4}{CIGAR_LETTERS[c & 15]}" for c in struct.unpack_from(f"<{ops}I", body, at)) or "*"
-            at += 4 * ops
-            half = body[at : at + (bases + 1) // 2]
-            seq = "".join(BASE_LETTERS[b >> 4] + BASE_LETTERS[b & 15] for b in half)[:bases] or "*"
-            at += len(half)
-            raw = body[at : at + bases]
-            qual = "*" if not raw or raw[0] == 255 else bytes(q + 33 for q in raw).decode()
-            rnext = "*" if next_ref < 0 else "=" if next_ref == ref else references[next_ref]
-            idx = (ordinal << BLOCK_BITS | block) << NTH_BITS | nth
-            yield idx, qname, flag, rname, pos, mapq, cigar, rnext, next_pos, tlen, seq, qual, _tags(body[at + bases :])
+            yield block << 16 | place, body
+        yield blocks.at << 16, b""
+
+
+def _skipped(references: list[tuple[str, int]]) -> int:
+    """Bytes of a header besides its text."""
+    return 12 + sum(9 + len(name.encode()) for name, _ in references)
+
+
+def places(path: str, start: int, end: int) -> Iterator[tuple[int, int, int, int, int]]:
+    """(reference, start, end, virtual offset, next one's) of the records that begin in the blocks from start to end."""
+    references = bam_header(path)[1]
+    before: tuple[int, int, int, int] | None = None
+    for offset, body in _bodies(path, len(references), start, end, skipped=_skipped(references)):
+        if before:
+            yield *before, offset
+        if body:
+            ref, pos, name_size, _, _, ops = struct.unpack_from("<iiBBHH", body)
+            sizes = struct.unpack_from(f"<{ops}I", body, 32 + name_size)
+            before = ref, pos, pos + max(1, sum(c >> 4 for c in sizes if CIGAR_LETTERS[c & 15] in "MDN=X")), offset
+
+
+def bam_records(path: str, only: str | None = None, ordinal: int = 0, start: int = 0, end: int | None = None, first: int | None = None, stop: int | None = None) -> Iterator[tuple]:
+    """Records of a BAM file that begin in its blocks from start to end, in file order, of one reference if wanted.
+
+    idx orders the records of all files: the file's number, the block's place in it, the record's place in the block.
+    """
+    header = bam_header(path)[1]
+    references = [name for name, _ in header]
+    for offset, body in _bodies(path, len(references), start, end, first, stop, _skipped(header)):
+        if not body:
+            return
+        ref, pos, name_size, mapq, _, ops, flag, bases, next_ref, next_pos, tlen = struct.unpack_from("<iiBBHHHiiii", body)
+        rname = references[ref] if ref >= 0 else None
+        if only is not None and rname != only:
+            continue
+        at = 32 + name_size
+        qname = body[32 : at - 1].decode()
+        cigar = "".join(f"{c >> 4}{CIGAR_LETTERS[c & 15]}" for c in struct.unpack_from(f"<{ops}I", body, at)) or "*"
+        at += 4 * ops
+        half = body[at : at + (bases + 1) // 2]
+        seq = "".join(BASE_LETTERS[b >> 4] + BASE_LETTERS[b & 15] for b in half)[:bases] or "*"
+        at += len(half)
+        raw = body[at : at + bases]
+        qual = "*" if not raw or raw[0] == 255 else bytes(q + 33 for q in raw).decode()
+        rnext = "*" if next_ref < 0 else "=" if next_ref == ref else references[next_ref]
+        idx = (ordinal << BLOCK_BITS | offset >> 16) << PLACE_BITS | (offset & 0xFFFF) >> SPARED_BITS
+        yield idx, qname, flag, rname, pos, mapq, cigar, rnext, next_pos, tlen, seq, qual, *_tags(body[at + bases :])
 
 
 class BamReader(DataSourceReader):
-    """Ranges of blocks of each file; a filter on one reference is taken over."""
+    """Ranges of blocks of each file. A filter on one reference, and bounds of the position, are taken over.
+
+    Where an index lies beside a file, only ranges that it names for them are opened; elsewhere all blocks
+    are read, and records of other references are left out. Spark applies all filters again.
+    """
 
-    def __init__(self, paths: list[str], split: int = SPLIT_BYTES):
-        self.paths, self.split, self.only = paths, split, None
+    def __init__(self, paths: list[str], split: int = SPLIT_BYTES, reach: int | None = None):
+        self.paths, self.split = paths, split
+        self.only: str | None = None
+        #: positions from .. to (not itself) that records begin at; `reach` instead of `low` for records that end behind it
+        self.low, self.high, self.reach = 0, 1 << 29, reach
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
             if isinstance(f, EqualTo) and f.attribute == ("rname",):
                 self.only = f.value
+            elif getattr(f, "attribute", None) == ("pos",):
+                if isinstance(f, (GreaterThan, GreaterThanOrEqual, EqualTo)):
+                    self.low = max(self.low, int(f.value) + isinstance(f, GreaterThan))
+                if isinstance(f, (LessThan, LessThanOrEqual, EqualTo)):
+                    self.high = min(self.high, int(f.value) + (not isinstance(f, LessThan)))
             yield f
 
+    def _ranges(self, path: str) -> list[tuple[int, int]] | None:
+        """Virtual offsets of what is wanted, by the file's index; None without one."""
+        index = bam_index.load(path) if self.only is not None else None
+        if index is None:
+            return None
+        names = [name for name, _ in bam_header(path)[1]]
+        if self.only not in names:
+            return []
+        return index.ranges(names.index(self.only), self.low if self.reach is None else self.reach, self.high)
+
     def partitions(self) -> list[InputPartition]:
         out = []
         for ordinal, path in enumerate(self.paths):
             file, size = open_at(path)
             file.close()
-            out += [InputPartition((path, ordinal, start, min(start + self.split, size))) for start in range(0, max(size, 1), self.split)]
-        return out
+            named = self._ranges(path)
+            if named is None:
+                out += [(path, ordinal, start, min(start + self.split, size), None, None) for start in range(0, max(size, 1), self.split)]
+                continue
+            for low, high in named:
+                cuts = [*range(low >> 16, max((high >> 16) + 1, (low >> 16) + 1), self.split), (high >> 16) + 1]
+                for a, b in zip(cuts, cuts[1:], strict=False):
+                    out.append((path, ordinal, a, b, low if a == low >> 16 else None, high))
+        # a source without any partition is none that Spark plans
+        return [InputPartition(p) for p in out or [(self.paths[0], 0, 0, 0, None, 0)]]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        path, ordinal, start, end = partition.value
-        return bam_records(path, self.only, ordinal, start, end)
+        path, ordinal, start, end, first, stop = partition.value
+        if start < end:
+            yield from bam_records(path, self.only, ordinal, start, end, first, stop)
 
 
 class BamSource(DataSource):
-    """`bam`: options path, files by commas or wild cards, and split, the bytes of a file that one task reads."""
+    """`bam`: options path, files by commas or wild cards; split, the bytes of a file that one task reads; reach, a position that records must end behind."""
 
     @classmethod
     def name(cls) -> str:
@@ -259,9 +345,18 @@ class BamSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> BamReader:
-        return BamReader(listed(self.options["path"]), int(self.options.get("split", SPLIT_BYTES)))
+        reach = self.options.get("reach")
+        return BamReader(listed(self.options["path"]), int(self.options.get("split", SPLIT_BYTES)), None if reach is None else int(reach))
 
 
 def bam(spark: SparkSession, path: str, split: int = SPLIT_BYTES) -> DataFrame:
     spark.dataSource.register(BamSource)
     return spark.read.format("bam").option("path", path).option("split", split).load()
+
+
+def fetched(spark: SparkSession, path: str, rname: str, start: int = 0, end: int | None = None, split: int = SPLIT_BYTES) -> DataFrame:
+    """Records that overlap [start, end) of a reference; where an index lies beside the file, only blocks that can hold them are read."""
+    spark.dataSource.register(BamSource)
+    rows = spark.read.format("bam").option("path", path).option("split", split).option("reach", start).load()
+    rows = rows.where((F.col("rname") == rname) & (F.greatest(reference_end(F.col("pos"), F.col("cigar")), F.col("pos") + 1) > start))
+    return rows if end is None else rows.where(F.col("pos") < end)
