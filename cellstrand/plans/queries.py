@@ -14,7 +14,8 @@ from cellstrand.plans import fixtures as fx
 from cellstrand.plans.commands import tagged
 from cellstrand.session import shared_dir
 from cellstrand.sinks import bam
-from cellstrand.sources import alignments, tables
+from cellstrand.sources import alignments, fastq, tables
+from cellstrand.sources.files import files_in
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -327,6 +328,17 @@ def gene_name_umi_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return umi.umi_counts(counted(spark, sf_dir).join(names, "gene_id"), feature="gene_name")
 
 
+@query(f"WITH {fx.RNA_READS} SELECT name, umi AS seq, count(*)::bigint AS records FROM reads GROUP BY 1, 2")
+def fastq_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All cell reads as FASTQ text, read back in ranges of bytes."""
+    m = F.col("umi")
+    record = F.concat_ws("\n", F.concat(F.lit("@"), m["id"]), m["seq"], F.lit("+"), m["qual"])
+    folder = shared_dir(spark, "reads")
+    fx.rna_triplets(spark, sf_dir).select(record.alias("value")).write.text(folder)
+    found = fastq.fastq(spark, ",".join(files_in(folder, ".txt")), split=1 << 20)
+    return found.groupBy(F.col("id").alias("name"), "seq").agg(F.count(F.lit(1)).alias("records"))
+
+
 CHROMOSOMES = [("chr2", 600_000), ("chr3", 600_000), ("chr1", 600_000)]
 
 

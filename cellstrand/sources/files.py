@@ -48,6 +48,13 @@ def listed(path: str) -> list[str]:
     return out
 
 
+def files_in(folder: str, suffix: str = "") -> list[str]:
+    """URLs of a folder's part files, in order."""
+    fs, inner = file_system(folder)
+    names = sorted(f.base_name for f in fs.get_file_info(pafs.FileSelector(inner)) if f.base_name.startswith("part-") and f.base_name.endswith(suffix))
+    return [f"{folder.rstrip('/')}/{name}" for name in names]
+
+
 def make_folder(path: str) -> None:
     """Folder of an output file; none for a bare name."""
     folder = os.path.dirname(path)
