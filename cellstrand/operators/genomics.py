@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from cellstrand.functions import alignment as aln
 from cellstrand.operators.whitelist import BROADCAST_BYTES, estimated_bytes
 
-#: Width of the bins that turn an overlap into an equi-join.
-BIN = 16_384
+#: Widths of the bins that turn an overlap into an equi-join; a feature lies in at most two bins of the first that is not narrower than it.
+BINS = (1 << 14, 1 << 18, 1 << 22, 1 << 30)
 #: A transcript end counts if the fragment reaches at most this far beyond it.
 END_CUTOFF = -50
 NO_OVERLAP, AMBIGUOUS, MULTIPLE = "_no_feature_overlap", "_ambiguous", "_multiple"
@@ -40,26 +40,45 @@ def read_pairs(alignments: DataFrame) -> DataFrame:
     return pairs.where("nf = 1 and ns = 1 and n = 2").select("qname", "m1", "m2")
 
 
-def bins(start: Column, end: Column, width: int = BIN) -> Column:
+def bins(start: Column, end: Column, width: Column | int) -> Column:
     return F.sequence(F.floor(start / width), F.floor((end - 1) / width))
 
 
-def overlaps(blocks: DataFrame, features: DataFrame, stranded: bool = True, width: int = BIN, broadcast: bool | None = None) -> DataFrame:
+def level_of(start: Column, end: Column, widths: tuple[int, ...]) -> Column:
+    """The first of the widths, as a number, that is not narrower than [start, end)."""
+    level = F.lit(len(widths) - 1)
+    for k in reversed(range(len(widths) - 1)):
+        level = F.when(end - start <= widths[k], k).otherwise(level)
+    return level
+
+
+def overlaps(blocks: DataFrame, features: DataFrame, stranded: bool = True, widths: tuple[int, ...] = BINS, broadcast: bool | None = None) -> DataFrame:
     """blocks with the feature_type and gene_id of every feature that they overlap by a base; a pair of both may come more than once.
 
-    blocks and features: chrom, start, end, strand; features also feature_type. Both are laid on bins; the join is an equi-join on
-    chromosome, strand and bin with the overlap as residual. Features are broadcast within
-    BROADCAST_BYTES, otherwise both sides are dealt by the keys.
+    blocks and features: chrom, start, end, strand; features also feature_type. The join is an equi-join on
+    chromosome, strand, level and bin with the overlap as residual. A feature has the level of its length
+    and so two rows at most, however long it is; a block is laid on the bins of every level that some feature
+    has. Features are broadcast within BROADCAST_BYTES, otherwise both sides are dealt by the keys.
     """
     known = features.where("end > start").select(F.col("chrom").alias("f_chrom"), F.col("strand").alias("f_strand"), F.col("start").alias("f_start"), F.col("end").alias("f_end"), "feature_type", "gene_id")
     if broadcast is None:
         broadcast = estimated_bytes(known) <= BROADCAST_BYTES
+    known = known.withColumn("f_level", level_of(F.col("f_start"), F.col("f_end"), widths))
+    # as many rows as there are levels, at most
+    levels = sorted(r.f_level for r in known.select("f_level").distinct().collect())
+    width = F.element_at(F.array(*map(F.lit, widths)), F.col("f_level") + 1)
     known = known.withColumn("f_bin", F.explode(bins(F.col("f_start"), F.col("f_end"), width)))
-    on = blocks.where("end > start").withColumn("bin", F.explode(bins(F.col("start"), F.col("end"), width)))
-    meets = (F.col("chrom") == F.col("f_chrom")) & (F.col("bin") == F.col("f_bin")) & (F.col("start") < F.col("f_end")) & (F.col("f_start") < F.col("end"))
+
+    def laid_on(k: int) -> Column:
+        return F.transform(bins(F.col("start"), F.col("end"), widths[k]), lambda b: F.struct(F.lit(k).alias("level"), b.alias("bin")))
+
+    laid = [laid_on(k) for k in levels]
+    on = blocks.where("end > start").withColumn("at", F.explode(F.concat(*laid) if laid else F.array().cast("array<struct<level:int,bin:bigint>>")))
+    on = on.withColumns({"level": F.col("at.level"), "bin": F.col("at.bin")}).drop("at")
+    meets = (F.col("chrom") == F.col("f_chrom")) & (F.col("level") == F.col("f_level")) & (F.col("bin") == F.col("f_bin")) & (F.col("start") < F.col("f_end")) & (F.col("f_start") < F.col("end"))
     if stranded:
         meets = meets & (F.col("strand") == F.col("f_strand"))
-    return on.join(F.broadcast(known) if broadcast else known, meets).drop("bin", "f_chrom", "f_strand", "f_start", "f_end", "f_bin")
+    return on.join(F.broadcast(known) if broadcast else known, meets).drop("level", "bin", "f_chrom", "f_strand", "f_start", "f_end", "f_level", "f_bin")
 
 
 def genes_of_mates(pairs: DataFrame, features: DataFrame, stranded: bool = True, spaces: tuple[str, ...] = ("exon",)) -> DataFrame:

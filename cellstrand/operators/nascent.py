@@ -82,8 +82,10 @@ def counted(flag: Column, pos: Column, cigar: Column, md: Column, sequence: Colu
 def scored(alignments: DataFrame, snps: DataFrame, quality_above: int = 45) -> DataFrame:
     """alignments (idx identifies a record) with read_class so far, t_count and tc_count.
 
-    Targets are counted record by record; only conversions, a few a read, are exploded to be held
-    against the SNP list (chrom, pos from 1, ref, alt), which is joined by its keys.
+    Targets are counted record by record, in one pass. Conversions, a few a read, are exploded to be held
+    against the SNP list (chrom, pos from 1, ref, alt), which is joined by its keys, and one aggregation
+    by idx counts those that are not listed and puts the records together again; of the other columns
+    it carries only those that are asked for.
     """
     plus, minus = F.col("flag").isin(*aln.FLAGS_PLUS), F.col("flag").isin(*aln.FLAGS_MINUS)
     md, usable = F.col("tags")["MD"], F.col("qual").isNotNull() & (F.col("qual") != "*")
@@ -91,10 +93,15 @@ def scored(alignments: DataFrame, snps: DataFrame, quality_above: int = 45) -> D
     rows = alignments.withColumn("read_class", fit)
     rows = rows.withColumn("found", counted(F.when(F.col("read_class").isNull(), F.col("flag")), F.col("pos"), F.col("cigar"), md, F.col("seq"), F.col("qual"), quality_above))
     rows = rows.withColumn("t_count", F.col("found.targets")).withColumn("hits", F.col("found.hits")).drop("found")
-    listed = snps.select(F.col("chrom").alias("rname"), (F.col("pos") - 1).cast("int").alias("ref_pos"), F.col("ref").alias("snp_ref"), F.col("alt").alias("snp_alt")).distinct()
-    each = rows.where(F.size("hits") > 0).select("idx", "rname", F.when(plus, "T").otherwise("A").alias("snp_ref"), F.when(plus, "C").otherwise("G").alias("snp_alt"), F.explode("hits").alias("ref_pos"))
-    counts = each.join(listed, ["rname", "ref_pos", "snp_ref", "snp_alt"], "left_anti").groupBy("idx").agg(F.count(F.lit(1)).alias("tc"))
-    return rows.drop("hits").join(counts, "idx", "left").withColumn("tc_count", F.coalesce("tc", F.lit(0))).drop("tc")
+    kept = [c for c in rows.columns if c not in ("idx", "hits")]
+    listed = snps.select(F.col("chrom").alias("snp_chrom"), (F.col("pos") - 1).cast("int").alias("snp_pos"), F.col("ref").alias("snp_ref"), F.col("alt").alias("snp_alt")).distinct()
+    each = rows.select("*", F.explode_outer("hits").alias("hit"))
+    # records without a conversion have keys of their own, so that they do not meet in one task
+    place = F.coalesce("hit", -1 - F.pmod(F.xxhash64("idx"), F.lit(1 << 30)).cast("int"))
+    same = (F.col("rname") == F.col("snp_chrom")) & (place == F.col("snp_pos")) & (F.when(plus, "T").otherwise("A") == F.col("snp_ref")) & (F.when(plus, "C").otherwise("G") == F.col("snp_alt"))
+    judged = each.join(listed, same, "left")
+    own = F.count_if(F.col("hit").isNotNull() & F.col("snp_pos").isNull())
+    return judged.groupBy("idx").agg(*[F.first(c).alias(c) for c in kept], own.alias("tc_count")).select(*[c for c in rows.columns if c != "hits"], "tc_count")
 
 
 def verdict(t_count: Column, tc_count: Column, least_ratio: float = 0.3, least_count: int = 1) -> Column:
