@@ -103,10 +103,12 @@ def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     told = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(*says).where("good + toxic > 0")
     # stored, so that both sides of the join are plain exchanges, which adaptive execution can split
     flags = stored(told, "labels")
-    # rows without an id match nothing; they are spread by their digests instead of meeting in one task
-    with_id = rows.where(F.col("doc_id").isNotNull()).join(flags, "doc_id", "left")
-    none = rows.where(F.col("doc_id").isNull()).select("*", F.lit(0).alias("good"), F.lit(0).alias("toxic"))
-    return with_id.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("good", "toxic")}).unionByName(none)
+    # rows without an id match nothing; by their digests they are spread instead of meeting in one task
+    no_id = F.col("doc_id").isNull()
+    keyed = rows.withColumns({"key": F.when(no_id, F.xxhash64("digest")).otherwise(F.col("doc_id")), "no_id": no_id})
+    flags = flags.select(F.col("doc_id").alias("key"), F.lit(False).alias("no_id"), "good", "toxic")
+    joined = keyed.join(flags, ["key", "no_id"], "left").drop("key", "no_id")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("good", "toxic")})
 
 
 def histograms(docs: DataFrame, labels: DataFrame, part_col: str = "source") -> DataFrame:
