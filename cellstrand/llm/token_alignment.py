@@ -26,9 +26,10 @@ from __future__ import annotations
 import gc
 import hashlib
 import re
-from array import array
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,8 @@ SPAN = re.compile(rb"[^=]*=")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 #: Distinct cuts that a worker remembers.
 REMEMBERED = 400_000
+#: Cuts whose labels are one string.
+CUTS_AT_ONCE = 8192
 #: Bytes of text of a chunk of documents, about.
 CHUNK_BYTES = 8 << 20
 #: A pair of ids as one number.
@@ -73,53 +76,76 @@ class Aligner:
             if "▁" in piece.lstrip("▁"):
                 raise ValueError(f"the piece {piece!r} holds a space behind another character: texts can't be cut")
         self.b_bytes = [bytes([int(m[1], 16)]) if (m := _BYTE.fullmatch(p)) else p.replace("▁", " ").encode() for p in pieces]
+        self.a_size, self.b_size = (np.array([len(x) for x in known], dtype=np.int64) for known in (self.a_bytes, self.b_bytes))
 
     def tokens(self, cuts: list[str]) -> Iterator[tuple[list[int], list[int]]]:
         """Ids of A and of B of a space and each text."""
         a = self.a.encode_batch_fast([" " + c for c in cuts], add_special_tokens=False)
         return ((e.ids, ids) for e, ids in zip(a, self.b.encode(cuts, num_threads=1), strict=True))
 
-    def labels(self, text: bytes, a: list[int], b: list[int]) -> bytes | None:
-        """The label of each byte of a space and the text; None if either list of tokens does not spell it."""
-        a_of, b_of = [self.a_bytes[k] for k in a], [self.b_bytes[k] for k in b]
-        if b"".join(a_of) != text or b"".join(b_of) != text:
-            return None
-        out = bytearray([NONE]) * len(text)
-        end = -1
-        for token in a_of:
-            end += len(token)
-            out[end] = A_ENDS
-        end = -1
-        for token in b_of:
-            end += len(token)
-            out[end] = B_ENDS if out[end] == NONE else BOTH
-        return bytes(out)
+    def scanned(self, cuts: list[str]) -> Scan:
+        """Groups of all cuts, each with a space before it; their labels are one string, scanned at once."""
+        tokens = list(self.tokens(cuts))
+        texts = [b" " + c.encode() for c in cuts]
+        size = np.array([len(t) for t in texts], dtype=np.int64)
+        flat, spelt = [], np.ones(len(cuts), dtype=bool)
+        for side, (known, sizes) in enumerate(((self.a_bytes, self.a_size), (self.b_bytes, self.b_size))):
+            ids = np.fromiter(chain.from_iterable(t[side] for t in tokens), dtype=np.int64)
+            owner = np.repeat(np.arange(len(cuts)), [len(t[side]) for t in tokens])
+            flat.append((ids, owner))
+            spelt &= np.bincount(owner, weights=sizes[ids], minlength=len(cuts)) == size
+        byte_owner = np.repeat(np.arange(len(cuts)), size)
+        whole = np.frombuffer(b"".join(texts), dtype=np.uint8)
+        for (ids, owner), known in zip(flat, (self.a_bytes, self.b_bytes), strict=True):
+            own = np.frombuffer(b"".join([known[k] for k in ids[spelt[owner]].tolist()]), dtype=np.uint8)
+            there = spelt[byte_owner]
+            spelt = spelt.copy()
+            spelt[byte_owner[there][own != whole[there]]] = False
+        (a, a_owner), (b, b_owner) = ((ids[spelt[owner]], owner[spelt[owner]]) for ids, owner in flat)
+        labels = np.full(int(size[spelt].sum()), NONE, dtype=np.uint8)
+        labels[np.cumsum(self.a_size[a]) - 1] = A_ENDS
+        b_end = np.cumsum(self.b_size[b]) - 1
+        labels[b_end] = np.where(labels[b_end] == NONE, B_ENDS, BOTH)
+        end = np.fromiter((m.end() for m in SPAN.finditer(labels.tobytes())), dtype=np.int64)
+        both = labels == BOTH
+        upto_a, upto_b = (np.cumsum((labels == one) | both)[end - 1] for one in (A_ENDS, B_ENDS))
+        begun = np.cumsum(np.where(spelt, size, 0)) - size
+        of_cut = byte_owner[spelt[byte_owner]][end - 1]
+        return Scan(spelt, a, b, upto_a, upto_b, of_cut, end - begun[of_cut])
 
     def groups(self, text: str) -> list[tuple[list[int], list[int], int]] | None:
         """(ids of A, ids of B, end of the bytes that they cover) of a whole text with a space before it."""
         if not text:
             return []
-        ((a, b),) = self.tokens([text])
-        labels = self.labels(b" " + text.encode(), a, b)
-        return None if labels is None else list(spans(labels, a, b))
+        scan = self.scanned([text])
+        if not scan.spelt[0]:
+            return None
+        a, b = scan.a.tolist(), scan.b.tolist()
+        ends = list(zip(scan.upto_a.tolist(), scan.upto_b.tolist(), scan.end.tolist(), strict=True))
+        return [(a[i:p], b[j:q], end) for (i, j, _), (p, q, end) in zip([(0, 0, 0), *ends], ends, strict=False)]
 
 
-def spans(labels: bytes, a: list[int], b: list[int]) -> Iterator[tuple[list[int], list[int], int]]:
-    i = j = 0
-    for m in SPAN.finditer(labels):
-        span = m[0]
-        both = span.count(BOTH)
-        p, q = i + span.count(A_ENDS) + both, j + span.count(B_ENDS) + both
-        yield a[i:p], b[j:q], m.end()
-        i, j = p, q
+@dataclass
+class Scan:
+    """Groups of many cuts, in order: whether each cut is spelt by its tokens, the ids of those that are, and of each group
+    how many ids there are up to its end, the cut that it is of, and the bytes of the cut up to its end."""
+
+    spelt: np.ndarray
+    a: np.ndarray
+    b: np.ndarray
+    upto_a: np.ndarray
+    upto_b: np.ndarray
+    cut: np.ndarray
+    end: np.ndarray
 
 
 class Memory:
-    """What each distinct cut of the texts has: (tokens of A, of B, groups, written groups), and its linked pairs; None if it can't be spelt."""
+    """What each distinct cut of the texts has: tokens of A, of B, groups, written groups, linked pairs; None if it can't be spelt."""
 
     def __init__(self, aligner: Aligner, limit: int = REMEMBERED):
         self.aligner, self.limit = aligner, limit
         self.known: dict[str, tuple[int, int, int, str, bytes] | None] = {}
+        self.a_text, self.b_text = (list(map(str, range(len(x)))) for x in (aligner.a_bytes, aligner.b_bytes))
 
     def rows(self, texts: list[str]) -> list[list[str]]:
         """Cuts of each text; all are known afterwards."""
@@ -128,17 +154,30 @@ class Memory:
         new = [c for c in wanted if c not in self.known]
         if len(self.known) + len(new) > self.limit:
             self.known = {c: self.known[c] for c in wanted if c in self.known}
-        for cut, (a, b) in zip(new, self.aligner.tokens(new), strict=True):
-            self.known[cut] = self._entry(cut, a, b)
+        for k in range(0, len(new), CUTS_AT_ONCE):
+            self._learn(new[k : k + CUTS_AT_ONCE])
         return rows
 
-    def _entry(self, cut: str, a: list[int], b: list[int]) -> tuple[int, int, int, str, bytes] | None:
-        labels = self.aligner.labels(b" " + cut.encode(), a, b)
-        if labels is None:
-            return None
-        groups = list(spans(labels, a, b))
-        written = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y, _ in groups)
-        return len(a), len(b), len(groups), written, array("q", [x[-1] << B_BITS | y[-1] for x, y, _ in groups]).tobytes()
+    def _learn(self, cuts: list[str]) -> None:
+        scan = self.aligner.scanned(cuts)
+        a, b = scan.a.tolist(), scan.b.tolist()
+        a_text, b_text = [self.a_text[k] for k in a], [self.b_text[k] for k in b]
+        groups, i, j = [], 0, 0
+        for p, q in zip(scan.upto_a.tolist(), scan.upto_b.tolist(), strict=True):
+            if p - i == 1 == q - j:
+                groups.append(f"{a_text[i]}|{b_text[j]}")
+            else:
+                groups.append(f"{','.join(a_text[i:p])}|{','.join(b_text[j:q])}")
+            i, j = p, q
+        pairs = (scan.a[scan.upto_a - 1] << B_BITS | scan.b[scan.upto_b - 1]).tobytes()
+        n = np.bincount(scan.cut, minlength=len(cuts))
+        last = np.cumsum(n)
+        # ids before each cut: those up to the end of the last group before it, as every cut ends with a group
+        a_upto, b_upto = np.r_[0, scan.upto_a][last].tolist(), np.r_[0, scan.upto_b][last].tolist()
+        low = i = j = 0
+        for cut, spelt, high, p, q in zip(cuts, scan.spelt.tolist(), last.tolist(), a_upto, b_upto, strict=True):
+            self.known[cut] = (p - i, q - j, high - low, ";".join(groups[low:high]), pairs[8 * low : 8 * high]) if spelt else None
+            low, i, j = high, p, q
 
 
 @lru_cache(maxsize=1)
