@@ -24,7 +24,12 @@ def parser() -> argparse.ArgumentParser:
     command(
         "barcode", "demultiplex and trim RNA reads", commands.barcode,
         [("--ligation_barcode_read_file", "ligation_reads"), ("--umi_cell_barcode_read_file", "umi_reads"), ("--biological_read_file", "biological_reads"), ("--output_basename", "output_basename"), ("--ligation_barcode_file", "ligation_file"), ("--RT_barcode_file", "rt_file"), ("--randomN_barcode_file", "random_n_file")],
-        check_ids=("check_ids", yes),
+        check_ids=("check_ids", yes), adapter_max_mismatches=("adapter_max_mismatches", number | {"default": 0}),
+    )
+    command(
+        "trim", "trim adapters and ends of low quality", commands.trim, [("--r1", "r1"), ("--r2", "r2"), ("--output_basename", "output_basename")],
+        adapter=("adapter", {"default": commands.ILLUMINA_ADAPTER}), adapter2=("adapter2", {"default": "A" * 8}), three_prime_clip_R1=("three_prime_clip_r1", number | {"default": 1}), three_prime_clip_R2=("three_prime_clip_r2", number | {"default": 0}),
+        stringency=("stringency", number | {"default": 3}), quality=("quality", number | {"default": 20}), error_rate=("error_rate", real | {"default": 0.1}), length=("length", number | {"default": 20}),
     )
     command("tag", "write cell and UMI tags", commands.tag, [("--input_file", "input_file"), ("--output_file", "output_file")], num_processes=("num_processes", number | {"default": 1}))
     command("sort", "sort a BAM file by coordinate and index it", commands.sort, [("--input_file", "input_file"), ("--output_file", "output_file")])

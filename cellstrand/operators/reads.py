@@ -25,6 +25,7 @@ class RnaLayout:
     insert_from: int = 18
     least_poly_t: int = 5
     adapter: str = seq.ADAPTER
+    adapter_mismatches: int = 0
     longer_than: int = 20
 
 
@@ -55,7 +56,7 @@ def demultiplexed(triplets: DataFrame, ligation: DataFrame, rt: DataFrame, rando
     cut = reads.withColumns({"s1": seq.rest(F.col("umi.seq"), layout.insert_from), "q1": seq.rest(F.col("umi.qual"), layout.insert_from)})
     poly_t = F.when(F.col("random_n").isNull(), seq.poly_t_length(F.col("s1"), layout.least_poly_t)).otherwise(0)
     cut = cut.withColumn("t", poly_t).withColumns({"s1": seq.rest(F.col("s1"), F.col("t")), "q1": seq.rest(F.col("q1"), F.col("t"))})
-    cut = cut.withColumn("n1", seq.before(F.col("s1"), F.lit(layout.adapter))).withColumn("n2", seq.before(F.col("bio.seq"), seq.reverse_complement(F.col("rt"))))
+    cut = cut.withColumn("n1", seq.before_within(F.col("s1"), layout.adapter, layout.adapter_mismatches)).withColumn("n2", seq.before(F.col("bio.seq"), seq.reverse_complement(F.col("rt"))))
     umi = seq.piece(F.col("umi.seq"), *layout.umi)
     long = (F.col("n1") > layout.longer_than) & (F.col("n2") > layout.longer_than)
     read_class = F.when(F.col("ligation").isNull(), RNA_CLASSES[0]).when(F.col("rt").isNull(), RNA_CLASSES[1]).when(~long, RNA_CLASSES[2]).otherwise(RNA_CLASSES[3])

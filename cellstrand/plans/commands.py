@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellstrand.functions import sequence as seq
-from cellstrand.operators import genomics, matrix, multigene, nascent, reads, summary, umi, whitelist
+from cellstrand.operators import genomics, matrix, multigene, nascent, reads, summary, trimming, umi, whitelist
 from cellstrand.session import qualified
 from cellstrand.sinks import bam as bam_sink
 from cellstrand.sinks import files as sinks
@@ -20,12 +20,16 @@ from cellstrand.sources import fastq, tables
 
 log = logging.getLogger("cellstrand")
 
+#: Fixed value: the adapter that sequencing libraries of this kind end in.
+ILLUMINA_ADAPTER = "AGATCGGAAGAGC"
 
-def barcode(spark: SparkSession, ligation_reads: str, umi_reads: str, biological_reads: str, output_basename: str, ligation_file: str, rt_file: str, random_n_file: str, check_ids: bool = False) -> DataFrame:
+
+def barcode(spark: SparkSession, ligation_reads: str, umi_reads: str, biological_reads: str, output_basename: str, ligation_file: str, rt_file: str, random_n_file: str, check_ids: bool = False, adapter_max_mismatches: int = 0) -> DataFrame:
     """Demultiplexed R1 and R2 FASTQ and the summary; returns the summary. check_ids: triplets of other ids are an error."""
+    layout = reads.RnaLayout(adapter_mismatches=adapter_max_mismatches)
     output_basename = qualified(spark, output_basename)
     triplets = fastq.triplets(spark, ligation_reads, umi_reads, biological_reads, spark.sparkContext.defaultParallelism, check_ids)
-    found = reads.demultiplexed(triplets, tables.dictionary(spark, ligation_file), tables.dictionary(spark, rt_file), tables.sequences(spark, random_n_file))
+    found = reads.demultiplexed(triplets, tables.dictionary(spark, ligation_file), tables.dictionary(spark, rt_file), tables.sequences(spark, random_n_file), layout)
     # the input is read once: classes are counted while what passed is written, and both mates come from that
     kept = f"{output_basename}.demultiplexed.parts"
     found, seen = summary.observed(found, reads.RNA_CLASSES, "demultiplexed")
@@ -40,6 +44,25 @@ def barcode(spark: SparkSession, ligation_reads: str, umi_reads: str, biological
     return out
 
 
+def trim(spark: SparkSession, r1: str, r2: str, output_basename: str, adapter: str = ILLUMINA_ADAPTER, adapter2: str = "A" * 8, three_prime_clip_r1: int = 1, three_prime_clip_r2: int = 0, stringency: int = 3, quality: int = 20, error_rate: float = 0.1, length: int = 20) -> DataFrame:
+    """R1 and R2 FASTQ without adapters, poly-A and ends of low quality, and the summary; pairs with a mate of fewer than `length` bases are dropped."""
+    output_basename = qualified(spark, output_basename)
+    pairs = fastq.pairs(spark, r1, r2, spark.sparkContext.defaultParallelism, check_ids=True)
+    hows = [trimming.Trim(a, quality, stringency, error_rate, clip) for a, clip in ((adapter, three_prime_clip_r1), (adapter2, three_prime_clip_r2))]
+    kept = f"{output_basename}.trimmed.parts"
+    found, seen = summary.observed(trimming.trimmed(pairs, *hows, length), trimming.CLASSES, "trimmed")
+    mates = [F.struct(F.col(f"{m}.id").alias("name"), *[F.col(f"{m}.{c}") for c in ("desc", "seq", "qual")]).alias(m) for m in ("r1", "r2")]
+    found.where(F.col("read_class") == trimming.CLASSES[-1]).select("idx", *mates).write.mode("overwrite").parquet(kept)
+    passed = spark.read.parquet(kept).orderBy("idx")
+    for k, mate in enumerate(("r1", "r2"), 1):
+        sinks.fastq(passed, mate, f"{output_basename}.{mate.upper()}.parts")
+        sinks.joined(f"{output_basename}.{mate.upper()}.parts", f"{output_basename}.{mate.upper()}_val_{k}.fq.gz", suffix=".gz")
+    out = summary.summary_of(spark, seen.get, trimming.CLASSES)
+    sinks.tsv(out, f"{output_basename}-trimming-summary.tsv")
+    sinks.remove(kept)
+    return out
+
+
 def tagged(alignments: DataFrame, on_bad_name: str = "error") -> DataFrame:
     """alignments with cell (CB) and raw UMI (UR) tags from the name; names without three parts fail, or are skipped."""
     parts = F.split("qname", ",")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellstrand.functions import alignment as aln
 from cellstrand.functions import sequence as seq
-from cellstrand.operators import genomics, matrix, multigene, nascent, reads, summary, umi, whitelist
+from cellstrand.operators import genomics, matrix, multigene, nascent, reads, summary, trimming, umi, whitelist
 from cellstrand.plans import fixtures as fx
 from cellstrand.plans.commands import tagged
 from cellstrand.session import shared_dir
@@ -160,6 +160,49 @@ def adapter_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.rna_triplets(spark, sf_dir).select(F.col("umi.id").alias("name"), F.substr(s, F.lit(1), seq.before(s, F.lit(seq.ADAPTER))).alias("trimmed"))
 
 
+@query(f"""WITH {fx.RNA_READS}, placed AS (SELECT name, umi, list_min([p FOR p IN range(0, length(umi) - 9) IF hamming(substr(umi, p + 1, 10), 'ACGTACGTAC') <= 4]) AS p FROM reads)
+SELECT name, coalesce(p, length(umi))::int AS before, substr(umi, 1, coalesce(p, length(umi))) AS trimmed FROM placed""")
+def adapter_trim_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads before the first place that differs at four of ten bases at most from a sequence."""
+    s = F.col("umi.seq")
+    rows = fx.rna_triplets(spark, sf_dir).select(F.col("umi.id").alias("name"), s.alias("s"), seq.before_within(s, "ACGTACGTAC", 4).alias("before"))
+    return rows.select("name", "before", F.substr("s", F.lit(1), "before").alias("trimmed"))
+
+
+TRIMS = {"umi": trimming.Trim(seq.ADAPTER, clip=1), "bio": trimming.Trim("A" * 8)}
+#: Qualities of the bases ACGTN, some below the threshold.
+TRIM_QUALITIES = "I5+?#"
+
+
+def sql_trim(mate: str, how: trimming.Trim) -> str:
+    """CTEs that end in <mate>_n (rid, s, n): the bases of a mate that are left, from all stretches of the read."""
+    m, e = len(how.adapter), int(how.error_rate * len(how.adapter))
+    return f"""{mate}_q AS (SELECT rid, {mate} AS s, translate({mate}, 'ACGTN', '{TRIM_QUALITIES}') AS q FROM numbered),
+{mate}_r AS (SELECT rid, b, sum({how.quality} + 33 - ascii(substr(q, length(q) - b + 1, 1))) OVER (PARTITION BY rid ORDER BY b) AS t FROM (SELECT rid, q, unnest(range(1, length(q) + 1)) AS b FROM {mate}_q)),
+{mate}_x AS (SELECT rid, b FROM {mate}_r LEFT JOIN (SELECT rid, min(b) AS stop FROM {mate}_r WHERE t < 0 GROUP BY 1) USING (rid)
+  WHERE t > 0 AND b < coalesce(stop, b + 1) QUALIFY row_number() OVER (PARTITION BY rid ORDER BY t DESC, b) = 1),
+{mate}_c AS (SELECT rid, substr(s, 1, length(s) - coalesce(b, 0)) AS s FROM {mate}_q LEFT JOIN {mate}_x USING (rid)),
+{mate}_e AS (SELECT rid, s, {m} AS k, unnest(range(0, length(s) + 1)) AS e FROM {mate}_c UNION ALL SELECT rid, s, k, length(s) FROM {mate}_c, range({min(how.overlap, m)}, {m}) r(k)),
+{mate}_p AS (SELECT rid, k, e, p, levenshtein(substr(s, p + 1, e - p), substr('{how.adapter}', 1, k)) AS d FROM (SELECT *, unnest(range(greatest(0, e - k - {e}), greatest(0, e - k + {e} + 1))) AS p FROM {mate}_e) WHERE p <= e),
+{mate}_b AS (SELECT * FROM {mate}_p QUALIFY row_number() OVER (PARTITION BY rid, k, e ORDER BY d, p) = 1),
+{mate}_n AS (SELECT c.rid, any_value(c.s) AS s, greatest(0, coalesce(min(b.p) FILTER (b.d <= floor({how.error_rate} * b.k + 1e-9)), any_value(length(c.s))) - {how.clip})::int AS n
+  FROM {mate}_c c LEFT JOIN {mate}_b b ON b.rid = c.rid GROUP BY 1)"""
+
+
+@query(f"""WITH {fx.RNA_READS}, numbered AS (SELECT row_number() OVER () AS rid, * FROM reads), {", ".join(sql_trim(m, how) for m, how in TRIMS.items())}
+SELECT name, CASE WHEN u.n >= 20 AND b.n >= 20 THEN 'passed_trimming' ELSE 'filtered_too_short_after_trimming' END AS read_class, substr(u.s, 1, u.n) AS r1, substr(b.s, 1, b.n) AS r2
+FROM numbered JOIN umi_n u USING (rid) JOIN bio_n b USING (rid)""")
+def trimmed_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of reads cut by quality, by an adapter with errors, and by poly-A."""
+
+    def mate(name: str) -> Column:
+        s = F.col(f"{name}.seq")
+        return F.struct(s.alias("seq"), F.translate(s, "ACGTN", TRIM_QUALITIES).alias("qual"))
+
+    pairs = fx.rna_triplets(spark, sf_dir).select(F.col("umi.id").alias("name"), mate("umi").alias("r1"), mate("bio").alias("r2"))
+    return trimming.trimmed(pairs, TRIMS["umi"], TRIMS["bio"]).select("name", "read_class", F.col("r1.seq").alias("r1"), F.col("r2.seq").alias("r2"))
+
+
 @query(f"WITH {fx.RNA_READS}, r AS (SELECT name, bio, reverse(translate(substr(umi, 9, 10), 'ACGTN', 'TGCAN')) AS rc FROM reads) SELECT name, rc, CASE WHEN instr(bio, rc) > 0 THEN substr(bio, 1, instr(bio, rc) - 1) ELSE bio END AS trimmed FROM r")
 def revcomp_readthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     rc, bio = seq.reverse_complement(seq.piece(F.col("umi.seq"), 8, 18)), F.col("bio.seq")

@@ -30,6 +30,7 @@ READ = "struct<id:string,desc:string,seq:string,qual:string>"
 SCHEMA = "file string, idx bigint, id string, desc string, seq string, qual string"
 #: Bits of a record's number in its set of files.
 SET_BITS = 40
+PAIR_SCHEMA = f"idx bigint, r1 {READ}, r2 {READ}"
 TRIPLET_SCHEMA = f"idx bigint, lig {READ}, umi {READ}, bio {READ}"
 #: Bytes of a file that a task is laid out for.
 SPLIT_BYTES = 64 << 20
@@ -272,6 +273,17 @@ class TripletSource(DataSource):
         return TripletReader(self.options["plan"], self.options.get("check_ids") == "true")
 
 
+class PairSource(TripletSource):
+    """`fastq_pair`: the same of two files."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "fastq_pair"
+
+    def schema(self) -> str:
+        return PAIR_SCHEMA
+
+
 def _plan(spark: SparkSession, tasks: list[Task]) -> str:
     """Where tasks are written, on storage that the driver's planner and all machines share."""
     url = shared_dir(spark, "fastq")
@@ -289,15 +301,24 @@ def fastq(spark: SparkSession, path: str, split: int = SPLIT_BYTES) -> DataFrame
     return spark.read.format("fastq").option("plan", _plan(spark, tasks)).load()
 
 
+def _in_step(spark: SparkSession, source: type[TripletSource], files: list[str], partitions: int | None, check_ids: bool, split: int) -> DataFrame:
+    paths = [listed(p) for p in files]
+    if len({len(p) for p in paths}) > 1:
+        raise ValueError(f"as many files of each kind are needed: {paths}")
+    spark.dataSource.register(source)
+    tasks = planned(spark, list(zip(*paths, strict=True)), split)
+    rows = spark.read.format(source.name()).option("plan", _plan(spark, tasks)).option("check_ids", str(check_ids).lower()).load()
+    return rows.repartition(partitions) if partitions and len(tasks) < partitions else rows
+
+
 def triplets(spark: SparkSession, first: str, second: str, third: str, partitions: int | None = None, check_ids: bool = False, split: int = SPLIT_BYTES) -> DataFrame:
     """Triplets of files read in step (by commas or wild cards, as many of each).
 
     Where fewer tasks than `partitions` read them, rows are dealt over so many for what follows.
     """
-    paths = [listed(p) for p in (first, second, third)]
-    if len({len(p) for p in paths}) > 1:
-        raise ValueError(f"as many first, second and third files are needed: {paths}")
-    spark.dataSource.register(TripletSource)
-    tasks = planned(spark, list(zip(*paths, strict=True)), split)
-    rows = spark.read.format("fastq_triplet").option("plan", _plan(spark, tasks)).option("check_ids", str(check_ids).lower()).load()
-    return rows.repartition(partitions) if partitions and len(tasks) < partitions else rows
+    return _in_step(spark, TripletSource, [first, second, third], partitions, check_ids, split)
+
+
+def pairs(spark: SparkSession, first: str, second: str, partitions: int | None = None, check_ids: bool = False, split: int = SPLIT_BYTES) -> DataFrame:
+    """Pairs of files read in step: idx, r1, r2."""
+    return _in_step(spark, PairSource, [first, second], partitions, check_ids, split)
