@@ -50,8 +50,8 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 NONE, A_ENDS, B_ENDS, BOTH = b".ab="
 SPAN = re.compile(rb"[^=]*=")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
-#: Distinct cuts that a worker remembers.
-REMEMBERED = 400_000
+#: Distinct cuts that a worker remembers of late, and as many of before.
+REMEMBERED = 250_000
 #: Cuts whose labels are one string.
 CUTS_AT_ONCE = 8192
 #: Bytes of text of a chunk of documents, about.
@@ -106,7 +106,7 @@ class Aligner:
         labels[np.cumsum(self.a_size[a]) - 1] = A_ENDS
         b_end = np.cumsum(self.b_size[b]) - 1
         labels[b_end] = np.where(labels[b_end] == NONE, B_ENDS, BOTH)
-        end = np.fromiter((m.end() for m in SPAN.finditer(labels.tobytes())), dtype=np.int64)
+        end = np.cumsum(np.array(list(map(len, SPAN.findall(labels.tobytes()))), dtype=np.int64))
         both = labels == BOTH
         upto_a, upto_b = (np.cumsum((labels == one) | both)[end - 1] for one in (A_ENDS, B_ENDS))
         begun = np.cumsum(np.where(spelt, size, 0)) - size
@@ -145,31 +145,39 @@ class Memory:
     def __init__(self, aligner: Aligner, limit: int = REMEMBERED):
         self.aligner, self.limit = aligner, limit
         self.known: dict[str, tuple[int, int, int, str, bytes] | None] = {}
+        self.before = self.known
         self.a_text, self.b_text = (list(map(str, range(len(x)))) for x in (aligner.a_bytes, aligner.b_bytes))
+        self.a_alone = [f"{x}|" for x in self.a_text]
 
     def rows(self, texts: list[str]) -> list[list[str]]:
         """Cuts of each text; all are known afterwards."""
         rows = [CUT.split(t) if t else [] for t in texts]
         wanted = set().union(*rows)
-        new = [c for c in wanted if c not in self.known]
-        if len(self.known) + len(new) > self.limit:
-            self.known = {c: self.known[c] for c in wanted if c in self.known}
+        # cuts that were asked for since the last time that it was full are kept
+        if len(self.known) + len(wanted) > self.limit:
+            self.before, self.known = self.known, {}
+        new = []
+        for cut in wanted:
+            if cut not in self.known:
+                if cut in self.before:
+                    self.known[cut] = self.before[cut]
+                else:
+                    new.append(cut)
         for k in range(0, len(new), CUTS_AT_ONCE):
             self._learn(new[k : k + CUTS_AT_ONCE])
         return rows
 
     def _learn(self, cuts: list[str]) -> None:
         scan = self.aligner.scanned(cuts)
+        a_last, b_last = scan.a[scan.upto_a - 1], scan.b[scan.upto_b - 1]
+        groups = list(map(str.__add__, map(self.a_alone.__getitem__, a_last.tolist()), map(self.b_text.__getitem__, b_last.tolist())))
+        # those of several ids
         a, b = scan.a.tolist(), scan.b.tolist()
-        a_text, b_text = [self.a_text[k] for k in a], [self.b_text[k] for k in b]
-        groups, i, j = [], 0, 0
-        for p, q in zip(scan.upto_a.tolist(), scan.upto_b.tolist(), strict=True):
-            if p - i == 1 == q - j:
-                groups.append(f"{a_text[i]}|{b_text[j]}")
-            else:
-                groups.append(f"{','.join(a_text[i:p])}|{','.join(b_text[j:q])}")
-            i, j = p, q
-        pairs = (scan.a[scan.upto_a - 1] << B_BITS | scan.b[scan.upto_b - 1]).tobytes()
+        a_from, b_from = np.r_[0, scan.upto_a[:-1]], np.r_[0, scan.upto_b[:-1]]
+        several = np.flatnonzero((scan.upto_a - a_from > 1) | (scan.upto_b - b_from > 1))
+        for k, i, p, j, q in zip(*(x.tolist() for x in (several, a_from[several], scan.upto_a[several], b_from[several], scan.upto_b[several])), strict=True):
+            groups[k] = f"{','.join(map(str, a[i:p]))}|{','.join(map(str, b[j:q]))}"
+        pairs = (a_last << B_BITS | b_last).tobytes()
         n = np.bincount(scan.cut, minlength=len(cuts))
         last = np.cumsum(n)
         # ids before each cut: those up to the end of the last group before it, as every cut ends with a group
