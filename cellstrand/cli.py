@@ -33,6 +33,7 @@ def parser() -> argparse.ArgumentParser:
     )
     command("tag", "write cell and UMI tags", commands.tag, [("--input_file", "input_file"), ("--output_file", "output_file")], num_processes=("num_processes", number | {"default": 1}))
     command("sort", "sort a BAM file by coordinate and index it", commands.sort, [("--input_file", "input_file"), ("--output_file", "output_file")])
+    command("calmd", "make MD tags from a reference", commands.calmd, [("--input_file", "input_file"), ("--reference", "reference"), ("--output_file", "output_file")])
     command("index", "prepare an annotation", commands.index, [("--input_gtf", "input_gtf"), ("--output_file", "output")])
     command(
         "count", "assign read pairs to genes and count UMIs", commands.count,

@@ -26,8 +26,8 @@ def well_mapped(flag: Column, mapq: Column, least: int = 30) -> Column:
     return (mapq >= least) & has_bits(flag, PROPER) & lacks_bits(flag, none_of)
 
 
-def blocks(pos: Column, cigar: Column) -> Column:
-    """array<struct<start, end>> of the aligned (M) blocks, from 0, half open; null or `*` has none.
+def blocks(pos: Column, cigar: Column, kinds: tuple[str, ...] = ("M",)) -> Column:
+    """array<struct<start, end>> of the aligned (M) blocks, or those of other `kinds` besides, from 0, half open; null or `*` has none.
 
     A CIGAR of one aligned block, the most frequent by far, does not go through the walk over operations.
     """
@@ -41,7 +41,7 @@ def blocks(pos: Column, cigar: Column) -> Column:
         end = state["at"] + size
         moved = F.when(kind.isin("M", "D", "N", "=", "X"), end).otherwise(state["at"])
         block = F.struct(state["at"].alias("start"), end.alias("end"))
-        return F.struct(moved.alias("at"), F.when(kind == "M", F.concat(state["out"], F.array(block))).otherwise(state["out"]).alias("out"))
+        return F.struct(moved.alias("at"), F.when(kind.isin(*kinds), F.concat(state["out"], F.array(block))).otherwise(state["out"]).alias("out"))
 
     return F.when(whole.isNotNull(), single).otherwise(F.aggregate(ops, start, step)["out"])
 

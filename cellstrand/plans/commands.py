@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellstrand.functions import sequence as seq
-from cellstrand.operators import genomics, matrix, multigene, nascent, reads, summary, trimming, umi, whitelist
+from cellstrand.operators import genomics, matrix, mismatches, multigene, nascent, reads, summary, trimming, umi, whitelist
 from cellstrand.session import qualified
 from cellstrand.sinks import bam as bam_sink
 from cellstrand.sinks import files as sinks
 from cellstrand.sources import alignments as aln
-from cellstrand.sources import fastq, tables
+from cellstrand.sources import fasta, fastq, tables
 
 
 log = logging.getLogger("cellstrand")
@@ -105,6 +105,12 @@ def sort(spark: SparkSession, input_file: str, output_file: str) -> None:
     save_alignments(spark, load_alignments(spark, input_file), input_file, output_file, by_coordinate=True)
 
 
+def calmd(spark: SparkSession, input_file: str, reference: str, output_file: str) -> None:
+    """Records with MD and NM made anew from a FASTA reference."""
+    records = load_alignments(spark, input_file)
+    save_alignments(spark, mismatches.with_md(records, fasta.windows(spark, reference)), input_file, output_file)
+
+
 def warn_of_processes(wanted: int) -> None:
     if wanted > 1:
         log.warning("num_processes %d has no effect: tasks are as many as the session's cores", wanted)

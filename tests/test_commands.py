@@ -385,4 +385,4 @@ def test_json_summary(spark, tmp_path):
 
 def test_command_line_names():
     kinds = cli.parser()._subparsers._group_actions[0].choices
-    assert list(kinds) == ["barcode", "trim", "tag", "sort", "index", "count", "merge", "slam", "gRNA", "gRNA-discover", "build-correction-dict"]
+    assert list(kinds) == ["barcode", "trim", "tag", "sort", "calmd", "index", "count", "merge", "slam", "gRNA", "gRNA-discover", "build-correction-dict"]
