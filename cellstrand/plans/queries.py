@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from cellstrand.functions import alignment as aln
 from cellstrand.functions import sequence as seq
-from cellstrand.operators import genomics, matrix, multigene, nascent, reads, summary, trimming, umi, whitelist
+from cellstrand.operators import genomics, matrix, mismatches, multigene, nascent, reads, summary, trimming, umi, whitelist
 from cellstrand.plans import fixtures as fx
 from cellstrand.plans.commands import tagged
 from cellstrand.session import shared_dir
 from cellstrand.sinks import bam
-from cellstrand.sources import alignments, fastq, tables
+from cellstrand.sources import alignments, fasta, fastq, tables
 from cellstrand.sources.files import files_in
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -382,6 +382,62 @@ def fastq_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy(F.col("id").alias("name"), "seq").agg(F.count(F.lit(1)).alias("records"))
 
 
+#: CIGARs of records for the reference below, by line number, and their SQL: the operations that consume the reference and the read's first base.
+MD_CIGARS = ("32M", "10M5D22M", "5S10M100N17M", "8M2I22M", "32M", "3M1D4M2D20M")
+CONTIG_LINES = 12_520
+
+
+def sql_base(contig: str, place: str) -> str:
+    return f"substr({fx.sql_dna(f"{contig} || '-' || (({place}) // 32)")}, (({place}) % 32 + 1)::int, 1)"
+
+
+def reference(spark: SparkSession, sf_dir: str) -> str:
+    """A FASTA file of three contigs whose bases follow from their places."""
+    folder = shared_dir(spark, "reference")
+    name = F.concat(F.lit("chr"), (F.col("id") + 1).cast("string"))
+    lines = F.transform(F.sequence(F.lit(0), F.lit(CONTIG_LINES - 1)), lambda k: fx.dna(F.concat(name, F.lit("-"), k.cast("string"))))
+    spark.range(3).select(F.concat(F.lit(">"), name, F.lit("\n"), F.array_join(lines, "\n")).alias("value")).write.text(folder)
+    return ",".join(files_in(folder, ".txt"))
+
+
+MD_OPS = "CASE k WHEN 2 THEN [[0, 10, 0], [10, 15, 1], [15, 37, 0]] WHEN 3 THEN [[0, 10, 0], [110, 127, 0]] WHEN 4 THEN [[0, 8, 0], [8, 30, 0]] WHEN 6 THEN [[0, 3, 0], [3, 4, 1], [4, 8, 0], [8, 10, 1], [10, 30, 0]] ELSE [[0, 32, 0]] END"
+
+
+@query(f"""WITH r AS (SELECT row_number() OVER () AS rid, {fx.KEY} AS qname, 'chr' || (l_suppkey % 3 + 1) AS chrom, ((l_partkey * 37) % 400000)::bigint AS pos, l_linenumber AS k, (l_orderkey % 7)::int AS m FROM lineitem),
+o AS (SELECT rid, chrom, pos, m, unnest({MD_OPS}) AS o FROM r),
+c AS (SELECT rid, chrom, pos, m, o[3] AS gone, unnest(range(o[1], o[2])) AS x FROM o),
+d AS (SELECT rid, x, gone, CASE WHEN gone = 0 AND (x + m) % 7 = 0 THEN 1 ELSE 0 END AS other, {sql_base("chrom", "pos + x")} AS b FROM c),
+e AS (SELECT *, sum(CASE WHEN gone = 0 AND other = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY x) AS same,
+  gone = 1 AND coalesce(lag(gone) OVER (PARTITION BY rid ORDER BY x), 0) = 0 AS first FROM d),
+f AS (SELECT rid, x, same, gone, b, first, same - coalesce(lag(same) OVER (PARTITION BY rid ORDER BY x), 0) AS n FROM e WHERE gone = 1 OR other = 1),
+g AS (SELECT rid, string_agg(CASE WHEN first THEN n || '^' || b WHEN gone = 1 THEN b ELSE n || b END, '' ORDER BY x) AS md, max(same) AS last FROM f GROUP BY 1),
+h AS (SELECT rid, max(same) AS same, sum(other) + sum(gone) AS nm FROM e GROUP BY 1)
+SELECT qname, coalesce(md, '') || (same - coalesce(last, 0))::varchar AS md, (nm + CASE WHEN k = 4 THEN 2 ELSE 0 END)::int AS nm FROM r JOIN h USING (rid) LEFT JOIN g USING (rid)""")
+def md_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MD and NM of a record for each line item, of which every seventh aligned base is N."""
+    li = fx.table(spark, sf_dir, "lineitem")
+    rows = li.select(
+        F.monotonically_increasing_id().alias("idx"), fx.key().alias("qname"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 3 + 1).cast("string")).alias("rname"),
+        ((F.col("l_partkey") * 37) % 400000).cast("int").alias("pos"), F.coalesce(F.get(F.array(*map(F.lit, MD_CIGARS)), F.col("l_linenumber") - 1), F.lit("32M")).alias("cigar"), (F.col("l_orderkey") % 7).cast("int").alias("m"),
+    )
+    starts = F.sequence(F.lit(0), F.lit(4))
+
+    def aligned(start: int, end: int) -> Column:
+        """Bases of the reference from start to end behind pos, every seventh place N."""
+        first = F.floor((F.col("pos") + start) / 32)
+        text = F.array_join(F.transform(starts, lambda j: fx.dna(F.concat("rname", F.lit("-"), (first + j).cast("string")))), "")
+        own = F.substr(text, (F.col("pos") + start - first * 32 + 1).cast("int"), F.lit(end - start))
+        places = F.sequence(F.lit(start), F.lit(end - 1))
+        return F.array_join(F.transform(places, lambda x: F.when((x + F.col("m")) % 7 == 0, "N").otherwise(F.substr(own, x - start + 1, F.lit(1)))), "")
+
+    shapes = {2: [(0, 10), (15, 37)], 3: ["GGGGG", (0, 10), (110, 127)], 4: [(0, 8), "TT", (8, 30)], 6: [(0, 3), (4, 8), (10, 30)]}
+    k = F.regexp_count("cigar", F.lit("D"))
+    parts = {n: F.concat(*[F.lit(p) if isinstance(p, str) else aligned(*p) for p in shape]) for n, shape in shapes.items()}
+    seq_ = F.when(k == 1, parts[2]).when(F.contains("cigar", F.lit("N")), parts[3]).when(F.contains("cigar", F.lit("I")), parts[4]).when(k == 2, parts[6]).otherwise(aligned(0, 32))
+    records = rows.withColumn("seq", seq_).drop("m")
+    return mismatches.with_md(records, fasta.windows(spark, reference(spark, sf_dir))).select("qname", F.col("tags")["MD"].alias("md"), F.col("tags")["NM"].cast("int").alias("nm"))
+
+
 CHROMOSOMES = [("chr2", 600_000), ("chr3", 600_000), ("chr1", 600_000)]
 
 
