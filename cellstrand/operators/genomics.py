@@ -116,14 +116,14 @@ def check_policy(policy: str) -> None:
         raise ValueError(f"unknown multi-gene policy {policy!r}; use one of {POLICIES}")
 
 
-def assigned(alignments: DataFrame, features: DataFrame, tes: DataFrame, library: str = "reverse", policy: str = "discard", introns: bool = False) -> DataFrame:
-    """qname, gene_id, mapped_feature and mapping of every complete pair.
+def assigned(alignments: DataFrame, features: DataFrame, tes: DataFrame, library: str = "reverse", policy: str = "discard", introns: bool = False, paired: bool = False) -> DataFrame:
+    """qname, gene_id, mapped_feature and mapping of every complete pair of alignments, which are pairs (qname, m1, m2) already if `paired`.
 
     Exons come first; with `introns`, pairs without any exon are called by whole transcripts. Under a policy of LISTED, gene_id
     has the genes that are left in order, joined by commas, and a column `genes` has them as an array.
     """
     check_policy(policy)
-    pairs = read_pairs(alignments)
+    pairs = alignments if paired else read_pairs(alignments)
     pairs = pairs.select("qname", aln.fragment_strand(F.col("m1.reverse"), F.col("m2.reverse"), library).alias("strand"), "m1", "m2")
     spaces = ("exon", "transcript") if introns else ("exon",)
     genes = genes_of_mates(pairs, features, library != "none", spaces)

@@ -139,12 +139,14 @@ def count(spark: SparkSession, input_bam: str, index_file: str, output_dir: str,
     if primer_type != "shortdT":
         log.warning("primer_type %s has no effect", primer_type)
     features, tes, names = (spark.read.parquet(f"{index_file}/{t}") for t in ("features", "tes", "gene_names"))
-    records = load_alignments(spark, input_bam)
+    # mates that follow each other need no shuffle to meet
+    paired = not read_subset and not input_bam.endswith(".sam") and all(map(aln.grouped_by_name, aln.listed(input_bam)))
+    records = aln.bam_pairs(spark, input_bam) if paired else load_alignments(spark, input_bam)
     if read_subset:
         # the first names in file order
         first = records.groupBy("qname").agg(F.min("idx").alias("first")).orderBy("first").limit(read_subset)
         records = records.join(first.select("qname"), "qname", "left_semi")
-    found = genomics.assigned(records, features, tes, library_strandedness, multigene_reads, count_introns)
+    found = genomics.assigned(records, features, tes, library_strandedness, multigene_reads, count_introns, paired)
     barcode_of = F.concat(F.lit(f"{sample_name}."), seq.cell_of_name(F.col("qname")))
     cell_and_umi = [barcode_of.alias("barcode"), seq.umi_of_name(F.col("qname")).alias("umi")]
     assignment = found.select(*cell_and_umi, "gene_id", "mapped_feature", "mapping")

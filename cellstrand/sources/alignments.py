@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
-from cellstrand.functions.alignment import reference_end
+from cellstrand.functions.alignment import FIRST, REVERSE, SECOND, reference_end
 from cellstrand.sources import bam_index
 from cellstrand.sources.files import listed, open_at, open_input
 
@@ -360,3 +361,92 @@ def fetched(spark: SparkSession, path: str, rname: str, start: int = 0, end: int
     rows = spark.read.format("bam").option("path", path).option("split", split).option("reach", start).load()
     rows = rows.where((F.col("rname") == rname) & (F.greatest(reference_end(F.col("pos"), F.col("cigar")), F.col("pos") + 1) > start))
     return rows if end is None else rows.where(F.col("pos") < end)
+
+
+MATE = "struct<rname:string,pos:int,aend:int,reverse:boolean,blocks:array<struct<start:int,end:int>>>"
+PAIR_SCHEMA = f"qname string, m1 {MATE}, m2 {MATE}"
+_OPS = re.compile(r"(\d+)([MIDNSHP=X])")
+
+
+def grouped_by_name(path: str) -> bool:
+    """Whether a BAM file's header says that records of one name follow each other."""
+    first = bam_header(path)[0].split("\n", 1)[0].split("\t")
+    return first[0] == "@HD" and bool({"SO:queryname", "GO:query"} & set(first))
+
+
+def name_runs(path: str, start: int, end: int) -> Iterator[list[tuple]]:
+    """Records of one name that follow each other, for the names of a range of blocks.
+
+    A range leaves its first name to the range before it, which goes on behind its own end until the
+    name of the first record there is complete. So a name that goes over a border, or over a whole
+    range, is one run of one range.
+    """
+    run: list[tuple] = []
+    foreign, last = start > 0, False
+    for record in bam_records(path, start=start):
+        if run and record[1] != run[0][1]:
+            if not foreign:
+                yield run
+            if last:
+                return
+            run, foreign = [], False
+        run.append(record)
+        last = last or record[0] >> PLACE_BITS >= end
+    if run and not foreign:
+        yield run
+
+
+def mate_of(record: tuple) -> tuple:
+    """A record as MATE says."""
+    at, blocks = record[4], []
+    for number, op in _OPS.findall(record[6]):
+        if op in "MDN=X":
+            if op == "M":
+                blocks.append((at, at + int(number)))
+            at += int(number)
+    return record[3], record[4], at, bool(record[2] & REVERSE), blocks
+
+
+class PairReader(DataSourceReader):
+    def __init__(self, paths: list[str], split: int):
+        self.paths, self.split = paths, split
+
+    def partitions(self) -> list[InputPartition]:
+        out = []
+        for path in self.paths:
+            file, size = open_at(path)
+            file.close()
+            out += [InputPartition((path, start, min(start + self.split, size))) for start in range(0, max(size, 1), self.split)]
+        return out
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        for run in name_runs(*partition.value):
+            first, second = ([r for r in run if r[2] & bit] for bit in (FIRST, SECOND))
+            if len(run) == 2 and len(first) == len(second) == 1:
+                yield run[0][1], mate_of(first[0]), mate_of(second[0])
+
+
+class PairSource(DataSource):
+    """`bam_pairs`: options path, files by commas or wild cards whose records are grouped by name, and split."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "bam_pairs"
+
+    def schema(self) -> str:
+        return PAIR_SCHEMA
+
+    def reader(self, schema) -> PairReader:
+        return PairReader(listed(self.options["path"]), int(self.options.get("split", SPLIT_BYTES)))
+
+
+def bam_pairs(spark: SparkSession, path: str, split: int = SPLIT_BYTES) -> DataFrame:
+    """One row for each name that has exactly one first and one second mate, of files grouped by name; no shuffle.
+
+    A file whose header does not say that it is grouped is an error. A name is looked for in one file only.
+    """
+    for one in listed(path):
+        if not grouped_by_name(one):
+            raise ValueError(f"{one}: its header does not say that records are grouped by name")
+    spark.dataSource.register(PairSource)
+    return spark.read.format("bam_pairs").option("path", path).option("split", split).load()
