@@ -38,12 +38,13 @@ from pyspark.sql import functions as F
 
 from cellstrand.llm.common import stored
 
-#: Pivots and rings of a pivot, at most: the bound of the directory.
+#: Pivots and rings of a pivot, at most: the bound of the directory. Few rows have fewer rings, so that an annulus is worth a message.
 PIVOTS, RINGS = 64, 512
+LEAST_RINGS, RING_ROWS = 32, 1024
 #: Rows that pivots are drawn from, by least hash, at most, and rounds of moving them to their rows' middle.
 SAMPLE, ROUNDS = 2048, 4
-#: Rows of a slab and queries of a block, at most, about.
-SLAB_ROWS, QUERY_BLOCK = 16_384, 4096
+#: Rows of a slab and queries of a block, at most, about, and rows below which a slab is not divided to give work to all slots.
+SLAB_ROWS, QUERY_BLOCK, LEAST_SLAB = 16_384, 4096, 512
 #: Rows of the first helping, and how much more each further one has.
 FIRST_ROWS, GROWTH = 2048, 16
 #: Queries whose scores are held at once.
@@ -77,6 +78,7 @@ class Space:
     longest: float
     dtype: str
     pivots: np.ndarray
+    rings: int = RINGS
 
     @property
     def exact_in_double(self) -> bool:
@@ -101,7 +103,7 @@ class Space:
         return np.sqrt(np.maximum(0.0, square))
 
     def ring_of(self, distance: np.ndarray) -> np.ndarray:
-        return np.minimum(RINGS - 1, (distance * (RINGS / (2 * self.longest))).astype(np.int64))
+        return np.minimum(self.rings - 1, (distance * (self.rings / (2 * self.longest))).astype(np.int64))
 
     def best_score(self, length: float, bound: np.ndarray) -> np.ndarray:
         """Upper bound of the inner product of a query with all that is `bound` or further away, with a margin for rounding."""
@@ -141,11 +143,12 @@ def space_of(rows: DataFrame, pivots: int = PIVOTS) -> Space | None:
     """Width and length over all rows, pivots from at most SAMPLE of them; None without rows."""
     square = F.aggregate("whole", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     most = F.array_max(F.transform("whole", lambda x: F.abs(x.cast("double"))))
-    told = rows.agg(F.max(F.size("whole")).alias("dim"), F.max(F.sqrt(square)).alias("longest"), F.max(most).alias("most")).first()
+    told = rows.agg(F.max(F.size("whole")).alias("dim"), F.max(F.sqrt(square)).alias("longest"), F.max(most).alias("most"), F.count(F.lit(1)).alias("n")).first()
     if told.dim is None:
         return None
     dtype = next((d for d, limit in (("<i2", 2**15), ("<i4", 2**31)) if (told.most or 0.0) < limit), "<i8")
-    space = Space(int(told.dim), max(1.0, float(told.longest)), dtype, np.zeros((1, int(told.dim) + 1)))
+    rings = min(RINGS, max(LEAST_RINGS, told.n // (pivots * RING_ROWS)))
+    space = Space(int(told.dim), max(1.0, float(told.longest)), dtype, np.zeros((1, int(told.dim) + 1)), rings)
     picked = rows.orderBy(F.xxhash64("vec_id", "whole")).limit(SAMPLE).select("whole").collect()
     sample = padded(pa.array([r.whole for r in picked], pa.list_(pa.int64())), space.dim)
     space.pivots = middles(space.lifted(sample), pivots)
@@ -248,10 +251,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     # PIVOTS times RINGS entries at most
     directory = Directory([tuple(r) for r in annuli.collect()])
     sent = spark.sparkContext.broadcast((space, directory))
-    slabs = np.maximum(1, -(-directory.n // SLAB_ROWS))
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slab_rows = min(SLAB_ROWS, max(LEAST_SLAB, int(directory.n.sum()) // (4 * slots)))
+    slabs = np.maximum(1, -(-directory.n // slab_rows))
     queries = stored(index.where("asks").select("row", "vec_id", "vector"), "queries")
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kept = spark.createDataFrame([], FOUND)
 
     def asking(helping: tuple[int, int]):
