@@ -52,6 +52,8 @@ SPAN = re.compile(rb"[^=]*=")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 #: Distinct cuts that a worker remembers of late, and as many of before.
 REMEMBERED = 250_000
+#: Characters of the longest cut that is remembered beyond the texts that it came with; a text without spaces is one cut.
+LONGEST = 64
 #: Cuts whose labels are one string.
 CUTS_AT_ONCE = 8192
 #: Bytes of text of a chunk of documents, about.
@@ -146,6 +148,7 @@ class Memory:
         self.aligner, self.limit = aligner, limit
         self.known: dict[str, tuple[int, int, int, str, bytes] | None] = {}
         self.before = self.known
+        self.passing: list[str] = []
         self.a_text, self.b_text = (list(map(str, range(len(x)))) for x in (aligner.a_bytes, aligner.b_bytes))
         self.a_alone = [f"{x}|" for x in self.a_text]
 
@@ -153,6 +156,8 @@ class Memory:
         """Cuts of each text; all are known afterwards."""
         rows = [CUT.split(t) if t else [] for t in texts]
         wanted = set().union(*rows)
+        for cut in self.passing:
+            self.known.pop(cut, None)
         # cuts that were asked for since the last time that it was full are kept
         if len(self.known) + len(wanted) > self.limit:
             self.before, self.known = self.known, {}
@@ -163,6 +168,7 @@ class Memory:
                     self.known[cut] = self.before[cut]
                 else:
                     new.append(cut)
+        self.passing = [c for c in new if len(c) > LONGEST]
         for k in range(0, len(new), CUTS_AT_ONCE):
             self._learn(new[k : k + CUTS_AT_ONCE])
         return rows

@@ -110,6 +110,16 @@ def test_a_worker_that_forgets_gives_the_same():
         assert list(token_alignment.measured(small, texts)) == list(token_alignment.measured(large, texts))
 
 
+def test_long_cuts_are_not_kept():
+    own = token_alignment.Memory(token_alignment.Aligner(A, B))
+    texts = ["漢字" * 100 + " short", "short " + "漢字" * 100]
+    first = list(token_alignment.measured(own, texts))
+    assert any(len(c) > token_alignment.LONGEST for c in own.known)
+    assert list(token_alignment.measured(own, texts)) == first
+    own.rows(["other"])
+    assert "short" in own.known and all(len(c) <= token_alignment.LONGEST for c in own.known)
+
+
 def judged(rows, labels):
     """The audit by going through every order for every document."""
     good, toxic = ({r[0] for r in labels if r[k] == 1} - {None} for k in (1, 2))
