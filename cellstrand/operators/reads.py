@@ -107,5 +107,6 @@ def guide_cells(classified: DataFrame, sample: str = "", annotation: DataFrame |
 def discovered_guides(classified: DataFrame) -> DataFrame:
     """(sgrna_seq, read_count, percent_of_passed_reads) of passed reads; the most frequent first, then the first seen."""
     counts = classified.where(F.col("read_class") == "passed").groupBy(F.col("guide").alias("sgrna_seq")).agg(F.count(F.lit(1)).alias("read_count"), F.min("idx").alias("first_idx"))
-    passed = counts.agg(F.sum("read_count")).scalar()
+    # with both columns the total is made from the exchange that the counts come from, so reads are classified once
+    passed = counts.agg(F.struct(F.sum("read_count").alias("n"), F.min("first_idx").alias("first_idx"))).scalar().getField("n")
     return counts.orderBy(F.desc("read_count"), "first_idx").select("sgrna_seq", "read_count", (F.col("read_count") / passed * 100.0).alias("percent_of_passed_reads"))

@@ -21,6 +21,11 @@ def code(prefix: str, number: Column, size: int) -> Column:
     return F.substring(dna(F.concat(F.lit(prefix), number.cast("string"))), 1, size)
 
 
+def one_of(prefix: str, number: Column, count: int, size: int) -> Column:
+    """code(prefix, number % count, size) from a literal array of all codes, which is made once and not for each row."""
+    return F.get(F.array(*[code(prefix, F.lit(n), size) for n in range(count)]), (number % count).cast("int"))
+
+
 def key() -> Column:
     return F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
 
@@ -33,8 +38,8 @@ def guide_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One guide read triplet a line item: idx, r1, r2, r3."""
     li = table(spark, sf_dir, "lineitem")
     h, q = dna(key()), F.col("l_quantity").cast("int")
-    umi, sg = code("umi", F.col("l_orderkey") % 50, 8), code("sg", F.col("l_partkey") % 20, 20)
-    lig, rt, i7 = code("lig", F.col("l_suppkey") % 12, 10), code("rt", F.col("l_partkey") % 24, 10), code("i7-", F.col("l_orderkey") % 4, 10)
+    umi, sg = one_of("umi", F.col("l_orderkey"), 50, 8), one_of("sg", F.col("l_partkey"), 20, 20)
+    lig, rt, i7 = one_of("lig", F.col("l_suppkey"), 12, 10), one_of("rt", F.col("l_partkey"), 24, 10), one_of("i7-", F.col("l_orderkey"), 4, 10)
     constant = F.when(q <= 3, "CAAGGGGATA").when(F.col("l_linenumber") == 2, "CAAGTTGATN").otherwise("CAAGTTGATA")
     r1 = F.concat(umi, F.when(q.between(40, 44), F.substring(h, 1, 10)).otherwise(rt), constant, h)
     r2 = F.concat(F.when(q.between(36, 39), F.substring(h, 5, 10)).otherwise(i7), F.lit("ATCTTGTGGA"), F.substring(h, 1, 15), F.when(q.between(30, 35), F.substring(h, 3, 20)).otherwise(sg), h)
@@ -46,7 +51,7 @@ def rna_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One RNA read triplet a line item: idx and structs lig, umi, bio."""
     li = table(spark, sf_dir, "lineitem")
     h, q, name = dna(key()), F.col("l_quantity").cast("int"), key()
-    lig, rt, umi = code("lig", F.col("l_suppkey") % 12, 10), code("rt", F.col("l_partkey") % 24, 10), code("umi", F.col("l_orderkey") % 50, 8)
+    lig, rt, umi = one_of("lig", F.col("l_suppkey"), 12, 10), one_of("rt", F.col("l_partkey"), 24, 10), one_of("umi", F.col("l_orderkey"), 50, 8)
     ligation = F.concat(F.when(q >= 45, F.substring(h, 11, 10)).otherwise(lig), h)
     tail = F.concat(F.repeat(F.lit("T"), F.col("l_linenumber") + 1), h, F.when(q % 3 == 0, "CTGTCTCTTATACACAT").otherwise(""), F.substring(h, 5, 12))
     cell = F.concat(umi, F.when(q.between(40, 44), F.substring(h, 1, 10)).otherwise(rt), tail)
@@ -62,7 +67,7 @@ def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two records a line item, with names of cell, UMI and key."""
     li = table(spark, sf_dir, "lineitem")
     p = ((F.col("l_partkey") * 37 + F.col("l_orderkey") * 11) % 400000).cast("int")
-    cell, umi = code("cell", F.col("l_suppkey") % 12, 20), code("umi", F.col("l_orderkey") % 50, 8)
+    cell, umi = one_of("cell", F.col("l_suppkey"), 12, 20), one_of("umi", F.col("l_orderkey"), 50, 8)
     flags = F.when(F.col("l_returnflag") == "A", F.array(F.lit(83), F.lit(163))).when(F.col("l_returnflag") == "R", F.array(F.lit(99), F.lit(147))).otherwise(F.array(F.lit(67), F.lit(131)))
     base = li.select(F.concat(cell, F.lit(","), umi, F.lit(","), key()).alias("qname"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 3 + 1).cast("string")).alias("rname"), flags.alias("f"), F.array(p, p + 20 + F.col("l_linenumber") * 30).alias("p"), "l_linenumber")
     each = base.select("qname", "rname", F.posexplode("f").alias("mate", "flag"), "p")

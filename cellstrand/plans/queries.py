@@ -67,9 +67,14 @@ a AS (SELECT * FROM s UNION ALL SELECT '{summary.TOTAL}', sum("count")::bigint F
 SELECT read_class, "count", "count"::double / nullif((SELECT sum("count") FROM s)::double, 0) * 100.0::double AS percent FROM a"""
 
 
-@query(f"WITH {fx.sql_dictionary('d', f"SELECT '{seq.CONSTANT_1}' AS s")} SELECT variant FROM d")
+@query(f"""WITH {fx.sql_dictionary('d', f"SELECT '{seq.CONSTANT_1}' AS s")},
+o AS (SELECT CASE WHEN l_quantity::int <= 3 THEN 'CAAGGGGATA' WHEN l_linenumber = 2 THEN 'CAAGTTGATN' ELSE 'CAAGTTGATA' END AS piece FROM lineitem)
+SELECT variant, count(piece)::bigint AS reads FROM d LEFT JOIN o ON piece = variant GROUP BY 1""")
 def variants_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return whitelist.variants(spark.createDataFrame([(seq.CONSTANT_1,)], "s string"), "s").select("variant")
+    """Guide reads by the variant of the constant region that they hold, variants without reads included."""
+    known = whitelist.variants(spark.createDataFrame([(seq.CONSTANT_1,)], "s string"), "s").select("variant")
+    pieces = fx.guide_triplets(spark, sf_dir).groupBy(seq.piece(F.col("r1"), *reads.GuideLayout().constant_1).alias("piece")).agg(F.count(F.lit(1)).alias("n"))
+    return known.join(pieces, F.col("piece") == F.col("variant"), "left").select("variant", F.coalesce("n", F.lit(0)).alias("reads"))
 
 
 def part_codes(spark: SparkSession, sf_dir: str, folds: int | None = None) -> DataFrame:
@@ -598,8 +603,14 @@ def pivot_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matrix.pivoted(merged(spark, sf_dir), ["u1", "u2", "u7"])
 
 
-@query()
+#: A UMI's head is the first, by reads and then by name, of all UMIs from which a path of edges leads to it.
+@query(f"""WITH RECURSIVE c AS (SELECT l_suppkey % 12 AS cell, l_partkey % 97 AS pos, substr({fx.sql_dna('l_orderkey % 500')}, 1, 4) AS umi, count(*)::bigint AS n FROM lineitem GROUP BY 1, 2, 3),
+e AS (SELECT a.cell, a.pos, a.umi AS above, b.umi AS below FROM c a JOIN c b ON a.cell = b.cell AND a.pos = b.pos AND a.n >= 2 * b.n - 1 AND hamming(a.umi, b.umi) = 1),
+r AS (SELECT cell, pos, umi, umi AS head FROM c UNION SELECT r.cell, r.pos, r.umi, e.above FROM r JOIN e ON e.cell = r.cell AND e.pos = r.pos AND e.below = r.head)
+SELECT cell, pos, umi, c.n, r.head AS umi_group FROM c JOIN r USING (cell, pos, umi) JOIN c h ON h.cell = r.cell AND h.pos = r.pos AND h.umi = r.head
+QUALIFY row_number() OVER (PARTITION BY cell, pos, umi ORDER BY h.n DESC, r.head) = 1""")
 def umi_directional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heads of the UMIs' directional clusters."""
     li = fx.table(spark, sf_dir, "lineitem")
     rows = li.select((F.col("l_suppkey") % 12).alias("cell"), (F.col("l_partkey") % 97).alias("pos"), F.substring(fx.dna(F.col("l_orderkey") % 500), 1, 4).alias("umi"))
     return umi.directional_clusters(rows, ["cell", "pos"])
