@@ -18,7 +18,7 @@ import pyarrow.parquet as pq
 import zstandard
 from pyspark.sql import DataFrame, GroupedData
 
-from cellstrand.llm.common import slices, stored
+from cellstrand.llm.common import slices, spread, stored
 from cellstrand.session import shared_dir
 from cellstrand.sources.files import file_system
 
@@ -85,8 +85,7 @@ def read(url: str, chunk: int, columns: list[str] | None = None) -> pa.Table:
 
 def dealt(table: DataFrame) -> DataFrame:
     """The chunks' names, a few to a task."""
-    slots = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return table.select("chunk").repartition(max(slots, table.count()), "chunk")
+    return spread(table.select("chunk"), "chunk")
 
 
 def by(rows: DataFrame, key: str) -> GroupedData:

@@ -91,6 +91,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Tasks for each shuffle partition of the session at most, where rows of a small table are much work each.
+WAVES = 16
+
+
+def spread(table: DataFrame, key: str, waves: int = WAVES) -> DataFrame:
+    """The rows of a table that names pieces of work, dealt by key: about one to a task while they are few, and never to more than `waves` tasks a slot.
+
+    A task does its rows one after another, so its memory is that of one piece however many there are.
+    """
+    slots = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return table.repartition(max(slots, min(table.count(), waves * slots)), key)
+
+
 def stored(df: DataFrame, what: str) -> DataFrame:
     """df written to shared storage and read back: cuts lineage and survives lost executors."""
     path = shared_dir(df.sparkSession, what)

@@ -32,12 +32,12 @@ from operator import attrgetter
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cellstrand.llm.chunks import ChunkMemory
-from cellstrand.llm.common import id_and_text, slices, texts_of
+from cellstrand.llm.common import id_and_text, slices, spread, stored, texts_of
 from cellstrand.llm.token_counts import byte_of_letter
 from cellstrand.operators.whitelist import estimated_bytes
 from cellstrand.session import shared_dir
@@ -148,7 +148,7 @@ def shard_count(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> int:
 def write(docs: DataFrame, url: str, path: str, end_id: int, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Encode and write all documents; (shard, base, n_docs, n_tokens) of each shard, in order.
 
-    One shuffle deals the texts by ranges of document id. Only the shards' counts reach the driver.
+    One shuffle deals the texts by ranges of document id. The shards' counts are stored as a table.
     """
     spark = docs.sparkSession
     dtype = width(tokenizer(path).get_vocab_size(with_added_tokens=True), end_id)
@@ -184,12 +184,26 @@ def write(docs: DataFrame, url: str, path: str, end_id: int, shard_bytes: int =
     order = ["doc_id", F.xxhash64("text"), F.monotonically_increasing_id()]
     rows = id_and_text(docs).select("*", *[c.alias(f"order{k}") for k, c in enumerate(order[1:])])
     order = ["doc_id", "order0", "order1"]
-    told = rows.repartitionByRange(shard_count(docs, shard_bytes), *order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(run, "shard int, n_docs long, n_tokens long").collect()
-    out, base = [], 0
-    for row in sorted(told):
-        out.append((row.shard, base, row.n_docs, row.n_tokens, dtype))
-        base += row.n_tokens
-    return spark.createDataFrame(out, "shard int, base long, n_docs long, n_tokens long, dtype string")
+    told = rows.repartitionByRange(shard_count(docs, shard_bytes), *order).sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(run, "shard int, n_docs long, n_tokens long")
+    return based(stored(told, "shards")).withColumn("dtype", F.lit(dtype))
+
+
+#: Shards of a run, whose tokens are added up first.
+RUN_SHARDS = 1 << 12
+
+
+def based(told: DataFrame, run_shards: int = RUN_SHARDS) -> DataFrame:
+    """(shard, base, n_docs, n_tokens): the tokens of all shards before each.
+
+    A prefix sum in two levels: over the runs of `run_shards` shards, of which there are few, and
+    over the shards within a run.
+    """
+    runs = told.withColumn("run", F.floor(F.col("shard") / run_shards))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    sums = runs.groupBy("run").agg(F.sum("n_tokens").alias("n"))
+    ahead = sums.select("run", F.coalesce(F.sum("n").over(before.orderBy("run")), F.lit(0)).alias("ahead"))
+    within = F.coalesce(F.sum("n_tokens").over(before.partitionBy("run").orderBy("shard")), F.lit(0))
+    return runs.withColumn("within", within).join(F.broadcast(ahead), "run").select("shard", (F.col("ahead") + F.col("within")).alias("base"), "n_docs", "n_tokens")
 
 
 #: Documents whose numbers are put out at once.
@@ -208,8 +222,7 @@ def read(shards: DataFrame, url: str) -> DataFrame:
                     crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
                     yield pa.record_batch([pa.array(own, pa.int64(), mask=own == NO_ID), pa.array(at[:-1] + base), pa.array(np.diff(at)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    count = max(int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")), shards.count())
-    return shards.repartition(count, "shard").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return spread(shards, "shard").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def document(url: str, shard: int, row: int, dtype: str = "<u2") -> np.ndarray:

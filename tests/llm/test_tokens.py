@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cellstrand.llm import ann, byte_bpe, chunks, queries, token_files
+from cellstrand.llm.common import spread
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 EDGES = ["", " ", "  a", "a  b", "a \n b", "don't we'll I'M", "tab\tx", " x y", "x  y", "a" * 3000, "漢字 かな", "<|endoftext|> z", "a <|endoftext|> b", "x<|endoftext|><|endoftext|>y. <|endoftext", "Слово слово, ελληνικά 𐓏𐓘 ", "\x00\x01", "é" * 200, " lead", "trail "]
@@ -97,6 +98,24 @@ def test_rows_of_one_id_are_spread_over_shards(spark, tmp_path):
     assert [r.base for r in shards] == np.r_[0, np.cumsum([r.n_tokens for r in shards])][:-1].tolist()
 
 
+def test_bases_are_sums_over_runs_and_within_them(spark):
+    told = spark.createDataFrame([(shard, 1, shard * shard) for shard in range(0, 50, 3)], "shard int, n_docs long, n_tokens long")
+    wanted, base = [], 0
+    for shard in range(0, 50, 3):
+        wanted.append((shard, base, 1, shard * shard))
+        base += shard * shard
+    for size in (1, 4, 7, 1000):
+        assert sorted(tuple(r) for r in token_files.based(told, size).collect()) == wanted
+    assert token_files.based(told.limit(0)).count() == 0
+
+
+def test_pieces_of_work_are_dealt_to_a_bounded_number_of_tasks(spark):
+    for count, most in ((3, 4), (30, 30), (900, 64)):
+        dealt = spread(spark.range(count).withColumnRenamed("id", "chunk"), "chunk")
+        assert dealt.rdd.getNumPartitions() == most
+        assert sorted(r.chunk for r in dealt.collect()) == list(range(count))
+
+
 def test_token_files_query_against_the_library(spark, sf_dir):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     got = [(r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in queries.op9_token_files(spark, sf_dir).orderBy("start").collect()]
