@@ -7,6 +7,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+
+
 def session(app: str = "cellstrand", master: str | None = None, **settings: str) -> SparkSession:
     """UTC times, adaptive execution with skew joins, and filters pushed into the Python sources."""
     builder = SparkSession.builder.appName(app)
@@ -16,13 +19,18 @@ def session(app: str = "cellstrand", master: str | None = None, **settings: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.python.filterPushdown.enabled": "true",
+        PUSHDOWN: "true",
     }
     for key, value in {**own, **settings}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def pushes(spark: SparkSession) -> str:
+    """Whether the session lets Python sources take filters over; one that does not, as is Spark's default, refuses readers that would."""
+    return spark.conf.get(PUSHDOWN, "false").lower()
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """A path with the scheme that Spark's file systems give it, so that tasks, the driver and Spark's own writers mean the same place."""
     own = spark._jvm.org.apache.hadoop.fs.Path(path)

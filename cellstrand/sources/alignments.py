@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
 from cellstrand.functions.alignment import FIRST, REVERSE, SECOND, reference_end
+from cellstrand.session import pushes
 from cellstrand.sources import bam_index
 from cellstrand.sources.files import listed, open_at, open_input
 
@@ -280,28 +281,16 @@ def bam_records(path: str, only: str | None = None, ordinal: int = 0, start: int
 
 
 class BamReader(DataSourceReader):
-    """Ranges of blocks of each file. A filter on one reference, and bounds of the position, are taken over.
+    """Ranges of blocks of each file, of all references or of one between two positions.
 
     Where an index lies beside a file, only ranges that it names for them are opened; elsewhere all blocks
     are read, and records of other references are left out. Spark applies all filters again.
     """
 
-    def __init__(self, paths: list[str], split: int = SPLIT_BYTES, reach: int | None = None):
-        self.paths, self.split = paths, split
-        self.only: str | None = None
+    def __init__(self, paths: list[str], split: int = SPLIT_BYTES, reach: int | None = None, only: str | None = None, until: int = 1 << 29):
+        self.paths, self.split, self.only = paths, split, only
         #: positions from .. to (not itself) that records begin at; `reach` instead of `low` for records that end behind it
-        self.low, self.high, self.reach = 0, 1 << 29, reach
-
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("rname",):
-                self.only = f.value
-            elif getattr(f, "attribute", None) == ("pos",):
-                if isinstance(f, (GreaterThan, GreaterThanOrEqual, EqualTo)):
-                    self.low = max(self.low, int(f.value) + isinstance(f, GreaterThan))
-                if isinstance(f, (LessThan, LessThanOrEqual, EqualTo)):
-                    self.high = min(self.high, int(f.value) + (not isinstance(f, LessThan)))
-            yield f
+        self.low, self.high, self.reach = 0, until, reach
 
     def _ranges(self, path: str) -> list[tuple[int, int]] | None:
         """Virtual offsets of what is wanted, by the file's index; None without one."""
@@ -335,8 +324,26 @@ class BamReader(DataSourceReader):
             yield from bam_records(path, self.only, ordinal, start, end, first, stop)
 
 
+class PushedBamReader(BamReader):
+    """Takes over a filter on one reference, and bounds of the position."""
+
+    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
+        for f in filters:
+            if isinstance(f, EqualTo) and f.attribute == ("rname",):
+                self.only = f.value
+            elif getattr(f, "attribute", None) == ("pos",):
+                if isinstance(f, (GreaterThan, GreaterThanOrEqual, EqualTo)):
+                    self.low = max(self.low, int(f.value) + isinstance(f, GreaterThan))
+                if isinstance(f, (LessThan, LessThanOrEqual, EqualTo)):
+                    self.high = min(self.high, int(f.value) + (not isinstance(f, LessThan)))
+            yield f
+
+
 class BamSource(DataSource):
-    """`bam`: options path, files by commas or wild cards; split, the bytes of a file that one task reads; reach, a position that records must end behind."""
+    """`bam`: options path, files by commas or wild cards; split, the bytes of a file that one task reads; push, whether filters are taken over.
+
+    Of one reference only: only, its name; reach, a position that records must end behind; until, one that they begin before.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -346,19 +353,21 @@ class BamSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> BamReader:
-        reach = self.options.get("reach")
-        return BamReader(listed(self.options["path"]), int(self.options.get("split", SPLIT_BYTES)), None if reach is None else int(reach))
+        kind = PushedBamReader if self.options.get("push") == "true" else BamReader
+        bounds = {k: int(self.options[k]) for k in ("reach", "until") if self.options.get(k) is not None}
+        return kind(listed(self.options["path"]), int(self.options.get("split", SPLIT_BYTES)), only=self.options.get("only"), **bounds)
 
 
 def bam(spark: SparkSession, path: str, split: int = SPLIT_BYTES) -> DataFrame:
     spark.dataSource.register(BamSource)
-    return spark.read.format("bam").option("path", path).option("split", split).load()
+    return spark.read.format("bam").option("path", path).option("split", split).option("push", pushes(spark)).load()
 
 
 def fetched(spark: SparkSession, path: str, rname: str, start: int = 0, end: int | None = None, split: int = SPLIT_BYTES) -> DataFrame:
     """Records that overlap [start, end) of a reference; where an index lies beside the file, only blocks that can hold them are read."""
     spark.dataSource.register(BamSource)
-    rows = spark.read.format("bam").option("path", path).option("split", split).option("reach", start).load()
+    bounds = {"reach": start} | ({} if end is None else {"until": end})
+    rows = spark.read.format("bam").options(path=path, split=split, push=pushes(spark), only=rname, **bounds).load()
     rows = rows.where((F.col("rname") == rname) & (F.greatest(reference_end(F.col("pos"), F.col("cigar")), F.col("pos") + 1) > start))
     return rows if end is None else rows.where(F.col("pos") < end)
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition, LessThan, LessThanOrEqual
 
-from cellstrand.session import shared_dir
+from cellstrand.session import pushes, shared_dir
 from cellstrand.sources.alignments import Blocks, _block_size
 from cellstrand.sources.files import file_system, listed, open_at, open_input, open_text
 
@@ -194,10 +194,8 @@ def planned(spark: SparkSession, sets: list[tuple[str, ...]], split: int = SPLIT
     return out
 
 
-class _Limited(DataSourceReader):
-    """A limit on idx is taken over, so that reading stops there; Spark still applies it."""
-
-    most: int | None = None
+class Limited(DataSourceReader):
+    """Takes a limit on idx over, so that reading stops there; Spark still applies it."""
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
@@ -207,9 +205,11 @@ class _Limited(DataSourceReader):
             yield f
 
 
-class StepReader(_Limited):
+class StepReader(DataSourceReader):
     """Tasks of a plan, each of which reads the files of a set in step; idx goes on from 1 in each set, with the set's number in its high bits."""
 
+    most: int | None = None
+
     def __init__(self, plan: str, check_ids: bool = False):
         with open_input(plan) as data:
             self.tasks: list[Task] = json.load(data)
@@ -245,8 +245,16 @@ class TripletReader(StepReader):
             yield (idx, *three)
 
 
+class LimitedFastqReader(Limited, FastqReader):
+    pass
+
+
+class LimitedTripletReader(Limited, TripletReader):
+    pass
+
+
 class FastqSource(DataSource):
-    """`fastq`: option plan, where the tasks are written (see `fastq`)."""
+    """`fastq`: options plan, where the tasks are written (see `fastq`), and push, whether a limit is taken over."""
 
     @classmethod
     def name(cls) -> str:
@@ -256,11 +264,12 @@ class FastqSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> FastqReader:
-        return FastqReader(self.options["plan"])
+        kind = LimitedFastqReader if self.options.get("push") == "true" else FastqReader
+        return kind(self.options["plan"])
 
 
 class TripletSource(DataSource):
-    """`fastq_triplet`: options plan and check_ids; idx orders the records, from 1."""
+    """`fastq_triplet`: options plan, push and check_ids; idx orders the records, from 1."""
 
     @classmethod
     def name(cls) -> str:
@@ -270,7 +279,8 @@ class TripletSource(DataSource):
         return TRIPLET_SCHEMA
 
     def reader(self, schema) -> TripletReader:
-        return TripletReader(self.options["plan"], self.options.get("check_ids") == "true")
+        kind = LimitedTripletReader if self.options.get("push") == "true" else TripletReader
+        return kind(self.options["plan"], self.options.get("check_ids") == "true")
 
 
 class PairSource(TripletSource):
@@ -298,7 +308,7 @@ def fastq(spark: SparkSession, path: str, split: int = SPLIT_BYTES) -> DataFrame
     """Records of files (by commas or wild cards), numbered from 1 in each file."""
     spark.dataSource.register(FastqSource)
     tasks = [(0, *rest) for _, *rest in planned(spark, [(p,) for p in listed(path)], split)]
-    return spark.read.format("fastq").option("plan", _plan(spark, tasks)).load()
+    return spark.read.format("fastq").option("plan", _plan(spark, tasks)).option("push", pushes(spark)).load()
 
 
 def _in_step(spark: SparkSession, source: type[TripletSource], files: list[str], partitions: int | None, check_ids: bool, split: int) -> DataFrame:
@@ -307,7 +317,7 @@ def _in_step(spark: SparkSession, source: type[TripletSource], files: list[str],
         raise ValueError(f"as many files of each kind are needed: {paths}")
     spark.dataSource.register(source)
     tasks = planned(spark, list(zip(*paths, strict=True)), split)
-    rows = spark.read.format(source.name()).option("plan", _plan(spark, tasks)).option("check_ids", str(check_ids).lower()).load()
+    rows = spark.read.format(source.name()).option("plan", _plan(spark, tasks)).option("push", pushes(spark)).option("check_ids", str(check_ids).lower()).load()
     return rows.repartition(partitions) if partitions and len(tasks) < partitions else rows
 
 
