@@ -1,7 +1,11 @@
-"""Column expressions on read sequences; all stay inside code generation."""
+"""Column expressions on read sequences; all but the search with mismatches stay inside code generation."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,53 +42,36 @@ def before(sequence: Column, other: Column) -> Column:
     return F.when(at > 0, at - 1).otherwise(F.length(sequence))
 
 
-#: Bits of a mask, so that a mask is a positive long.
-MASK_BITS = 63
-
-
 def before_within(sequence: Column, pattern: str, mismatches: int) -> Column:
     """Number of bases before the first occurrence of `pattern` with at most `mismatches` other bases; all of them if there is none.
 
-    A window of 63 bases is one mask for each base of the pattern: bit 62 is the window's first place.
-    Shifted by the place in the pattern, masks say for all starts at once where a base differs; planes
-    of bits count up to `mismatches` + 1 of them. Occurrences are whole: none goes beyond the read's end.
+    The reads of a batch are one row of letters, which is compared with the pattern base by base for all starts
+    at once. Occurrences are whole: none goes beyond the read's end.
     """
     size = len(pattern)
     if mismatches <= 0 or not size:
         return before(sequence, F.lit(pattern))
-    if size > MASK_BITS or set(pattern) - set("ACGTN"):
-        raise ValueError(f"a pattern of at most {MASK_BITS} bases is needed: {pattern!r}")
-    stride = MASK_BITS - size + 1
-    every = (1 << MASK_BITS) - 1
-    starts = every - ((1 << (MASK_BITS - stride)) - 1)
-    length = F.length(sequence)
-
-    def mask(window: Column, base: str) -> Column:
-        """Where the base stands in a window, places behind the read's end being none."""
-        marks = F.translate(F.regexp_replace(window, f"[^{base}]", "0"), base, "1")
-        return F.conv(F.rpad(marks, MASK_BITS, "0"), 2, 10).cast("long")
-
-    def occurrences(window: Column) -> Column:
-        """The starts of a window that have few enough mismatches, as bits."""
-        known = {base: mask(window, base) for base in sorted(set(pattern))}
-        differs = F.array(*[F.bitwise_not(F.shiftleft(known[base], k)).bitwiseAND(F.lit(every)) for k, base in enumerate(pattern)])
-        planes = [f"at_least_{k}" for k in range(1, mismatches + 2)]
-
-        def count(seen: Column, other: Column) -> Column:
-            # a start has k mismatches if it had them before, or had one less and differs here
-            lower = [F.lit(every), *[seen[p] for p in planes[:-1]]]
-            return F.struct(*[seen[p].bitwiseOR(less.bitwiseAND(other)).alias(p) for p, less in zip(planes, lower, strict=True)])
-
-        none = F.struct(*[F.lit(0).cast("long").alias(p) for p in planes])
-        return F.aggregate(differs, none, count, lambda seen: F.bitwise_not(seen[planes[-1]]).bitwiseAND(F.lit(starts)))
-
-    def first(offset: Column) -> Column:
-        found = occurrences(F.substr(sequence, offset + 1, F.lit(MASK_BITS)))
-        return F.when(found != 0, offset + MASK_BITS - F.length(F.bin(found)))
-
-    offsets = F.sequence(F.lit(0), F.greatest(length - size, F.lit(0)), F.lit(stride))
-    at = F.array_min(F.transform(offsets, first))
-    return F.when(at <= length - size, at).otherwise(length)
+    if set(pattern) - set("ACGTN"):
+        raise ValueError(f"a pattern of the bases ACGTN is needed: {pattern!r}")
+
+    @F.pandas_udf("int")
+    def first(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            known = part.notna().to_numpy()
+            reads = part[known].tolist()
+            letters = np.frombuffer("".join(reads).encode("utf-32-le"), dtype=np.uint32)
+            lengths = np.fromiter(map(len, reads), dtype=np.int64, count=len(reads))
+            starts = np.cumsum(lengths) - lengths
+            other = np.zeros(max(len(letters) - size + 1, 0), dtype=np.int32)
+            for k, base in enumerate(pattern):
+                other += letters[k : k + len(other)] != ord(base)
+            places = np.append(np.flatnonzero(other <= mismatches), len(letters))
+            at = places[np.searchsorted(places, starts)] - starts
+            found = pd.array([None] * len(part), dtype="Int32")
+            found[known] = np.where(at <= lengths - size, at, lengths).astype(np.int32)
+            yield pd.Series(found)
+
+    return first(sequence)
 
 
 def variants(sequence: str) -> list[str]:

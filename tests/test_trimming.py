@@ -106,3 +106,12 @@ def test_first_place_with_mismatches(spark, pattern, mismatches):
 def test_patterns_that_have_no_mask():
     with pytest.raises(ValueError):
         seq.before_within(None, "XYZ", 1)
+
+
+def test_a_pattern_longer_than_a_word_of_bits_and_rows_of_all_kinds(spark):
+    pattern = "ACGT" * 20
+    near = "N" + pattern[1:40] + "N" + pattern[41:]
+    reads = [None, "", "A", pattern, "GG" + near + "T", "GG" + near[:-1], "é" + near, near.lower(), pattern[:-1], None]
+    rows = spark.createDataFrame(list(enumerate(reads)), "k int, s string").coalesce(1)
+    got = {r.k: r.n for r in rows.select("k", seq.before_within(F.col("s"), pattern, 2).alias("n")).collect()}
+    assert [got[k] for k in range(len(reads))] == [None, 0, 1, 0, 2, 81, 1, 80, 79, None]
