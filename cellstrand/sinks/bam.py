@@ -6,7 +6,9 @@ import io
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,7 @@ from cellstrand.sources.files import file_system, make_folder
 COLUMNS = ["qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext", "tlen", "seq", "qual", "tags", "tag_types"]
 
 
+@lru_cache(1 << 14)
 def tag_bytes(tag: str, value: str, kind: str | None) -> bytes:
     """A tag as the format stores it: A, f, Z, H, B and the integers c C s S i I by their type; without a type, numbers are integers and all else is text."""
     if kind is None:
@@ -45,13 +48,19 @@ def tag_bytes(tag: str, value: str, kind: str | None) -> bytes:
     return head + struct.pack(f"<{TAG_NUMBERS[kind]}", number)
 
 
-def _ops(cigar: str) -> list[int]:
-    return [(int(n) << 4) | CIGAR_LETTERS.index(op) for n, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar)]
+@lru_cache(1 << 14)
+def _ops(cigar: str) -> tuple[int, ...]:
+    return tuple((int(n) << 4) | CIGAR_LETTERS.index(op) for n, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar))
 
 
-def reference_end(pos: int, ops: list[int]) -> int:
+@lru_cache(1 << 14)
+def _span(ops: tuple[int, ...]) -> int:
+    return sum(n >> 4 for n in ops if CIGAR_LETTERS[n & 15] in "MDN=X")
+
+
+def reference_end(pos: int, ops: Sequence[int]) -> int:
     """Where a record ends on its reference; it has one base at least."""
-    return max(pos + 1, pos + sum(n >> 4 for n in ops if CIGAR_LETTERS[n & 15] in "MDN=X"))
+    return max(pos + 1, pos + _span(tuple(ops)))
 
 
 def bam_record(references: dict[str, int], qname: str, flag: int, rname: str | None, pos: int, mapq: int, cigar: str, rnext: str, pnext: int, tlen: int, seq: str, qual: str, tags: dict[str, str], tag_types: dict[str, str] | None = None) -> bytes:
@@ -72,7 +81,11 @@ def bam_record(references: dict[str, int], qname: str, flag: int, rname: str | N
 
 def index_bin(start: int, end: int) -> int:
     """Smallest bin of the format's five-level scheme that holds [start, end)."""
-    return int(bam_index.bins_of_records(np.array([start]), np.array([end]))[0]) & 0xFFFF
+    last = end - 1
+    for shift, first in ((14, 4681), (17, 585), (20, 73), (23, 9), (26, 1)):
+        if start >> shift == last >> shift:
+            return (first + (start >> shift)) & 0xFFFF
+    return 0
 
 
 def packed_block(data: bytes) -> bytes:
@@ -101,13 +114,15 @@ class Part:
         self.out, self.held, self.done = out, io.BytesIO(), 0
         #: where each block begins in the file, `begin` being the first
         self.blocks = [begin]
-        #: (reference, start, end, place in the unpacked part) of each record
-        self.records: list[tuple[int, int, int, int]] = []
+        #: reference, start, end, place in the unpacked part of each record, one after the other
+        self.records = array("q")
+        self.n = self.unplaced = 0
 
     def add(self, record: bytes) -> None:
         ref, pos, name_size, _, _, ops = struct.unpack_from("<iiBBHH", record, 4)
         at = 36 + name_size
-        self.records.append((ref, pos, reference_end(pos, list(struct.unpack_from(f"<{ops}I", record, at))), self.done + self.held.tell()))
+        self.records.extend((ref, pos, reference_end(pos, struct.unpack_from(f"<{ops}I", record, at)), self.done + self.held.tell()))
+        self.n, self.unplaced = self.n + 1, self.unplaced + (ref < 0)
         self.held.write(record)
         if self.held.tell() >= BLOCK:
             data = self.held.getvalue()
@@ -162,9 +177,8 @@ def _written(alignments: DataFrame, references: Sequence[tuple[str, int]], folde
             out.write(begin)
             part = Part(out, len(begin))
             for batch in batches:
-                for row in batch.to_pylist():
-                    row["tags"], row["tag_types"] = dict(row["tags"] or ()), dict(row["tag_types"] or ())
-                    part.add(bam_record(number, **row))
+                for *fields, tags, types in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    part.add(bam_record(number, *fields, dict(tags or ()), dict(types or ())))
             part.close()
             out.write(tail)
         fs.move(hidden, f"{inner}/{name}")
@@ -172,10 +186,10 @@ def _written(alignments: DataFrame, references: Sequence[tuple[str, int]], folde
         if indexed and whole is not None:
             own = bam_index.Index(len(number))
             own.add(tuple(r.values()) for r in pieces)
-            own.unplaced = sum(r[0] < 0 for r in part.records)
+            own.unplaced = part.unplaced
             bam_index.save(own, f"{folder}/{name}")
         kind = pa.struct([("ref", pa.int32()), ("bin", pa.int32()), ("window", pa.int32()), ("low", pa.int64()), ("high", pa.int64())])
-        told = {"part": [name], "size": [part.blocks[-1] + len(tail)], "n": [len(part.records)], "unplaced": [sum(r[0] < 0 for r in part.records)]}
+        told = {"part": [name], "size": [part.blocks[-1] + len(tail)], "n": [part.n], "unplaced": [part.unplaced]}
         yield pa.record_batch([pa.array(told["part"]), *(pa.array(told[c], pa.int64()) for c in ("size", "n", "unplaced")), pa.array([pieces if whole is None else []], pa.list_(kind))], names=[*told, "piece"])
 
     remove(folder)

@@ -3,6 +3,7 @@
 import random
 import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,3 +196,15 @@ def test_bins():
     ends = np.array([1, 16_385, 16_385, 1 << 29, (1 << 17) + 20_000, (1 << 26) + 1])
     assert bam_index.bins_of_records(starts, ends).tolist() == [4681, 585, 4682, 0, 586, 0]
     assert 4681 in set(bam_index.bins_over(0, 1)) and len(set(bam_index.bins_over(0, 1))) == 6
+
+
+def test_a_record_is_made_without_an_array_of_its_own(monkeypatch):
+    starts = [-1, 0, 5, 16_383, 16_384, (1 << 26) - 1, (1 << 29) - 2]
+    wanted = [[int(bam_index.bins_of_records(np.array([s]), np.array([s + n]))[0]) & 0xFFFF for n in (1, 60, 1 << 15, 1 << 24)] for s in starts]
+
+    def refused(*_):
+        raise AssertionError("arrays for a single record")
+
+    monkeypatch.setattr(bam_index, "bins_of_records", refused)
+    assert [[sink.index_bin(s, s + n) for n in (1, 60, 1 << 15, 1 << 24)] for s in starts] == wanted
+    assert sink.bam_record({"a": 0}, "q", 99, "a", 5, 60, "4M", "=", 9, 4, "ACGT", "IIII", {"NM": "0"})
