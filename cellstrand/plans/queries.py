@@ -470,7 +470,10 @@ MATES = f"WITH {fx.PAIRS}, mates AS (SELECT chrom, s1 AS pos FROM all_pairs UNIO
 @query(f"""{MATES} SELECT row_number() OVER (ORDER BY CASE chrom WHEN 'chr2' THEN 1 WHEN 'chr3' THEN 2 ELSE 3 END, pos)::bigint AS nth, chrom AS rname, pos FROM mates""")
 def coordinate_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """References and positions of a sorted file's records, in its order."""
-    rows = alignments.bam(spark, sorted_file(spark, sf_dir)).select("idx", "rname", "pos")
+    # the file is read once; numbering goes over its rows several times
+    folder = shared_dir(spark, "places")
+    alignments.bam(spark, sorted_file(spark, sf_dir)).select("idx", "rname", "pos").write.parquet(folder)
+    rows = spark.read.parquet(folder)
     return matrix.numbered(rows, [F.col("idx")], "nth").select("nth", "rname", "pos")
 
 

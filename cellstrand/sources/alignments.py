@@ -8,9 +8,12 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 from typing import BinaryIO
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
@@ -22,6 +25,11 @@ from cellstrand.sources.files import listed, open_at, open_input
 
 SCHEMA = "idx bigint, qname string, flag int, rname string, pos int, mapq int, cigar string, rnext string, pnext int, tlen int, seq string, qual string, tags map<string,string>, tag_types map<string,string>"
 
+_KINDS = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "map<string,string>": pa.map_(pa.string(), pa.string())}
+ARROW = pa.schema([(name, _KINDS[kind]) for name, kind in (c.split(" ") for c in SCHEMA.split(", "))])
+#: Records that leave a reader at once.
+BATCH = 4096
+
 # Fixed values of the file format.
 CIGAR_LETTERS = "MIDNSHP=X"
 BASE_LETTERS = "=ACMGRSVTWYHKDBN"
@@ -252,6 +260,11 @@ def places(path: str, start: int, end: int) -> Iterator[tuple[int, int, int, int
             before = ref, pos, pos + max(1, sum(c >> 4 for c in sizes if CIGAR_LETTERS[c & 15] in "MDN=X")), offset
 
 
+@lru_cache(1 << 14)
+def _cigar(ops: bytes) -> str:
+    return "".join(f"{c >> 4}{CIGAR_LETTERS[c & 15]}" for (c,) in struct.iter_unpack("<I", ops)) or "*"
+
+
 def bam_records(path: str, only: str | None = None, ordinal: int = 0, start: int = 0, end: int | None = None, first: int | None = None, stop: int | None = None) -> Iterator[tuple]:
     """Records of a BAM file that begin in its blocks from start to end, in file order, of one reference if wanted.
 
@@ -268,7 +281,7 @@ def bam_records(path: str, only: str | None = None, ordinal: int = 0, start: int
             continue
         at = 32 + name_size
         qname = body[32 : at - 1].decode()
-        cigar = "".join(f"{c >> 4}{CIGAR_LETTERS[c & 15]}" for c in struct.unpack_from(f"<{ops}I", body, at)) or "*"
+        cigar = _cigar(body[at : at + 4 * ops])
         at += 4 * ops
         half = body[at : at + (bases + 1) // 2]
         seq = "".join(BASE_LETTERS[b >> 4] + BASE_LETTERS[b & 15] for b in half)[:bases] or "*"
@@ -339,6 +352,25 @@ class PushedBamReader(BamReader):
             yield f
 
 
+class InBatches:
+    """A reader's records as record batches, which Spark takes over without looking at each."""
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        rows = super().read(partition)
+        while part := list(islice(rows, BATCH)):
+            *plain, tags, types = zip(*part, strict=True)
+            maps = [[None if m is None else list(m.items()) for m in c] for c in (tags, types)]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip([*plain, *maps], ARROW.types, strict=True)], schema=ARROW)
+
+
+class BatchReader(InBatches, BamReader):
+    pass
+
+
+class PushedBatchReader(InBatches, PushedBamReader):
+    pass
+
+
 class BamSource(DataSource):
     """`bam`: options path, files by commas or wild cards; split, the bytes of a file that one task reads; push, whether filters are taken over.
 
@@ -353,7 +385,7 @@ class BamSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> BamReader:
-        kind = PushedBamReader if self.options.get("push") == "true" else BamReader
+        kind = PushedBatchReader if self.options.get("push") == "true" else BatchReader
         bounds = {k: int(self.options[k]) for k in ("reach", "until") if self.options.get(k) is not None}
         return kind(listed(self.options["path"]), int(self.options.get("split", SPLIT_BYTES)), only=self.options.get("only"), **bounds)
 

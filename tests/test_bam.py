@@ -208,3 +208,15 @@ def test_a_record_is_made_without_an_array_of_its_own(monkeypatch):
     monkeypatch.setattr(bam_index, "bins_of_records", refused)
     assert [[sink.index_bin(s, s + n) for n in (1, 60, 1 << 15, 1 << 24)] for s in starts] == wanted
     assert sink.bam_record({"a": 0}, "q", 99, "a", 5, 60, "4M", "=", 9, 4, "ACGT", "IIII", {"NM": "0"})
+
+
+def test_records_leave_a_reader_in_batches(spark, tmp_path):
+    rows = spark.range(9_000).selectExpr("id AS idx", "concat('q', id) AS qname", "99 AS flag", "'a' AS rname", "cast(id AS int) AS pos", "60 AS mapq", "if(id % 2 = 0, '4M', '*') AS cigar", "'*' AS rnext", "-1 AS pnext", "0 AS tlen", "'ACGT' AS seq", "'IIII' AS qual", "if(id % 3 = 0, map('NM', '7'), map()) AS tags")
+    path = str(tmp_path / "x.bam")
+    sink.bam(rows.coalesce(1), "@HD\tVN:1.6\n", [("a", 100_000)], path)
+    reader = alignments.BatchReader([path])
+    parts = [b for p in reader.partitions() for b in reader.read(p)]
+    assert sum(b.num_rows for b in parts) == 9_000 and len(parts) < 9
+    found = alignments.bam(spark, path)
+    assert found.count() == 9_000
+    assert found.where("cigar = '4M' and tags['NM'] = '7' and pos % 6 = 0 and qname = concat('q', pos)").count() == 1_500
