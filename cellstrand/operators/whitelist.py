@@ -11,16 +11,16 @@ from cellstrand.functions.sequence import BASES
 BROADCAST_BYTES = 64 << 20
 
 
-def variants(whitelist: DataFrame, sequence: str) -> DataFrame:
-    """(variant, original): every entry with any one base replaced, each variant of an entry once."""
-    entries = whitelist.where(F.col(sequence).isNotNull()).select(F.col(sequence).alias("original"))
+def variants(whitelist: DataFrame, sequence: str, *carried: str) -> DataFrame:
+    """(variant, original) and carried columns: every entry with any one base replaced, each variant of an entry once."""
+    entries = whitelist.where(F.col(sequence).isNotNull()).select(F.col(sequence).alias("original"), *carried)
     place = F.explode(F.sequence(F.lit(1), F.length("original")))
-    at = entries.where(F.length("original") > 0).select("original", place.alias("k"))
-    spread = at.select("original", "k", F.explode(F.array(*map(F.lit, BASES))).alias("base"))
+    at = entries.where(F.length("original") > 0).select("original", *carried, place.alias("k"))
+    spread = at.select("original", *carried, "k", F.explode(F.array(*map(F.lit, BASES))).alias("base"))
     # the entry itself arises at each position; it is kept for the first only, so no distinct is needed
     kept = spread.where((F.col("base") != F.substr("original", F.col("k"), F.lit(1))) | (F.col("k") == 1))
     changed = F.concat(F.substr("original", F.lit(1), F.col("k") - 1), F.col("base"), F.substr("original", F.col("k") + 1, F.length("original")))
-    return kept.select(changed.alias("variant"), "original")
+    return kept.select(changed.alias("variant"), "original", *carried)
 
 
 def correction_dictionary(whitelist: DataFrame, sequence: str, dedup: bool = False) -> DataFrame:
@@ -28,8 +28,10 @@ def correction_dictionary(whitelist: DataFrame, sequence: str, dedup: bool = Fal
 
     Entries are counted, not distinct sequences: unless `dedup`, a repeated entry loses all of its variants.
     """
-    entries = whitelist.select(sequence).dropDuplicates() if dedup else whitelist.select(sequence)
-    return variants(entries, sequence).groupBy("variant").agg(F.count(F.lit(1)).alias("n"), F.min("original").alias("original")).where("n = 1").select("variant", "original")
+    # repeats are counted before they are spread, so that their variants are made once
+    times = F.lit(1) if dedup else F.col("times")
+    entries = whitelist.groupBy(sequence).agg(F.count(F.lit(1)).alias("times")).withColumn("times", times)
+    return variants(entries, sequence, "times").groupBy("variant").agg(F.sum("times").alias("n"), F.min("original").alias("original")).where("n = 1").select("variant", "original")
 
 
 def correction_file(whitelist: DataFrame, sequence: str) -> DataFrame:
