@@ -422,21 +422,9 @@ def md_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.monotonically_increasing_id().alias("idx"), fx.key().alias("qname"), F.concat(F.lit("chr"), (F.col("l_suppkey") % 3 + 1).cast("string")).alias("rname"),
         ((F.col("l_partkey") * 37) % 400000).cast("int").alias("pos"), F.coalesce(F.get(F.array(*map(F.lit, MD_CIGARS)), F.col("l_linenumber") - 1), F.lit("32M")).alias("cigar"), (F.col("l_orderkey") % 7).cast("int").alias("m"),
     )
-    starts = F.sequence(F.lit(0), F.lit(4))
-
-    def aligned(start: int, end: int) -> Column:
-        """Bases of the reference from start to end behind pos, every seventh place N."""
-        first = F.floor((F.col("pos") + start) / 32)
-        text = F.array_join(F.transform(starts, lambda j: fx.dna(F.concat("rname", F.lit("-"), (first + j).cast("string")))), "")
-        own = F.substr(text, (F.col("pos") + start - first * 32 + 1).cast("int"), F.lit(end - start))
-        places = F.sequence(F.lit(start), F.lit(end - 1))
-        return F.array_join(F.transform(places, lambda x: F.when((x + F.col("m")) % 7 == 0, "N").otherwise(F.substr(own, x - start + 1, F.lit(1)))), "")
-
-    shapes = {2: [(0, 10), (15, 37)], 3: ["GGGGG", (0, 10), (110, 127)], 4: [(0, 8), "TT", (8, 30)], 6: [(0, 3), (4, 8), (10, 30)]}
-    k = F.regexp_count("cigar", F.lit("D"))
-    parts = {n: F.concat(*[F.lit(p) if isinstance(p, str) else aligned(*p) for p in shape]) for n, shape in shapes.items()}
-    seq_ = F.when(k == 1, parts[2]).when(F.contains("cigar", F.lit("N")), parts[3]).when(F.contains("cigar", F.lit("I")), parts[4]).when(k == 2, parts[6]).otherwise(aligned(0, 32))
-    records = rows.withColumn("seq", seq_).drop("m")
+    first = F.floor(F.col("pos") / 32)
+    text = F.concat(*[fx.dna(F.concat("rname", F.lit("-"), (first + j).cast("string"))) for j in range(5)])
+    records = rows.withColumn("seq", fx.reads_of(F.substr(text, (F.col("pos") % 32 + 1), F.lit(128)), F.col("cigar"), F.col("m"))).drop("m")
     return mismatches.with_md(records, fasta.windows(spark, reference(spark, sf_dir))).select("qname", F.col("tags")["MD"].alias("md"), F.col("tags")["NM"].cast("int").alias("nm"))
 
 

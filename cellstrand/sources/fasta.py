@@ -19,6 +19,8 @@ from cellstrand.sources.files import listed, open_at
 #: Bases of a window, and windows that a task reads at once.
 WINDOW, RUN = 1 << 14, 64
 SPLIT_BYTES = 64 << 20
+#: A longer reference is not broadcast.
+BROADCAST_BYTES = 64 << 20
 #: Longest title line.
 TITLE_BYTES = 1 << 16
 
@@ -126,4 +128,6 @@ def windows(spark: SparkSession, path: str, window: int = WINDOW, split: int = S
                 cut = [bases[p : p + window] for p in range(0, len(bases), window)]
                 yield pa.record_batch([pa.array([own.name] * len(cut), pa.string()), pa.array(range(first, first + len(cut)), pa.int64()), pa.array(cut, pa.string())], names=["rname", "window", "bases"])
 
-    return spark.range(0, len(runs), 1, max(1, len(runs))).mapInArrow(run, "rname string, window long, bases string")
+    found = spark.range(0, len(runs), 1, max(1, len(runs))).mapInArrow(run, "rname string, window long, bases string")
+    # the optimizer knows the number of runs and not their bases
+    return found if sum(c.size for c in known) <= BROADCAST_BYTES else found.hint("merge")
