@@ -189,6 +189,11 @@ def check_policy(policy: str) -> None:
         raise ValueError(f"unknown multi-gene policy {policy!r}; use one of {POLICIES}")
 
 
+def mapping() -> Column:
+    """Where the mates of a pair (qname, m1, m2) lie; no gene is needed for it."""
+    return aln.mapping_text(F.col("qname"), F.col("m1.rname"), F.col("m1.pos"), F.col("m1.aend"), F.col("m2.rname"), F.col("m2.pos"), F.col("m2.aend"))
+
+
 def assigned(alignments: DataFrame, features: DataFrame, tes: DataFrame, library: str = "reverse", policy: str = "discard", introns: bool = False, paired: bool = False) -> DataFrame:
     """qname, gene_id, mapped_feature and mapping of every complete pair of alignments, which are pairs (qname, m1, m2) already if `paired`.
 
@@ -214,5 +219,4 @@ def assigned(alignments: DataFrame, features: DataFrame, tes: DataFrame, library
     else:
         out = out.withColumn("gene_id", F.coalesce("call", F.lit(MULTIPLE)))
     feature = F.when(F.col("gene_id") == NO_OVERLAP, "none").otherwise(F.col("mapped_feature"))
-    mapping = aln.mapping_text(F.col("qname"), F.col("m1.rname"), F.col("m1.pos"), F.col("m1.aend"), F.col("m2.rname"), F.col("m2.pos"), F.col("m2.aend"))
-    return out.select("qname", "gene_id", feature.alias("mapped_feature"), mapping.alias("mapping"), *["genes"] * (policy in LISTED))
+    return out.select("qname", "gene_id", feature.alias("mapped_feature"), mapping().alias("mapping"), *["genes"] * (policy in LISTED))

@@ -344,7 +344,7 @@ def multigene_discard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {fx.PAIRS}, {fx.GENES} SELECT x.qname, {MAPPING} AS mapping FROM pairs x")
 def mapping_string(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assigned(spark, sf_dir).select("qname", "mapping")
+    return genomics.read_pairs(fx.alignments(spark, sf_dir)).select("qname", genomics.mapping().alias("mapping"))
 
 
 @query(f"""WITH {fx.PAIRS}, {fx.GENES}, {fx.HITS.replace("f.strand = p.strand AND ", "")} SELECT p.qname, coalesce({fx.CALL}, '_multiple') AS gene_id FROM pairs p LEFT JOIN sets ON sets.qname = p.qname AND sets.space = 'exon'""")

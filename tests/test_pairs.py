@@ -69,3 +69,9 @@ def test_count_of_a_grouped_file(spark, tmp_path, annotated):  # noqa: F811
         found, counts = commands.count(spark, str(tmp_path / "x.bam"), annotated, str(tmp_path / "c"), "S")
         told.append((sorted(map(str, found.collect())), sorted(map(str, counts.collect()))))
     assert told[0] == told[1] and len(told[0][0]) == 4
+
+
+def test_mappings_are_made_without_genes(spark, sf_dir):
+    from cellstrand.plans.queries import queries
+
+    assert "part.parquet" not in queries()["mapping_string"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
