@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellstrand.functions import alignment as aln
+from cellstrand.functions import batches
 
 CLASSES = ("skipped_wrong_flag", "skipped_no_md_tag", "skipped_no_qualities", "no_mismatches", "tc_ratio_below_threshold", "nascent_reads_classified")
 PAIRS = "array<struct<query_pos:int,ref_pos:int,ref_base:string>>"
@@ -45,13 +46,47 @@ def aligned(pos: int, cigar: str, md: str, sequence: str) -> list[tuple[int, int
     return [(q, r, b.upper()) for (q, r), b in zip(columns, base, strict=True)]
 
 
+def letters(columns: batches.Columns, rows: np.ndarray, own: batches.Texts, md: batches.Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """Of all aligned columns of some records: the record's number in rows, the index in columns, and the reference base (0 if the read has none). None if MD has a number that no read is as long as."""
+    owner, _, at = columns.of(rows)
+    query = columns.query[at]
+    base = batches.UPPER[own.data[np.where(query < own.sizes[rows][owner], own.starts[rows][owner] + query, -1)]]
+    replaced = batches.md_letters(md, rows)
+    if replaced is None:
+        return None
+    of, place, letter = replaced
+    size = columns.sizes[rows]
+    inside = place < size[of]
+    base[((np.cumsum(size) - size)[of] + place)[inside]] = batches.UPPER[letter[inside]]
+    return owner, at, base
+
+
+def pairs_of(pos: pa.Array, cigars: pa.Array, mds: pa.Array, sequences: pa.Array) -> pa.Array:
+    """aligned of a batch."""
+    kind = pa.list_(pa.struct([("query_pos", pa.int32()), ("ref_pos", pa.int32()), ("ref_base", pa.string())]))
+    own, md = batches.Texts(sequences), batches.Texts(mds)
+    columns = batches.Columns(cigars, deletions=False)
+    known = own.known & md.known & ~np.asarray(cigars.is_null()) & ~np.asarray(pos.is_null())
+    starts = pos.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    out = []
+    for rows in batches.parts(np.flatnonzero(known), columns.sizes) if own.ascii and md.ascii else [None]:
+        found = None if rows is None else letters(columns, rows, own, md)
+        if found is None:
+            texts = zip(*[x.to_pylist() for x in (pos, cigars, mds, sequences)], strict=True)
+            return pa.array([None if None in row else [{"query_pos": q, "ref_pos": r, "ref_base": b} for q, r, b in aligned(*row)] for row in texts], kind)
+        owner, at, base = found
+        some = base > 0
+        fields = [pa.array(columns.query[at], pa.int32()), pa.array(starts[rows][owner] + columns.place[at], pa.int32()), batches.strings(base[some], some.astype(np.int64))]
+        out.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(columns.sizes[rows])], pa.int32()), pa.StructArray.from_arrays(fields, ["query_pos", "ref_pos", "ref_base"])))
+    return batches.put_back(pa.concat_arrays(out), known)
+
+
 def aligned_pairs(pos: Column, cigar: Column, md: Column, sequence: Column) -> Column:
     """array<struct<query_pos, ref_pos, ref_base>>; null where an input is null."""
 
-    @F.pandas_udf(PAIRS)
-    def pairs(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for p, c, m, s in parts:
-            yield pd.Series([None if None in row or row[0] != row[0] else [{"query_pos": q, "ref_pos": r, "ref_base": b} for q, r, b in aligned(int(row[0]), *row[1:])] for row in zip(p, c, m, s, strict=True)])
+    @F.arrow_udf(PAIRS)
+    def pairs(p: pa.Array, c: pa.Array, m: pa.Array, s: pa.Array) -> pa.Array:
+        return pairs_of(p, c, m, s)
 
     return pairs(pos, cigar, md, sequence)
 
@@ -66,14 +101,39 @@ def conversions(flag: int, pos: int, cigar: str, md: str, sequence: str, qual: s
     return len(targets), [r for q, r in targets if sequence[q].upper() == changed]
 
 
+def conversions_of(flags: pa.Array, pos: pa.Array, cigars: pa.Array, mds: pa.Array, sequences: pa.Array, quals: pa.Array, quality_above: int) -> list[pa.Array]:
+    """conversions of a batch: targets and hits; none where the flag is null."""
+    own, md, qual = batches.Texts(sequences), batches.Texts(mds), batches.Texts(quals)
+    columns = batches.Columns(cigars, deletions=False)
+    known = ~np.asarray(flags.is_null())
+    flag, starts = (x.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) for x in (flags, pos))
+    plus = np.isin(flag, aln.FLAGS_PLUS)
+    targets, hits = np.zeros(len(known), dtype=np.int64), []
+    converted = np.zeros(len(known), dtype=np.int64)
+    whole = known & own.known & md.known & qual.known & (columns.needed <= own.sizes) & (columns.needed <= qual.sizes)
+    # what is not whole is left to the plain function, which tells what is wrong with it
+    for rows in batches.parts(np.flatnonzero(known), columns.sizes) if own.ascii and md.ascii and qual.ascii and (whole == known).all() else [None]:
+        found = None if rows is None else letters(columns, rows, own, md)
+        if found is None:
+            texts = zip(*[x.to_pylist() for x in (flags, pos, cigars, mds, sequences, quals)], strict=True)
+            plain = [(0, []) if row[0] is None else conversions(*row, quality_above) for row in texts]
+            return [pa.array([n for n, _ in plain], pa.int32()), pa.array([h for _, h in plain], pa.list_(pa.int32()))]
+        owner, at, base = found
+        query, forward = columns.query[at], plus[rows][owner]
+        target = (base == np.where(forward, ord("T"), ord("A"))) & (qual.data[qual.starts[rows][owner] + query].astype(np.int64) - 33 > quality_above)
+        changed = target & (batches.UPPER[own.data[own.starts[rows][owner] + query]] == np.where(forward, ord("C"), ord("G")))
+        targets[rows], converted[rows] = (np.bincount(owner[x], minlength=len(rows)) for x in (target, changed))
+        hits.append((starts[rows][owner] + columns.place[at])[changed])
+    offsets = pa.array(np.r_[0, np.cumsum(converted)], pa.int32())
+    return [pa.array(targets, pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(hits), pa.int32()))]
+
+
 def counted(flag: Column, pos: Column, cigar: Column, md: Column, sequence: Column, qual: Column, quality_above: int) -> Column:
     """struct<targets, hits> of each record; null where the flag is null."""
 
-    @F.pandas_udf(COUNTED)
-    def count(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = [(0, []) if row[0] != row[0] or row[0] is None else conversions(int(row[0]), int(row[1]), *row[2:], quality_above) for row in zip(*part, strict=True)]
-            yield pd.DataFrame({"targets": [n for n, _ in rows], "hits": [h for _, h in rows]})
+    @F.arrow_udf(COUNTED)
+    def count(f: pa.Array, p: pa.Array, c: pa.Array, m: pa.Array, s: pa.Array, q: pa.Array) -> pa.Array:
+        return pa.StructArray.from_arrays(conversions_of(f, p, c, m, s, q, quality_above), ["targets", "hits"])
 
     # not to be run again by a filter that the optimizer moves below it
     return count.asNondeterministic()(flag, pos, cigar, md, sequence, qual)
