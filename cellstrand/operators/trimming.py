@@ -7,7 +7,8 @@ Adapters are matched with errors. Of every end of a stretch of the read the stre
 adapter differs least from (bases replaced, missing or more; of equally good ones the longest), if it has
 at most error_rate times the adapter's length of errors; at the read's end also those that the first bases
 of the adapter, `overlap` at least, differ from so little. The read is cut where the first such stretch
-begins. Distances of all reads of a batch are one table that is filled base by base.
+begins. Reads that hold no part of the adapter that such a stretch must have are passed over; distances of
+all others of a batch are one table that is filled base by base.
 
 Defined results: a null read is empty; a read without qualities (null, or of another length) is not cut by
 quality; bases other than the adapter's, N too, are errors; no adapter, or an empty one, cuts nothing.
@@ -56,11 +57,33 @@ def quality_ends(qualities: list[str], threshold: int) -> np.ndarray:
 
 def adapter_ends(reads: list[str], adapter: str, overlap: int, error_rate: float) -> np.ndarray:
     """Where the first stretch of each read begins that the adapter matches; its length if none does."""
+    raw = [r.encode() for r in reads]
+    out = np.array([len(r) for r in raw], dtype=np.int64)
+    some = possible(raw, adapter.encode(), overlap, error_rate) if adapter else []
+    if some:
+        out[some] = _searched([reads[k] for k in some], adapter, overlap, error_rate)
+    return out
+
+
+def possible(reads: list[bytes], adapter: bytes, overlap: int, error_rate: float) -> list[int]:
+    """The reads that a stretch may match in: of n + 1 parts of what is matched with n errors at most, one is there without any."""
+    m = len(adapter)
+
+    def parts(k: int) -> set[bytes]:
+        n = int(error_rate * k) + 1
+        return {adapter[k * j // n : k * (j + 1) // n] for j in range(n)}
+
+    ends = range(min(overlap, m), m)
+    exact = tuple(adapter[:k] for k in ends if int(error_rate * k) == 0)
+    last = [(k + int(error_rate * k), tuple(parts(k))) for k in ends if int(error_rate * k)]
+    anywhere = tuple(parts(m))
+    return [i for i, r in enumerate(reads) if r.endswith(exact) or any(p in r for p in anywhere) or any(p in r[-size:] for size, own in last for p in own)]
+
+
+def _searched(reads: list[str], adapter: str, overlap: int, error_rate: float) -> np.ndarray:
     table, sizes = bytes_table(reads)
     own = np.frombuffer(adapter.encode(), dtype=np.uint8)
     m, out = len(own), sizes.copy()
-    if not m or not len(sizes):
-        return out
     allowed = [int(error_rate * k) for k in range(m + 1)]
     # a cell holds the errors and, below them, where the stretch begins: the least is the best
     error = np.int64(1) << 32

@@ -115,3 +115,12 @@ def test_a_pattern_longer_than_a_word_of_bits_and_rows_of_all_kinds(spark):
     rows = spark.createDataFrame(list(enumerate(reads)), "k int, s string").coalesce(1)
     got = {r.k: r.n for r in rows.select("k", seq.before_within(F.col("s"), pattern, 2).alias("n")).collect()}
     assert [got[k] for k in range(len(reads))] == [None, 0, 1, 0, 2, 81, 1, 80, 79, None]
+
+
+def test_reads_that_hold_no_part_of_the_adapter_are_not_searched():
+    rng = random.Random(8)
+    for adapter, overlap, rate in (("CTGTCTCTTATACACAT", 3, 0.1), ("AAAAAAAA", 3, 0.1), ("ACGTACGTAC", 1, 0.3), ("ACG", 0, 0.5), ("ACGT", 5, 0.0), ("AC", 1, 1.0)):
+        reads = ["".join(rng.choice("ACGT") for _ in range(rng.randrange(60))) for _ in range(400)]
+        reads += [r[:20] + "".join(c for c in adapter if rng.random() > 0.08)[: rng.randrange(1, 18)] + r[20:] * (k % 2) for k, r in enumerate(reads)]
+        assert trimming.adapter_ends(reads, adapter, overlap, rate).tolist() == trimming._searched(reads, adapter, overlap, rate).tolist()
+    assert trimming.possible([b"G" * 90, b"GGGCTGTCTCTGGG", b"GGGCTG", b""], b"CTGTCTCTTATACACAT", 3, 0.1) == [1, 2]
