@@ -4,8 +4,9 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from cellstrand.operators import multigene
+from cellstrand.operators import genomics, multigene
 from cellstrand.plans import commands, queries
 from tests.test_commands import CELL, HEAD, annotated, counted, sam_line  # noqa: F401
 
@@ -87,6 +88,34 @@ def test_uniform_and_prop_unique_against_plain_loops(reads):
         assert got == pytest.approx({k: n for k, n in wanted.items() if n > 0})
 
 
+def test_placed_classes_are_the_classes_of_lists(spark):
+    """Pairs near each other, of two windows and far apart; lists do not leave their windows, and give what arrays give."""
+    genes = [(f"G{k}", 16_300 + 20 * k) for k in range(12)] + [("G90", 90_000), ("G91", 90_010)]
+    features = spark.createDataFrame([("exon", "c", s, s + 150, "+", g) for g, s in genes], "feature_type string, chrom string, start int, end int, strand string, gene_id string")
+    block, rng, rows = "struct<rname:string,pos:int,aend:int,reverse:boolean,blocks:array<struct<start:int,end:int>>>", random.Random(3), []
+    for k in range(400):
+        low = rng.randrange(16_200, 16_800)
+        low, high = (low, low + rng.randrange(0, 60)) if k % 8 else (16_320, 90_020 if k % 16 else 16_320)
+        first, second = (("c", x, x + 40, False, [(x, x + 40)]) for x in (low, high))
+        rows.append((f"c{k % 5},u{k % 9},{k}", "+", first, second))
+    # both mates of a read over a gap of 60,000 meet two genes
+    gap = ("c", 16_320, 90_060, False, [(16_320, 16_330), (90_020, 90_060)])
+    rows += [("c1,u1,far", "+", gap, gap), ("c2,u3,near", "+", *[("c", 90_020, 90_060, False, [(90_020, 90_060)])] * 2)]
+    pairs = spark.createDataFrame(rows, f"qname string, strand string, m1 {block}, m2 {block}")
+    names = F.split("qname", ",")
+    placed = multigene.placed(genomics.called(pairs, features, digests=True), names[0], names[1]).localCheckpoint()
+    assert placed.where("shape is not null").count() and placed.where("genes is not null and shape is null").count()
+    found = genomics.called(pairs, features, lists=True)
+    lists = F.when(genomics.call_of("exon").isNotNull(), F.array(genomics.call_of("exon"))).otherwise(F.col("genes_exon"))
+    classes = multigene.classes(found.select(names[0].alias("barcode"), names[1].alias("umi"), lists.alias("genes"))).localCheckpoint()
+    assert classes.where("size(genes) > 3").count()
+    own = sorted(map(tuple, multigene.placed_lists(placed, features).collect()))
+    assert own == sorted((r.barcode, ",".join(r.genes), r.n) for r in classes.collect())
+    for whole, of in ((multigene.placed_uniform, multigene.uniform), (multigene.placed_prop_unique, multigene.prop_unique)):
+        got, wanted = ({(r.barcode, r.gene_id): r.unique_umi_count for r in x.collect()} for x in (whole(placed, features), of(classes)))
+        assert got == pytest.approx(wanted)
+
+
 def test_unique_evidence_draws_shared_molecules():
     genes, mass = multigene.maximised([["a", "b"], ["a"]], [10, 1])
     assert genes == ["a", "b"] and mass[0] == pytest.approx(11) and mass[1] < 1e-9
