@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from array import array
 from collections.abc import Callable, Iterator
+from math import fsum
 
 import numpy as np
 import pyarrow as pa
@@ -44,18 +45,27 @@ LEAST_TEXTS = 3
 #: Labelled texts that a model is fitted on, at most, of each class, and bytes of such a text, at most.
 SAMPLE_EACH = 1500
 SAMPLE_TEXT_BYTES = 1 << 18
-#: Distinct words that a worker remembers.
-REMEMBERED = 200_000
+#: Distinct words, and distinct n-grams, that a worker remembers.
+REMEMBERED, REMEMBERED_GRAMS = 200_000, 300_000
 
 WORD = regex.compile(r"[\p{L}\p{N}]+")
 
 
-def subwords(word: str) -> list[int]:
-    """Buckets of a lower-case word and of its 3- to 5-grams with end marks."""
+def grams_of(word: str) -> set[str]:
+    """A lower-case word and its 3- to 5-grams with end marks."""
     marked = f"<{word}>"
     grams = {marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)}
     grams.add("=" + word)
-    return [xxhash.xxh3_64_intdigest(g) & (BUCKETS - 1) for g in sorted(grams)]
+    return grams
+
+
+def bucket(gram: str) -> int:
+    return xxhash.xxh3_64_intdigest(gram) & (BUCKETS - 1)
+
+
+def subwords(word: str) -> list[int]:
+    """Buckets of a word's n-grams."""
+    return [bucket(g) for g in sorted(grams_of(word))]
 
 
 def words_of(text: str) -> list[str]:
@@ -63,18 +73,34 @@ def words_of(text: str) -> list[str]:
     return list(dict.fromkeys(WORD.findall(text.lower())))
 
 
+class Weights(dict):
+    """Numbers of n-grams, each looked up in `weight` when it is asked for first."""
+
+    def __init__(self, weight: np.ndarray):
+        self.weight = weight.tolist()
+
+    def __missing__(self, gram: str) -> float:
+        self[gram] = found = self.weight[bucket(gram)]
+        return found
+
+
 class Model:
     """weight: a number for each bucket; a word's is the mean of its buckets'."""
 
     def __init__(self, weight: np.ndarray, bias: float):
-        self.weight, self.bias, self.known = weight, bias, {}
+        self.weight, self.bias, self.known, self.grams = weight, bias, {}, Weights(weight)
 
     def word_numbers(self, words: list[str]) -> np.ndarray:
         known = self.known
         if len(known) > REMEMBERED:
             known.clear()
+        of = self.grams.__getitem__
         for w in set(words).difference(known):
-            known[w] = float(self.weight[subwords(w)].mean())
+            own = grams_of(w)
+            # exact, as a set has no order
+            known[w] = fsum(map(of, own)) / len(own)
+        if len(self.grams) > REMEMBERED_GRAMS:
+            self.grams.clear()
         return np.array([known[w] for w in words])
 
     def scores(self, texts: list[str]) -> np.ndarray:

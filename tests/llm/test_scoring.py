@@ -39,6 +39,18 @@ def test_toxicity_held_out_accuracy(larger):
     assert said[truth].mean() > 0.75 and said[~truth].mean() < 0.05
 
 
+def test_toxicity_hashes_a_gram_of_unseen_words_once(monkeypatch):
+    weight = np.random.default_rng(1).normal(size=toxicity.BUCKETS).astype(np.float32).astype(float)
+    words = ["fool", "fools", "foolish", "x", "über", "foolishness"]
+    wanted = [weight[toxicity.subwords(w)].mean() for w in words]
+    hashed, own = [], toxicity.bucket
+    monkeypatch.setattr(toxicity, "bucket", lambda g: hashed.append(g) or own(g))
+    assert toxicity.Model(weight, 0.0).word_numbers(words).tolist() == pytest.approx(wanted, abs=1e-14)
+    assert "<foo" in hashed and len(hashed) == len(set(hashed))
+    monkeypatch.setattr(toxicity, "REMEMBERED_GRAMS", 3)
+    assert toxicity.Model(weight, 0.0).word_numbers(words).tolist() == pytest.approx(wanted, abs=1e-14)
+
+
 def test_toxicity_edges():
     model = toxicity.train(["you idiot fool", "idiot here", "idiot"] * 5, [1] * 15)
     assert list(model.scores(["", "x"])) == [0.5, 0.5]
