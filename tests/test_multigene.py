@@ -156,3 +156,37 @@ def test_em_query_against_a_plain_loop(spark, sf_dir):
     wanted = {(c, g): n for c, x in own.items() for g, n in plain_em(sorted(x)).items() if n >= 1e-9}
     got = {(r.barcode, r.gene_id): r.unique_umi_count for r in queries.queries()["multigene_em"](spark, sf_dir).collect()}
     assert got.keys() == wanted.keys() and all(abs(got[k] - wanted[k]) < 1e-6 for k in got)
+
+
+def laid_out(monkeypatch):
+    """Numbers of genes in lists of several, of each layout that steps are taken on."""
+    sizes, init = [], multigene._Lists.__init__
+
+    def counted_init(self, *given):
+        init(self, *given)
+        sizes.append(len(self.owner))
+
+    monkeypatch.setattr(multigene._Lists, "__init__", counted_init)
+    return sizes
+
+
+def test_genes_without_a_visible_count_leave_the_steps(monkeypatch):
+    """Half of the genes die, and lists that differed in them alone are one."""
+    sizes = laid_out(monkeypatch)
+    own = [(["a", "b"], 5), (["a"], 3), (["b"], 1)] + [(["a", "b", f"d{k}"], 1) for k in range(20)]
+    genes, mass = multigene.maximised(*zip(*own, strict=True))
+    wanted = plain_em(own)
+    assert sizes[0] == 62 and sizes[-1] == 2
+    assert all(abs(m - wanted[g]) < 1e-9 for g, m in zip(genes, mass, strict=True))
+
+
+def test_a_gene_left_out_that_would_grow_stays_in(monkeypatch):
+    own = [(["b", "c"], 1), (["a", "b"], 2), (["d"], 1), (["a", "c", "d"], 1), (["a", "c"], 2)]
+    monkeypatch.setattr(multigene, "LOST", 0.25)
+    monkeypatch.setattr(multigene, "CUT_AFTER", 2)
+    sizes = laid_out(monkeypatch)
+    genes, mass = multigene.maximised(*zip(*own, strict=True))
+    wanted = plain_em(own)
+    # b was left out once
+    assert len(sizes) > 1 and 0 < wanted["b"] < 0.25
+    assert all(abs(m - wanted[g]) < 1e-8 for g, m in zip(genes, mass, strict=True))
