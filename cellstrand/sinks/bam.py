@@ -7,15 +7,18 @@ import re
 import struct
 import zlib
 from array import array
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellstrand.functions import batches
 from cellstrand.session import qualified
 from cellstrand.sinks.files import NUMBER, TEXT_TAGS, joined, remove
 from cellstrand.sources import bam_index
@@ -79,10 +82,122 @@ def bam_record(references: dict[str, int], qname: str, flag: int, rname: str | N
     return struct.pack("<i", len(body)) + body
 
 
+#: The four bits of a base by its letter, in either case; 15 for other letters.
+BASE_CODES = np.array([BASE_LETTERS.find(c) if (c := chr(b).upper()) in BASE_LETTERS else 15 for b in range(128)] + [15] * 128, dtype=np.uint8)
+HEAD = np.dtype([("size", "<i4"), ("ref", "<i4"), ("pos", "<i4"), ("name", "u1"), ("mapq", "u1"), ("bin", "<u2"), ("ops", "<u2"), ("flag", "<u2"), ("bases", "<i4"), ("next_ref", "<i4"), ("pnext", "<i4"), ("tlen", "<i4")])
+PLAIN = ("qname", "flag", "pos", "mapq", "cigar", "pnext", "tlen", "seq", "qual")
+
+
+class Records(NamedTuple):
+    """Records of a batch one behind the other, and each one's size, reference, start and end."""
+
+    data: np.ndarray
+    sizes: np.ndarray
+    ref: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+
+
+def _coded(column: pa.Array, of: Callable[[str | None], Any]) -> tuple[list, np.ndarray]:
+    """What `of` makes of each distinct text, and which one a row has."""
+    coded = column.dictionary_encode(null_encoding="encode")
+    return [of(x) for x in coded.dictionary.to_pylist()], coded.indices.to_numpy()
+
+
+def _tags_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all tags without a type, where each row's begin, and their sizes."""
+    offsets = column.offsets.to_numpy().astype(np.int64)
+    keys, values = (x.slice(offsets[0], offsets[-1] - offsets[0]) for x in (column.keys, column.items))
+    entries, which = _coded(pc.binary_join_element_wise(keys, values, "\t"), lambda x: tag_bytes(*x.split("\t", 1), None))
+    lengths = np.array([len(x) for x in entries], dtype=np.int64)
+    data = np.frombuffer(b"".join(entries), dtype=np.uint8)
+    begin, own = (np.cumsum(lengths) - lengths)[which], lengths[which]
+    at = np.r_[0, np.cumsum(own)]
+    flat = data[np.repeat(begin - at[:-1], own) + np.arange(at[-1])]
+    known = np.asarray(column.is_valid())
+    first = at[offsets[:-1] - offsets[0]]
+    return flat, first, np.where(known, at[offsets[1:] - offsets[0]] - first, 0)
+
+
+def bam_records(references: dict[str, int], batch: pa.RecordBatch) -> Records | None:
+    """What bam_record makes of each row of COLUMNS; None where a row has what only that tells (types of tags, letters beyond ASCII, numbers that do not fit)."""
+    of = {name: batch.column(name) for name in COLUMNS}
+    if any(of[c].null_count for c in PLAIN) or of["tag_types"].null_count < len(batch) or of["tags"].items.null_count:
+        return None
+    texts = {c: batches.Texts(of[c]) for c in ("qname", "seq", "qual")}
+    number = {c: of[c].to_numpy().astype(np.int64) for c in ("flag", "pos", "mapq", "pnext", "tlen")}
+    name, seq, qual = texts["qname"], texts["seq"], texts["qual"]
+    if not all(x.ascii for x in texts.values()) or name.sizes.max(initial=0) > 254 or any(((number[c] < 0) | (number[c] >= most)).any() for c, most in (("flag", 1 << 16), ("mapq", 256))):
+        return None
+    ops, which = _coded(of["cigar"], _ops)
+    if any(len(x) >= 1 << 16 for x in ops):
+        return None
+    spans = np.array([_span(x) for x in ops], dtype=np.int64)[which]
+    end = np.maximum(number["pos"] + 1, number["pos"] + spans)
+    found, at = _coded(of["rname"], lambda x: references.get(x, -1) if x else -1)
+    ref = np.array(found, dtype=np.int64)[at]
+    found, at = _coded(of["rnext"], lambda x: -2 if x == "=" else references.get(x, -1))
+    next_ref = np.array(found, dtype=np.int64)[at]
+    next_ref = np.where(next_ref == -2, ref, next_ref)
+
+    def is_star(x: batches.Texts) -> np.ndarray:
+        return (x.sizes == 1) & (x.data[np.minimum(x.starts, len(x.data) - 1)] == ord("*"))
+
+    bases = np.where(is_star(seq), 0, seq.sizes)
+    unknown = is_star(qual)
+    qualities = np.where(unknown, bases, qual.sizes)
+    tags, tags_at, tags_size = _tags_of(of["tags"])
+    cigars = np.frombuffer(b"".join(struct.pack(f"<{len(x)}I", *x) for x in ops), dtype=np.uint8)
+    cigar_sizes = np.array([4 * len(x) for x in ops], dtype=np.int64)
+    cigar_at, cigar_size = (np.cumsum(cigar_sizes) - cigar_sizes)[which], cigar_sizes[which]
+    parts = np.array([np.full(len(batch), HEAD.itemsize), name.sizes + 1, cigar_size, (bases + 1) // 2, qualities, tags_size])
+    sizes = parts.sum(axis=0)
+    begin = np.cumsum(sizes) - sizes
+    places = begin + np.cumsum(parts, axis=0) - parts
+    out = np.zeros(int(sizes.sum()), dtype=np.uint8)
+
+    def steps(own: np.ndarray) -> np.ndarray:
+        return np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+
+    def put(k: int, data: np.ndarray, at: np.ndarray, own: np.ndarray) -> None:
+        step = steps(own)
+        out[np.repeat(places[k], own) + step] = data[np.repeat(at, own) + step]
+
+    head = np.zeros(len(batch), dtype=HEAD)
+    last = end - 1
+    place = np.zeros(len(batch), dtype=np.int64)
+    for shift, first in reversed(BINS):
+        place = np.where(number["pos"] >> shift == last >> shift, first + (number["pos"] >> shift), place)
+    told = {"size": sizes - 4, "ref": ref, "name": name.sizes + 1, "bin": place & 0xFFFF, "ops": cigar_size // 4, "bases": bases, "next_ref": next_ref}
+    for field in HEAD.names:
+        head[field] = told[field] if field in told else number[field]
+    out[begin[:, None] + np.arange(HEAD.itemsize)] = head.view(np.uint8).reshape(-1, HEAD.itemsize)
+    put(1, name.data, name.starts, name.sizes)
+    put(2, cigars, cigar_at, cigar_size)
+    for odd in (0, 1):
+        own = (bases + 1 - odd) // 2
+        step = steps(own)
+        out[np.repeat(places[3], own) + step] |= BASE_CODES[seq.data[np.repeat(seq.starts + odd, own) + 2 * step]] << (0 if odd else 4)
+    known = np.where(unknown, 0, qualities)
+    step = steps(known)
+    letters = qual.data[np.repeat(qual.starts, known) + step]
+    if len(letters) and letters.min() < 33:
+        return None
+    out[np.repeat(places[4], known) + step] = letters - 33
+    blank = qualities - known
+    out[np.repeat(places[4], blank) + steps(blank)] = 0xFF
+    put(5, tags, tags_at, tags_size)
+    return Records(out, sizes, ref, number["pos"], end)
+
+
+#: Levels of the format's bins: bits of a bin's width, and the first bin's number.
+BINS = ((14, 4681), (17, 585), (20, 73), (23, 9), (26, 1))
+
+
 def index_bin(start: int, end: int) -> int:
     """Smallest bin of the format's five-level scheme that holds [start, end)."""
     last = end - 1
-    for shift, first in ((14, 4681), (17, 585), (20, 73), (23, 9), (26, 1)):
+    for shift, first in BINS:
         if start >> shift == last >> shift:
             return (first + (start >> shift)) & 0xFFFF
     return 0
@@ -123,7 +238,17 @@ class Part:
         at = 36 + name_size
         self.records.extend((ref, pos, reference_end(pos, struct.unpack_from(f"<{ops}I", record, at)), self.done + self.held.tell()))
         self.n, self.unplaced = self.n + 1, self.unplaced + (ref < 0)
-        self.held.write(record)
+        self._hold(record)
+
+    def add_all(self, records: Records) -> None:
+        """The records of a batch, in order."""
+        begin = self.done + self.held.tell() + np.cumsum(records.sizes) - records.sizes
+        self.records.frombytes(np.column_stack([records.ref, records.start, records.end, begin]).astype(np.int64).tobytes())
+        self.n, self.unplaced = self.n + len(begin), self.unplaced + int((records.ref < 0).sum())
+        self._hold(records.data.tobytes())
+
+    def _hold(self, data: bytes) -> None:
+        self.held.write(data)
         if self.held.tell() >= BLOCK:
             data = self.held.getvalue()
             whole = len(data) // BLOCK * BLOCK
@@ -166,7 +291,7 @@ def _written(alignments: DataFrame, references: Sequence[tuple[str, int]], folde
     missing = [c for c in COLUMNS if c not in alignments.columns]
     rows = alignments.withColumns({c: F.lit(None).cast("map<string,string>") for c in missing if c == "tag_types"}).select(COLUMNS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(given: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task, (fs, inner) = TaskContext.get(), file_system(folder)
@@ -176,7 +301,10 @@ def _written(alignments: DataFrame, references: Sequence[tuple[str, int]], folde
         with fs.open_output_stream(hidden, compression=None) as out:
             out.write(begin)
             part = Part(out, len(begin))
-            for batch in batches:
+            for batch in given:
+                if (made := bam_records(number, batch)) is not None:
+                    part.add_all(made)
+                    continue
                 for *fields, tags, types in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     part.add(bam_record(number, *fields, dict(tags or ()), dict(types or ())))
             part.close()

@@ -206,6 +206,20 @@ def _to_first_record(blocks: Blocks, references: int) -> bool:
     return False
 
 
+def _entered(file: BinaryIO, size: int, references: int, start: int, end: int, skipped: int) -> Blocks | None:
+    """Blocks from start on, up to the first record taken; None if none begins before `end`. `skipped`: the header's bytes besides its text."""
+    if start == 0:
+        blocks = Blocks(file, size, 0)
+        # the text's own size, as it may be padded
+        blocks.fill(8)
+        skip = struct.unpack("<i", blocks.peek(4, 4))[0] + skipped
+        blocks.fill(skip)
+        blocks.taken += skip
+        return blocks
+    blocks = Blocks(file, size, Blocks.first_from(file, size, start))
+    return blocks if blocks.at < end and _to_first_record(blocks, references) else None
+
+
 def _bodies(path: str, references: int, start: int = 0, end: int | None = None, first: int | None = None, stop: int | None = None, skipped: int | None = None) -> Iterator[tuple[int, bytes]]:
     """(virtual offset, body) of the records that begin in the blocks from start to end; a last offset with an empty body says where they end.
 
@@ -217,16 +231,9 @@ def _bodies(path: str, references: int, start: int = 0, end: int | None = None,
             blocks = Blocks(file, size, first >> 16)
             blocks.fill((first & 0xFFFF) + 1)
             blocks.taken += first & 0xFFFF
-        elif start == 0:
-            blocks = Blocks(file, size, 0)
-            # the text's own size, as it may be padded
-            blocks.fill(8)
-            skip = struct.unpack("<i", blocks.peek(4, 4))[0] + skipped
-            blocks.fill(skip)
-            blocks.taken += skip
         else:
-            blocks = Blocks(file, size, Blocks.first_from(file, size, start))
-            if blocks.at >= (size if end is None else end) or not _to_first_record(blocks, references):
+            blocks = _entered(file, size, references, start, size if end is None else end, skipped)
+            if blocks is None:
                 return
         while blocks.fill(4):
             block, place = blocks.place()
@@ -448,6 +455,101 @@ def mate_of(record: tuple) -> tuple:
     return record[3], record[4], at, bool(record[2] & REVERSE), blocks
 
 
+#: Unpacked bytes whose records are paired at once.
+PAIRED_BYTES = 1 << 22
+
+
+def _name_begins(data: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which records, of names data[at : at + sizes], have another name than the one before."""
+    other = np.diff(sizes, prepend=-1) != 0
+    same = np.flatnonzero(~other)
+    if len(same):
+        own = sizes[same]
+        begin = np.cumsum(own) - own
+        step = np.arange(own.sum()) - np.repeat(begin, own)
+        differs = data[np.repeat(at[same], own) + step] != data[np.repeat(at[same - 1], own) + step]
+        other[same] = np.bitwise_or.reduceat(differs, begin)
+    return other
+
+
+@lru_cache(1 << 14)
+def _shape(ops: bytes) -> tuple[int, list[tuple[int, int]]]:
+    """Where a CIGAR's reference ends, and its blocks, from its begin."""
+    *_, at, _, blocks = mate_of((0, "", 0, None, 0, 0, _cigar(ops)))
+    return at, blocks
+
+
+def _mates(data: np.ndarray, at: np.ndarray, names: pa.Array) -> pa.StructArray:
+    """Records that begin at these places, as MATE says."""
+    ref, pos = (_field(data, at + skip, "<i4") for skip in (4, 8))
+    begin, ops = at + 36 + data[at + 12], _field(data, at + 16, "<u2").astype(np.int64)
+    shapes = [_shape(data[a : a + 4 * n].tobytes()) for a, n in zip(begin.tolist(), ops.tolist(), strict=True)]
+    sizes = np.array([len(b) for _, b in shapes], dtype=np.int64)
+    edges = np.array([e for _, b in shapes for e in b], dtype=np.int64).reshape(-1, 2) + np.repeat(pos.astype(np.int64), sizes)[:, None]
+    edges = pa.StructArray.from_arrays([pa.array(edges[:, k], pa.int32()) for k in (0, 1)], ["start", "end"])
+    blocks = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), edges)
+    ends = pa.array(pos + np.array([span for span, _ in shapes], dtype=np.int64), pa.int32())
+    reverse = pa.array((_field(data, at + 18, "<u2") & REVERSE) != 0)
+    return pa.StructArray.from_arrays([names.take(pa.array(ref, mask=ref < 0)), pa.array(pos, pa.int32()), ends, reverse, blocks], ["rname", "pos", "aend", "reverse", "blocks"])
+
+
+def _field(data: np.ndarray, at: np.ndarray, kind: str) -> np.ndarray:
+    return data[at[:, None] + np.arange(np.dtype(kind).itemsize)].view(kind)[:, 0]
+
+
+def _pairs_at(data: np.ndarray, at: np.ndarray, begins: np.ndarray, names: pa.Array) -> pa.RecordBatch:
+    """Pairs among the records that begin at these places and whose names begin at the records `begins`."""
+    sizes = np.diff(np.r_[begins, len(at)])
+    one = begins[sizes == 2]
+    flags = [_field(data, at[k] + 18, "<u2") for k in (one, one + 1)]
+    first, second = ([(f & bit) != 0 for f in flags] for bit in (FIRST, SECOND))
+    use = (first[0] != first[1]) & (second[0] != second[1])
+    one, led, seconds = one[use], first[0][use], second[0][use]
+    start, size = at[one] + 36, data[at[one] + 12].astype(np.int64) - 1
+    qname = pa.array([data[a : a + n].tobytes() for a, n in zip(start.tolist(), size.tolist(), strict=True)], pa.binary()).cast(pa.string())
+    mates = [_mates(data, at[np.where(k, one, one + 1)], names) for k in (led, seconds)]
+    return pa.record_batch([qname, *mates], names=["qname", "m1", "m2"])
+
+
+def paired(path: str, start: int, end: int, at_once: int = PAIRED_BYTES) -> Iterator[pa.RecordBatch]:
+    """What name_runs and mate_of tell of a range, for all records of some unpacked bytes at once."""
+    header = bam_header(path)[1]
+    names = pa.array([name for name, _ in header], pa.string())
+    file, size = open_at(path)
+    with file:
+        blocks = _entered(file, size, len(header), start, end, _skipped(header))
+        foreign, wanted = start > 0, at_once
+        while blocks is not None:
+            more = blocks.fill(wanted)
+            raw = bytes(memoryview(blocks.held)[blocks.taken :])
+            at, places = 0, []
+            while at + 4 <= len(raw) and (step := 4 + int.from_bytes(raw[at : at + 4], "little")) <= len(raw) - at:
+                places.append(at)
+                at += step
+            if not more and at + 4 <= len(raw):
+                raise ValueError(f"{path}: the last record is cut off")
+            data, own = np.frombuffer(raw, dtype=np.uint8), np.array(places, dtype=np.int64)
+            begins = np.flatnonzero(_name_begins(data, own + 36, data[own + 12].astype(np.int64))) if places else own
+            whole = len(begins) - more
+            if more and whole < 1:
+                # a name may go on
+                wanted = 2 * len(raw)
+                continue
+            # the name of the first record behind the range is its last
+            border = min((held for block, held in blocks.places if block >= end), default=len(blocks.held)) - blocks.taken
+            behind = int(np.searchsorted(own, border))
+            last = int(np.searchsorted(begins, behind, side="right")) - 1 if behind < len(own) else whole
+            used = min(whole, last + 1)
+            stop = begins[used] if used < len(begins) else len(own)
+            runs = begins[int(foreign) : used]
+            if len(runs):
+                yield _pairs_at(data, own[runs[0] : stop], runs - runs[0], names)
+            if not more or last < whole:
+                return
+            blocks.taken += int(own[begins[whole]])
+            foreign, wanted = False, at_once
+
+
 class PairReader(DataSourceReader):
     def __init__(self, paths: list[str], split: int):
         self.paths, self.split = paths, split
@@ -467,6 +569,13 @@ class PairReader(DataSourceReader):
                 yield run[0][1], mate_of(first[0]), mate_of(second[0])
 
 
+class BatchPairReader(PairReader):
+    """The same as record batches."""
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        yield from paired(*partition.value)
+
+
 class PairSource(DataSource):
     """`bam_pairs`: options path, files by commas or wild cards whose records are grouped by name, and split."""
 
@@ -478,7 +587,7 @@ class PairSource(DataSource):
         return PAIR_SCHEMA
 
     def reader(self, schema) -> PairReader:
-        return PairReader(listed(self.options["path"]), int(self.options.get("split", SPLIT_BYTES)))
+        return BatchPairReader(listed(self.options["path"]), int(self.options.get("split", SPLIT_BYTES)))
 
 
 def bam_pairs(spark: SparkSession, path: str, split: int = SPLIT_BYTES) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -220,3 +221,25 @@ def test_records_leave_a_reader_in_batches(spark, tmp_path):
     found = alignments.bam(spark, path)
     assert found.count() == 9_000
     assert found.where("cigar = '4M' and tags['NM'] = '7' and pos % 6 = 0 and qname = concat('q', pos)").count() == 1_500
+
+
+def test_records_of_a_batch_are_those_made_one_by_one():
+    rng = random.Random(5)
+    rows = []
+    for k in range(300):
+        size = rng.choice([0, 1, 7, 20, 33])
+        seq = "".join(rng.choice("ACGTNacgtRx=") for _ in range(size)) or rng.choice(["*", ""])
+        qual = rng.choice(["*", "".join(chr(33 + rng.randrange(60)) for _ in range(size))])
+        tags = {t: v for t, v in (("NM", str(rng.randrange(-3, 70_000))), ("MD", "3A" + str(k)), ("XX", "a b"), ("CB", "1")) if rng.random() < 0.6}
+        cigar = rng.choice(["*", "20M", "5S10M100000N5M", "1M", "3I"])
+        rows.append([f"q{k}" + "x" * rng.randrange(40), rng.randrange(1 << 12), rng.choice([None, "", "c1", "c2", "zz"]), rng.randrange(-1, 1 << 28), rng.randrange(256), cigar, rng.choice(["*", "=", "c1"]), rng.randrange(-1, 99), rng.randrange(-500, 500), seq, qual, rng.choice([None, tags]), None])
+    kinds = [dict(zip(alignments.ARROW.names, alignments.ARROW.types, strict=True))[c] for c in sink.COLUMNS]
+    # a part of a batch, so that arrays begin in the middle
+    batch = pa.record_batch([pa.array([None if v is None else list(v.items()) if isinstance(v, dict) else v for v in c], t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=sink.COLUMNS).slice(17, 200)
+    got = sink.bam_records({"c1": 0, "c2": 1}, batch)
+    wanted = [sink.bam_record({"c1": 0, "c2": 1}, *r[:11], r[11] or {}) for r in rows[17:217]]
+    assert got.sizes.tolist() == [len(x) for x in wanted] and got.data.tobytes() == b"".join(wanted)
+    assert got.ref.tolist() == [{"c1": 0, "c2": 1}.get(r[2], -1) for r in rows[17:217]]
+    # what only the other way tells
+    odd = batch.set_column(12, "tag_types", pa.array([[("NM", "c")]] * 200, kinds[12]))
+    assert sink.bam_records({"c1": 0}, odd) is None and sink.bam_records({"c1": 0}, batch.set_column(0, "qname", pa.array(["\u00e9"] * 200))) is None

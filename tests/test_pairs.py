@@ -75,3 +75,16 @@ def test_mappings_are_made_without_genes(spark, sf_dir):
     from cellstrand.plans.queries import queries
 
     assert "part.parquet" not in queries()["mapping_string"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("split", [60, 300, 1000, 4000, 1 << 25])
+@pytest.mark.parametrize("at_once", [40, 5000, 1 << 22])
+def test_pairs_of_batches_are_those_of_records(grouped, split, at_once):
+    path, _ = grouped
+    reader = alignments.PairReader([path], split)
+    for p in reader.partitions():
+        own = [{"qname": q, **{m: dict(zip(("rname", "pos", "aend", "reverse", "blocks"), x, strict=True)) for m, x in (("m1", a), ("m2", b))}} for q, a, b in reader.read(p)]
+        for row in own:
+            for m in ("m1", "m2"):
+                row[m]["blocks"] = [{"start": a, "end": b} for a, b in row[m]["blocks"]]
+        assert [row for batch in alignments.paired(*p.value, at_once) for row in batch.to_pylist()] == own
