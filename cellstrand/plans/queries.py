@@ -433,10 +433,10 @@ def grouped_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a file that is grouped by name, put together while its ranges are read."""
     li = fx.table(spark, sf_dir, "lineitem")
     flag = F.when(F.col("l_linenumber") % 2 == 1, 64).otherwise(128)
-    rows = li.select(F.col("l_orderkey").alias("idx"), F.col("l_orderkey").cast("string").alias("qname"), flag.alias("flag"), F.lit("chr1").alias("rname"), ((F.col("l_partkey") * 37) % 400000).cast("int").alias("pos"))
-    more = {"mapq": F.lit(60), "cigar": F.lit("60M"), "rnext": F.lit("*"), "pnext": F.lit(-1), "tlen": F.lit(0), "seq": F.lit("*"), "qual": F.lit("*"), "tags": F.create_map(F.lit("NM"), F.lit("0"))}
+    rows = li.select(F.col("l_orderkey").alias("idx"), flag.alias("flag"), ((F.col("l_partkey") * 37) % 400000).cast("int").alias("pos")).orderBy("idx")
+    more = {"qname": F.col("idx").cast("string"), "rname": F.lit("chr1"), "mapq": F.lit(60), "cigar": F.lit("60M"), "rnext": F.lit("*"), "pnext": F.lit(-1), "tlen": F.lit(0), "seq": F.lit("*"), "qual": F.lit("*"), "tags": F.create_map(F.lit("NM"), F.lit("0"))}
     path = f"{shared_dir(spark, 'bam')}/x.bam"
-    bam.bam(rows.withColumns(more), "@HD\tVN:1.6\tGO:query\n@SQ\tSN:chr1\tLN:500000\n", [("chr1", 500_000)], path)
+    bam.bam(rows.withColumns(more), "@HD\tVN:1.6\tGO:query\n@SQ\tSN:chr1\tLN:500000\n", [("chr1", 500_000)], path, ordered=True)
     return alignments.bam_pairs(spark, path, split=1 << 18).select("qname", F.col("m1.pos").alias("first_pos"), F.col("m2.pos").alias("second_pos"))
 
 

@@ -330,12 +330,14 @@ def _written(alignments: DataFrame, references: Sequence[tuple[str, int]], folde
     return told
 
 
-def bam(alignments: DataFrame, head: str, references: list[tuple[str, int]], path: str, single: bool = True) -> None:
+def bam(alignments: DataFrame, head: str, references: list[tuple[str, int]], path: str, single: bool = True, ordered: bool = False) -> None:
     """Records in order of idx as one BAM file; each task writes a part of whole blocks, and the parts are put behind each other.
 
+    With ordered=True records are taken as they are dealt and ordered already, so that columns which follow from others need not be shuffled.
+
     With single=False `path` is a folder of BAM files in order, one of each task, and nothing passes through one machine.
     """
-    _save(alignments.orderBy("idx"), head, references, path, False, single)
+    _save(alignments if ordered else alignments.orderBy("idx"), head, references, path, False, single)
 
 
 def sorted_bam(alignments: DataFrame, head: str, references: list[tuple[str, int]], path: str, single: bool = True) -> None:
