@@ -28,12 +28,17 @@ from cellstrand.sources.files import file_system, listed, open_at, open_input, o
 
 READ = "struct<id:string,desc:string,seq:string,qual:string>"
 SCHEMA = "file string, idx bigint, id string, desc string, seq string, qual string"
+ARROW = pa.schema([(name, pa.int64() if kind == "bigint" else pa.string()) for name, kind in (c.split(" ") for c in SCHEMA.split(", "))])
 #: Bits of a record's number in its set of files.
 SET_BITS = 40
 PAIR_SCHEMA = f"idx bigint, r1 {READ}, r2 {READ}"
 TRIPLET_SCHEMA = f"idx bigint, lig {READ}, umi {READ}, bio {READ}"
 #: Bytes of a file that a task is laid out for.
 SPLIT_BYTES = 64 << 20
+#: Tasks of a pass over ranges; each reads several that follow each other where there are more.
+MOST_TASKS = 256
+#: Records that leave a reader at once.
+BATCH = 4096
 Record = tuple[str, str, str, str]
 
 
@@ -161,7 +166,7 @@ def counted_ranges(spark: SparkSession, paths: list[str], split: int = SPLIT_BYT
                 own = records(path) if kind_of(path) == "gzip" else _lines_of_records(path, start, end)
                 yield pa.record_batch([pa.array([nth], pa.int64()), pa.array([sum(1 for _ in own)], pa.int64())], names=["nth", "n"])
 
-    counts = spark.range(0, len(every), 1, len(every)).mapInArrow(run, "nth long, n long").collect()
+    counts = spark.range(0, len(every), 1, min(len(every), MOST_TASKS)).mapInArrow(run, "nth long, n long").collect()
     out: dict[str, list[tuple[int, int, int, int]]] = {}
     for nth, n in sorted(map(tuple, counts)):
         path, start, end = every[nth]
@@ -239,13 +244,28 @@ class FastqReader(StepReader):
             yield (partition.value[3][0][0], idx, *record)
 
 
+class BatchReader(FastqReader):
+    """The same as record batches, which Spark takes over without looking at each record; a partition has tasks that follow each other."""
+
+    def partitions(self) -> list[InputPartition]:
+        tasks = [p.value for p in super().partitions()]
+        size = -(-len(tasks) // MOST_TASKS)
+        return [InputPartition(tasks[k : k + size]) for k in range(0, len(tasks), size)]
+
+    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        for task in partition.value:
+            rows = super().read(InputPartition(task))
+            while part := list(islice(rows, BATCH)):
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*part, strict=True), ARROW.types, strict=True)], schema=ARROW)
+
+
 class TripletReader(StepReader):
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         for idx, three in self.rows(partition.value):
             yield (idx, *three)
 
 
-class LimitedFastqReader(Limited, FastqReader):
+class LimitedFastqReader(Limited, BatchReader):
     pass
 
 
@@ -264,7 +284,7 @@ class FastqSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> FastqReader:
-        kind = LimitedFastqReader if self.options.get("push") == "true" else FastqReader
+        kind = LimitedFastqReader if self.options.get("push") == "true" else BatchReader
         return kind(self.options["plan"])
 
 

@@ -92,3 +92,15 @@ def test_empty_files(spark, tmp_path):
     paths = [write(tmp_path / f"{k}", kind, b"") for k, kind in enumerate(("plain", "gzip"))]
     assert fastq.fastq(spark, ",".join(paths)).count() == 0
     assert fastq.triplets(spark, paths[0], paths[1], paths[0]).count() == 0
+
+
+def test_batches_have_the_records_and_tasks_are_bounded(spark, tmp_path, monkeypatch):
+    path = write(tmp_path / "x.fastq", "plain", text_of(reads(3, 700)))
+    monkeypatch.setattr(fastq, "MOST_TASKS", 4)
+    monkeypatch.setattr(fastq, "BATCH", 50)
+    plan = fastq._plan(spark, fastq.planned(spark, [(path,)], 1000))
+    plain, batched = fastq.FastqReader(plan), fastq.BatchReader(plan)
+    assert len(plain.partitions()) > 20 and len(batched.partitions()) <= 4
+    wanted = [row for p in plain.partitions() for row in plain.read(p)]
+    found = [b for p in batched.partitions() for b in batched.read(p)]
+    assert [tuple(r.values()) for b in found for r in b.to_pylist()] == wanted and max(map(len, found)) <= 50
