@@ -14,13 +14,13 @@ at least THRESHOLD_PERCENT, i.e. their distance 1 - J, which is a metric, is at
    distance to pivot j is at most 2r more than to its own, and at most r more than the region's
    radius. Documents within r of pivot j are linked to it, hence to each other. Only the outer ones,
    and inner ones within the window (distance to the pivot at least the least outer one's less r),
-   go on to the next level. In small regions, and in those that pivots do not part, a distance is
+   go on to the next level. In small regions, and once in those that pivots do not part, a distance is
    computed only if no lower bound forbids a link: the difference of the distances to any pivot is
    at most r, sizes allow it, and they share one of the shingles that are rarest in the region.
 
 Blocks up to BLOCK_WEIGHT shingles are joined within a task; larger ones are split by the same rule
-over the cluster, level by level. What does not shrink is compared slice against slice, up to SLICES of
-them; what is larger is split first by the shingles that are rarest in the block, so that a class is
+over the cluster, level by level. A block whose regions together have about as many pairs as itself is not
+split further, but compared once, slice against slice, up to SLICES of them; what is larger is split first by the shingles that are rarest in the block, so that a class is
 sent a bounded number of times. Links are put out as spanning forests, never as all pairs of a group. Shingles and sets are told apart by 64 bits;
 counts stop at 65,535, which changes the order of shingles only, for all classes alike.
 
@@ -57,6 +57,8 @@ BLOCK_WEIGHT = 500_000
 #: Slices up to which a block that pivots do not part is compared slice against slice; each class is sent so many times. A larger one is split by rarity, which sends each as many times as it has rare shingles.
 SLICES = 64
 PIVOTS, LEAF, LEVELS = 6, 16, 2
+#: Pairs within all regions together, as a part of a block's own pairs, beyond which pivots have not parted it.
+PARTED = 0.7
 U = np.uint64
 
 
@@ -197,12 +199,13 @@ def join_block(sets: Sets, members: np.ndarray, forest: Forest) -> None:
         for p, near in zip(pivots, linked, strict=True):
             for x in region[near].tolist():
                 forest.link(int(region[p]), x)
-        for part in regions(distance, linked):
-            part = np.setdiff1d(part, pivots)
-            if len(part) > 0.8 * len(region):
-                compare(sets, region[part], forest, distance[:, part])
-            else:
-                waiting.append(region[part])
+        parts = [np.setdiff1d(part, pivots) for part in regions(distance, linked)]
+        if sum(len(part) ** 2 for part in parts) > PARTED * len(region) ** 2:
+            # once, and not once for each region that has nearly all
+            part = np.setdiff1d(np.arange(len(region)), pivots)
+            compare(sets, region[part], forest, distance[:, part])
+        else:
+            waiting += [region[part] for part in parts]
 
 
 def compare(sets: Sets, region: np.ndarray, forest: Forest, distance: np.ndarray | None = None) -> None:
@@ -223,12 +226,14 @@ def compare(sets: Sets, region: np.ndarray, forest: Forest, distance: np.ndarray
     begin = np.searchsorted(number[by_shingle], np.arange(len(shingle) + 1))
     first = np.searchsorted(member[kept], np.arange(len(region) + 1))
     holders, size = member[by_shingle], sets.size[region]
+    there = np.zeros(len(region), dtype=bool)
     for x in range(len(region)):
         lists = [holders[begin[s] : begin[s + 1]] for s in number[kept[first[x] : first[x + 1]]].tolist()]
         if not lists:
             continue
-        near = np.unique(np.concatenate(lists))
-        near = near[near > x]
+        there[np.concatenate(lists)] = True
+        near = np.flatnonzero(there[x + 1 :]) + x + 1
+        there[:] = False
         near = near[100 * np.minimum(size[near], size[x]) >= THRESHOLD_PERCENT * np.maximum(size[near], size[x])]
         if distance is not None and len(near):
             near = near[(np.abs(distance[:, near] - distance[:, [x]]) <= RADIUS + NEAR).all(0)]
@@ -390,8 +395,8 @@ def joined_in_tasks(rows: DataFrame, parts: int) -> DataFrame:
     return chunkstore.by(rows.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts))), "part").applyInArrow(run, "a long, b long")
 
 
-def split_once(large: DataFrame, sets: DataFrame, level: int, limit: int) -> tuple[DataFrame, DataFrame]:
-    """One level of the distributed recursion: links to pivots, and the members (block, key, weight) of the next level's regions."""
+def split_once(large: DataFrame, sets: DataFrame, level: int, limit: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One level of the distributed recursion: links to pivots, the members (block, key, weight) of the next level's regions, and those of blocks that pivots have not parted, as they were."""
     weight = large.groupBy("block").agg(F.sum("weight").alias("total"))
     pivots = large.groupBy("block").agg(F.array(*[F.min(F.struct(F.xxhash64("key", F.lit(level * PIVOTS + j)).alias("h"), "key"))["key"] for j in range(PIVOTS)]).alias("p"))
     pivots = stored(pivots.select("block", F.array_distinct("p").alias("p")), "pivots")
@@ -422,7 +427,11 @@ def split_once(large: DataFrame, sets: DataFrame, level: int, limit: int) -> tup
     here = each.join(radius, ["block", "j"]).where(F.col("key") != F.col("pivot")).where((F.col("own") == F.col("j")) | ((F.col("d") <= F.col("nearest") + 2 * RADIUS + NEAR) & (F.col("d") <= F.col("radius") + RADIUS + NEAR)))
     least = here.where("not linked").groupBy("block", "j").agg(F.min("d").alias("least"))
     after = here.join(least, ["block", "j"]).where(~F.col("linked") | (F.col("d") >= F.col("least") - RADIUS - NEAR))
-    return links, after.select(F.xxhash64("block", "j", F.lit(level)).alias("block"), "key", "weight")
+    after = stored(after.select(F.col("block").alias("whole"), F.xxhash64("block", "j", F.lit(level)).alias("block"), "key", "weight"), "regions")
+    pairs = after.groupBy("whole", "block").agg(F.sum("weight").cast("double").alias("w")).groupBy("whole").agg(F.sum(F.col("w") * F.col("w")).alias("pairs"))
+    unparted = weight.join(pairs, F.col("block") == F.col("whole")).where(F.col("pairs") > PARTED * F.col("total").cast("double") * F.col("total")).select("block")
+    parted = after.join(unparted.withColumnRenamed("block", "whole"), "whole", "left_anti").select("block", "key", "weight")
+    return links, parted, large.join(unparted, "block", "left_semi").select("block", "key", "weight")
 
 
 def split_by_rarity(large: DataFrame, sets: DataFrame, level: int) -> DataFrame:
@@ -468,23 +477,30 @@ def links_in_blocks(members: DataFrame, sets: DataFrame, slots: int, limit: int
     """Links (a, b) of a spanning forest of each block; members (block, key, weight), sets (key, n, blob)."""
     found: list[DataFrame] = []
     small: list[DataFrame] = []
-    waiting = members
-    # levels of pivots, one by rarity, and what is left
-    for level in range(levels + 2):
-        weight = waiting.groupBy("block").agg(F.sum("weight").alias("total"))
-        sized = stored(waiting.join(weight, "block"), "members")
-        small.append(sized.where(F.col("total") <= limit).select("block", "key", "weight"))
-        large = sized.where(F.col("total") > limit).select("block", "key", "weight")
+
+    def sized(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Members with their block's weight, and those of blocks above the limit; the others are kept."""
+        own = stored(rows.join(rows.groupBy("block").agg(F.sum("weight").alias("total")), "block"), "members")
+        small.append(own.where(F.col("total") <= limit).select("block", "key", "weight"))
+        return own, own.where(F.col("total") > limit).select("block", "key", "weight")
+
+    waiting, left = members, members.limit(0)
+    for level in range(levels):
+        _, large = sized(waiting)
+        waiting = None
         if large.isEmpty():
             break
-        if level > levels:
+        links, waiting, whole = split_once(large, sets, level, limit)
+        found.append(links)
+        left = left.unionByName(whole)
+    # what pivots have not parted: by rarity where it is very large, and what is left after that
+    own, large = sized(left if waiting is None else left.unionByName(waiting))
+    if not large.isEmpty():
+        most = limit * (slices // 2)
+        found.append(compared_in_slices(own.where((F.col("total") > limit) & (F.col("total") <= most)).select("block", "key", "weight"), sets, limit))
+        _, large = sized(split_by_rarity(own.where((F.col("total") > limit) & (F.col("total") > most)).select("block", "key", "weight"), sets, levels))
+        if not large.isEmpty():
             found.append(compared_in_slices(large, sets, limit))
-        elif level == levels:
-            found.append(compared_in_slices(sized.where((F.col("total") > limit) & (F.col("total") <= limit * (slices // 2))).select("block", "key", "weight"), sets, limit))
-            waiting = split_by_rarity(sized.where((F.col("total") > limit) & (F.col("total") > limit * (slices // 2))).select("block", "key", "weight"), sets, level)
-        else:
-            links, waiting = split_once(large, sets, level, limit)
-            found.append(links)
     rows = small[0]
     for more in small[1:]:
         rows = rows.unionByName(more)

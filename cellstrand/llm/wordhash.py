@@ -7,27 +7,38 @@ from dataclasses import dataclass
 import numpy as np
 import xxhash
 
-#: Distinct words whose hashes a worker remembers.
-REMEMBERED = 150_000
+from cellstrand.llm.common import mixed
 
+#: Bytes of a word from which it is hashed by itself and not with the others eight bytes at a time.
+LONG = 64
 #: Low bits of a hash that give way to its place while it is sorted.
 PLACE_BITS = np.uint64(22)
 U = np.uint64
-
-_known: dict[bytes, int] = {}
+#: What a word of so many bytes leaves of eight.
+MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=U)
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts in order, and the number of words of each text."""
-    known = _known
-    rows = [t.lower().split() for t in texts]
-    if len(known) > REMEMBERED:
-        known.clear()
-    digest = xxhash.xxh3_64_intdigest
-    known.update((w, digest(w)) for w in set().union(*rows).difference(known))
-    size = np.array([len(r) for r in rows], dtype=np.int64)
-    out = np.fromiter((known[w] for r in rows for w in r), dtype=np.uint64, count=int(size.sum()))
-    return out, size
+    size = np.array([len(t) for t in texts], dtype=np.int64)
+    joined = b" ".join([b"", *texts, bytes(8)]).lower()
+    data = np.frombuffer(joined, dtype=np.uint8)[:-8]
+    space = (data == 32) | (data - np.uint8(9) < 5)
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, length = edge[::2], edge[1::2] - edge[::2]
+    count = np.diff(np.searchsorted(start, np.r_[1 + np.cumsum(size + 1) - (size + 1), len(data)]))
+    # the eight bytes from each place on
+    eight = np.ndarray((len(data),), dtype="<u8", buffer=joined, strides=(1,))
+    out = combined(length.astype(U), eight[start] & MASK[np.minimum(length, 8)])
+    more, done = np.flatnonzero((length > 8) & (length <= LONG)), 8
+    while len(more):
+        left = length[more] - done
+        out[more] = combined(mixed(out[more]), eight[start[more] + done] & MASK[np.minimum(left, 8)])
+        more, done = more[left > 8], done + 8
+    out = mixed(out)
+    for w in np.flatnonzero(length > LONG).tolist():
+        out[w] = xxhash.xxh3_64_intdigest(joined[start[w] : start[w] + length[w]])
+    return out, count
 
 
 def combined(first: np.ndarray, second: np.ndarray) -> np.ndarray:

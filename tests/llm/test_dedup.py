@@ -8,7 +8,7 @@ import time
 import numpy as np
 import pytest
 
-from cellstrand.llm import decontaminate, jaccard_join, queries, suffix_dedup
+from cellstrand.llm import decontaminate, jaccard_join, queries, suffix_dedup, wordhash
 from cellstrand.llm.components import components
 from tests.oracle import assert_same
 
@@ -318,3 +318,53 @@ def test_near_matches(spark):
 
 def test_decontamination_query_against_sql(spark, sf_dir):
     assert_same(queries.op6_decontaminate(spark, sf_dir), decontaminate.ORACLE, sf_dir)
+
+
+def alike_but_apart(n=150):
+    """Sets of which none is far from any other, so that pivots part nothing, and few are near; their distinct elements and components."""
+    rng = np.random.default_rng(1)
+    own = [np.sort(np.r_[np.arange(60), 100 + rng.choice(80, 40, replace=False)]).astype(np.uint64) for _ in range(n)]
+    forest = jaccard_join.Forest(n)
+    for x in range(n):
+        for y in range(x):
+            both = len(np.intersect1d(own[x], own[y]))
+            if 100 * both >= 75 * (200 - both):
+                forest.link(x, y)
+    return own, [forest.find(x) for x in range(n)]
+
+
+def test_what_pivots_do_not_part_is_compared_once():
+    own, wanted = alike_but_apart()
+    sets, forest = jaccard_join.sets_of_rows([jaccard_join.packed(x) for x in own], [100] * len(own)), jaccard_join.Forest(len(own))
+    jaccard_join.join_block(sets, np.arange(len(own)), forest)
+    assert [forest.find(x) for x in range(len(own))] == wanted and 20 < len(set(wanted)) < len(own)
+    assert sets.distances <= len(own) ** 2 / 2 + jaccard_join.PIVOTS * len(own)
+
+
+def test_large_blocks_that_pivots_do_not_part_are_not_multiplied(spark, monkeypatch):
+    own, wanted = alike_but_apart()
+    rows = spark.createDataFrame([(7, k, 100, 100, bytearray(jaccard_join.packed(x))) for k, x in enumerate(own)], "block long, key long, weight long, n long, blob binary")
+    members, real = [], jaccard_join.stored
+
+    def stored(df, what):
+        out = real(df, what)
+        members.append(out.count() if what == "members" else 0)
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    links = jaccard_join.links_in_blocks(rows.select("block", "key", "weight"), rows.select("key", "n", "blob"), 4, 5000).collect()
+    forest = jaccard_join.Forest(len(own))
+    for r in links:
+        forest.link(r.a, r.b)
+    assert [forest.find(x) for x in range(len(own))] == wanted
+    assert max(members) <= 2 * len(own)
+
+
+def test_words_have_hashes_of_their_own():
+    words = [b"a", b"a\x00", b"\x00", b"ab", b"ba", *(b"q" * k for k in range(7, 70)), *(b"q" * k + b"r" for k in range(7, 70)), "é".encode(), b"x" * 1000]
+    texts = [b"", b" \t", b"\x0b".join(words), b"\n".join(w.upper() for w in words) + b"\r", *words, b""]
+    value, count = wordhash.word_hashes(texts)
+    n = len(words)
+    assert count.tolist() == [0, 0, n, n, *[1] * n, 0]
+    assert value[:n].tolist() == value[n : 2 * n].tolist() == value[2 * n :].tolist() and len(set(value.tolist())) == n
+    assert len(wordhash.word_hashes([])[0]) == len(wordhash.word_hashes([b""])[0]) == 0
