@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cellstrand.operators import genomics
 
@@ -32,3 +33,14 @@ def test_a_long_feature_has_two_rows_at_most(spark):
     level = genomics.level_of(plan["start"], plan["end"], genomics.BINS)
     assert plan.select(level.alias("k")).first().k == 2
     assert plan.selectExpr(f"sequence(floor(start / {1 << 22}), floor((end - 1) / {1 << 22})) AS b").first().b in ([0], [0, 1])
+
+
+def test_many_features_that_the_optimizer_takes_for_few_are_not_broadcast(spark):
+    gene = F.concat(F.lit("G"), F.col("k").cast("string"))
+    known = spark.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(299_999))).alias("k")).select(F.lit("a").alias("chrom"), (F.col("k") * 10).alias("start"), (F.col("k") * 10 + 5).alias("end"), F.lit("+").alias("strand"), F.lit("exon").alias("feature_type"), gene.alias("gene_id"))
+    on = spark.createDataFrame([("a", 2_000_012, 2_000_025, "+")], "chrom string, start int, end int, strand string")
+    got = genomics.overlaps(on, known)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.gene_id for r in got.collect()) == ["G200001", "G200002"]
+    few = genomics.overlaps(on, known.where("k < 100"))
+    assert "Broadcast" in few._jdf.queryExecution().executedPlan().toString()
