@@ -190,3 +190,16 @@ def test_a_gene_left_out_that_would_grow_stays_in(monkeypatch):
     # b was left out once
     assert len(sizes) > 1 and 0 < wanted["b"] < 0.25
     assert all(abs(m - wanted[g]) < 1e-8 for g, m in zip(genes, mass, strict=True))
+
+
+def test_em_makes_lists_of_classes_and_not_of_pairs(spark, sf_dir, monkeypatch):
+    asked, real = [], genomics.called
+
+    def called(*given, **options):
+        asked.append(options.get("lists", len(given) > 5 and given[5]))
+        return real(*given, **options)
+
+    monkeypatch.setattr(genomics, "called", called)
+    own = queries.gene_classes(spark, sf_dir)
+    assert asked == [False]
+    assert own.groupBy("barcode", "genes").count().where("count > 1").isEmpty()
