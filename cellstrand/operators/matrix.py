@@ -30,14 +30,20 @@ def numbered(rows: DataFrame, keys: Sequence[Column], name: str, splits: int = 2
     between them, and a range's base is a prefix sum over the ranges' sizes, of which there are few.
     """
     key = F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)])
-    picked = rows.select(key.alias("key")).orderBy(F.xxhash64("key")).limit(splits).collect()
-    points = sorted({tuple(r.key) for r in picked})
-    if points:
-        type_of = rows.select(key.alias("key")).schema["key"].dataType
-        known = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(p, type_of.fields, strict=True)]) for p in points])
-        bucket = F.size(F.filter(known, lambda s: s <= key))
-    else:
-        bucket = F.lit(0)
+    picked = rows.select(key.alias("key")).orderBy(F.xxhash64("key")).limit(splits).orderBy("key").collect()
+    points = list(dict.fromkeys(tuple(r.key) for r in picked))
+    types = rows.select(key.alias("key")).schema["key"].dataType.fields
+
+    def found(low: int, high: int) -> Column:
+        """How many points are at most the key, by halves; comparing with each point is most of the work otherwise."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        values = [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(points[middle], types, strict=True)]
+        within = values[0] <= keys[0] if len(keys) == 1 else F.struct(*values) <= key
+        return F.when(within, found(middle + 1, high)).otherwise(found(low, middle))
+
+    bucket = found(0, len(points))
     placed = rows.withColumns({"_key": key, "_bucket": bucket})
     sizes = placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     base = sizes.select("_bucket", F.coalesce(F.sum("_size").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))

@@ -9,7 +9,6 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
 from typing import BinaryIO
 
 import numpy as np
@@ -18,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 
+from cellstrand.functions import batches
 from cellstrand.functions.alignment import FIRST, REVERSE, SECOND, reference_end
 from cellstrand.session import pushes
 from cellstrand.sources import bam_index
@@ -27,12 +27,13 @@ SCHEMA = "idx bigint, qname string, flag int, rname string, pos int, mapq int, c
 
 _KINDS = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "map<string,string>": pa.map_(pa.string(), pa.string())}
 ARROW = pa.schema([(name, _KINDS[kind]) for name, kind in (c.split(" ") for c in SCHEMA.split(", "))])
-#: Records that leave a reader at once.
-BATCH = 4096
+#: Unpacked bytes of records that leave a reader at once.
+READ_BYTES = 1 << 20
 
 # Fixed values of the file format.
 CIGAR_LETTERS = "MIDNSHP=X"
 BASE_LETTERS = "=ACMGRSVTWYHKDBN"
+BASES = np.frombuffer(BASE_LETTERS.encode(), dtype=np.uint8)
 TAG_NUMBERS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
 
 
@@ -282,22 +283,118 @@ def bam_records(path: str, only: str | None = None, ordinal: int = 0, start: int
     for offset, body in _bodies(path, len(references), start, end, first, stop, _skipped(header)):
         if not body:
             return
-        ref, pos, name_size, mapq, _, ops, flag, bases, next_ref, next_pos, tlen = struct.unpack_from("<iiBBHHHiiii", body)
-        rname = references[ref] if ref >= 0 else None
-        if only is not None and rname != only:
-            continue
-        at = 32 + name_size
-        qname = body[32 : at - 1].decode()
-        cigar = _cigar(body[at : at + 4 * ops])
-        at += 4 * ops
-        half = body[at : at + (bases + 1) // 2]
-        seq = "".join(BASE_LETTERS[b >> 4] + BASE_LETTERS[b & 15] for b in half)[:bases] or "*"
-        at += len(half)
-        raw = body[at : at + bases]
-        qual = "*" if not raw or raw[0] == 255 else bytes(q + 33 for q in raw).decode()
-        rnext = "*" if next_ref < 0 else "=" if next_ref == ref else references[next_ref]
-        idx = (ordinal << BLOCK_BITS | offset >> 16) << PLACE_BITS | (offset & 0xFFFF) >> SPARED_BITS
-        yield idx, qname, flag, rname, pos, mapq, cigar, rnext, next_pos, tlen, seq, qual, *_tags(body[at + bases :])
+        ref = struct.unpack_from("<i", body)[0]
+        if only is None or ref >= 0 and references[ref] == only:
+            yield _record(references, ordinal, offset, body)
+
+
+def _record(references: list[str], ordinal: int, offset: int, body: bytes) -> tuple:
+    ref, pos, name_size, mapq, _, ops, flag, bases, next_ref, next_pos, tlen = struct.unpack_from("<iiBBHHHiiii", body)
+    rname = references[ref] if ref >= 0 else None
+    at = 32 + name_size
+    qname = body[32 : at - 1].decode()
+    cigar = _cigar(body[at : at + 4 * ops])
+    at += 4 * ops
+    half = body[at : at + (bases + 1) // 2]
+    seq = "".join(BASE_LETTERS[b >> 4] + BASE_LETTERS[b & 15] for b in half)[:bases] or "*"
+    at += len(half)
+    raw = body[at : at + bases]
+    qual = "*" if not raw or raw[0] == 255 else bytes(q + 33 for q in raw).decode()
+    rnext = "*" if next_ref < 0 else "=" if next_ref == ref else references[next_ref]
+    idx = (ordinal << BLOCK_BITS | offset >> 16) << PLACE_BITS | (offset & 0xFFFF) >> SPARED_BITS
+    return idx, qname, flag, rname, pos, mapq, cigar, rnext, next_pos, tlen, seq, qual, *_tags(body[at + bases :])
+
+
+def bam_batches(path: str, only: str | None = None, ordinal: int = 0, start: int = 0, end: int | None = None, first: int | None = None, stop: int | None = None) -> Iterator[pa.RecordBatch]:
+    """What bam_records tells, for all records of some unpacked bytes at once."""
+    header = bam_header(path)[1]
+    references = [name for name, _ in header]
+    if only is not None and only not in references:
+        return
+    file, size = open_at(path)
+    with file:
+        if first is not None:
+            blocks = Blocks(file, size, first >> 16)
+            blocks.fill((first & 0xFFFF) + 1)
+            blocks.taken += first & 0xFFFF
+        else:
+            blocks = _entered(file, size, len(references), start, size if end is None else end, _skipped(header))
+        wanted = READ_BYTES
+        while blocks is not None:
+            more = blocks.fill(wanted)
+            raw = bytes(memoryview(blocks.held)[blocks.taken :])
+            at, begins = 0, []
+            while at + 4 <= len(raw) and (step := 4 + int.from_bytes(raw[at : at + 4], "little")) <= len(raw) - at:
+                begins.append(at)
+                at += step
+            own = np.array(begins, dtype=np.int64)
+            files, held = np.array(blocks.places or [(0, 0)], dtype=np.int64).T
+            which = np.searchsorted(held, blocks.taken + own, side="right") - 1
+            offset = files[which] << 16 | blocks.taken + own - held[which]
+            over = np.zeros(len(own), dtype=bool)
+            if end is not None:
+                over |= offset >> 16 >= end
+            if stop is not None:
+                over |= offset >= stop
+            ended = bool(over.any())
+            if not more and not ended and at + 4 <= len(raw):
+                raise ValueError(f"{path}: the last record is cut off")
+            use = ~over
+            if ended:
+                use[int(over.argmax()) :] = False
+            ends = np.r_[own[1:], at][: len(own)]
+            data = np.frombuffer(raw, dtype=np.uint8)
+            if only is not None:
+                use &= _field(data, own + 4, "<i4") == references.index(only)
+            if use.any():
+                yield _batch_at(raw, data, own[use], ends[use], offset[use], references, ordinal)
+            if ended or not more:
+                return
+            blocks.taken += at
+            # a record may be larger
+            wanted = READ_BYTES if begins else 2 * len(raw)
+
+
+def _batch_at(raw: bytes, data: np.ndarray, at: np.ndarray, ends: np.ndarray, offset: np.ndarray, references: list[str], ordinal: int) -> pa.RecordBatch:
+    """Records that begin and end at these places of the unpacked bytes."""
+    ref, pos, bases, next_ref, pnext, tlen = (_field(data, at + skip, "<i4").astype(np.int64) for skip in (4, 8, 20, 24, 28, 32))
+    name, mapq = data[at + 12].astype(np.int64), data[at + 13]
+    ops, flag = (_field(data, at + skip, "<u2").astype(np.int64) for skip in (16, 18))
+    cigar_at = at + 36 + name
+    seq_at = cigar_at + 4 * ops
+    qual_at = seq_at + (bases + 1) // 2
+    tags_at = qual_at + bases
+
+    def steps(own: np.ndarray) -> np.ndarray:
+        return np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+
+    def texts(letters: np.ndarray, own: np.ndarray) -> pa.Array:
+        """letters of texts of these sizes, * for those of none."""
+        out = np.full(int(np.maximum(own, 1).sum()), ord("*"), dtype=np.uint8)
+        out[np.repeat(np.cumsum(np.maximum(own, 1)) - np.maximum(own, 1), own) + steps(own)] = letters
+        return batches.strings(out, np.maximum(own, 1))
+
+    known = np.where((bases > 0) & (data[np.minimum(qual_at, len(data) - 1)] != 255), bases, 0)
+    names = data[np.repeat(at + 36, np.maximum(name - 1, 0)) + steps(np.maximum(name - 1, 0))]
+    quality = data[np.repeat(qual_at, known) + steps(known)]
+    if (name < 1).any() or (tags_at > ends).any() or names.max(initial=0) > 127 or quality.max(initial=0) > 94:
+        # letters beyond ASCII, or no record of the format
+        rows = [_record(references, ordinal, int(o), raw[a + 4 : e]) for o, a, e in zip(offset.tolist(), at.tolist(), ends.tolist(), strict=True)]
+        *plain, tags, types = zip(*rows, strict=True)
+        return pa.record_batch([pa.array(c, k) for c, k in zip([*plain, *([list(m.items()) for m in c] for c in (tags, types))], ARROW.types, strict=True)], schema=ARROW)
+    step = steps(bases)
+    pair = data[np.repeat(seq_at, bases) + step // 2]
+    letters = BASES[np.where(step % 2, pair & 15, pair >> 4)]
+    cigars = [_cigar(raw[a:b]) for a, b in zip(cigar_at.tolist(), seq_at.tolist(), strict=True)]
+    coded = pa.array([raw[a:b] for a, b in zip(tags_at.tolist(), ends.tolist(), strict=True)], pa.binary()).dictionary_encode()
+    told = [_tags(x) for x in coded.dictionary.to_pylist()]
+    maps = [pa.array([list(x[k].items()) for x in told], ARROW.types[-1]).take(coded.indices) for k in (0, 1)]
+    of = pa.array([*references, "*", "="], pa.string())
+    mate = np.where(next_ref < 0, len(references), np.where(next_ref == ref, len(references) + 1, next_ref))
+    idx = (ordinal << BLOCK_BITS | offset >> 16) << PLACE_BITS | (offset & 0xFFFF) >> SPARED_BITS
+    small = [pa.array(x, pa.int32()) for x in (flag, pos, mapq, pnext, tlen)]
+    columns = [pa.array(idx, pa.int64()), batches.strings(names, name - 1), small[0], of.take(pa.array(ref, mask=ref < 0)), small[1], small[2], pa.array(cigars, pa.string()), of.take(pa.array(mate)), small[3], small[4]]
+    return pa.record_batch([*columns, texts(letters, bases), texts(quality + 33, known), *maps], schema=ARROW)
 
 
 class BamReader(DataSourceReader):
@@ -363,11 +460,9 @@ class InBatches:
     """A reader's records as record batches, which Spark takes over without looking at each."""
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        rows = super().read(partition)
-        while part := list(islice(rows, BATCH)):
-            *plain, tags, types = zip(*part, strict=True)
-            maps = [[None if m is None else list(m.items()) for m in c] for c in (tags, types)]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip([*plain, *maps], ARROW.types, strict=True)], schema=ARROW)
+        path, ordinal, start, end, first, stop = partition.value
+        if start < end:
+            yield from bam_batches(path, self.only, ordinal, start, end, first, stop)
 
 
 class BatchReader(InBatches, BamReader):

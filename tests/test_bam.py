@@ -243,3 +243,38 @@ def test_records_of_a_batch_are_those_made_one_by_one():
     # what only the other way tells
     odd = batch.set_column(12, "tag_types", pa.array([[("NM", "c")]] * 200, kinds[12]))
     assert sink.bam_records({"c1": 0}, odd) is None and sink.bam_records({"c1": 0}, batch.set_column(0, "qname", pa.array(["\u00e9"] * 200))) is None
+
+
+def as_rows(batches):
+    return [tuple(dict(v) if k > 11 else v for k, v in enumerate(r.values())) for b in batches for r in b.to_pylist()]
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 3000, 50])
+def test_batches_are_the_records_of_a_range(sorted_file, tmp_path, monkeypatch, at_once):
+    monkeypatch.setattr(alignments, "READ_BYTES", at_once)
+    rng, records = random.Random(4), []
+    for k in range(3000):
+        size, ops = rng.choice([0, 1, 4, 7, 30]), rng.choice([[], [4 << 4], [3 << 4, 20 << 4 | 3, 9 << 4]])
+        seq, qual = bytes(rng.randrange(256) for _ in range((size + 1) // 2)), rng.choice([b"\xff" * size, bytes(rng.randrange(90) for _ in range(size))])
+        ref = rng.choice([-1, 0, 1, 3])
+        name = (b"\xc3\xa9" if k == 1500 else b"") + b"r%d" % k + b"x" * rng.randrange(5) + b"\0"
+        body = struct.pack("<iiBBHHHiiii", ref, rng.randrange(-1, 900), len(name), rng.randrange(256), 0, len(ops), rng.randrange(1 << 16), size, rng.choice([-1, ref, 1]), rng.randrange(-1, 900), rng.randrange(-500, 500))
+        body += name + struct.pack(f"<{len(ops)}I", *ops) + seq + qual + rng.choice([b"", raw_tags(), b"NMC\x07"])
+        records.append(struct.pack("<i", len(body)) + body)
+    odd, data = tmp_path / "odd.bam", b"".join(records)
+    blocks = [data[k : k + 9000] for k in range(0, len(data), 9000)]
+    odd.write_bytes(sink.header_blocks(HEAD, REFERENCES) + b"".join(map(sink.packed_block, [*blocks[:3], b"", *blocks[3:]])) + sink.END_BLOCK)
+    for path in (sorted_file, str(odd)):
+        size = open_at(path)[1]
+        for split in (size, size // 3 + 1, 20_000):
+            for start in range(0, size, split):
+                wanted = list(alignments.bam_records(path, None, 2, start, start + split))
+                assert as_rows(alignments.bam_batches(path, None, 2, start, start + split)) == wanted
+        assert as_rows(alignments.bam_batches(path, "chr1")) == list(alignments.bam_records(path, "chr1"))
+        offsets = [o for o, _ in alignments._bodies(path, 4, skipped=alignments._skipped(REFERENCES))]
+        first, stop = offsets[300], offsets[900]
+        assert as_rows(alignments.bam_batches(path, None, 0, first >> 16, None, first, stop)) == list(alignments.bam_records(path, None, 0, first >> 16, None, first, stop))
+    cut = tmp_path / "cut.bam"
+    cut.write_bytes(sink.header_blocks(HEAD, REFERENCES) + sink.packed_block(data[:-3]) if len(data) < 60_000 else sink.header_blocks(HEAD, REFERENCES) + sink.packed_block(data[:50_000]))
+    with pytest.raises(ValueError, match="cut off"):
+        list(alignments.bam_batches(str(cut)))

@@ -69,3 +69,14 @@ def test_nascent_shrinks_with_thresholds(spark):
 def test_summary_of_nothing(spark):
     rows = summary.class_summary(spark.createDataFrame([], "read_class string"), reads.RNA_CLASSES).collect()
     assert [r["count"] for r in rows] == [0] * 5 and all(r.percent is None for r in rows)
+
+
+def test_numbers_are_found_by_halves(spark):
+    rows = spark.range(3000).selectExpr("cast(nullif(id * 7919 % 3001, 17) AS int) AS a", "concat('k', id % 7) AS b", "id")
+    for keys in (["a"], ["b", "id"]):
+        out = matrix.numbered(rows, [F.col(k) for k in keys], "n")
+        assert "filter(" not in out._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted(out.collect(), key=lambda r: r.n)
+        assert [r.n for r in got] == list(range(1, 3001))
+        order = [tuple((r[k] is not None, r[k] or 0) if k != "b" else r[k] for k in keys) for r in got]
+        assert order == sorted(order)
